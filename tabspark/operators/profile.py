@@ -1,0 +1,382 @@
+"""Profiling operators.
+
+Design: at most a few scans of the table per operator, each a single
+aggregate whose result is bounded by the number of columns (or bins); the
+per-column statistics come back to the driver as a handful of numbers and are
+applied to the data as literals (no cross join, no per-feature action).
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabspark.functions.numeric import round4
+from tabspark.operators.quantiles import exact_quantiles, unpivot
+from tabspark.schema import col
+
+
+def _small_frame(spark, rows, schema: str) -> DataFrame:
+    """Driver-side results whose size is bounded by the column count."""
+    return spark.createDataFrame(rows, schema)
+
+
+# ---------------------------------------------------------------- A1, A2, S5
+def shape(df: DataFrame) -> DataFrame:
+    """Row and column count (A1)."""
+    return df.agg(F.count(F.lit(1)).cast("bigint").alias("n_rows")).select(
+        "n_rows", F.lit(len(df.columns)).cast("bigint").alias("n_cols"))
+
+
+def table_info(df: DataFrame) -> DataFrame:
+    """One row per column: position, name, type, row count."""
+    spark = df.sparkSession
+    n = df.count()
+    rows = [(i + 1, f.name, f.dataType.simpleString(), n) for i, f in enumerate(df.schema.fields)]
+    return _small_frame(spark, rows, "position int, column_name string, data_type string, n_rows bigint")
+
+
+def dtype_counts(df: DataFrame) -> DataFrame:
+    """Histogram of column types (A2)."""
+    return table_info(df).groupBy("data_type").agg(F.count(F.lit(1)).alias("n_columns"))
+
+
+# ---------------------------------------------------------------- A3, P12
+def _missing(c: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return c.isNull() | F.isnan(c)
+    return c.isNull()
+
+
+def missing_profile(df: DataFrame, only_missing: bool = False) -> DataFrame:
+    """Missing count and percent per column in one aggregate pass (A3)."""
+    aggs = [F.sum(F.when(_missing(col(f.name), f.dataType), 1).otherwise(0)).cast("bigint").alias(f"m{i}")
+            for i, f in enumerate(df.schema.fields)]
+    one = df.agg(F.count(F.lit(1)).alias("__n"), *aggs)
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), F.col(f"m{i}").alias("missing"))
+        for i, f in enumerate(df.schema.fields)]))
+    out = one.select(F.col("__n"), stack.alias("s")).select(
+        F.col("s.column_name").alias("column_name"),
+        F.col("s.missing").alias("missing"),
+        round4(F.when(F.col("__n") == 0, None).otherwise(F.col("s.missing") * 100.0 / F.col("__n"))).alias("missing_pct"))
+    return out.where(F.col("missing") > 0) if only_missing else out
+
+
+# ---------------------------------------------------------------- A4, A6
+def moments(df: DataFrame, features: list[str]) -> dict[str, dict]:
+    """count/mean/std/var/min/max per feature in one aggregate (driver gets 6 x width numbers)."""
+    aggs = []
+    for i, f in enumerate(features):
+        c = F.when(~F.isnan(col(f).cast("double")), col(f).cast("double"))
+        aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"),
+                 F.var_samp(c).alias(f"v{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+                 F.stddev_pop(c).alias(f"sp{i}")]
+    r = df.agg(*aggs).first()
+    return {f: dict(count=r[f"c{i}"], mean=r[f"a{i}"], std=r[f"s{i}"], var=r[f"v{i}"],
+                    min=r[f"lo{i}"], max=r[f"hi{i}"], std_pop=r[f"sp{i}"])
+            for i, f in enumerate(features)}
+
+
+def describe_numeric(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame:
+    """count, mean, std (ddof=1), min, 25/50/75 %, max per feature (A4).
+
+    Quantiles are exact (interval narrowing) unless ``exact=False``
+    (``percentile_approx``, one pass).
+    """
+    spark = df.sparkSession
+    m = moments(df, features)
+    qs = _quantiles(df, features, [0.25, 0.5, 0.75], exact=exact)
+    rows = []
+    for f in features:
+        s = m[f]
+        q = qs.get((f,), (0, [None, None, None]))[1]
+        rows.append((f, int(s["count"]), s["mean"], s["std"], s["min"], q[0], q[1], q[2], s["max"]))
+    out = _small_frame(spark, rows, "feature string, count bigint, mean double, std double, min double, "
+                                    "q25 double, q50 double, q75 double, max double")
+    return out.select("feature", "count", *[round4(F.col(c)).alias(c) for c in
+                                            ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+
+
+def _quantiles(df: DataFrame, features: list[str], probs: list[float], by: str | None = None,
+               exact: bool = True) -> dict:
+    long_df = unpivot(df, features, [by] if by else None)
+    keys = ["feature"] + ([by] if by else [])
+    if exact:
+        return exact_quantiles(long_df, keys, "value", probs)
+    agg = (long_df.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probs, 10000).alias("q")).collect())
+    return {tuple(r[k] for k in keys): (r["n"], list(r["q"])) for r in agg}
+
+
+def variance_profile(df: DataFrame, features: list[str]) -> DataFrame:
+    """Sample variance per feature."""
+    m = moments(df, features)
+    return _small_frame(df.sparkSession, [(f, m[f]["var"]) for f in features], "feature string, variance double")
+
+
+def top_variance(df: DataFrame, features: list[str], n: int = 10) -> DataFrame:
+    """Top-n features by variance, ties by name (K2); all if <= n."""
+    v = variance_profile(df, features)
+    ranked = v.orderBy(F.col("variance").desc_nulls_last(), F.col("feature")).limit(n)
+    return ranked.select("feature", round4(F.col("variance")).alias("variance"))
+
+
+# ---------------------------------------------------------------- A5
+def target_distribution(df: DataFrame, target: str) -> DataFrame:
+    """Count per target value, share of non-null rows and of all rows (A5)."""
+    counts = df.groupBy(col(target).cast("string").alias(target)).agg(F.count(F.lit(1)).alias("n"))
+    # the grouped table has one row per class: the window over it is bounded
+    w = F.sum("n").over(_whole())
+    w_nonnull = F.sum(F.when(F.col(target).isNotNull(), F.col("n")).otherwise(0)).over(_whole())
+    return counts.select(
+        F.col(target), F.col("n").cast("bigint").alias("n"),
+        round4(F.when(F.col(target).isNull(), None).otherwise(F.col("n") * 100.0 / w_nonnull)).alias("share_pct"),
+        round4(F.col("n") * 100.0 / w).alias("share_all_pct"))
+
+
+def _whole():
+    from pyspark.sql import Window
+    return Window.partitionBy()
+
+
+# ---------------------------------------------------------------- A7, A8, K1
+def _gram_partials(names: list[str], shift: dict[str, float]):
+    """mapInArrow function: per-partition pairwise sums over pair-complete rows."""
+    k = len(names)
+    mu = np.array([shift[nm] for nm in names], dtype=np.float64)
+
+    def run(batches):
+        import pyarrow as pa
+        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        for b in batches:
+            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.float64)
+                                 for i in range(k)]) if b.num_rows else np.zeros((0, k))
+            mask = ~np.isnan(x)
+            xc = np.where(mask, x - mu, 0.0)
+            mf = mask.astype(np.float64)
+            n += mf.T @ mf                    # rows where both i and j are present
+            sx += xc.T @ mf                   # sum of x_i over rows where j present
+            sxx += (xc * xc).T @ mf           # sum of x_i^2 over rows where j present
+            sxy += xc.T @ xc                  # sum of x_i x_j (zeros where missing)
+        ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ii.ravel().astype(np.int32)), pa.array(jj.ravel().astype(np.int32)),
+             pa.array(n.ravel()), pa.array(sx.ravel()), pa.array(sx.T.ravel()),
+             pa.array(sxx.ravel()), pa.array(sxx.T.ravel()), pa.array(sxy.ravel())],
+            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairwise-complete Pearson correlation of every column pair.
+
+    Pass 1: column means (shift for numerical stability). Pass 2: each task
+    folds its rows into k x k sums with NumPy (Arrow batches); the k^2 partial
+    rows per task are summed by a map-side-combined aggregate. Constant
+    columns give null (no division by zero).
+    """
+    spark = df.sparkSession
+    means = moments(df, columns)
+    shift = {c: (means[c]["mean"] or 0.0) for c in columns}
+    wide = df.select(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double"))
+                       .otherwise(F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(columns)])
+    wide = wide.select(*[F.coalesce(F.col(f"x{i}"), F.lit(float("nan"))).alias(f"x{i}") for i in range(len(columns))])
+    parts = wide.mapInArrow(_gram_partials([f"x{i}" for i in range(len(columns))],
+                                           {f"x{i}": shift[c] for i, c in enumerate(columns)}),
+                            "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
+    s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
+    n = F.col("n")
+    cov = F.col("sxy") / n - (F.col("sx") / n) * (F.col("sy") / n)
+    vx = F.col("sxx") / n - (F.col("sx") / n) * (F.col("sx") / n)
+    vy = F.col("syy") / n - (F.col("sy") / n) * (F.col("sy") / n)
+    den = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
+    names = F.array(*[F.lit(c) for c in columns])
+    const = [i for i, c in enumerate(columns) if means[c]["min"] is None or means[c]["min"] == means[c]["max"]]
+    is_const = F.col("i").isin(const) | F.col("j").isin(const) if const else F.lit(False)
+    # constant columns give null (population std 0), never rounding noise
+    corr = F.when((n > 0) & (den > 0) & ~is_const, F.least(F.greatest(cov / den, F.lit(-1.0)), F.lit(1.0)))
+    return s.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
+                    F.element_at(names, F.col("j") + 1).alias("feature_b"),
+                    round4(corr).alias("corr"))
+
+
+def target_correlation(df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """Correlation of each feature with the 0/1 target."""
+    cm = correlation_matrix(df, features + [label])
+    return (cm.where((F.col("feature_b") == label) & (F.col("feature_a") != label))
+            .select(F.col("feature_a").alias("feature"), "corr"))
+
+
+def top_correlations(df: DataFrame, features: list[str], label: str, n: int = 10) -> DataFrame:
+    """Top-n |corr| with the target, the target itself excluded by name (K1)."""
+    tc = target_correlation(df, features, label)
+    return (tc.where(F.col("corr").isNotNull())
+            .orderBy(F.abs("corr").desc(), F.col("feature")).limit(n)
+            .select("feature", F.abs("corr").alias("abs_corr")))
+
+
+# ---------------------------------------------------------------- A9, K3, P11
+def iqr_bounds(df: DataFrame, features: list[str], k: float = 1.5, exact: bool = True) -> dict:
+    qs = _quantiles(df, features, [0.25, 0.75], exact=exact)
+    out = {}
+    for f in features:
+        n, (q1, q3) = qs.get((f,), (0, [None, None]))
+        if q1 is None:
+            continue
+        iqr = q3 - q1
+        out[f] = (q1, q3, q1 - k * iqr, q3 + k * iqr)
+    return out
+
+
+def outlier_mask(c: Column, lower: float, upper: float) -> Column:
+    """Strict outlier predicate."""
+    return (c < F.lit(lower)) | (c > F.lit(upper))
+
+
+def outlier_profile(df: DataFrame, features: list[str], k: float = 1.5, exact: bool = True) -> DataFrame:
+    """IQR outliers per feature: count, %, min, max, bounds; only % > 0.
+
+    Quantile passes, then ONE counting pass with the bounds as literals.
+    """
+    spark = df.sparkSession
+    b = iqr_bounds(df, features, k, exact)
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, f in enumerate(features):
+        if f not in b:
+            continue
+        c = col(f).cast("double")
+        aggs += [F.sum(F.when(outlier_mask(c, b[f][2], b[f][3]), 1).otherwise(0)).alias(f"o{i}"),
+                 F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
+    r = df.agg(*aggs).first()
+    n = r["__n"]
+    rows = []
+    for i, f in enumerate(features):
+        if f not in b or not n:
+            continue
+        cnt = int(r[f"o{i}"] or 0)
+        if cnt > 0:
+            rows.append((f, cnt, cnt * 100.0 / n, r[f"mn{i}"], r[f"mx{i}"], b[f][2], b[f][3]))
+    out = _small_frame(spark, rows, "feature string, outlier_count bigint, outlier_pct double, min double, "
+                                    "max double, lower_bound double, upper_bound double")
+    return out.select("feature", "outlier_count",
+                      *[round4(F.col(c)).alias(c) for c in ["outlier_pct", "min", "max", "lower_bound", "upper_bound"]])
+
+
+def top_outliers(df: DataFrame, features: list[str], n: int = 5, k: float = 1.5) -> DataFrame:
+    """Top-n outlier columns by percent, ties by name (K3)."""
+    return (outlier_profile(df, features, k).orderBy(F.col("outlier_pct").desc(), F.col("feature"))
+            .limit(n).select("feature", "outlier_pct"))
+
+
+def outlier_rows(df: DataFrame, features: list[str], id_col: str, k: float = 1.5) -> DataFrame:
+    """(id, feature, value) of every outlying cell (P11); a narrow filter after a
+    generate, bounds inlined as literals."""
+    b = iqr_bounds(df, features, k)
+    long_df = unpivot(df, [f for f in features if f in b], [id_col])
+    cond = None
+    for f, (_, _, lo, hi) in b.items():
+        c = (F.col("feature") == f) & outlier_mask(F.col("value"), lo, hi)
+        cond = c if cond is None else (cond | c)
+    if cond is None:
+        cond = F.lit(False)
+    return long_df.where(cond).select(col(id_col), "feature", round4(F.col("value")).alias("value"))
+
+
+# ---------------------------------------------------------------- A10, A11
+def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
+    """Equal-width histogram, last bin closed, zero-filled (A10).
+
+    One min/max pass, then one grouped count over ``bins`` keys (map-side
+    combined); the empty bins come from a generated ``sequence``.
+    """
+    spark = df.sparkSession
+    c = col(column).cast("double")
+    r = df.agg(F.min(c).alias("mn"), F.max(c).alias("mx")).first()
+    mn, mx = r["mn"], r["mx"]
+    if mn is None:
+        return _small_frame(spark, [], "bin int, bin_lo double, bin_hi double, n bigint")
+    width = (mx - mn) / bins
+    if mx > mn:
+        b = F.least(F.floor((c - F.lit(mn)) / F.lit(mx - mn) * F.lit(bins)), F.lit(bins - 1)).cast("int")
+    else:
+        b = F.lit(0)
+    counts = df.where(c.isNotNull() & ~F.isnan(c)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    return (grid.join(counts, "bin", "left")
+            .select("bin",
+                    round4(F.lit(mn) + F.col("bin") * F.lit(width)).alias("bin_lo"),
+                    round4(F.lit(mn) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
+                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
+
+
+def kde(df: DataFrame, column: str, points: int = 200, bins: int = 30) -> DataFrame:
+    """Gaussian KDE (Scott bandwidth sigma*n^-1/5) on a min..max grid, scaled to
+    histogram counts (density * n * bin width) (A11).
+
+    The grid is fixed-size: one aggregate with ``points`` sum expressions, no
+    join and no row explosion.
+    """
+    spark = df.sparkSession
+    c = col(column).cast("double")
+    clean = df.where(c.isNotNull() & ~F.isnan(c))
+    r = clean.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp(c).alias("s"),
+                  F.min(c).alias("mn"), F.max(c).alias("mx")).first()
+    n, s, mn, mx = r["n"], r["s"], r["mn"], r["mx"]
+    if not n or s is None or s == 0:
+        return _small_frame(spark, [], "point int, x double, density_count double")
+    h = s * n ** (-0.2)
+    grid = [mn + (mx - mn) * i / (points - 1) for i in range(points)]
+    aggs = [F.sum(F.exp(-0.5 * F.pow((F.lit(g) - c) / F.lit(h), 2))).alias(f"k{i}") for i, g in enumerate(grid)]
+    sums = clean.agg(*aggs)
+    scale = 1.0 / (n * h * math.sqrt(2 * math.pi)) * n * ((mx - mn) / bins)
+    stack = F.explode(F.array(*[F.struct(F.lit(i).alias("point"), F.lit(g).alias("x"),
+                                         (F.col(f"k{i}") * F.lit(scale)).alias("d"))
+                                for i, g in enumerate(grid)]))
+    return sums.select(stack.alias("s")).select(
+        F.col("s.point").cast("int").alias("point"), round4(F.col("s.x")).alias("x"),
+        round4(F.col("s.d")).alias("density_count"))
+
+
+# ---------------------------------------------------------------- A12, A13
+def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: float = 1.5) -> DataFrame:
+    """Box-plot numbers per feature (and per ``by`` value): q1, median, q3,
+    whiskers at the last datum inside 1.5 IQR, flier count (A12/A13).
+
+    Exact quantiles, then one conditional aggregate over the long view with
+    the per-group bounds inlined as literals.
+    """
+    spark = df.sparkSession
+    qs = _quantiles(df, features, [0.25, 0.5, 0.75], by=by)
+    long_df = unpivot(df, features, [by] if by else None)
+    key_expr = F.col("feature") if by is None else F.concat_ws("\u0001", F.col("feature"), F.col(by).cast("string"))
+    lo_map, hi_map = {}, {}
+    for key, (n, (q1, _, q3)) in qs.items():
+        if q1 is None:
+            continue
+        kstr = key[0] if by is None else f"{key[0]}\u0001{'' if key[1] is None else key[1]}"
+        iqr = q3 - q1
+        lo_map[kstr], hi_map[kstr] = q1 - whis * iqr, q3 + whis * iqr
+    lo = F.element_at(F.create_map(*[x for kv in lo_map.items() for x in map(F.lit, kv)]), key_expr) \
+        if lo_map else F.lit(None)
+    hi = F.element_at(F.create_map(*[x for kv in hi_map.items() for x in map(F.lit, kv)]), key_expr) \
+        if hi_map else F.lit(None)
+    v = F.col("value")
+    inside = (v >= lo) & (v <= hi)
+    keys = ["feature"] + ([by] if by else [])
+    agg = (long_df.where(v.isNotNull() & ~F.isnan(v))
+           .groupBy(*keys)
+           .agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
+                F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_fliers")))
+    qrows = [(*key, q[0], q[1], q[2]) for key, (n, q) in qs.items()]
+    schema = "feature string" + (f", {by} {df.schema[by].dataType.simpleString()}" if by else "") + \
+        ", q1 double, median double, q3 double"
+    qdf = _small_frame(spark, qrows, schema)
+    # qdf has one row per (feature, class): bounded, broadcast is safe
+    joined = agg.join(F.broadcast(qdf), keys)
+    return joined.select(*keys, *[round4(F.col(c)).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
+                         "n_fliers")
