@@ -126,3 +126,81 @@ def q_box_stats_outliers(spark, sf):
 @query("lineitem_box_stats")
 def q_lineitem_box_stats(spark, sf):
     return P.box_stats(lineitem_frame(spark, sf), LINEITEM_FEATURES, by=TARGET)
+
+
+# ------------------------------------------------------------------ split / scale
+from pyspark.sql import functions as F  # noqa: E402
+
+from tabspark.operators import split as S  # noqa: E402
+from tabspark.operators.prepare import prepare, target_audit  # noqa: E402
+from tabspark.operators.scale import fit_scaler  # noqa: E402
+from tabspark.schema import col  # noqa: E402
+
+
+def prepared_metrics(spark, sf):
+    return prepare(metrics_frame(spark, sf))
+
+
+def split_metrics(spark, sf):
+    return S.stratified_split(prepared_metrics(spark, sf), LABEL, "id", 0.2, 0.1, 42)
+
+
+@query("normalize_target")
+def q_normalize_target(spark, sf):
+    f = metrics_frame(spark, sf)
+    return prepare(f).select("id", LABEL)
+
+
+@query("target_audit")
+def q_target_audit(spark, sf):
+    # labels.toxic as a target column holds 0/1 ints: every value is unmapped
+    lab = read_table(spark, sf, "labels").select(F.col("toxic").alias(TARGET))
+    return target_audit(lab)
+
+
+@query("prepare")
+def q_prepare(spark, sf):
+    return prepared_metrics(spark, sf).select("id", *[col(c).cast("double").alias(c) for c in FEATURES], LABEL)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf):
+    return split_metrics(spark, sf).select("id", LABEL, "split")
+
+
+@query("split_counts")
+def q_split_counts(spark, sf):
+    return S.split_counts(split_metrics(spark, sf), LABEL)
+
+
+@query("orders_split_counts")
+def q_orders_split_counts(spark, sf):
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    sp = S.stratified_split(o, "o_orderstatus", "o_orderkey", 0.2, 0.1, 42)
+    return sp.groupBy("split", "o_orderstatus").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                                    F.sum("o_orderkey").cast("bigint").alias("key_sum"))
+
+
+@query("split_metadata")
+def q_split_metadata(spark, sf):
+    sp = split_metrics(spark, sf)
+    return (sp.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
+            .select("split", "n_samples", F.lit(len(FEATURES)).alias("n_features"),
+                    F.lit("StandardScaler").alias("scaler"), F.lit(0.2).alias("test_size"),
+                    F.lit(0.1).alias("val_size")))
+
+
+@query("fit_scaler")
+def q_fit_scaler(spark, sf):
+    sp = split_metrics(spark, sf)
+    model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
+    p = model.params(spark)
+    return p.select("feature", F.round("mean", 4).alias("mean"), F.round("scale", 4).alias("scale"))
+
+
+@query("scale_features")
+def q_scale_features(spark, sf):
+    sp = split_metrics(spark, sf).persist()
+    model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
+    out = model.transform(sp)
+    return out.select("id", "split", LABEL, *[F.round(col(c), 4).alias(c) for c in FEATURES])

@@ -213,7 +213,61 @@ from p, lineitem l group by p.point, p.x, p.h, p.n, p.mn, p.mx""",
     }
 
 
+def split_cte(src: str, label: str, key: str, seed: int = 42, test: float = 0.2, val: float = 0.1) -> str:
+    """SQL form of the stratified split: quotas by largest remainder, md5 order."""
+    return f"""
+sp_cc as (select {label} as c, count(*) as cnt from {src} where {label} is not null group by 1),
+sp_n as (select sum(cnt) as n, ceil({test}::double * sum(cnt)) as n_test from sp_cc),
+sp_r1 as (select c, cnt, cnt / n * (n - n_test) as cont, floor(cnt / n * (n - n_test)) as fl, n - n_test as n_rest
+          from sp_cc, sp_n),
+sp_q1 as (select c, cnt, n_rest, fl + case when row_number() over (order by cont - fl desc, c)
+                 <= n_rest - sum(fl) over () then 1 else 0 end as rest_q from sp_r1),
+sp_v as (select n_rest, n_rest - ceil({val}::double / (1 - {test}::double) * n_rest) as n_train from (select distinct n_rest from sp_q1)),
+sp_r2 as (select c, cnt, rest_q, rest_q / n_rest * n_train as cont, floor(rest_q / n_rest * n_train) as fl, n_train
+          from sp_q1 join sp_v using (n_rest)),
+sp_q as (select c, cnt - rest_q as test_q,
+                rest_q - (fl + case when row_number() over (order by cont - fl desc, c)
+                          <= n_train - sum(fl) over () then 1 else 0 end) as val_q from sp_r2),
+sp as (select s.*, case when rn < q.test_q then 'test' when rn < q.test_q + q.val_q then 'val' else 'train' end as split
+       from (select *, row_number() over (partition by {label} order by md5('{seed}:' || cast({key} as varchar)), {key}) - 1 as rn
+             from {src} where {label} is not null) s join sp_q q on s.{label} = q.c)
+"""
+
+
+def split_sql() -> dict[str, str]:
+    feats = ", ".join(q(c) for c in FEATURES)
+    prep = f"P as (select id, {feats}, label from LF)"
+    sp = split_cte("P", "label", "id")
+    stats = ", ".join(f"avg({q(c)}) as {q('m_' + c)}, coalesce(nullif(stddev_pop({q(c)}), 0), 1) as {q('s_' + c)}"
+                      for c in FEATURES)
+    scaled = ", ".join(f"{r4(f'({q(c)} - {q(chr(109) + chr(95) + c)}) / {q(chr(115) + chr(95) + c)}')} as {q(c)}"
+                       for c in FEATURES)
+    fit_rows = "\nunion all\n".join(
+        f"select '{c}' as feature, {r4(q('m_' + c))} as mean, {r4(q('s_' + c))} as scale from st" for c in FEATURES)
+    return {
+        "normalize_target": with_f("select id, label from LF", LF_CTE),
+        "target_audit": """select coalesce(bad_value, '<null>') as bad_value, cast(count(*) as bigint) as n_rows
+from (select cast(toxic as varchar) as bad_value from labels) where bad_value is null or bad_value not in
+  ('TRUE','true','True','FALSE','false','False') group by bad_value""",
+        "prepare": with_f(f"select id, {', '.join(f'cast({q(c)} as double) as {q(c)}' for c in FEATURES)}, label from LF",
+                          LF_CTE),
+        "stratified_split": with_f("select id, label, split from sp", LF_CTE, prep, sp),
+        "split_counts": with_f("select split, label, cast(count(*) as bigint) as n from sp group by 1, 2",
+                               LF_CTE, prep, sp),
+        "orders_split_counts": "with " + split_cte("orders", "o_orderstatus", "o_orderkey").strip() + """
+select split, o_orderstatus, cast(count(*) as bigint) as n, cast(sum(o_orderkey) as bigint) as key_sum
+from sp group by 1, 2""",
+        "split_metadata": with_f(f"""select split, cast(count(*) as bigint) as n_samples, {len(FEATURES)} as n_features,
+  'StandardScaler' as scaler, 0.2::double as test_size, 0.1::double as val_size from sp group by split""",
+                                 LF_CTE, prep, sp),
+        "fit_scaler": with_f(fit_rows, LF_CTE, prep, sp, f"st as (select {stats} from sp where split = 'train')"),
+        "scale_features": with_f(f"select id, split, label, {scaled} from sp, st", LF_CTE, prep, sp,
+                                 f"st as (select {stats} from sp where split = 'train')"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
+    out.update(split_sql())
     return out
