@@ -204,3 +204,122 @@ def q_scale_features(spark, sf):
     model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
     out = model.transform(sp)
     return out.select("id", "split", LABEL, *[F.round(col(c), 4).alias(c) for c in FEATURES])
+
+
+# ------------------------------------------------------------------ scalar functions, metrics
+from tabspark.functions.arrays import argmax, confidence, softmax  # noqa: E402
+from tabspark.operators import metrics as M  # noqa: E402
+from tabspark.operators import history as H  # noqa: E402
+
+
+def scored_metrics(spark, sf):
+    """F with a stand-in defect probability ``1 - l`` and its prediction."""
+    f = labelled_metrics(spark, sf)
+    p = (1 - F.col("l"))
+    return f.select("id", LABEL, p.alias("defect_probability"),
+                    (p > 0.5).cast("int").alias("prediction"))
+
+
+@query("softmax")
+def q_softmax(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    probs = softmax(F.col("embedding"))
+    return e.select("vec_id", argmax(F.col("embedding")).alias("argmax"),
+                    F.round(confidence(probs), 4).alias("confidence"),
+                    F.round(F.element_at(probs, 1), 4).alias("p_first"),
+                    F.round(F.aggregate(probs, F.lit(0.0), lambda a, x: a + x), 4).alias("prob_sum"))
+
+
+@query("argmax")
+def q_argmax(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return (e.select(argmax(F.slice("embedding", 1, 10)).alias("predicted"), "label")
+            .groupBy("predicted").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                      F.sum(F.when(F.col("predicted") == F.col("label"), 1).otherwise(0))
+                                      .cast("bigint").alias("n_correct")))
+
+
+@query("class_counts")
+def q_class_counts(spark, sf):
+    return M.class_counts(read_table(spark, sf, "embeddings"), "label", 10)
+
+
+@query("class_weights")
+def q_class_weights(spark, sf):
+    sp = split_metrics(spark, sf).where(F.col("split") == "train")
+    return M.class_weights(sp, LABEL, 2).select("label", "n", F.round("weight", 4).alias("weight"))
+
+
+@query("confusion")
+def q_confusion(spark, sf):
+    return M.confusion(scored_metrics(spark, sf))
+
+
+@query("binary_metrics")
+def q_binary_metrics(spark, sf):
+    return M.binary_metrics(scored_metrics(spark, sf))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, sf):
+    return M.roc_auc(scored_metrics(spark, sf), LABEL, "defect_probability")
+
+
+@query("lineitem_roc_auc")
+def q_lineitem_roc_auc(spark, sf):
+    li = lineitem_frame(spark, sf)
+    return M.roc_auc(li, LABEL, "l_extendedprice")
+
+
+@query("prediction_summary")
+def q_prediction_summary(spark, sf):
+    return M.prediction_summary(scored_metrics(spark, sf))
+
+
+def _embedding_logits(spark, sf):
+    e = read_table(spark, sf, "embeddings")
+    return e.select(F.slice("embedding", 1, 10).alias("logits"), "label")
+
+
+@query("focal_loss")
+def q_focal_loss(spark, sf):
+    e = _embedding_logits(spark, sf)
+    alpha = M.class_weight_list(e, "label", 10)
+    return M.mean_loss(e, "logits", "label", "focal", alpha, 2.0)
+
+
+@query("weighted_ce")
+def q_weighted_ce(spark, sf):
+    e = _embedding_logits(spark, sf)
+    alpha = M.class_weight_list(e, "label", 10)
+    return M.mean_loss(e, "logits", "label", "ce", alpha, smoothing=0.1)
+
+
+@query("latency_summary")
+def q_latency_summary(spark, sf):
+    return M.latency_summary(read_table(spark, sf, "events"), "value")
+
+
+# ------------------------------------------------------------------ training history windows
+def _history(spark, sf):
+    return H.events_history(read_table(spark, sf, "events"))
+
+
+@query("best_so_far")
+def q_best_so_far(spark, sf):
+    return H.best_so_far(_history(spark, sf))
+
+
+@query("early_stop")
+def q_early_stop(spark, sf):
+    return H.early_stop(_history(spark, sf), patience=10)
+
+
+@query("best_epoch")
+def q_best_epoch(spark, sf):
+    return H.best_epoch(_history(spark, sf))
+
+
+@query("prune_trials")
+def q_prune_trials(spark, sf):
+    return H.prune_trials(_history(spark, sf))

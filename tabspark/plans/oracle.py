@@ -266,8 +266,77 @@ from sp group by 1, 2""",
     }
 
 
+def metrics_sql() -> dict[str, str]:
+    scored = "SC as (select id, label, 1 - l as defect_probability, cast(1 - l > 0.5 as int) as prediction from LF)"
+    conf = """select cast(sum(case when label = 1 and prediction = 1 then 1 else 0 end) as bigint) as tp,
+  cast(sum(case when label = 0 and prediction = 1 then 1 else 0 end) as bigint) as fp,
+  cast(sum(case when label = 0 and prediction = 0 then 1 else 0 end) as bigint) as tn,
+  cast(sum(case when label = 1 and prediction = 0 then 1 else 0 end) as bigint) as fn from SC"""
+
+    def zd(a, b):
+        return f"case when ({b}) = 0 then 0.0 else ({a})::double / ({b}) end"
+
+    auc = lambda src, s: f"""g as (select {s} as s, sum(case when label = 1 then 1 else 0 end)::double as pos,
+    sum(case when label = 1 then 0 else 1 end)::double as neg from {src} where label is not null and {s} is not null group by 1),
+c as (select *, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from g)
+|select {r4('case when sum(pos) > 0 and sum(neg) > 0 then sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) else 0.0 end')} as roc_auc,
+  cast(coalesce(sum(pos), 0) as bigint) as n_pos, cast(coalesce(sum(neg), 0) as bigint) as n_neg from c"""
+    emb = "E as (select embedding[1:10] as logits, label from embeddings)"
+    cw = """cw as (select label, cnt, case when min(cnt) over () = 0 then 1.0
+                 else (sum(cnt) over ())::double / (10 * cnt) end as w
+      from (select r.range::int as label, count(e.label) as cnt from range(10) r left join E e on e.label = r.range group by 1))"""
+    lse = "(list_max(logits) + ln(list_sum(list_transform(logits, lambda x: exp(x::double - list_max(logits))))))"
+    hist = "Hh as (select user_id as run_id, row_number() over (partition by user_id order by ts, event_id) as epoch, value from events)"
+    imp = """Hi as (select *, max(case when improved then epoch end) over (partition by run_id order by epoch rows between unbounded preceding and current row) as last_improved
+  from (select *, (max(value) over (partition by run_id order by epoch rows between unbounded preceding and 1 preceding)) is null
+               or value > max(value) over (partition by run_id order by epoch rows between unbounded preceding and 1 preceding) as improved from Hh))"""
+    return {
+        "softmax": f"""select vec_id, cast(list_position(embedding, list_max(embedding)) - 1 as int) as argmax,
+  {r4('list_max(p)')} as confidence, {r4('p[1]')} as p_first, {r4('list_sum(p)')} as prob_sum
+from (select vec_id, embedding, list_transform(ex, lambda x: x / list_sum(ex)) as p
+      from (select vec_id, embedding, list_transform(embedding, lambda x: exp(x::double - list_max(embedding))) as ex from embeddings))""",
+        "argmax": """select predicted, cast(count(*) as bigint) as n, cast(sum(case when predicted = label then 1 else 0 end) as bigint) as n_correct
+from (select cast(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 as int) as predicted, label from embeddings) group by 1""",
+        "class_counts": """select r.range::int as label, cast(count(e.label) as bigint) as n
+from range(10) r left join embeddings e on e.label = r.range group by 1""",
+        "class_weights": with_f(f"""select label, n, {r4('case when min(n) over () = 0 then 1.0 else (sum(n) over ())::double / (2 * n) end')} as weight
+from (select r.range::int as label, cast(count(t.label) as bigint) as n from range(2) r
+      left join (select label from sp where split = 'train') t on t.label = r.range group by 1)""",
+                                LF_CTE, f"P as (select id, label from LF)", split_cte("P", "label", "id")),
+        "confusion": with_f(conf, LF_CTE, scored),
+        "binary_metrics": with_f(f"""select {r4(zd('tp + tn', 'tp + fp + tn + fn'))} as accuracy, {r4(zd('tp', 'tp + fp'))} as precision,
+  {r4(zd('tp', 'tp + fn'))} as recall, {r4(zd('2 * tp', '2 * tp + fp + fn'))} as f1 from ({conf})""", LF_CTE, scored),
+        "roc_auc": with_f(auc("SC", "defect_probability").split("|")[1], LF_CTE, scored,
+                          auc("SC", "defect_probability").split("|")[0]),
+        "lineitem_roc_auc": "with " + LI_CTE.strip() + ",\n" + auc("LI", "l_extendedprice").replace("|", ""),
+        "prediction_summary": with_f(f"""select cast(count(*) as bigint) as n_rows,
+  cast(sum(case when prediction = 1 then 1 else 0 end) as bigint) as n_defects, {r4('avg(defect_probability)')} as mean_probability from SC""",
+                                     LF_CTE, scored),
+        "focal_loss": f"""with {emb}, {cw}
+select {r4(f'avg(cw.w * pow(1 - exp(logits[E.label + 1] - {lse}), 2) * -(logits[E.label + 1] - {lse}))')} as loss
+from E join cw on E.label = cw.label""",
+        "weighted_ce": f"""with {emb}, {cw}, W as (select list(w order by label) as wl from cw)
+select {r4(f'sum(0.9 * wl[E.label + 1] * -(logits[E.label + 1] - {lse}) + 0.1 / len(logits) * -list_sum(list_transform(list_zip(logits, wl), lambda e: e[2] * (e[1]::double - {lse})))) / sum(wl[E.label + 1])')} as loss
+from E, W""",
+        "latency_summary": f"""select cast(count(value) as bigint) as total_requests, cast(count(value) as bigint) as total_samples, 1 as batch_size,
+  {r4('avg(value)')} as avg_latency, {r4('quantile_cont(value, 0.5)')} as p50_latency, {r4('quantile_cont(value, 0.95)')} as p95_latency,
+  {r4('quantile_cont(value, 0.99)')} as p99_latency, {r4('min(value)')} as min_latency, {r4('max(value)')} as max_latency,
+  {r4('count(value) / sum(value)')} as throughput from events""",
+        "best_so_far": f"""with {hist} select run_id, epoch, value,
+  max(value) over (partition by run_id order by epoch rows between unbounded preceding and current row) as best_so_far from Hh""",
+        "early_stop": f"""with {hist}, {imp}
+select run_id, min(case when epoch - last_improved >= 10 then epoch end) as stop_epoch, max(epoch) as n_epochs from Hi group by run_id""",
+        "best_epoch": f"""with {hist} select run_id, epoch as best_epoch, value as best_value from
+  (select *, row_number() over (partition by run_id order by value desc, epoch) as rk from Hh) where rk = 1""",
+        "prune_trials": f"""with {hist}, B as (select *, max(value) over (partition by run_id order by epoch rows between unbounded preceding and current row) as bsf from Hh),
+M as (select epoch, quantile_cont(value, 0.5) as med from Hh group by epoch)
+select run_id, min(case when bsf < med and epoch > 0 then epoch end) as pruned_at from B join M using (epoch) group by run_id""",
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
     out.update(split_sql())
+    out.update(metrics_sql())
     return out
