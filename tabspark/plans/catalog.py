@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabspark.operators import profile as P
+from tabspark.operators import profiling as P
 from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
                                    metrics_frame)
 from tabspark.schema import LABEL, TARGET
@@ -323,3 +323,91 @@ def q_best_epoch(spark, sf):
 @query("prune_trials")
 def q_prune_trials(spark, sf):
     return H.prune_trials(_history(spark, sf))
+
+
+# ------------------------------------------------------------------ model scoring / training
+from tabspark.operators import mlp as ML  # noqa: E402
+from tabspark.operators.mlp_math import MlpParams  # noqa: E402
+from tabspark.operators.scale import IdentityScaler  # noqa: E402
+
+
+def fitted_scaler(sp):
+    return fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
+
+
+def _scored_view(df):
+    return df.select("id", "prediction", "is_defect", F.round("defect_probability", 4).alias("defect_probability"),
+                     F.round("confidence", 4).alias("confidence"))
+
+
+@query("mlp_score")
+def q_mlp_score(spark, sf):
+    """Fixed-weight model on raw features, scaler stage pass-through."""
+    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    return _scored_view(pipe.transform(prepared_metrics(spark, sf)))
+
+
+@query("mlp_logits")
+def q_mlp_logits(spark, sf):
+    m = ML.fixed_model(FEATURES)
+    out = m.transform(prepared_metrics(spark, sf), output="logits")
+    return out.select("id", F.round(F.element_at("logits", 1), 4).alias("logit_0"),
+                      F.round(F.element_at("logits", 2), 4).alias("logit_1"))
+
+
+@query("pipeline_score")
+def q_pipeline_score(spark, sf):
+    sp = split_metrics(spark, sf)
+    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    return _scored_view(pipe.transform(sp.where(F.col("split") == "test")))
+
+
+@query("evaluate")
+def q_evaluate(spark, sf):
+    sp = split_metrics(spark, sf)
+    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    return ML.evaluate(pipe, sp.where(F.col("split") == "test"), LABEL)
+
+
+@query("score_batches")
+def q_score_batches(spark, sf):
+    sp = split_metrics(spark, sf)
+    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    batches = [sp.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
+    tagged = batches[0].withColumn("batch_id", F.lit(0))
+    for i, b in enumerate(batches[1:], 1):
+        tagged = tagged.unionByName(b.withColumn("batch_id", F.lit(i)))
+    scored = pipe.transform(tagged)
+    return scored.groupBy("batch_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
+                                          F.sum(F.col("prediction")).cast("bigint").alias("n_defects"))
+
+
+@query("sample_head")
+def q_sample_head(spark, sf):
+    sp = split_metrics(spark, sf)
+    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    scored = pipe.transform(sp.where(F.col("split") == "test"))
+    return _scored_view(scored).orderBy("id").limit(5)
+
+
+@query("mlp_prediction_summary")
+def q_mlp_prediction_summary(spark, sf):
+    sp = split_metrics(spark, sf)
+    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    return M.prediction_summary(pipe.transform(sp.where(F.col("split") == "test")))
+
+
+def _fit(spark, sf, params: MlpParams, num_partitions=None, run_id="run"):
+    sp = split_metrics(spark, sf).persist()
+    scaler = fitted_scaler(sp)
+    scaled = scaler.transform(sp)
+    clf = ML.MlpClassifier(params, FEATURES, LABEL, num_partitions=num_partitions, run_id=run_id)
+    res = clf.fit(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"))
+    return sp, scaler, res
+
+
+@query("mlp_fit")
+def q_mlp_fit(spark, sf):
+    """Training history (run, epoch, metric, value) of a short distributed fit."""
+    _, _, res = _fit(spark, sf, MlpParams(max_epochs=5), num_partitions=4)
+    return res.history

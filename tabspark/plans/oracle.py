@@ -334,9 +334,90 @@ select run_id, min(case when bsf < med and epoch > 0 then epoch end) as pruned_a
     }
 
 
+def _lit(x: float) -> str:
+    s = repr(float(x))
+    if s in ("inf", "-inf", "nan"):
+        return f"'{s}'::double"
+    return s if ("e" in s or "E" in s) else s + "e0"
+
+
+def mlp_forward_sql(model, src: str, keep: list[str], inputs: list[str]) -> list[str]:
+    """CTEs computing the eval-mode forward pass of a fixed-weight model in SQL.
+    The last CTE is ``mlp_out`` with keep columns, logit_j, p_j, prediction."""
+    import math
+    from tabspark.operators.mlp_math import BN_EPS
+    p, w = model.params, model.weights
+    kc = ", ".join(keep)
+    ctes = [f"mlp_l0 as (select {kc}, " + ", ".join(
+        f"cast(cast({e} as float) as double) as a{i}" for i, e in enumerate(inputs)) + f" from {src})"]
+    width = len(inputs)
+    for li, h in enumerate(p.hidden_sizes):
+        W, b = w[f"W{li}"], w[f"b{li}"]
+        cols = []
+        for j in range(h):
+            z = " + ".join(f"a{i} * {_lit(W[i, j])}" for i in range(width)) + f" + {_lit(b[j])}"
+            if p.use_batchnorm:
+                inv = 1.0 / math.sqrt(w[f"rv{li}"][j] + BN_EPS)
+                y = f"(({z}) - {_lit(w[f'rm{li}'][j])}) * {_lit(inv)} * {_lit(w[f'g{li}'][j])} + {_lit(w[f'be{li}'][j])}"
+            else:
+                raise NotImplementedError("SQL oracle covers the batch-norm layout")
+            cols.append(f"greatest({y}, 0.0) as a{j}")
+        ctes.append(f"mlp_l{li + 1} as (select {kc}, " + ", ".join(cols) + f" from mlp_l{li})")
+        width = h
+    last = f"mlp_l{len(p.hidden_sizes)}"
+    Wo, bo = w["Wo"], w["bo"]
+    outs = [" + ".join(f"a{i} * {_lit(Wo[i, c])}" for i in range(width)) + f" + {_lit(bo[c])} as z{c}"
+            for c in range(p.num_classes)]
+    ctes.append(f"mlp_z as (select {kc}, " + ", ".join(outs) + f" from {last})")
+    ctes.append(f"""mlp_out as (select {kc}, z0 as logit_0, z1 as logit_1,
+  exp(z0 - greatest(z0, z1)) / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1))) as p0,
+  exp(z1 - greatest(z0, z1)) / (exp(z0 - greatest(z0, z1)) + exp(z1 - greatest(z0, z1))) as p1 from mlp_z)""")
+    return ctes
+
+
+def mlp_sql() -> dict[str, str]:
+    from tabspark.operators.mlp import fixed_model
+    model = fixed_model(FEATURES)
+    feats = ", ".join(q(c) for c in FEATURES)
+    prep = f"P as (select id, {feats}, label from LF)"
+    sp = split_cte("P", "label", "id")
+    stats = ", ".join(f"avg({q(c)}) as {q('m_' + c)}, coalesce(nullif(stddev_pop({q(c)}), 0), 1) as {q('s_' + c)}"
+                      for c in FEATURES)
+    st = f"st as (select {stats} from sp where split = 'train')"
+    scaled_inputs = [f"({q(c)} - {q('m_' + c)}) / {q('s_' + c)}" for c in FEATURES]
+    raw = mlp_forward_sql(model, "P", ["id"], [q(c) for c in FEATURES])
+    piped = mlp_forward_sql(model, "(select * from sp, st) x", ["id", "label", "split"], scaled_inputs)
+    view = f"""select id, cast(case when p1 > p0 then 1 else 0 end as int) as prediction, p1 > p0 as is_defect,
+  {r4('p1')} as defect_probability, {r4('greatest(p0, p1)')} as confidence from mlp_out"""
+    test_view = view + " where split = 'test'"
+    sc = f"""SC as (select label, case when p1 > p0 then 1 else 0 end as prediction, p1 as s from mlp_out where split = 'test')"""
+    return {
+        "mlp_score": with_f(view, LF_CTE, prep, *raw),
+        "mlp_logits": with_f(f"select id, {r4('logit_0')} as logit_0, {r4('logit_1')} as logit_1 from mlp_out",
+                             LF_CTE, prep, *raw),
+        "pipeline_score": with_f(test_view, LF_CTE, prep, sp, st, *piped),
+        "evaluate": with_f(f"""select {r4('case when count(*) = 0 then 0.0 else sum(case when label = prediction then 1 else 0 end)::double / count(*) end')} as accuracy,
+  {r4('case when sum(prediction) = 0 then 0.0 else sum(case when label = 1 and prediction = 1 then 1 else 0 end)::double / sum(prediction) end')} as precision,
+  {r4('case when sum(label) = 0 then 0.0 else sum(case when label = 1 and prediction = 1 then 1 else 0 end)::double / sum(label) end')} as recall,
+  {r4('case when sum(label) + sum(prediction) = 0 then 0.0 else 2.0 * sum(case when label = 1 and prediction = 1 then 1 else 0 end) / (sum(label) + sum(prediction)) end')} as f1,
+  (select {r4('case when sum(pos) > 0 and sum(neg) > 0 then sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) else 0.0 end')} from c) as roc_auc
+from SC""", LF_CTE, prep, sp, st, *piped, sc,
+            """g as (select s, sum(case when label = 1 then 1 else 0 end)::double as pos, sum(case when label = 1 then 0 else 1 end)::double as neg from SC group by s)""",
+            """c as (select *, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from g)"""),
+        "score_batches": with_f("""select cast(case split when 'train' then 0 when 'val' then 1 else 2 end as int) as batch_id,
+  cast(count(*) as bigint) as n_rows, cast(sum(case when p1 > p0 then 1 else 0 end) as bigint) as n_defects
+from mlp_out group by 1""", LF_CTE, prep, sp, st, *piped),
+        "sample_head": with_f(test_view + " order by id limit 5", LF_CTE, prep, sp, st, *piped),
+        "mlp_prediction_summary": with_f(f"""select cast(count(*) as bigint) as n_rows,
+  cast(sum(case when p1 > p0 then 1 else 0 end) as bigint) as n_defects, {r4('avg(p1)')} as mean_probability
+from mlp_out where split = 'test'""", LF_CTE, prep, sp, st, *piped),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
     out.update(split_sql())
     out.update(metrics_sql())
+    out.update(mlp_sql())
     return out
