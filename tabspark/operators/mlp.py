@@ -254,8 +254,11 @@ class MlpClassifier:
                        "train_recall": tr_r, "train_f1": tr_f1, "val_loss": va_loss, "val_accuracy": va_acc,
                        "val_precision": va_p, "val_recall": va_r, "val_f1": va_f1}
             hist_rows += [(self.run_id, epoch, name, float(val)) for name, val in metrics.items()]
-            if on_epoch is not None:
-                on_epoch(epoch, metrics)
+            if on_epoch is not None and on_epoch(epoch, metrics):
+                stopped = epoch  # pruned by the caller
+                if va_f1 > best_score:
+                    best_score, best_w, best_ep = va_f1, {n: a.copy() for n, a in w.items()}, epoch
+                break
             # checkpoint: strictly better val_f1 (ties keep the first)
             if va_f1 > best_score:
                 best_score, best_w, best_ep = va_f1, {n: a.copy() for n, a in w.items()}, epoch

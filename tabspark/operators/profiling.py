@@ -380,3 +380,37 @@ def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: f
     joined = agg.join(F.broadcast(qdf), keys)
     return joined.select(*keys, *[round4(F.col(c)).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
                          "n_fliers")
+
+
+# ---------------------------------------------------------------- A22
+def eda_report(df: DataFrame, features: list[str], label: str, k: float = 1.5, top: int = 5) -> DataFrame:
+    """The EDA text report as ordered (line, section, key, value) rows (A22):
+    shape, class counts with shares, columns with missing values, top outlier
+    columns. Every part is one of the bounded profiles above."""
+    spark = df.sparkSession
+    n = df.count()
+    rows = [(1, "shape", "rows", n, None), (2, "shape", "columns", len(df.columns), None)]
+    cls = {r["c"]: r["n"] for r in df.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    for i, c in enumerate((0, 1)):
+        cnt = int(cls.get(c, 0))
+        rows.append((3 + i, "target", f"class_{c}", cnt, cnt * 100.0 / n if n else None))
+    miss = [r for r in missing_profile(df.drop(label), only_missing=True).collect()]
+    line = 10
+    if miss:
+        for r in miss:
+            rows.append((line, "missing", r["column_name"], int(r["missing"]), r["missing"] * 100.0 / n))
+            line += 1
+    else:
+        rows.append((line, "missing", "none", 0, None))
+    outl = (outlier_profile(df, features, k).orderBy(F.col("outlier_pct").desc(), F.col("feature"))
+            .limit(top).collect())
+    line = 100
+    for r in outl:
+        rows.append((line, "outliers", r["feature"], int(r["outlier_count"]), r["outlier_count"] * 100.0 / n))
+        line += 1
+    base = spark.createDataFrame(rows, "line int, section string, key string, cnt bigint, pct double")
+    pct_txt = F.concat(F.round("pct", 1).cast("string"), F.lit("%"))
+    value = (F.when(F.col("section") == "outliers", pct_txt)
+             .when(F.col("pct").isNull(), F.col("cnt").cast("string"))
+             .otherwise(F.concat(F.col("cnt").cast("string"), F.lit(" ("), pct_txt, F.lit(")"))))
+    return base.select("line", "section", "key", value.alias("value"))

@@ -411,3 +411,124 @@ def q_mlp_fit(spark, sf):
     """Training history (run, epoch, metric, value) of a short distributed fit."""
     _, _, res = _fit(spark, sf, MlpParams(max_epochs=5), num_partitions=4)
     return res.history
+
+
+# ------------------------------------------------------------------ requests, sinks, streaming, report
+import os  # noqa: E402
+
+from tabspark.operators.prepare import align_features, features_array, width_check  # noqa: E402
+from tabspark.operators.tuning import tune  # noqa: E402
+from tabspark.schema import DEFECT_SCHEMA, rename_aliases  # noqa: E402
+from tabspark.session import scratch_path  # noqa: E402
+from tabspark.sources import files as IO  # noqa: E402
+from tabspark.sources import requests as RQ  # noqa: E402
+from tabspark.streaming import scoring as STR  # noqa: E402
+
+REQUEST_ROWS = 4  # samples per request payload
+
+
+def _request_key():
+    return F.floor(F.col("id") / REQUEST_ROWS)
+
+
+def _round_features(df, extra=()):
+    return df.select(*extra, *[F.round(col(c).cast("double"), 4).alias(c) for c in FEATURES])
+
+
+@query("request_explode")
+def q_request_explode(spark, sf):
+    """Named-sample JSON payloads (aliases v_g/ev_g/iv_g) → one feature row per sample."""
+    payloads = RQ.features_to_samples(prepared_metrics(spark, sf), _request_key())
+    rows = RQ.samples_to_features(payloads, "payload", ["request_id"])
+    return _round_features(rows, [F.col("request_id"), F.col("sample_id").alias("id")])
+
+
+@query("request_inputs")
+def q_request_inputs(spark, sf):
+    """Positional JSON payloads → feature rows with a width check."""
+    payloads = RQ.features_to_inputs(prepared_metrics(spark, sf), _request_key())
+    rows = RQ.inputs_to_features(payloads, "payload", ["request_id"])
+    return _round_features(rows, [F.col("request_id"), F.col("pos").cast("int").alias("pos"), F.col("width_ok")])
+
+
+@query("align_features")
+def q_align_features(spark, sf):
+    """Alias names and two absent features (e, t) aligned to the model order."""
+    f = metrics_frame(spark, sf).withColumnsRenamed({"v(g)": "v_g", "iv(g)": "iv_g"}).drop("e", "t")
+    return _round_features(align_features(f), [F.col("id")])
+
+
+@query("width_check")
+def q_width_check(spark, sf):
+    good = metrics_frame(spark, sf).select(F.lit("metrics").alias("source"), features_array().alias("x"))
+    emb = read_table(spark, sf, "embeddings").select(F.lit("embeddings").alias("source"), F.col("embedding").alias("x"))
+    chk = width_check(good.unionByName(emb), "x")
+    return chk.groupBy("source", "width_ok").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@query("eda_report")
+def q_eda_report(spark, sf):
+    return P.eda_report(labelled_metrics(spark, sf), FEATURES, LABEL)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, sf):
+    """Metric table written as CSV and read back with the explicit schema."""
+    path = scratch_path(spark, "metrics-csv")
+    IO.write_metrics_csv(metrics_frame(spark, sf), path)
+    back = IO.read_metrics(spark, path, DEFECT_SCHEMA)
+    return _round_features(back, [F.col("id"), F.col(TARGET)])
+
+
+@query("split_sink")
+def q_split_sink(spark, sf):
+    """Splits written partitioned by split; reading 'test' prunes the other folders (S3)."""
+    path = scratch_path(spark, "splits")
+    IO.write_splits(split_metrics(spark, sf), path)
+    test = IO.read_split(spark, path, "test")
+    return test.groupBy(LABEL).agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                   F.sum("id").cast("bigint").alias("id_sum"))
+
+
+def _shards(spark, df, name, n_files=4):
+    path = scratch_path(spark, name)
+    df.repartition(n_files).write.mode("overwrite").parquet(path)
+    return path
+
+
+@query("stream_score")
+def q_stream_score(spark, sf):
+    """Feature files scored by a streaming query (availableNow); equals mlp_score."""
+    src = prepared_metrics(spark, sf)
+    path = _shards(spark, src, "stream-src")
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    qy = STR.stream_score(spark, path, src.schema, pipe, sink, ckpt, max_files_per_trigger=2)
+    qy.awaitTermination()
+    return _scored_view(spark.read.parquet(sink))
+
+
+@query("stream_requests")
+def q_stream_requests(spark, sf):
+    """JSON request files scored by a streaming query; equals mlp_score."""
+    payloads = RQ.features_to_samples(prepared_metrics(spark, sf), _request_key())
+    path = scratch_path(spark, "stream-req")
+    payloads.repartition(4).write.mode("overwrite").json(path)
+    sink, ckpt = scratch_path(spark, "stream-req-sink"), scratch_path(spark, "stream-req-ckpt")
+    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    qy = STR.stream_requests(spark, path, pipe, sink, ckpt, max_files_per_trigger=2)
+    qy.awaitTermination()
+    out = spark.read.parquet(sink).withColumn("id", F.col("sample_id"))
+    return _scored_view(out)
+
+
+@query("mlp_tune")
+def q_mlp_tune(spark, sf):
+    """Three short trials with median pruning; one row per trial."""
+    sp = split_metrics(spark, sf).persist()
+    scaled = fitted_scaler(sp).transform(sp)
+    grid = [{"learning_rate": 1e-3}, {"learning_rate": 1e-2, "hidden_sizes": [32, 16]},
+            {"learning_rate": 1e-4, "dropout": 0.1}]
+    table, _, _ = tune(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"),
+                       FEATURES, LABEL, MlpParams(max_epochs=3), grid, num_partitions=2)
+    return table.select("trial", "params", "state", "epochs_run")

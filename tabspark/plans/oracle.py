@@ -145,12 +145,13 @@ TYPE_MAP = """case column_type when 'BIGINT' then 'bigint' when 'INTEGER' then '
   when 'FLOAT' then 'float' when 'DATE' then 'date' else lower(column_type) end"""
 
 
-def _missing_branches() -> str:
+def _missing_branches(with_position: bool = False) -> str:
     cols = [("id", False)] + [(c, c not in INT_FEATURES) for c in FEATURES] + [("defects", False)]
     parts = []
     for c, is_float in cols:
         cond = f"{q(c)} is null" + (f" or isnan({q(c)})" if is_float else "")
-        parts.append(f"select '{c}' as column_name, cast(count(*) filter (where {cond}) as bigint) as missing, "
+        pos = f"{len(parts) + 1} as position, " if with_position else ""
+        parts.append(f"select {pos}'{c}' as column_name, cast(count(*) filter (where {cond}) as bigint) as missing, "
                      f"{r4(f'count(*) filter (where {cond}) * 100.0::double / nullif(count(*), 0)')} as missing_pct from F")
     return "\nunion all\n".join(parts)
 
@@ -414,10 +415,54 @@ from mlp_out where split = 'test'""", LF_CTE, prep, sp, st, *piped),
     }
 
 
+def io_sql() -> dict[str, str]:
+    feats = ", ".join(q(c) for c in FEATURES)
+    rnd = ", ".join(f"{r4(q(c))} as {q(c)}" for c in FEATURES)
+    prep = f"P as (select id, {feats}, label from LF)"
+    sp = split_cte("P", "label", "id")
+    from tabspark.operators.mlp import fixed_model
+    raw = mlp_forward_sql(fixed_model(FEATURES), "P", ["id"], [q(c) for c in FEATURES])
+    view = f"""select id, cast(case when p1 > p0 then 1 else 0 end as int) as prediction, p1 > p0 as is_defect,
+  {r4('p1')} as defect_probability, {r4('greatest(p0, p1)')} as confidence from mlp_out"""
+    aligned = ", ".join(f"{r4('0.0' if c in ('e', 't') else q(c))} as {q(c)}" for c in FEATURES)
+    out_pct = "outlier_count * 100.0::double / (select count(*) from F)"
+    return {
+        "request_explode": with_f(f"select cast(floor(id / 4) as bigint) as request_id, id, {rnd} from F"),
+        "request_inputs": with_f(f"""select cast(floor(id / 4) as bigint) as request_id,
+  cast(row_number() over (partition by floor(id / 4) order by id) - 1 as int) as pos, true as width_ok, {rnd} from F"""),
+        "align_features": with_f(f"select id, {aligned} from F"),
+        "width_check": with_f(f"""select 'metrics' as source, true as width_ok, cast(count(*) as bigint) as n from F
+union all select 'embeddings', len(embedding) = {len(FEATURES)}, cast(count(*) as bigint) from embeddings group by 2"""),
+        "eda_report": with_f("""select line, section, key, case
+    when section = 'outliers' then cast(round(pct, 1) as varchar) || '%'
+    when pct is null then cast(cnt as varchar)
+    else cast(cnt as varchar) || ' (' || cast(round(pct, 1) as varchar) || '%)' end as value
+from base""", LF_CTE, _f_long(), _bounds("long_f"),
+            "fo as (" + _outliers("long_f", "F").replace("\n", " ") + ")",
+            "mp as (" + _missing_branches(with_position=True).replace("\n", " ") + ")",
+            f"""base as (
+  select 1 as line, 'shape' as section, 'rows' as key, (select count(*) from F) as cnt, null::double as pct
+  union all select 2, 'shape', 'columns', {len(FEATURES) + 3}, null
+  union all select 3 + c.range, 'target', 'class_' || c.range, count(LF.label),
+         count(LF.label) * 100.0::double / (select count(*) from F) from range(2) c left join LF on LF.label = c.range group by c.range
+  union all select 10 + row_number() over (order by position) - 1, 'missing', column_name, missing,
+         missing * 100.0::double / (select count(*) from F) from mp where missing > 0
+  union all select 10, 'missing', 'none', 0, null where not exists (select 1 from mp where missing > 0)
+  union all (select 100 + row_number() over (order by outlier_pct desc, feature) - 1, 'outliers', feature, outlier_count,
+         {out_pct} from fo order by outlier_pct desc, feature limit 5))"""),
+        "csv_roundtrip": with_f(f"select id, defects, {rnd} from F"),
+        "split_sink": with_f("""select label, cast(count(*) as bigint) as n, cast(sum(id) as bigint) as id_sum
+from sp where split = 'test' group by label""", LF_CTE, prep, sp),
+        "stream_score": with_f(view, LF_CTE, prep, *raw),
+        "stream_requests": with_f(view, LF_CTE, prep, *raw),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
     out.update(split_sql())
     out.update(metrics_sql())
     out.update(mlp_sql())
+    out.update(io_sql())
     return out
