@@ -17,8 +17,13 @@ def zero_div(num: Column, den: Column) -> Column:
 
 
 def round4(c: Column, digits: int = 4) -> Column:
-    """Half-up rounding of a double (same rule in Spark and DuckDB)."""
-    return F.round(c.cast("double"), digits)
+    """Display rounding that two engines agree on.
+
+    A value such as 143/160 = 0.89375 is stored as 0.8937499999999999; one
+    engine rounds its decimal string half-up (0.8937), another scales by 10^4
+    first (0.8938). Snapping to 10 decimals first makes both see 0.89375.
+    """
+    return F.round(F.round(c.cast("double"), 10), digits)
 
 
 def nan_to_null(c: Column) -> Column:

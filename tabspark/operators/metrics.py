@@ -114,43 +114,31 @@ def prediction_summary(df: DataFrame, prediction: str = "prediction",
 
 
 # ---------------------------------------------------------------- A20
-def _log_softmax_at(logits: Column, idx: Column) -> Column:
-    m = F.array_max(logits)
-    lse = m + F.log(F.aggregate(logits, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - m)))
-    return F.element_at(logits, idx + 1).cast("double") - lse
-
-
-def focal_loss_column(logits: Column, label: Column, alpha: list[float] | None, gamma: float = 2.0) -> Column:
-    """Per-row focal loss alpha[y] * (1 - p_y)^gamma * (-log p_y)."""
-    logp = _log_softmax_at(logits, label)
-    ce = -logp
-    pt = F.exp(logp)
-    a = F.element_at(F.array(*[F.lit(float(x)) for x in alpha]), label + 1) if alpha else F.lit(1.0)
-    return a * F.pow(1 - pt, F.lit(gamma)) * ce
-
-
 def mean_loss(df: DataFrame, logits: str, label: str, kind: str = "focal", alpha: list[float] | None = None,
               gamma: float = 2.0, smoothing: float = 0.1) -> DataFrame:
     """Mean focal loss (plain mean) or weighted, label-smoothed cross entropy
-    (sum of weighted terms / sum of target weights) of a scored table (A20)."""
-    lg, y = F.col(logits), F.col(label)
-    if kind == "focal":
-        return df.agg(round4(F.avg(focal_loss_column(lg, y, alpha, gamma))).alias("loss"))
-    k = None
+    (sum of weighted terms / sum of target weights) of a scored table (A20).
+
+    log-sum-exp is computed once per row as a column; the per-class terms are
+    then element lambdas over the logits."""
+    from tabspark.functions.arrays import with_log_sum_exp
+    y = F.col(label)
+    d = with_log_sum_exp(df.select(F.col(logits).alias("__z"), y.alias("__y")), "__z", "__lse")
+    logp_y = F.element_at("__z", F.col("__y") + 1).cast("double") - F.col("__lse")
     w = F.array(*[F.lit(float(x)) for x in alpha]) if alpha else None
-    m = F.array_max(lg)
-    lse = m + F.log(F.aggregate(lg, F.lit(0.0), lambda acc, x: acc + F.exp(x.cast("double") - m)))
-    wy = F.element_at(w, y + 1) if w is not None else F.lit(1.0)
-    nll = -(F.element_at(lg, y + 1).cast("double") - lse)
-    size = F.size(lg)
+    wy = F.element_at(w, F.col("__y") + 1) if w is not None else F.lit(1.0)
+    if kind == "focal":
+        pt = F.exp(logp_y)
+        term = wy * F.pow(1 - pt, F.lit(gamma)) * (-logp_y)
+        return d.agg(round4(F.avg(term)).alias("loss"))
+    lse = F.col("__lse")
     if w is not None:
-        smooth = -F.aggregate(F.arrays_zip(lg.alias("z"), w.alias("w")), F.lit(0.0),
+        smooth = -F.aggregate(F.arrays_zip(F.col("__z").alias("z"), w.alias("w")), F.lit(0.0),
                               lambda acc, e: acc + e["w"] * (e["z"].cast("double") - lse))
     else:
-        smooth = -F.aggregate(lg, F.lit(0.0), lambda acc, x: acc + (x.cast("double") - lse))
-    del k
-    term = (1 - smoothing) * wy * nll + smoothing / size * smooth
-    return df.agg(round4(F.sum(term) / F.sum(wy)).alias("loss"))
+        smooth = -F.aggregate("__z", F.lit(0.0), lambda acc, x: acc + (x.cast("double") - lse))
+    term = (1 - smoothing) * wy * (-logp_y) + smoothing / F.size("__z") * smooth
+    return d.agg(round4(F.sum(term) / F.sum(wy)).alias("loss"))
 
 
 # ---------------------------------------------------------------- A21

@@ -8,7 +8,8 @@ value). Row order inside a class is ``md5('<seed>:<id>')`` then ``id``; the firs
 
 Plan at scale (no window over a whole class):
 1. class counts → quotas (driver arithmetic on k numbers);
-2. one grouped count over (class, 16-bit hash prefix) → at most k x 65536 rows;
+2. one grouped count over (class, 16-bit hash prefix) → at most k x 65536 rows
+   (``prefix_hex`` hex digits; fewer in tests to force crowded buckets);
    per class the driver finds the (at most two) prefix buckets that straddle a
    quota boundary and the rows before them;
 3. every row outside a straddling bucket gets its split from literal bucket
@@ -72,7 +73,8 @@ def _class_literal(v):
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
-                     val_size: float = 0.1, seed: int = 42, split_col: str = "split") -> DataFrame:
+                     val_size: float = 0.1, seed: int = 42, split_col: str = "split",
+                     prefix_hex: int = 4) -> DataFrame:
     """Adds ``split`` in {'train','val','test'}; rows with a null label are dropped.
 
     ``df`` is read several times (counts, histogram, output); pass a persisted or
@@ -80,7 +82,8 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
     """
     data = df.where(F.col(label).isNotNull())
     key = order_key(id_col, seed)
-    bucket = F.conv(F.substring(key, 1, 4), 16, 10).cast("int")
+    buckets = 16 ** prefix_hex
+    bucket = F.conv(F.substring(key, 1, prefix_hex), 16, 10).cast("int")
     hist_rows = (data.groupBy(F.col(label).alias("c"), bucket.alias("b"))
                  .agg(F.count(F.lit(1)).alias("n")).collect())  # <= classes x 65536 rows
     hist: dict = {}
@@ -104,7 +107,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
                     break
                 acc += n
             else:
-                found.append((BUCKETS, acc))  # cut at or past the end
+                found.append((buckets, acc))  # cut at or past the end
         plan[c] = (q, found)
 
     lab = F.col(label)

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabspark.functions.numeric import round4
 from tabspark.operators import profiling as P
 from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
                                    metrics_frame)
@@ -195,7 +196,7 @@ def q_fit_scaler(spark, sf):
     sp = split_metrics(spark, sf)
     model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
     p = model.params(spark)
-    return p.select("feature", F.round("mean", 4).alias("mean"), F.round("scale", 4).alias("scale"))
+    return p.select("feature", round4(F.col("mean")).alias("mean"), round4(F.col("scale")).alias("scale"))
 
 
 @query("scale_features")
@@ -203,11 +204,11 @@ def q_scale_features(spark, sf):
     sp = split_metrics(spark, sf).persist()
     model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
     out = model.transform(sp)
-    return out.select("id", "split", LABEL, *[F.round(col(c), 4).alias(c) for c in FEATURES])
+    return out.select("id", "split", LABEL, *[round4(col(c)).alias(c) for c in FEATURES])
 
 
 # ------------------------------------------------------------------ scalar functions, metrics
-from tabspark.functions.arrays import argmax, confidence, softmax  # noqa: E402
+from tabspark.functions.arrays import argmax, confidence, with_softmax  # noqa: E402
 from tabspark.operators import metrics as M  # noqa: E402
 from tabspark.operators import history as H  # noqa: E402
 
@@ -222,12 +223,11 @@ def scored_metrics(spark, sf):
 
 @query("softmax")
 def q_softmax(spark, sf):
-    e = read_table(spark, sf, "embeddings")
-    probs = softmax(F.col("embedding"))
+    e = with_softmax(read_table(spark, sf, "embeddings"), "embedding", "probs")
     return e.select("vec_id", argmax(F.col("embedding")).alias("argmax"),
-                    F.round(confidence(probs), 4).alias("confidence"),
-                    F.round(F.element_at(probs, 1), 4).alias("p_first"),
-                    F.round(F.aggregate(probs, F.lit(0.0), lambda a, x: a + x), 4).alias("prob_sum"))
+                    round4(confidence(F.col("probs"))).alias("confidence"),
+                    round4(F.element_at("probs", 1)).alias("p_first"),
+                    round4(F.aggregate("probs", F.lit(0.0), lambda a, x: a + x)).alias("prob_sum"))
 
 
 @query("argmax")
@@ -247,7 +247,7 @@ def q_class_counts(spark, sf):
 @query("class_weights")
 def q_class_weights(spark, sf):
     sp = split_metrics(spark, sf).where(F.col("split") == "train")
-    return M.class_weights(sp, LABEL, 2).select("label", "n", F.round("weight", 4).alias("weight"))
+    return M.class_weights(sp, LABEL, 2).select("label", "n", round4(F.col("weight")).alias("weight"))
 
 
 @query("confusion")
@@ -336,8 +336,8 @@ def fitted_scaler(sp):
 
 
 def _scored_view(df):
-    return df.select("id", "prediction", "is_defect", F.round("defect_probability", 4).alias("defect_probability"),
-                     F.round("confidence", 4).alias("confidence"))
+    return df.select("id", "prediction", "is_defect", round4(F.col("defect_probability")).alias("defect_probability"),
+                     round4(F.col("confidence")).alias("confidence"))
 
 
 @query("mlp_score")
@@ -351,8 +351,8 @@ def q_mlp_score(spark, sf):
 def q_mlp_logits(spark, sf):
     m = ML.fixed_model(FEATURES)
     out = m.transform(prepared_metrics(spark, sf), output="logits")
-    return out.select("id", F.round(F.element_at("logits", 1), 4).alias("logit_0"),
-                      F.round(F.element_at("logits", 2), 4).alias("logit_1"))
+    return out.select("id", round4(F.element_at("logits", 1)).alias("logit_0"),
+                      round4(F.element_at("logits", 2)).alias("logit_1"))
 
 
 @query("pipeline_score")
@@ -432,7 +432,7 @@ def _request_key():
 
 
 def _round_features(df, extra=()):
-    return df.select(*extra, *[F.round(col(c).cast("double"), 4).alias(c) for c in FEATURES])
+    return df.select(*extra, *[round4(col(c)).alias(c) for c in FEATURES])
 
 
 @query("request_explode")
