@@ -1,53 +1,61 @@
-"""Training-history operators (W1-W5) as window functions.
+"""Training-history operators.
 
-A history table has one row per (run, epoch, value). Windows are partitioned
-by run: a run's history is bounded by its epoch count.
+A history has one row per (run, epoch, value). Running quantities over a
+run's epochs use the ordered scan of ``operators.scan`` (range partitions on
+(run, epoch) with carry-ins), so a run with a huge history is spread over many
+tasks instead of one window partition; per-run results are plain grouped
+aggregates (partial aggregation).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabspark.operators.scan import Spec, ordered_scan
 
-def events_history(events: DataFrame) -> DataFrame:
-    """events as a history: user_id = run, epoch = order of (ts, event_id) within the run."""
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return events.select(F.col("user_id").alias("run_id"), F.row_number().over(w).alias("epoch"),
-                         F.col("value").alias("value"))
+
+def events_history(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """events as a history: user_id = run, epoch = rank of (ts, event_id) in the run."""
+    ev = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value")
+    out = ordered_scan(ev, ["run_id"], ["ts", "event_id"], [Spec("epoch", "row_number")], num_partitions)
+    return out.select("run_id", "epoch", "value")
+
+
+def _signed(history: DataFrame, mode: str) -> DataFrame:
+    return history.withColumn("__v", F.col("value") if mode == "max" else -F.col("value"))
 
 
 def best_so_far(history: DataFrame, mode: str = "max") -> DataFrame:
     """Running best per run."""
-    w = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
-    agg = F.max("value") if mode == "max" else F.min("value")
-    return history.withColumn("best_so_far", agg.over(w))
+    h = ordered_scan(_signed(history, mode), ["run_id"], ["epoch"], [Spec("__b", "cummax", "__v")])
+    best = F.col("__b") if mode == "max" else -F.col("__b")
+    return h.select(*history.columns, best.alias("best_so_far"))
 
 
-def _improvements(history: DataFrame, mode: str = "max") -> DataFrame:
-    w_prev = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
-    prev_best = (F.max("value") if mode == "max" else F.min("value")).over(w_prev)
-    better = (F.col("value") > prev_best) if mode == "max" else (F.col("value") < prev_best)
-    improved = prev_best.isNull() | better
-    h = history.withColumn("improved", improved)
-    w_last = Window.partitionBy("run_id").orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
-    return h.withColumn("last_improved", F.max(F.when(F.col("improved"), F.col("epoch"))).over(w_last))
+def last_improvement(history: DataFrame, mode: str = "max") -> DataFrame:
+    """Adds ``last_improved``: the latest epoch <= this one with a strict
+    improvement, i.e. the first epoch reaching the running best."""
+    h = ordered_scan(_signed(history, mode), ["run_id"], ["epoch"],
+                     [Spec("last_improved", "argmax_first", "__v", "epoch")])
+    return h.drop("__v")
 
 
 def early_stop(history: DataFrame, patience: int = 10, mode: str = "max") -> DataFrame:
     """Per run: the epoch at which early stopping fires (first epoch with
     ``patience`` epochs since the last strict improvement), or null (W2)."""
-    h = _improvements(history, mode)
+    h = last_improvement(history, mode)
     fired = F.when(F.col("epoch") - F.col("last_improved") >= patience, F.col("epoch"))
     return h.groupBy("run_id").agg(F.min(fired).alias("stop_epoch"), F.max("epoch").alias("n_epochs"))
 
 
 def best_epoch(history: DataFrame, mode: str = "max") -> DataFrame:
-    """Top-1 checkpoint per run: best value, ties → first epoch."""
-    order = F.col("value").desc() if mode == "max" else F.col("value").asc()
-    w = Window.partitionBy("run_id").orderBy(order, F.col("epoch"))
-    return (history.withColumn("rk", F.row_number().over(w)).where(F.col("rk") == 1)
-            .select("run_id", F.col("epoch").alias("best_epoch"), F.col("value").alias("best_value")))
+    """Top-1 checkpoint per run: best value, ties → first epoch.
+    A grouped ``min`` over (-value, epoch): partial aggregation, no window."""
+    key = -F.col("value") if mode == "max" else F.col("value")
+    agg = history.groupBy("run_id").agg(F.min(F.struct(key.alias("k"), F.col("epoch").alias("e"))).alias("m"))
+    val = -F.col("m.k") if mode == "max" else F.col("m.k")
+    return agg.select("run_id", F.col("m.e").alias("best_epoch"), val.alias("best_value"))
 
 
 def best_epoch_until(history: DataFrame, stops: DataFrame, mode: str = "max") -> DataFrame:
@@ -60,11 +68,11 @@ def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0) -> Data
     """Median pruning (W5): a trial is pruned at the first step whose best-so-far
     is worse than the median of all trials' values reported at that step.
 
-    The per-step median groups hold one value per trial (bounded by the trial
-    count), so the built-in exact ``percentile`` is used.
-    """
+    Per-step medians are exact grouped quantiles (small steps via the built-in
+    ``percentile``, steps with many trials via interval narrowing)."""
+    from tabspark.operators.quantiles import grouped_quantiles
     b = best_so_far(history, mode)
-    med = history.groupBy("epoch").agg(F.percentile("value", 0.5).alias("step_median"))
+    med = grouped_quantiles(history, ["epoch"], "value", [0.5]).select("epoch", F.col("q0").alias("step_median"))
     j = b.join(med, "epoch")
     worse = (F.col("best_so_far") < F.col("step_median")) if mode == "max" else (F.col("best_so_far") > F.col("step_median"))
     fired = F.when(worse & (F.col("epoch") > warmup), F.col("epoch"))

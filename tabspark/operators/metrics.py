@@ -7,8 +7,6 @@ and never ranks the whole table in one task (see ``roc_auc``).
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -67,37 +65,24 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 
 
 # ---------------------------------------------------------------- A18
-def roc_auc(df: DataFrame, label: str = "label", score: str = "score", buckets: int = 1024) -> DataFrame:
+def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
+            num_partitions: int | None = None) -> DataFrame:
     """Exact ROC-AUC with ties (Mann-Whitney): sum over distinct scores of
     pos_s * (neg_below_s + neg_s / 2) / (P * N). One class → 0.0.
 
-    Plan: group by score (map-side combined; a hot score is one row), cut the
-    distinct scores into ``buckets`` value ranges (approximate quantiles, one
-    pass over the grouped table), prefix-sum the per-bucket negatives (a window
-    over <= buckets rows), and rank only inside each bucket.
+    Plan: group by score (map-side combined; a hot score is one row), then a
+    distributed ordered prefix sum of the negatives over the distinct scores
+    (range partitions + carry-ins, ``operators.scan``), then one aggregate.
     """
+    from tabspark.operators.scan import Spec, ordered_scan
     lab, s = F.col(label), F.col(score).cast("double")
     g = (df.where(lab.isNotNull() & s.isNotNull())
          .groupBy(s.alias("s"))
-         .agg(F.sum(F.when(lab == 1, 1).otherwise(0)).alias("pos"),
-              F.sum(F.when(lab == 1, 0).otherwise(1)).alias("neg")))
-    cuts = g.agg(F.percentile_approx("s", [i / buckets for i in range(1, buckets)], 10000).alias("c")).first()["c"]
-    splits = sorted(set(x for x in (cuts or []) if x is not None and not math.isnan(x)))
-    if splits:
-        from pyspark.ml.feature import Bucketizer
-        # binary search on the JVM: bucket i holds cut[i-1] <= s < cut[i]
-        gb = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol="s", outputCol="bd",
-                        handleInvalid="keep").transform(g).withColumn("b", F.col("bd").cast("int")).drop("bd")
-    else:
-        gb = g.withColumn("b", F.lit(0))
-    per_b = gb.groupBy("b").agg(F.sum("neg").alias("bneg"))
-    wb = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)  # over <= buckets rows
-    offs = per_b.select("b", F.coalesce(F.sum("bneg").over(wb), F.lit(0)).alias("off"))
-    wi = Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    within = gb.withColumn("below", F.coalesce(F.sum("neg").over(wi), F.lit(0)))
-    j = within.join(F.broadcast(offs), "b")
-    terms = j.agg(F.sum(F.col("pos") * (F.col("off") + F.col("below") + F.col("neg") / 2.0)).alias("u"),
-                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+         .agg(F.sum(F.when(lab == 1, 1).otherwise(0)).cast("double").alias("pos"),
+              F.sum(F.when(lab == 1, 0).otherwise(1)).cast("double").alias("neg")))
+    scanned = ordered_scan(g, [], ["s"], [Spec("below", "cumsum_excl", "neg")], num_partitions)
+    terms = scanned.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("u"),
+                        F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.0))
     return terms.select(round4(auc).alias("roc_auc"),
                         F.coalesce(F.col("P"), F.lit(0)).cast("bigint").alias("n_pos"),

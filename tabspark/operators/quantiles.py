@@ -172,3 +172,37 @@ def unpivot(df: DataFrame, columns: list[str], id_cols: list[str] | None = None,
     ids = id_cols or []
     wide = df.select(*[col(c) for c in ids], *[col(c).cast("double").alias(c) for c in columns])
     return wide.unpivot([col(c) for c in ids] if ids else [], [col(c) for c in columns], name, value)
+
+
+def grouped_quantiles(df: DataFrame, key_cols: list[str], value_col: str, probs: list[float],
+                      small_group_rows: int = 100_000) -> DataFrame:
+    """Exact linear quantiles per group for MANY groups, as a DataFrame with
+    columns key_cols + q0..q{k-1}.
+
+    Groups up to ``small_group_rows`` values use the built-in exact
+    ``percentile`` (its per-group state is bounded by that size); the few
+    larger groups (at most n / small_group_rows of them) use interval
+    narrowing. Both results are unioned.
+    """
+    spark = df.sparkSession
+    v = F.col(value_col).cast("double")
+    clean = df.select(*[F.col(k) for k in key_cols], v.alias("__v")).where(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    sizes = clean.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("__n"))
+    big = sizes.where(F.col("__n") > small_group_rows).select(*key_cols).collect()  # <= n / small_group_rows keys
+    qcols = [f"q{i}" for i in range(len(probs))]
+    small = clean
+    if big:
+        big_df = spark.createDataFrame([tuple(r) for r in big], clean.select(*key_cols).schema)
+        small = clean.join(F.broadcast(big_df), key_cols, "left_anti")
+    pq = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
+    out = small.groupBy(*key_cols).agg(pq.alias("__q")).select(
+        *key_cols, *[F.col("__q")[i].alias(c) for i, c in enumerate(qcols)])
+    if big:
+        big_keys = [tuple(r) for r in big]
+        inside = clean.join(F.broadcast(big_df), key_cols, "left_semi")
+        res = exact_quantiles(inside, key_cols, "__v", probs)
+        rows = [(*k, *res[k][1]) for k in big_keys if k in res]
+        schema = T.StructType(list(clean.select(*key_cols).schema.fields) +
+                              [T.StructField(c, T.DoubleType()) for c in qcols])
+        out = out.unionByName(spark.createDataFrame(rows, schema))
+    return out

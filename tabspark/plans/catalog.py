@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from tabspark.operators import profiling as P
 from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
                                    metrics_frame)
 from tabspark.schema import LABEL, TARGET
+from tabspark.session import checkpoint_dir, ship_package
 from tabspark.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +21,13 @@ QUERIES: dict[str, Query] = {}
 
 def query(name: str):
     def deco(fn):
-        QUERIES[name] = fn
-        return fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            checkpoint_dir(spark)
+            return fn(spark, sf_dir)
+        QUERIES[name] = run
+        return run
     return deco
 
 

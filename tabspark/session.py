@@ -18,6 +18,8 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Broadcast only what the code proves small; never by accident.
     "spark.sql.autoBroadcastJoinThreshold": str(16 * 1024 * 1024),
+    # checkpoint files are removed once their DataFrame is garbage collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -35,6 +37,7 @@ def get_session(master: str | None = None, app: str = "tabspark",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -63,3 +66,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tabspark`` importable in the executors' Python workers
+    (``addPyFile`` of a zip of the package, once per application)."""
+    import zipfile
+
+    import tabspark
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tabspark.__file__)))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="tabspark-pkg-"), "tabspark.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "tabspark")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
