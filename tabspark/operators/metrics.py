@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.numeric import round4, zero_div
 from tabspark.operators.quantiles import exact_quantiles
+from tabspark.session import local_frame
 
 
 # ---------------------------------------------------------------- A14, A15
@@ -137,7 +138,7 @@ def latency_summary(df: DataFrame, latency: str, batch_size: int = 1) -> DataFra
     qs = exact_quantiles(base, ["k"], "x", [0.5, 0.95, 0.99]).get((1,), (0, [None] * 3))[1]
     thr = (r["n"] * batch_size / r["total"]) if r["total"] else None
     row = [(int(r["n"]), int(r["n"]) * batch_size, batch_size, r["mean"], qs[0], qs[1], qs[2], r["mn"], r["mx"], thr)]
-    out = spark.createDataFrame(row, "total_requests bigint, total_samples bigint, batch_size int, avg_latency double, "
+    out = local_frame(spark, row, "total_requests bigint, total_samples bigint, batch_size int, avg_latency double, "
                                      "p50_latency double, p95_latency double, p99_latency double, "
                                      "min_latency double, max_latency double, throughput double")
     return out.select("total_requests", "total_samples", "batch_size",

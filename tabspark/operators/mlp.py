@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from tabspark.operators import mlp_math as MM
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.schema import col
+from tabspark.session import local_frame
 
 SCORE_TYPE = T.StructType([
     T.StructField("logits", T.ArrayType(T.DoubleType())),
@@ -268,7 +269,7 @@ class MlpClassifier:
                 if wait >= p.patience:
                     stopped = epoch
                     break
-        history = spark.createDataFrame(hist_rows, "run_id string, epoch int, metric string, value double")
+        history = local_frame(spark, hist_rows, "run_id string, epoch int, metric string, value double")
         return FitResult(MlpModel(p, best_w if best_w is not None else w, feats), MlpModel(p, w, feats),
                          history, best_ep, stopped, [float(a) for a in alpha])
 
@@ -304,6 +305,6 @@ def evaluate(model_or_pipeline, df: DataFrame, label: str = "label") -> DataFram
     r1, r2 = bm.first(), auc.first()
     scored.unpersist()
     spark = df.sparkSession
-    out = spark.createDataFrame([(r1["accuracy"], r1["precision"], r1["recall"], r1["f1"], r2["roc_auc"])],
-                                "accuracy double, precision double, recall double, f1 double, roc_auc double")
+    out = local_frame(spark, [(r1["accuracy"], r1["precision"], r1["recall"], r1["f1"], r2["roc_auc"])],
+                      "accuracy double, precision double, recall double, f1 double, roc_auc double")
     return out

@@ -18,11 +18,12 @@ from pyspark.sql import types as T
 from tabspark.functions.numeric import round4
 from tabspark.operators.quantiles import exact_quantiles, unpivot
 from tabspark.schema import col
+from tabspark.session import local_frame
 
 
 def _small_frame(spark, rows, schema: str) -> DataFrame:
     """Driver-side results whose size is bounded by the column count."""
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 # ---------------------------------------------------------------- A1, A2, S5
@@ -90,7 +91,8 @@ def describe_numeric(df: DataFrame, features: list[str], exact: bool = True) ->
     """
     spark = df.sparkSession
     m = moments(df, features)
-    qs = _quantiles(df, features, [0.25, 0.5, 0.75], exact=exact)
+    known = {(f,): (int(m[f]["count"] or 0), m[f]["min"], m[f]["max"]) for f in features}
+    qs = _quantiles(df, features, [0.25, 0.5, 0.75], exact=exact, known=known)
     rows = []
     for f in features:
         s = m[f]
@@ -103,11 +105,11 @@ def describe_numeric(df: DataFrame, features: list[str], exact: bool = True) ->
 
 
 def _quantiles(df: DataFrame, features: list[str], probs: list[float], by: str | None = None,
-               exact: bool = True) -> dict:
+               exact: bool = True, known: dict | None = None) -> dict:
     long_df = unpivot(df, features, [by] if by else None)
     keys = ["feature"] + ([by] if by else [])
     if exact:
-        return exact_quantiles(long_df, keys, "value", probs)
+        return exact_quantiles(long_df, keys, "value", probs, known_stats=known)
     agg = (long_df.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probs, 10000).alias("q")).collect())
     return {tuple(r[k] for k in keys): (r["n"], list(r["q"])) for r in agg}
@@ -361,39 +363,31 @@ def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: f
     """Box-plot numbers per feature (and per ``by`` value): q1, median, q3,
     whiskers at the last datum inside 1.5 IQR, flier count (A12/A13).
 
-    Exact quantiles, then one conditional aggregate over the long view with
-    the per-group bounds inlined as literals.
+    Exact quantiles, then ONE conditional aggregate over the long view joined
+    to the per-group bounds (a broadcast of features x classes rows).
     """
     spark = df.sparkSession
     qs = _quantiles(df, features, [0.25, 0.5, 0.75], by=by)
-    long_df = unpivot(df, features, [by] if by else None)
-    key_expr = F.col("feature") if by is None else F.concat_ws("\u0001", F.col("feature"), F.col(by).cast("string"))
-    lo_map, hi_map = {}, {}
-    for key, (n, (q1, _, q3)) in qs.items():
+    keys = ["feature"] + ([by] if by else [])
+    rows = []
+    for key, (n, (q1, med, q3)) in qs.items():
         if q1 is None:
             continue
-        kstr = key[0] if by is None else f"{key[0]}\u0001{'' if key[1] is None else key[1]}"
         iqr = q3 - q1
-        lo_map[kstr], hi_map[kstr] = q1 - whis * iqr, q3 + whis * iqr
-    lo = F.element_at(F.create_map(*[x for kv in lo_map.items() for x in map(F.lit, kv)]), key_expr) \
-        if lo_map else F.lit(None)
-    hi = F.element_at(F.create_map(*[x for kv in hi_map.items() for x in map(F.lit, kv)]), key_expr) \
-        if hi_map else F.lit(None)
+        rows.append((*key, q1, med, q3, q1 - whis * iqr, q3 + whis * iqr))
+    schema = ("feature string" + (f", {by} {df.schema[by].dataType.simpleString()}" if by else "")
+              + ", q1 double, median double, q3 double, lo double, hi double")
+    bounds = _small_frame(spark, rows, schema)
+    long_df = unpivot(df, features, [by] if by else None)
     v = F.col("value")
-    inside = (v >= lo) & (v <= hi)
-    keys = ["feature"] + ([by] if by else [])
-    agg = (long_df.where(v.isNotNull() & ~F.isnan(v))
-           .groupBy(*keys)
-           .agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
-                F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_fliers")))
-    qrows = [(*key, q[0], q[1], q[2]) for key, (n, q) in qs.items()]
-    schema = "feature string" + (f", {by} {df.schema[by].dataType.simpleString()}" if by else "") + \
-        ", q1 double, median double, q3 double"
-    qdf = _small_frame(spark, qrows, schema)
-    # qdf has one row per (feature, class): bounded, broadcast is safe
-    joined = agg.join(F.broadcast(qdf), keys)
-    return joined.select(*keys, *[round4(F.col(c)).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
-                         "n_fliers")
+    inside = (v >= F.col("lo")) & (v <= F.col("hi"))
+    joined = long_df.where(v.isNotNull() & ~F.isnan(v)).join(F.broadcast(bounds), keys)
+    agg = joined.groupBy(*keys).agg(
+        F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
+        F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
+        F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_fliers"))
+    return agg.select(*keys, *[round4(F.col(c)).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
+                      "n_fliers")
 
 
 # ---------------------------------------------------------------- A22
@@ -422,7 +416,7 @@ def eda_report(df: DataFrame, features: list[str], label: str, k: float = 1.5, t
     for r in outl:
         rows.append((line, "outliers", r["feature"], int(r["outlier_count"]), r["outlier_count"] * 100.0 / n))
         line += 1
-    base = spark.createDataFrame(rows, "line int, section string, key string, cnt bigint, pct double")
+    base = local_frame(spark, rows, "line int, section string, key string, cnt bigint, pct double")
     pct_txt = F.concat(round4(F.col("pct"), 1).cast("string"), F.lit("%"))
     value = (F.when(F.col("section") == "outliers", pct_txt)
              .when(F.col("pct").isNull(), F.col("cnt").cast("string"))

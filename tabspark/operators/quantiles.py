@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabspark.session import local_frame
+
 VALUE = "__v"
 TARGET = "__tid"
 
@@ -48,7 +50,7 @@ def _interval_frame(spark: SparkSession, key_cols, key_types, targets) -> DataFr
     fields += [T.StructField(f"__k{i}", t, True) for i, t in enumerate(key_types)]
     fields += [T.StructField("__lo", T.DoubleType(), False), T.StructField("__hi", T.DoubleType(), False)]
     rows = [(t.tid, *t.key, float(t.lo), float(t.hi)) for t in targets]
-    return spark.createDataFrame(rows, T.StructType(fields))
+    return local_frame(spark, rows, T.StructType(fields))
 
 
 def _join_intervals(long_df: DataFrame, key_cols, intervals: DataFrame) -> DataFrame:
@@ -60,35 +62,49 @@ def _join_intervals(long_df: DataFrame, key_cols, intervals: DataFrame) -> DataF
 
 def order_statistics(long_df: DataFrame, key_cols: list[str], value_col: str, ranks_of,
                      *, buckets: int = 2048, final_rows: int = 100_000,
-                     max_rounds: int = 12, max_targets: int = 200_000):
+                     max_rounds: int = 12, max_targets: int = 200_000, known_stats: dict | None = None):
     """Exact order statistics per group.
 
     ``ranks_of(n) -> list[int]`` gives the 0-based ranks wanted for a group of
-    n non-null values. Returns ``{key_tuple: (n, {rank: value})}``.
+    n non-null values. ``known_stats`` ({key: (n, min, max)}) skips the first
+    pass when the caller already aggregated them. Returns
+    ``{key_tuple: (n, {rank: value})}``.
     """
     spark = long_df.sparkSession
     df = long_df.select(*[F.col(k) for k in key_cols], F.col(value_col).cast("double").alias(VALUE))
     df = df.where(F.col(VALUE).isNotNull() & ~F.isnan(F.col(VALUE)))
-    stats = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"), F.min(VALUE).alias("mn"),
-                                      F.max(VALUE).alias("mx"))
     key_types = [df.schema[k].dataType for k in key_cols]
-    stats_rows = stats.limit(max_targets + 1).collect()
-    if len(stats_rows) > max_targets:
-        raise ValueError("too many quantile groups for interval narrowing; use approx")
+    if known_stats is None:
+        stats = df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("n"), F.min(VALUE).alias("mn"),
+                                          F.max(VALUE).alias("mx"))
+        stats_rows = stats.limit(max_targets + 1).collect()
+        if len(stats_rows) > max_targets:
+            raise ValueError("too many quantile groups for interval narrowing; use grouped_quantiles")
+        known_stats = {tuple(r[k] for k in key_cols): (int(r["n"]), r["mn"], r["mx"]) for r in stats_rows}
     result: dict[tuple, tuple[int, dict[int, float]]] = {}
     targets: list[_Target] = []
-    for r in stats_rows:
-        key = tuple(r[k] for k in key_cols)
-        n = int(r["n"])
+    for key, (n, mn, mx) in known_stats.items():
         result[key] = (n, {})
+        if not n:
+            continue
         for rank in sorted(set(ranks_of(n))):
-            targets.append(_Target(len(targets), key, rank, r["mn"], r["mx"], 0, n))
+            targets.append(_Target(len(targets), key, rank, mn, mx, 0, n))
     if len(targets) > max_targets:
         raise ValueError("too many quantile targets")
 
     def settled(t: _Target) -> bool:
         return t.value is not None or t.lo == t.hi
 
+    def intervals(ts):
+        """Targets sharing (group, lo, hi) share one interval (one histogram)."""
+        uniq: dict = {}
+        for t in ts:
+            uniq.setdefault((t.key, t.lo, t.hi), []).append(t)
+        reps = []
+        for i, ((key, lo, hi), members) in enumerate(uniq.items()):
+            reps.append((_Target(i, key, -1, lo, hi, 0, 0), members))
+        return reps
+
     for _ in range(max_rounds):
         for t in targets:
             if t.value is None and t.lo == t.hi:
@@ -96,40 +112,43 @@ def order_statistics(long_df: DataFrame, key_cols: list[str], value_col: str, ra
         open_ = [t for t in targets if not settled(t) and t.cnt > final_rows]
         if not open_:
             break
-        iv = _interval_frame(spark, key_cols, key_types, open_)
+        reps = intervals(open_)
+        iv = _interval_frame(spark, key_cols, key_types, [r for r, _ in reps])
         j = _join_intervals(df, key_cols, iv)
         width = F.col("__hi") - F.col("__lo")
         bucket = F.least(F.floor((F.col(VALUE) - F.col("__lo")) / width * buckets).cast("int"),
                          F.lit(buckets - 1))
         hist = (j.groupBy(TARGET, bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min(VALUE).alias("bmin"), F.max(VALUE).alias("bmax"))
-                .collect())  # <= len(open_) * buckets rows
+                .collect())  # <= distinct intervals x buckets rows
         per: dict[int, list] = {}
         for h in hist:
             per.setdefault(h[TARGET], []).append((h["b"], h["c"], h["bmin"], h["bmax"]))
-        by_id = {t.tid: t for t in open_}
-        for tid, bs in per.items():
-            t = by_id[tid]
-            want = t.rank - t.below
-            acc = 0
-            for b, c, bmin, bmax in sorted(bs):
-                if acc + c > want:
-                    t.below += acc
-                    t.lo, t.hi, t.cnt = bmin, bmax, c
-                    break
-                acc += c
+        for rep, members in reps:
+            bs = sorted(per.get(rep.tid, []))
+            for t in members:
+                want = t.rank - t.below
+                acc = 0
+                for b, c, bmin, bmax in bs:
+                    if acc + c > want:
+                        t.below += acc
+                        t.lo, t.hi, t.cnt = bmin, bmax, c
+                        break
+                    acc += c
     rest = [t for t in targets if not settled(t)]
     if rest:
-        iv = _interval_frame(spark, key_cols, key_types, rest)
+        reps = intervals(rest)
+        iv = _interval_frame(spark, key_cols, key_types, [r for r, _ in reps])
         j = _join_intervals(df, key_cols, iv)
         w = Window.partitionBy(TARGET).orderBy(VALUE)
         ranked = j.select(TARGET, VALUE, F.row_number().over(w).alias("rn"))
-        want = spark.createDataFrame([(t.tid, t.rank - t.below + 1) for t in rest],
-                                     f"{TARGET} int, rn int")
-        picked = ranked.join(F.broadcast(want), [TARGET, "rn"]).select(TARGET, VALUE).collect()
-        got = {p[TARGET]: p[VALUE] for p in picked}
-        for t in rest:
-            t.value = got[t.tid]
+        wanted = [(rep.tid, t.rank - t.below + 1) for rep, members in reps for t in members]
+        want = local_frame(spark, sorted(set(wanted)), f"{TARGET} int, rn int")
+        picked = ranked.join(F.broadcast(want), [TARGET, "rn"]).select(TARGET, "rn", VALUE).collect()
+        got = {(p[TARGET], p["rn"]): p[VALUE] for p in picked}
+        for rep, members in reps:
+            for t in members:
+                t.value = got[(rep.tid, t.rank - t.below + 1)]
     for t in targets:
         result[t.key][1][t.rank] = t.value if t.value is not None else t.lo
     return result
@@ -192,7 +211,7 @@ def grouped_quantiles(df: DataFrame, key_cols: list[str], value_col: str, probs:
     qcols = [f"q{i}" for i in range(len(probs))]
     small = clean
     if big:
-        big_df = spark.createDataFrame([tuple(r) for r in big], clean.select(*key_cols).schema)
+        big_df = local_frame(spark, [tuple(r) for r in big], clean.select(*key_cols).schema)
         small = clean.join(F.broadcast(big_df), key_cols, "left_anti")
     pq = F.percentile("__v", F.array(*[F.lit(float(p)) for p in probs]))
     out = small.groupBy(*key_cols).agg(pq.alias("__q")).select(
@@ -204,5 +223,5 @@ def grouped_quantiles(df: DataFrame, key_cols: list[str], value_col: str, probs:
         rows = [(*k, *res[k][1]) for k in big_keys if k in res]
         schema = T.StructType(list(clean.select(*key_cols).schema.fields) +
                               [T.StructField(c, T.DoubleType()) for c in qcols])
-        out = out.unionByName(spark.createDataFrame(rows, schema))
+        out = out.unionByName(local_frame(spark, rows, schema))
     return out

@@ -30,8 +30,9 @@ class ScalerModel:
         return df.select(*rest, *[e.alias(f) for f, e in exprs.items()])
 
     def params(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(f, self.mean[f], self.scale[f]) for f in self.features],
-                                     "feature string, mean double, scale double")
+        from tabspark.session import local_frame
+        return local_frame(spark, [(f, self.mean[f], self.scale[f]) for f in self.features],
+                           "feature string, mean double, scale double")
 
     def write(self, spark: SparkSession, path: str) -> None:
         """Parameter table as parquet (S10) — no pickles."""

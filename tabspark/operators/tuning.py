@@ -46,7 +46,8 @@ def tune(train: DataFrame, val: DataFrame, features: list[str], label: str, base
             finished.append(vals)
         trials.append((t, json.dumps(overrides, sort_keys=True), "PRUNED" if state["pruned"] else "COMPLETE",
                        float(max(vals.values())) if vals else None, len(vals), res.best_epoch))
-    table = spark.createDataFrame(trials, "trial int, params string, state string, best_val_f1 double, "
+    from tabspark.session import local_frame
+    table = local_frame(spark, trials, "trial int, params string, state string, best_val_f1 double, "
                                           "epochs_run int, best_epoch int")
     history = histories[0]
     for h in histories[1:]:

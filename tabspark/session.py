@@ -91,3 +91,15 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
+
+
+def local_frame(spark: SparkSession, rows, schema):
+    """A small driver-built table (bounded: statistics, intervals, results) as
+    a ``LocalTableScan`` (Arrow from pandas), not a Python RDD scan."""
+    import pandas as pd
+    from pyspark.sql import types as T
+    if isinstance(schema, str):
+        schema = T._parse_datatype_string(schema)
+    names = [f.name for f in schema.fields]
+    pdf = pd.DataFrame([tuple(r) for r in rows], columns=names, dtype=object)
+    return spark.createDataFrame(pdf, schema=schema)
