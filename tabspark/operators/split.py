@@ -8,13 +8,14 @@ value). Row order inside a class is ``md5('<seed>:<id>')`` then ``id``; the firs
 
 Plan at scale (no window over a whole class):
 1. class counts → quotas (driver arithmetic on k numbers);
-2. one grouped count over (class, 16-bit hash prefix) → at most k x 65536 rows
-   (``prefix_hex`` hex digits; fewer in tests to force crowded buckets);
-   per class the driver finds the (at most two) prefix buckets that straddle a
-   quota boundary and the rows before them;
-3. every row outside a straddling bucket gets its split from literal bucket
-   thresholds (map-only); only rows of straddling buckets (~2/65536 of a
-   class) are ranked with ``row_number`` inside their bucket.
+2. a grouped count over (class, hash prefix) with a prefix length chosen from
+   the class sizes (<= 4 hex digits, so <= k x 65536 rows); per class the
+   driver finds the (at most two) prefixes that straddle a quota boundary;
+   a prefix still holding more than ``max_rank_rows`` rows is refined with 4
+   more hex digits, counting only the rows inside it;
+3. every row outside a straddling prefix gets its split from literal prefix
+   comparisons (map-only); only rows of straddling prefixes are ranked with
+   ``row_number`` inside their prefix.
 """
 
 from __future__ import annotations
@@ -25,9 +26,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 65536
-
-
 def approximate_mode(counts: dict, n_draws: int) -> dict:
     """Largest-remainder allocation of ``n_draws`` proportional to ``counts``."""
     total = sum(counts.values())
@@ -68,82 +66,122 @@ def order_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def _class_literal(v):
-    return F.lit(v)
+def _prefix_len(n_max: int, target: int) -> int:
+    """Hex digits so that a bucket holds about ``target`` rows (1..4)."""
+    digits = 1
+    while digits < 4 and n_max / 16 ** digits > target:
+        digits += 1
+    return digits
+
+
+def _find_cuts(data: DataFrame, label: str, key: Column, cuts: dict, start_len: int,
+               max_rank_rows: int, step: int = 4, max_len: int = 32):
+    """For every (class, cut rank) find the shortest hash prefix whose rows
+    contain the cut, and the number of class rows before that prefix.
+
+    Level 1 counts rows per (class, prefix of ``start_len`` hex digits) over
+    the whole input; deeper levels only count rows inside the still-crowded
+    prefixes. Result: {(class, cut): (prefix, rows_before, rows_in_prefix)}.
+    """
+    found = {}
+    pending = {(c, cut): ("", 0) for c, cs in cuts.items() for cut in cs}
+    length = start_len
+    while pending:
+        parents = {(c, par) for (c, _), (par, _) in pending.items()}
+        cond = None
+        for c, par in parents:
+            e = (F.col(label) == F.lit(c))
+            if par:
+                e = e & (F.substring(key, 1, len(par)) == F.lit(par))
+            cond = e if cond is None else (cond | e)
+        rows = (data.where(cond).groupBy(F.col(label).alias("c"), F.substring(key, 1, length).alias("p"))
+                .agg(F.count(F.lit(1)).alias("n")).collect())  # <= parents x 16^step rows
+        hist: dict = {}
+        for r in rows:
+            hist.setdefault(r["c"], []).append((r["p"], r["n"]))
+        nxt = {}
+        for (c, cut), (par, before) in pending.items():
+            acc = before
+            chosen = None
+            for p, n in sorted(x for x in hist.get(c, []) if x[0].startswith(par)):
+                if acc + n > cut:
+                    chosen = (p, acc, n)
+                    break
+                acc += n
+            if chosen is None:  # cut at or past the last row of the class
+                found[(c, cut)] = ("g" * length, acc, 0)  # 'g' sorts after every hex digit
+            elif chosen[2] > max_rank_rows and length < max_len:
+                nxt[(c, cut)] = (chosen[0], chosen[1])
+            else:
+                found[(c, cut)] = chosen
+        pending = nxt
+        length = min(length + step, max_len)
+    return found
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
                      val_size: float = 0.1, seed: int = 42, split_col: str = "split",
-                     prefix_hex: int = 4) -> DataFrame:
+                     bucket_rows: int = 64, max_rank_rows: int = 1_000_000,
+                     prefix_hex: int | None = None) -> DataFrame:
     """Adds ``split`` in {'train','val','test'}; rows with a null label are dropped.
 
-    ``df`` is read several times (counts, histogram, output); pass a persisted or
-    written table for expensive inputs. ``id_col`` must be unique.
+    ``df`` is read a few times (class counts, prefix histograms, output); pass
+    a persisted or written table for expensive inputs. ``id_col`` must be
+    unique. Only rows whose hash prefix straddles a quota boundary (at most
+    two prefixes per class, each <= ``max_rank_rows`` rows) are ranked.
     """
     data = df.where(F.col(label).isNotNull())
     key = order_key(id_col, seed)
-    buckets = 16 ** prefix_hex
-    bucket = F.conv(F.substring(key, 1, prefix_hex), 16, 10).cast("int")
-    hist_rows = (data.groupBy(F.col(label).alias("c"), bucket.alias("b"))
-                 .agg(F.count(F.lit(1)).alias("n")).collect())  # <= classes x 65536 rows
-    hist: dict = {}
-    for r in hist_rows:
-        hist.setdefault(r["c"], []).append((r["b"], r["n"]))
-    counts = {c: sum(n for _, n in bs) for c, bs in hist.items()}
+    counts = {r["c"]: int(r["n"]) for r in data.groupBy(F.col(label).alias("c"))
+              .agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
+    if not counts:
+        return data.withColumn(split_col, F.lit(None).cast("string"))
     quotas = split_quotas(counts, test_size, val_size)
-
-    # Per class: cut ranks (test end, val end) → bucket holding each cut and rows before it.
-    plan = {}
-    for c, bs in hist.items():
-        bs.sort()
-        q = quotas[c]
-        cuts = [q.test, q.test + q.val]
-        found = []
-        for cut in cuts:
-            acc = 0
-            for b, n in bs:
-                if acc + n > cut:
-                    found.append((b, acc))
-                    break
-                acc += n
-            else:
-                found.append((buckets, acc))  # cut at or past the end
-        plan[c] = (q, found)
+    cuts = {c: sorted({q.test, q.test + q.val}) for c, q in quotas.items()}
+    start = prefix_hex or _prefix_len(max(counts.values()), bucket_rows)
+    found = _find_cuts(data, label, key, cuts, start, max_rank_rows)
 
     lab = F.col(label)
-    b = F.col("__b")
+
+    def cmp(prefix: str):
+        return F.substring(key, 1, len(prefix)), F.lit(prefix)
+
     direct = None
     straddle = None
-    for c, (q, [(tb, _), (vb, _)]) in plan.items():
-        is_c = lab == _class_literal(c)
-        s = (F.when(b < tb, "test")
-             .when((b > tb) & (b < vb), "val")
-             .when(b > vb, "train"))
-        if tb == vb:
-            s = F.when(b < tb, "test").when(b > vb, "train")
-        direct = (F.when(is_c, s) if direct is None else direct.when(is_c, s))
-        st = is_c & ((b == tb) | (b == vb))
+    for c, q in quotas.items():
+        is_c = lab == F.lit(c)
+        t_p = found[(c, q.test)][0]
+        v_p = found[(c, q.test + q.val)][0]
+        kt, lt = cmp(t_p)
+        kv, lv = cmp(v_p)
+        s = (F.when(kt < lt, "test")
+             .when((kt > lt) & (kv < lv), "val")
+             .when((kt > lt) & (kv > lv), "train"))
+        direct = F.when(is_c, s) if direct is None else direct.when(is_c, s)
+        st = is_c & ((kt == lt) | (kv == lv))
         straddle = st if straddle is None else (straddle | st)
-    if direct is None:
-        return data.withColumn(split_col, F.lit(None).cast("string")).limit(0)
-
-    tagged = data.withColumn("__b", bucket)
-    plain = tagged.where(~straddle).withColumn(split_col, direct).drop("__b")
-
-    # rows of straddling buckets: rank inside (class, bucket), offset by the rows before it
-    offs = []
-    for c, (q, found) in plan.items():
-        for bb, before in found:
-            offs.append((c, bb, before, q.test, q.test + q.val))
-    w = Window.partitionBy(lab, b).orderBy(key, F.col(id_col))
-    ranked = tagged.where(straddle).withColumn("__r", F.row_number().over(w) - 1)
+
+    plain = data.where(~straddle).withColumn(split_col, direct)
+
+    # rows in straddling prefixes: rank inside (class, prefix), offset by the rows before it
+    groups = {}
+    for (c, cut), (p, before, _) in found.items():
+        groups.setdefault((c, p), before)
+    gexpr = None
+    for (c, p), before in groups.items():
+        e = (lab == F.lit(c)) & (F.substring(key, 1, len(p)) == F.lit(p))
+        gexpr = F.when(e, F.lit(f"{p}")) if gexpr is None else gexpr.when(e, F.lit(f"{p}"))
+    tagged = data.where(straddle).withColumn("__g", gexpr)
+    w = Window.partitionBy(lab, F.col("__g")).orderBy(key, F.col(id_col))  # <= max_rank_rows rows each
+    ranked = tagged.withColumn("__r", F.row_number().over(w) - 1)
     rank = None
-    for c, bb, before, t_end, v_end in offs:
-        cond = (lab == _class_literal(c)) & (b == bb)
+    for (c, p), before in groups.items():
+        q = quotas[c]
+        cond = (lab == F.lit(c)) & (F.col("__g") == F.lit(p))
         pos = F.col("__r") + F.lit(before)
-        s = F.when(pos < t_end, "test").when(pos < v_end, "val").otherwise("train")
-        rank = F.when(cond, s) if rank is None else rank.when(cond, s)
-    edge = ranked.withColumn(split_col, rank).drop("__b", "__r")
+        e = F.when(pos < q.test, "test").when(pos < q.test + q.val, "val").otherwise("train")
+        rank = F.when(cond, e) if rank is None else rank.when(cond, e)
+    edge = ranked.withColumn(split_col, rank).drop("__g", "__r")
     return plain.unionByName(edge)
 
 

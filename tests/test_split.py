@@ -38,10 +38,12 @@ def test_approximate_mode_ties_lower_class_first():
     assert approximate_mode({"a": 5, "b": 5}, 5) == {"a": 3, "b": 2}
 
 
-@pytest.mark.parametrize("prefix_hex", [1, 2, 4])
-def test_bucketed_equals_plain_rank(spark, prefix_hex):
+@pytest.mark.parametrize("prefix_hex,max_rank_rows", [(1, 1_000_000), (2, 1_000_000), (4, 1_000_000),
+                                                     (1, 50), (1, 1)])
+def test_bucketed_equals_plain_rank(spark, prefix_hex, max_rank_rows):
     orders = spark.read.parquet(f"{SF01}/orders.parquet").select("o_orderkey", "o_orderstatus")
-    sp = stratified_split(orders, "o_orderstatus", "o_orderkey", prefix_hex=prefix_hex)
+    sp = stratified_split(orders, "o_orderstatus", "o_orderkey", prefix_hex=prefix_hex,
+                          max_rank_rows=max_rank_rows)
     counts = {r["o_orderstatus"]: r["count"] for r in orders.groupBy("o_orderstatus").count().collect()}
     q = split_quotas(counts)
     w = Window.partitionBy("o_orderstatus").orderBy(order_key("o_orderkey", 42), "o_orderkey")
