@@ -1,4 +1,9 @@
-"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame."""
+"""Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
+
+Every query reads the driver's parquet tables (or the metric table F derived
+from them) and runs its whole input; nothing is sampled or capped except
+where a limit is the feature (top-k reports, the 5-row head).
+"""
 
 from __future__ import annotations
 
@@ -6,14 +11,27 @@ import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tabspark.functions.arrays import argmax, confidence, with_softmax
 from tabspark.functions.numeric import round4
+from tabspark.operators import history as H
+from tabspark.operators import metrics as M
+from tabspark.operators import mlp as ML
 from tabspark.operators import profiling as P
+from tabspark.operators import split as S
+from tabspark.operators.mlp_math import MlpParams
+from tabspark.operators.prepare import align_features, features_array, prepare, target_audit, width_check
+from tabspark.operators.scale import IdentityScaler, fit_scaler
+from tabspark.operators.tuning import tune
 from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
                                    metrics_frame)
-from tabspark.schema import LABEL, TARGET
-from tabspark.session import checkpoint_dir, ship_package
+from tabspark.schema import DEFECT_SCHEMA, LABEL, TARGET, col
+from tabspark.session import checkpoint_dir, scratch_path, ship_package
+from tabspark.sources import files as IO
+from tabspark.sources import requests as RQ
 from tabspark.sources.tables import read_table
+from tabspark.streaming import scoring as STR
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,6 +60,18 @@ def q_table_info(spark, sf):
     return P.table_info(read_table(spark, sf, "lineitem"))
 
 
+@query("dtype_counts")
+def q_dtype_counts(spark, sf):
+    return P.dtype_counts(read_table(spark, sf, "lineitem")).select(
+        "data_type", F.col("n_columns").cast("bigint").alias("n_columns"))
+
+
+@query("variance_profile")
+def q_variance_profile(spark, sf):
+    v = P.variance_profile(lineitem_frame(spark, sf), LINEITEM_FEATURES)
+    return v.select("feature", round4(F.col("variance")).alias("variance"))
+
+
 @query("missing_profile")
 def q_missing_profile(spark, sf):
     return P.missing_profile(metrics_frame(spark, sf))
@@ -137,12 +167,7 @@ def q_lineitem_box_stats(spark, sf):
 
 
 # ------------------------------------------------------------------ split / scale
-from pyspark.sql import functions as F  # noqa: E402
 
-from tabspark.operators import split as S  # noqa: E402
-from tabspark.operators.prepare import prepare, target_audit  # noqa: E402
-from tabspark.operators.scale import fit_scaler  # noqa: E402
-from tabspark.schema import col  # noqa: E402
 
 
 def prepared_metrics(spark, sf):
@@ -215,9 +240,6 @@ def q_scale_features(spark, sf):
 
 
 # ------------------------------------------------------------------ scalar functions, metrics
-from tabspark.functions.arrays import argmax, confidence, with_softmax  # noqa: E402
-from tabspark.operators import metrics as M  # noqa: E402
-from tabspark.operators import history as H  # noqa: E402
 
 
 def scored_metrics(spark, sf):
@@ -333,9 +355,6 @@ def q_prune_trials(spark, sf):
 
 
 # ------------------------------------------------------------------ model scoring / training
-from tabspark.operators import mlp as ML  # noqa: E402
-from tabspark.operators.mlp_math import MlpParams  # noqa: E402
-from tabspark.operators.scale import IdentityScaler  # noqa: E402
 
 
 def fitted_scaler(sp):
@@ -421,15 +440,7 @@ def q_mlp_fit(spark, sf):
 
 
 # ------------------------------------------------------------------ requests, sinks, streaming, report
-import os  # noqa: E402
-
-from tabspark.operators.prepare import align_features, features_array, width_check  # noqa: E402
-from tabspark.operators.tuning import tune  # noqa: E402
-from tabspark.schema import DEFECT_SCHEMA, rename_aliases  # noqa: E402
-from tabspark.session import scratch_path  # noqa: E402
-from tabspark.sources import files as IO  # noqa: E402
-from tabspark.sources import requests as RQ  # noqa: E402
-from tabspark.streaming import scoring as STR  # noqa: E402
+
 
 REQUEST_ROWS = 4  # samples per request payload
 

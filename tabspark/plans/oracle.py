@@ -169,6 +169,10 @@ def profile_sql() -> dict[str, str]:
         "shape": with_f(f"select cast(count(*) as bigint) as n_rows, cast({len(FEATURES) + 2} as bigint) as n_cols from F"),
         "table_info": f"""select cast(row_number() over () as int) as position, column_name, {TYPE_MAP} as data_type,
   (select cast(count(*) as bigint) from lineitem) as n_rows from (describe select * from lineitem)""",
+        "dtype_counts": f"""select {TYPE_MAP} as data_type, cast(count(*) as bigint) as n_columns
+from (describe select * from lineitem) group by 1""",
+        "variance_profile": "with " + LI_CTE.strip() + ",\n" + _li_long() + f"""
+select feature, {r4('var_samp(value)')} as variance from long_li group by feature""",
         "missing_profile": with_f(_missing_branches()),
         "describe_numeric": "with " + LI_CTE.strip() + ",\n" + _li_long() + "\n" + _describe("long_li"),
         "describe_metrics": with_f(_describe("long_f"), _f_long()),
