@@ -280,7 +280,7 @@ def fixed_model(features: list[str], params: MlpParams | None = None, seed: int
     return MlpModel(p, MM.init_weights(p, seed), list(features))
 
 
-class ScoringPipeline:
+class PreprocessScorer:
     """Preprocess-then-score (T6): optional scaler stage, then the model."""
 
     def __init__(self, scaler, model: MlpModel):
@@ -292,11 +292,11 @@ class ScoringPipeline:
         return self.model.transform(x, output)
 
 
-def evaluate(model_or_pipeline, df: DataFrame, label: str = "label") -> DataFrame:
+def evaluate(model_or_scorer, df: DataFrame, label: str = "label") -> DataFrame:
     """Scores and, when a label is present, accuracy/precision/recall/f1 and
     exact ROC-AUC in one row (ML10); without a label the predictions."""
     from tabspark.operators.metrics import binary_metrics, roc_auc
-    scored = model_or_pipeline.transform(df)
+    scored = model_or_scorer.transform(df)
     if label not in df.columns:
         return scored
     scored = scored.select(F.col(label).alias("label"), "prediction", "defect_probability").persist()

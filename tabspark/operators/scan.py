@@ -58,27 +58,36 @@ class _State:
 
 
 def _group_ids(pdf: pd.DataFrame, group_cols):
+    """Consecutive group ids of a sorted batch and the key of each group."""
+    n = len(pdf)
     if not group_cols:
-        return np.zeros(len(pdf), dtype=np.int64), [()]
-    keys = list(zip(*[pdf[c].tolist() for c in group_cols]))
-    change = np.ones(len(keys), dtype=bool)
-    for i in range(1, len(keys)):
-        change[i] = keys[i] != keys[i - 1]
+        return np.zeros(n, dtype=np.int64), [()]
+    change = np.zeros(n, dtype=bool)
+    change[0] = True
+    for c in group_cols:
+        a = pdf[c].to_numpy()
+        if n > 1:
+            change[1:] |= a[1:] != a[:-1]
     gid = np.cumsum(change) - 1
-    firsts = [keys[i] for i in np.flatnonzero(change)]
-    return gid, firsts
+    starts = np.flatnonzero(change)
+    cols = [pdf[c].to_numpy()[starts] for c in group_cols]
+    keys = [tuple(_py(col[i]) for col in cols) for i in range(len(starts))]
+    return gid, keys
 
 
-def _batch_state(vals, ats, gid, g):
-    sel = gid == g
-    v = vals[sel] if vals is not None else None
-    st = _State(int(sel.sum()))
-    if v is not None and len(v):
+def _py(v):
+    return v.item() if hasattr(v, "item") else v
+
+
+def _slice_state(vals, ats, lo: int, hi: int) -> _State:
+    st = _State(hi - lo)
+    if vals is not None and hi > lo:
+        v = vals[lo:hi]
         st.s = float(np.nansum(v))
-        i = int(np.nanargmax(v)) if not np.all(np.isnan(v)) else None
-        if i is not None:
+        if not np.all(np.isnan(v)):
+            i = int(np.nanargmax(v))
             st.m = float(v[i])
-            st.a = ats[sel][i] if ats is not None else None
+            st.a = _py(ats[lo + i]) if ats is not None else None
     return st
 
 
@@ -89,14 +98,17 @@ def _value_of(specs):
 
 
 def _segments(it, group_cols, vcol, acol):
-    """Yields (pdf, gid, keys, vals, ats) for the non-empty batches of a partition."""
+    """(pdf, gid, keys, vals, ats, bounds) for the non-empty batches of a partition;
+    ``bounds`` are the [start, end) row ranges of the groups."""
     for pdf in it:
         if not len(pdf):
             continue
         gid, keys = _group_ids(pdf, group_cols)
         vals = pdf[vcol].to_numpy(dtype=np.float64) if vcol else None
         ats = pdf[acol].to_numpy() if acol else None
-        yield pdf, gid, keys, vals, ats
+        starts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
+        bounds = list(zip(starts, np.r_[starts[1:], len(pdf)]))
+        yield pdf, gid, keys, vals, ats, bounds
 
 
 def _summary_fn(group_cols, specs):
@@ -106,9 +118,11 @@ def _summary_fn(group_cols, specs):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         first_key = first_st = last_key = last_st = None
-        for _, gid, keys, vals, ats in _segments(it, group_cols, vcol, acol):
-            for g, key in enumerate(keys):
-                st = _batch_state(vals, ats, gid, g)
+        for _, _, keys, vals, ats, bounds in _segments(it, group_cols, vcol, acol):
+            # only the first and the last group of a batch can touch a batch boundary
+            for g in sorted({0, len(keys) - 1}):
+                key, (lo, hi) = keys[g], bounds[g]
+                st = _slice_state(vals, ats, lo, hi)
                 if first_key is None:
                     first_key, first_st, last_key, last_st = key, st, key, st
                 elif key == last_key:
@@ -120,67 +134,64 @@ def _summary_fn(group_cols, specs):
         rows = []
         if first_key is not None:
             for pos, key, st in ((0, first_key, first_st), (1, last_key, last_st)):
-                rows.append({"pid": pid, "pos": pos, "key": repr(tuple(_py(k) for k in key)), "n": st.n,
-                             "s": st.s, "m": st.m, "a": None if st.a is None else repr(_py(st.a))})
+                rows.append({"pid": pid, "pos": pos, "key": repr(key), "n": st.n, "s": st.s,
+                             "m": st.m, "a": None if st.a is None else repr(st.a)})
         yield pd.DataFrame(rows, columns=["pid", "pos", "key", "n", "s", "m", "a"])
     return run
 
 
-def _py(v):
-    return v.item() if hasattr(v, "item") else v
-
-
-def _group_outputs(base: _State, v, at):
-    """Running outputs of one group slice given the state before it."""
-    k = len(v) if v is not None else 0
-    out = {}
-    if v is None:
-        return out
-    cs = base.s + np.cumsum(v)
-    run_max = np.maximum.accumulate(v)
-    if base.m is not None:
-        run_max = np.maximum(run_max, base.m)
-    prev = np.concatenate([[base.m if base.m is not None else np.nan], run_max[:-1]]) if k else run_max
-    out["cumsum"] = cs
-    out["cumsum_excl"] = cs - v
-    out["cummax"] = run_max
-    out["cummax_excl"] = prev
-    if at is not None:
-        rec = np.where(np.isnan(prev), True, v > np.nan_to_num(prev, nan=-np.inf))
-        last = np.maximum.accumulate(np.where(rec, np.arange(k), -1))  # last strict record so far
-        a = np.empty(k, dtype=object)
-        a[:] = [_py(at[j]) if j >= 0 else base.a for j in last]
-        out["argmax_first"] = a
-    return out
-
-
 def _scan_fn(group_cols, specs, carries, out_types):
     vcol, acol = _value_of(specs)
+    ops = {s.op for s in specs}
 
     def run(it):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         cur_key, cur = carries.get(pid, (None, None))
-        for pdf, gid, keys, vals, ats in _segments(it, group_cols, vcol, acol):
+        for pdf, gid, keys, vals, ats, bounds in _segments(it, group_cols, vcol, acol):
             n = len(pdf)
-            cols = {s.out: np.empty(n, dtype=np.int64 if s.op == "row_number" else
-                                    (object if s.op == "argmax_first" else np.float64)) for s in specs}
-            for g, key in enumerate(keys):
-                key = tuple(_py(k) for k in key)
-                idx = np.flatnonzero(gid == g)
-                base = cur if (cur is not None and key == cur_key) else _State()
-                res = _group_outputs(base, vals[idx] if vals is not None else None,
-                                     ats[idx] if ats is not None else None)
-                for s in specs:
-                    if s.op == "row_number":
-                        cols[s.out][idx] = base.n + np.arange(1, len(idx) + 1)
-                    else:
-                        cols[s.out][idx] = res[s.op]
-                cur_key, cur = key, base.then(_batch_state(vals, ats, gid, g))
-            out = pdf.copy()
-            for name, arr in cols.items():
-                out[name] = arr if out_types[name] == "object" else arr.astype(out_types[name])
-            yield out
+            # the batch's first group continues the running state when its key matches
+            base = cur if (cur is not None and keys[0] == cur_key) else _State()
+            first_end = bounds[0][1]
+            g = pd.Series(gid)
+            out = {}
+            if "row_number" in ops:
+                rn = g.groupby(gid).cumcount().to_numpy() + 1
+                rn[:first_end] += base.n
+                out["row_number"] = rn
+            if vals is not None:
+                v = pd.Series(vals)
+                cs = v.groupby(gid).cumsum().to_numpy()
+                cs[:first_end] += base.s
+                cm = v.groupby(gid).cummax().to_numpy()
+                if base.m is not None:
+                    cm[:first_end] = np.maximum(cm[:first_end], base.m)
+                prev = np.empty(n)
+                prev[1:] = cm[:-1]
+                starts = np.array([b[0] for b in bounds])
+                prev[starts] = np.nan
+                if base.m is not None:
+                    prev[0] = base.m
+                out["cumsum"] = cs
+                out["cumsum_excl"] = cs - vals
+                out["cummax"] = cm
+                out["cummax_excl"] = prev
+                if ats is not None:
+                    rec = np.isnan(prev) | (vals > np.nan_to_num(prev, nan=-np.inf))
+                    last = np.maximum.accumulate(np.where(rec, np.arange(n), -1))
+                    a = np.empty(n, dtype=object)
+                    has = last >= 0
+                    a[has] = ats[last[has]]
+                    a[~has] = base.a  # only rows of a continuing first group before its first record
+                    out["argmax_first"] = a
+            lo, hi = bounds[-1]
+            tail = _slice_state(vals, ats, lo, hi)
+            cur_key, cur = keys[-1], (base.then(tail) if len(bounds) == 1 else tail)
+            res = pdf.copy()
+            for s in specs:
+                arr = out[s.op]
+                res[s.out] = arr if out_types[s.out] == "object" else arr.astype(out_types[s.out])
+            yield res
     return run
 
 

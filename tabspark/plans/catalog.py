@@ -369,7 +369,7 @@ def _scored_view(df):
 @query("mlp_score")
 def q_mlp_score(spark, sf):
     """Fixed-weight model on raw features, scaler stage pass-through."""
-    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
     return _scored_view(pipe.transform(prepared_metrics(spark, sf)))
 
 
@@ -381,24 +381,24 @@ def q_mlp_logits(spark, sf):
                       round4(F.element_at("logits", 2)).alias("logit_1"))
 
 
-@query("pipeline_score")
-def q_pipeline_score(spark, sf):
+@query("preprocess_score")
+def q_preprocess_score(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     return _scored_view(pipe.transform(sp.where(F.col("split") == "test")))
 
 
 @query("evaluate")
 def q_evaluate(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     return ML.evaluate(pipe, sp.where(F.col("split") == "test"), LABEL)
 
 
 @query("score_batches")
 def q_score_batches(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     batches = [sp.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
     tagged = batches[0].withColumn("batch_id", F.lit(0))
     for i, b in enumerate(batches[1:], 1):
@@ -411,7 +411,7 @@ def q_score_batches(spark, sf):
 @query("sample_head")
 def q_sample_head(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     scored = pipe.transform(sp.where(F.col("split") == "test"))
     return _scored_view(scored).orderBy("id").limit(5)
 
@@ -419,7 +419,7 @@ def q_sample_head(spark, sf):
 @query("mlp_prediction_summary")
 def q_mlp_prediction_summary(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.ScoringPipeline(fitted_scaler(sp), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     return M.prediction_summary(pipe.transform(sp.where(F.col("split") == "test")))
 
 
@@ -520,7 +520,7 @@ def q_stream_score(spark, sf):
     src = prepared_metrics(spark, sf)
     path = _shards(spark, src, "stream-src")
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
-    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
     qy = STR.stream_score(spark, path, src.schema, pipe, sink, ckpt, max_files_per_trigger=2)
     qy.awaitTermination()
     return _scored_view(spark.read.parquet(sink))
@@ -533,7 +533,7 @@ def q_stream_requests(spark, sf):
     path = scratch_path(spark, "stream-req")
     payloads.repartition(4).write.mode("overwrite").json(path)
     sink, ckpt = scratch_path(spark, "stream-req-sink"), scratch_path(spark, "stream-req-ckpt")
-    pipe = ML.ScoringPipeline(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
+    pipe = ML.PreprocessScorer(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
     qy = STR.stream_requests(spark, path, pipe, sink, ckpt, max_files_per_trigger=2)
     qy.awaitTermination()
     out = spark.read.parquet(sink).withColumn("id", F.col("sample_id"))

@@ -401,7 +401,7 @@ def mlp_sql() -> dict[str, str]:
         "mlp_score": with_f(view, LF_CTE, prep, *raw),
         "mlp_logits": with_f(f"select id, {r4('logit_0')} as logit_0, {r4('logit_1')} as logit_1 from mlp_out",
                              LF_CTE, prep, *raw),
-        "pipeline_score": with_f(test_view, LF_CTE, prep, sp, st, *piped),
+        "preprocess_score": with_f(test_view, LF_CTE, prep, sp, st, *piped),
         "evaluate": with_f(f"""select {r4('case when count(*) = 0 then 0.0 else sum(case when label = prediction then 1 else 0 end)::double / count(*) end')} as accuracy,
   {r4('case when sum(prediction) = 0 then 0.0 else sum(case when label = 1 and prediction = 1 then 1 else 0 end)::double / sum(prediction) end')} as precision,
   {r4('case when sum(label) = 0 then 0.0 else sum(case when label = 1 and prediction = 1 then 1 else 0 end)::double / sum(label) end')} as recall,

@@ -1,6 +1,6 @@
 """Continuous scoring (ST1, ST2).
 
-Stateless micro-batch pipelines: file source with an explicit schema →
+Stateless micro-batch jobs: file source with an explicit schema →
 (optional JSON request explode) → scaler + model → append-only file sink with
 a checkpoint, so a restarted query resumes exactly once from the last
 committed batch. ``availableNow`` drains what has arrived and stops.
@@ -25,17 +25,17 @@ def _sink(df: DataFrame, sink_dir: str, checkpoint: str, available_now: bool = T
     return w.start()
 
 
-def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType, pipeline, sink_dir: str,
+def stream_score(spark: SparkSession, source_dir: str, schema: T.StructType, scorer, sink_dir: str,
                  checkpoint: str, max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
     """Score parquet feature files as they arrive (ST1)."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    scored = pipeline.transform(r.parquet(source_dir))
+    scored = scorer.transform(r.parquet(source_dir))
     return _sink(scored, sink_dir, checkpoint, **kw)
 
 
-def stream_requests(spark: SparkSession, source_dir: str, pipeline, sink_dir: str, checkpoint: str,
+def stream_requests(spark: SparkSession, source_dir: str, scorer, sink_dir: str, checkpoint: str,
                     kind: str = "samples", max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
     """Score JSON request payload files as they arrive (ST2)."""
     r = spark.readStream.schema(REQUEST_SCHEMA)
@@ -44,4 +44,4 @@ def stream_requests(spark: SparkSession, source_dir: str, pipeline, sink_dir: st
     raw = r.json(source_dir)
     rows = (samples_to_features(raw, "payload", ["request_id"]) if kind == "samples"
             else inputs_to_features(raw, "payload", ["request_id"]))
-    return _sink(pipeline.transform(rows), sink_dir, checkpoint, **kw)
+    return _sink(scorer.transform(rows), sink_dir, checkpoint, **kw)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from tabspark.operators import history as H
 from tabspark.operators import mlp_math as MM
-from tabspark.operators.mlp import MlpClassifier, MlpModel, ScoringPipeline, fixed_model
+from tabspark.operators.mlp import MlpClassifier, MlpModel, PreprocessScorer, fixed_model
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.operators.scale import IdentityScaler, ScalerModel, fit_scaler
 from tabspark.schema import FEATURES
@@ -103,7 +103,7 @@ def test_batches_keep_sizes(spark):
     tagged = frames[0].withColumn("batch_id", F.lit(0))
     for i, f in enumerate(frames[1:], 1):
         tagged = tagged.unionByName(f.withColumn("batch_id", F.lit(i)))
-    out = ScoringPipeline(None, fixed_model(FEATURES)).transform(tagged)
+    out = PreprocessScorer(None, fixed_model(FEATURES)).transform(tagged)
     sizes = {r["batch_id"]: r["count"] for r in out.groupBy("batch_id").count().collect()}
     assert sizes == {0: 3, 1: 4, 2: 3}
 

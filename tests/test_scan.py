@@ -60,3 +60,14 @@ def test_grouped_quantiles_small_and_big_groups(spark):
     for g in (0, 1, 2, 3):
         x = np.array([v for gg, v in rows if gg == g])
         np.testing.assert_allclose(got[g], np.quantile(x, [0.5, 0.9]), rtol=1e-12)
+
+
+def test_scan_across_many_small_batches(spark):
+    """Groups continue across Arrow batches inside a partition (batch of 7 rows)."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        test_scan_matches_pandas(spark, 3)
+        test_scan_matches_pandas(spark, 1)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tabspark.operators.mlp import ScoringPipeline, fixed_model
+from tabspark.operators.mlp import PreprocessScorer, fixed_model
 from tabspark.operators.prepare import prepare
 from tabspark.schema import FEATURES
 from tabspark.sources.fixtures import read_metrics_fixture
@@ -16,7 +16,7 @@ def test_stream_equals_batch_and_resumes(spark, tmp_out):
     first = rows.where(F.col("id") < 500)
     second = rows.where(F.col("id") >= 500)
     first.write.mode("overwrite").parquet(f"{src}/part=a")
-    pipe = ScoringPipeline(None, fixed_model(FEATURES))
+    pipe = PreprocessScorer(None, fixed_model(FEATURES))
     schema = rows.schema
     stream_score(spark, f"{src}/part=a", schema, pipe, sink, ckpt).awaitTermination()
     n1 = spark.read.parquet(sink).count()
