@@ -438,7 +438,7 @@ def io_sql() -> dict[str, str]:
         "align_features": with_f(f"select id, {aligned} from F"),
         "width_check": with_f(f"""select 'metrics' as source, true as width_ok, cast(count(*) as bigint) as n from F
 union all select 'embeddings', len(embedding) = {len(FEATURES)}, cast(count(*) as bigint) from embeddings group by 2"""),
-        "eda_report": with_f("""select line, section, key, case
+        "eda_report": with_f("""select cast(line as int) as line, section, key, case
     when section = 'outliers' then cast(round(round(pct, 10), 1) as varchar) || '%'
     when pct is null then cast(cnt as varchar)
     else cast(cnt as varchar) || ' (' || cast(round(round(pct, 10), 1) as varchar) || '%)' end as value
