@@ -6,14 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def nonzero(den: Column) -> Column:
+    """``nullif(den, 0)``: a divisor that can never raise DIVIDE_BY_ZERO.
+
+    A ``CASE WHEN den = 0`` guard is not enough under ANSI mode: common
+    subexpression elimination may evaluate a repeated ``num / den`` before
+    the CASE chooses a branch.
+    """
+    return F.when(den != 0, den)
+
+
 def safe_div(num: Column, den: Column) -> Column:
     """num / den, null when den is 0 or null (ANSI-safe)."""
-    return F.when(den == 0, F.lit(None).cast("double")).otherwise(num / den)
+    return num / nonzero(den)
 
 
 def zero_div(num: Column, den: Column) -> Column:
     """num / den, 0.0 when den is 0 (metric convention, zero_division=0)."""
-    return F.when(den == 0, F.lit(0.0)).otherwise(num / den)
+    return F.coalesce(num / nonzero(den), F.lit(0.0))
 
 
 def round4(c: Column, digits: int = 4) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.numeric import round4, zero_div
+from tabspark.functions.numeric import nonzero, round4, zero_div
 from tabspark.operators.quantiles import exact_quantiles
 from tabspark.session import local_frame
 
@@ -32,7 +32,7 @@ def class_weights(df: DataFrame, label: str, k: int) -> DataFrame:
     w = Window.partitionBy()  # over k rows
     total = F.sum("n").over(w)
     missing = F.max(F.when(F.col("n") == 0, 1).otherwise(0)).over(w)
-    weight = F.when(missing == 1, F.lit(1.0)).otherwise(total / (F.lit(k) * F.col("n")))
+    weight = F.when(missing == 1, F.lit(1.0)).otherwise(total / nonzero(F.lit(k) * F.col("n")))
     return cc.select("label", "n", weight.alias("weight"))
 
 
@@ -84,7 +84,7 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     scanned = ordered_scan(g, [], ["s"], [Spec("below", "cumsum_excl", "neg")], num_partitions)
     terms = scanned.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("u"),
                         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    auc = F.when((F.col("P") > 0) & (F.col("N") > 0), F.col("u") / (F.col("P") * F.col("N"))).otherwise(F.lit(0.0))
+    auc = F.coalesce(F.col("u") / nonzero(F.col("P") * F.col("N")), F.lit(0.0))
     return terms.select(round4(auc).alias("roc_auc"),
                         F.coalesce(F.col("P"), F.lit(0)).cast("bigint").alias("n_pos"),
                         F.coalesce(F.col("N"), F.lit(0)).cast("bigint").alias("n_neg"))
@@ -124,7 +124,7 @@ def mean_loss(df: DataFrame, logits: str, label: str, kind: str = "focal", alpha
     else:
         smooth = -F.aggregate("__z", F.lit(0.0), lambda acc, x: acc + (x.cast("double") - lse))
     term = (1 - smoothing) * wy * (-logp_y) + smoothing / F.size("__z") * smooth
-    return d.agg(round4(F.sum(term) / F.sum(wy)).alias("loss"))
+    return d.agg(round4(F.sum(term) / nonzero(F.sum(wy))).alias("loss"))
 
 
 # ---------------------------------------------------------------- A21

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabspark.functions.numeric import round4
+from tabspark.functions.numeric import nonzero, round4
 from tabspark.operators.quantiles import exact_quantiles, unpivot
 from tabspark.schema import col
 from tabspark.session import local_frame
@@ -64,7 +64,7 @@ def missing_profile(df: DataFrame, only_missing: bool = False) -> DataFrame:
     out = one.select(F.col("__n"), stack.alias("s")).select(
         F.col("s.column_name").alias("column_name"),
         F.col("s.missing").alias("missing"),
-        round4(F.when(F.col("__n") == 0, None).otherwise(F.col("s.missing") * 100.0 / F.col("__n"))).alias("missing_pct"))
+        round4(F.col("s.missing") * 100.0 / nonzero(F.col("__n"))).alias("missing_pct"))
     return out.where(F.col("missing") > 0) if only_missing else out
 
 
@@ -137,8 +137,8 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
     w_nonnull = F.sum(F.when(F.col(target).isNotNull(), F.col("n")).otherwise(0)).over(_whole())
     return counts.select(
         F.col(target), F.col("n").cast("bigint").alias("n"),
-        round4(F.when(F.col(target).isNull(), None).otherwise(F.col("n") * 100.0 / w_nonnull)).alias("share_pct"),
-        round4(F.col("n") * 100.0 / w).alias("share_all_pct"))
+        round4(F.when(F.col(target).isNotNull(), F.col("n") * 100.0 / nonzero(w_nonnull))).alias("share_pct"),
+        round4(F.col("n") * 100.0 / nonzero(w)).alias("share_all_pct"))
 
 
 def _whole():
@@ -192,7 +192,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
                                            {f"x{i}": shift[c] for i, c in enumerate(columns)}),
                             "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
     s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
-    n = F.col("n")
+    n = nonzero(F.col("n"))
     cov = F.col("sxy") / n - (F.col("sx") / n) * (F.col("sy") / n)
     vx = F.col("sxx") / n - (F.col("sx") / n) * (F.col("sx") / n)
     vy = F.col("syy") / n - (F.col("sy") / n) * (F.col("sy") / n)
@@ -201,7 +201,7 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     const = [i for i, c in enumerate(columns) if means[c]["min"] is None or means[c]["min"] == means[c]["max"]]
     is_const = F.col("i").isin(const) | F.col("j").isin(const) if const else F.lit(False)
     # constant columns give null (population std 0), never rounding noise
-    corr = F.when((n > 0) & (den > 0) & ~is_const, F.least(F.greatest(cov / den, F.lit(-1.0)), F.lit(1.0)))
+    corr = F.when(~is_const, F.least(F.greatest(cov / nonzero(den), F.lit(-1.0)), F.lit(1.0)))
     return s.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
                     F.element_at(names, F.col("j") + 1).alias("feature_b"),
                     round4(corr).alias("corr"))
