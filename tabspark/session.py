@@ -103,3 +103,25 @@ def local_frame(spark: SparkSession, rows, schema):
     names = [f.name for f in schema.fields]
     pdf = pd.DataFrame([tuple(r) for r in rows], columns=names, dtype=object)
     return spark.createDataFrame(pdf, schema=schema)
+
+
+def scale_conf(input_bytes: int, total_cores: int, scan_split_bytes: int = 256 << 20,
+               shuffle_partition_bytes: int = 256 << 20) -> dict:
+    """Scan/shuffle sizing for a cluster run (pass as ``get_session(extra=...)``).
+
+    Scan splits of ``scan_split_bytes`` and an initial shuffle partition count
+    that keeps each partition near ``shuffle_partition_bytes`` (AQE coalesces
+    the small ones, splits skewed ones); at least two tasks per core.
+    E.g. 100 TB on 8 000 cores → ~400k scan splits, 409 600 initial shuffle
+    partitions coalesced at runtime.
+    """
+    import math
+    parts = max(2 * total_cores, math.ceil(input_bytes / shuffle_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(scan_split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * shuffle_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
