@@ -15,10 +15,20 @@ from pyspark.sql import functions as F
 from tabspark.operators.scan import Spec, ordered_scan
 
 
+EVENT_ORDER = ("ts", "event_id")
+
+
+def event_runs(events: DataFrame) -> DataFrame:
+    """events as an un-numbered history: user_id = run, order = (ts, event_id).
+    Operators below number the epochs in the same scan that computes their
+    running values (pass ``order_cols=EVENT_ORDER``)."""
+    return events.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value")
+
+
 def events_history(events: DataFrame, num_partitions: int | None = None) -> DataFrame:
     """events as a history: user_id = run, epoch = rank of (ts, event_id) in the run."""
-    ev = events.select(F.col("user_id").alias("run_id"), "ts", "event_id", "value")
-    out = ordered_scan(ev, ["run_id"], ["ts", "event_id"], [Spec("epoch", "row_number")], num_partitions)
+    out = ordered_scan(event_runs(events), ["run_id"], list(EVENT_ORDER), [Spec("epoch", "row_number")],
+                       num_partitions)
     return out.select("run_id", "epoch", "value")
 
 
@@ -26,25 +36,34 @@ def _signed(history: DataFrame, mode: str) -> DataFrame:
     return history.withColumn("__v", F.col("value") if mode == "max" else -F.col("value"))
 
 
-def best_so_far(history: DataFrame, mode: str = "max") -> DataFrame:
+def _scan(history: DataFrame, specs, order_cols) -> DataFrame:
+    """One ordered scan per run; numbers the epochs too when the history has none."""
+    order = list(order_cols)
+    if "epoch" not in history.columns:
+        specs = [Spec("epoch", "row_number")] + list(specs)
+    return ordered_scan(history, ["run_id"], order, list(specs))
+
+
+def best_so_far(history: DataFrame, mode: str = "max", order_cols=("epoch",)) -> DataFrame:
     """Running best per run."""
-    h = ordered_scan(_signed(history, mode), ["run_id"], ["epoch"], [Spec("__b", "cummax", "__v")])
+    h = _scan(_signed(history, mode), [Spec("__b", "cummax", "__v")], order_cols)
     best = F.col("__b") if mode == "max" else -F.col("__b")
-    return h.select(*history.columns, best.alias("best_so_far"))
+    return h.select("run_id", "epoch", "value", best.alias("best_so_far"))
 
 
-def last_improvement(history: DataFrame, mode: str = "max") -> DataFrame:
+def last_improvement(history: DataFrame, mode: str = "max", order_cols=("epoch",)) -> DataFrame:
     """Adds ``last_improved``: the latest epoch <= this one with a strict
     improvement, i.e. the first epoch reaching the running best."""
-    h = ordered_scan(_signed(history, mode), ["run_id"], ["epoch"],
-                     [Spec("last_improved", "argmax_first", "__v", "epoch")])
-    return h.drop("__v")
+    numbered = "epoch" not in history.columns
+    spec = Spec("last_improved", "argmax_first", "__v", None if numbered else "epoch")
+    h = _scan(_signed(history, mode), [spec], order_cols)
+    return h.select("run_id", "epoch", "value", "last_improved")
 
 
-def early_stop(history: DataFrame, patience: int = 10, mode: str = "max") -> DataFrame:
+def early_stop(history: DataFrame, patience: int = 10, mode: str = "max", order_cols=("epoch",)) -> DataFrame:
     """Per run: the epoch at which early stopping fires (first epoch with
     ``patience`` epochs since the last strict improvement), or null (W2)."""
-    h = last_improvement(history, mode)
+    h = last_improvement(history, mode, order_cols)
     fired = F.when(F.col("epoch") - F.col("last_improved") >= patience, F.col("epoch"))
     return h.groupBy("run_id").agg(F.min(fired).alias("stop_epoch"), F.max("epoch").alias("n_epochs"))
 
@@ -64,15 +83,15 @@ def best_epoch_until(history: DataFrame, stops: DataFrame, mode: str = "max") ->
     return best_epoch(h.select("run_id", "epoch", "value"), mode)
 
 
-def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0) -> DataFrame:
+def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0, order_cols=("epoch",)) -> DataFrame:
     """Median pruning (W5): a trial is pruned at the first step whose best-so-far
     is worse than the median of all trials' values reported at that step.
 
     Per-step medians are exact grouped quantiles (small steps via the built-in
     ``percentile``, steps with many trials via interval narrowing)."""
     from tabspark.operators.quantiles import grouped_quantiles
-    b = best_so_far(history, mode)
-    med = grouped_quantiles(history, ["epoch"], "value", [0.5]).select("epoch", F.col("q0").alias("step_median"))
+    b = best_so_far(history, mode, order_cols)
+    med = grouped_quantiles(b, ["epoch"], "value", [0.5]).select("epoch", F.col("q0").alias("step_median"))
     j = b.join(med, "epoch")
     worse = (F.col("best_so_far") < F.col("step_median")) if mode == "max" else (F.col("best_so_far") > F.col("step_median"))
     fired = F.when(worse & (F.col("epoch") > warmup), F.col("epoch"))

@@ -38,6 +38,7 @@ class Spec:
     op: str
     col: str | None = None      # input value column (not for row_number)
     at: str | None = None       # for argmax_first: column reported at the first maximum
+                                # (None: the row number of the first maximum)
 
 
 @dataclass
@@ -46,15 +47,16 @@ class _State:
     s: float = 0.0
     m: float | None = None
     a: object = None
+    rel: bool = False  # ``a`` is a 1-based row position inside this state's rows
 
     def then(self, o: "_State") -> "_State":
         if o.m is None:
             m, a = self.m, self.a
         elif self.m is None or o.m > self.m:
-            m, a = o.m, o.a
+            m, a = o.m, (int(self.n + o.a) if o.rel and o.a is not None else o.a)
         else:
             m, a = self.m, self.a
-        return _State(self.n + o.n, self.s + o.s, m, a)
+        return _State(self.n + o.n, self.s + o.s, m, a, self.rel or o.rel)
 
 
 def _group_ids(pdf: pd.DataFrame, group_cols):
@@ -79,15 +81,15 @@ def _py(v):
     return v.item() if hasattr(v, "item") else v
 
 
-def _slice_state(vals, ats, lo: int, hi: int) -> _State:
-    st = _State(hi - lo)
+def _slice_state(vals, ats, lo: int, hi: int, rel: bool = False) -> _State:
+    st = _State(int(hi - lo), rel=rel)
     if vals is not None and hi > lo:
         v = vals[lo:hi]
         st.s = float(np.nansum(v))
         if not np.all(np.isnan(v)):
             i = int(np.nanargmax(v))
             st.m = float(v[i])
-            st.a = _py(ats[lo + i]) if ats is not None else None
+            st.a = i + 1 if rel else (_py(ats[lo + i]) if ats is not None else None)
     return st
 
 
@@ -97,6 +99,11 @@ def _value_of(specs):
     return (vs[0] if vs else None), (ats[0] if ats else None)
 
 
+def _rel(specs) -> bool:
+    """argmax_first without an ``at`` column reports row numbers."""
+    return any(s.op == "argmax_first" and s.at is None for s in specs)
+
+
 def _segments(it, group_cols, vcol, acol):
     """(pdf, gid, keys, vals, ats, bounds) for the non-empty batches of a partition;
     ``bounds`` are the [start, end) row ranges of the groups."""
@@ -113,6 +120,7 @@ def _segments(it, group_cols, vcol, acol):
 
 def _summary_fn(group_cols, specs):
     vcol, acol = _value_of(specs)
+    rel = _rel(specs)
 
     def run(it):
         from pyspark import TaskContext
@@ -122,7 +130,7 @@ def _summary_fn(group_cols, specs):
             # only the first and the last group of a batch can touch a batch boundary
             for g in sorted({0, len(keys) - 1}):
                 key, (lo, hi) = keys[g], bounds[g]
-                st = _slice_state(vals, ats, lo, hi)
+                st = _slice_state(vals, ats, lo, hi, rel)
                 if first_key is None:
                     first_key, first_st, last_key, last_st = key, st, key, st
                 elif key == last_key:
@@ -134,14 +142,15 @@ def _summary_fn(group_cols, specs):
         rows = []
         if first_key is not None:
             for pos, key, st in ((0, first_key, first_st), (1, last_key, last_st)):
-                rows.append({"pid": pid, "pos": pos, "key": repr(key), "n": st.n, "s": st.s,
-                             "m": st.m, "a": None if st.a is None else repr(st.a)})
+                rows.append({"pid": pid, "pos": pos, "key": repr(key), "n": int(st.n), "s": st.s,
+                             "m": st.m, "a": None if st.a is None else repr(_py(st.a))})
         yield pd.DataFrame(rows, columns=["pid", "pos", "key", "n", "s", "m", "a"])
     return run
 
 
 def _scan_fn(group_cols, specs, carries, out_types):
     vcol, acol = _value_of(specs)
+    rel = _rel(specs)
     ops = {s.op for s in specs}
 
     def run(it):
@@ -151,13 +160,13 @@ def _scan_fn(group_cols, specs, carries, out_types):
         for pdf, gid, keys, vals, ats, bounds in _segments(it, group_cols, vcol, acol):
             n = len(pdf)
             # the batch's first group continues the running state when its key matches
-            base = cur if (cur is not None and keys[0] == cur_key) else _State()
+            base = cur if (cur is not None and keys[0] == cur_key) else _State(rel=rel)
             first_end = bounds[0][1]
             g = pd.Series(gid)
             out = {}
+            rn = g.groupby(gid).cumcount().to_numpy() + 1
+            rn[:first_end] += base.n
             if "row_number" in ops:
-                rn = g.groupby(gid).cumcount().to_numpy() + 1
-                rn[:first_end] += base.n
                 out["row_number"] = rn
             if vals is not None:
                 v = pd.Series(vals)
@@ -176,16 +185,16 @@ def _scan_fn(group_cols, specs, carries, out_types):
                 out["cumsum_excl"] = cs - vals
                 out["cummax"] = cm
                 out["cummax_excl"] = prev
-                if ats is not None:
+                if ats is not None or rel:
                     rec = np.isnan(prev) | (vals > np.nan_to_num(prev, nan=-np.inf))
                     last = np.maximum.accumulate(np.where(rec, np.arange(n), -1))
                     a = np.empty(n, dtype=object)
                     has = last >= 0
-                    a[has] = ats[last[has]]
+                    a[has] = rn[last[has]] if rel else ats[last[has]]
                     a[~has] = base.a  # only rows of a continuing first group before its first record
                     out["argmax_first"] = a
             lo, hi = bounds[-1]
-            tail = _slice_state(vals, ats, lo, hi)
+            tail = _slice_state(vals, ats, lo, hi, rel)
             cur_key, cur = keys[-1], (base.then(tail) if len(bounds) == 1 else tail)
             res = pdf.copy()
             for s in specs:
@@ -218,7 +227,9 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], sp
     for pid in sorted(by_pid):
         first, last = by_pid[pid][0], by_pid[pid][-1]
         fk = ast.literal_eval(first["key"])
-        st_first = _State(first["n"], first["s"], first["m"], None if first["a"] is None else ast.literal_eval(first["a"]))
+        rel = _rel(specs)
+        st_first = _State(first["n"], first["s"], first["m"],
+                          None if first["a"] is None else ast.literal_eval(first["a"]), rel)
         if open_key is not None and fk == open_key:
             carries[pid] = (open_key, open_st)
             carried = open_st.then(st_first)
@@ -229,7 +240,8 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], sp
             open_key, open_st = fk, carried
         else:
             open_key = lk
-            open_st = _State(last["n"], last["s"], last["m"], None if last["a"] is None else ast.literal_eval(last["a"]))
+            open_st = _State(last["n"], last["s"], last["m"],
+                             None if last["a"] is None else ast.literal_eval(last["a"]), rel)
     vcol, acol = _value_of(specs)
     fields = list(ordered.schema.fields)
     out_types = {}
@@ -238,7 +250,7 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], sp
             fields.append(T.StructField(s.out, T.LongType()))
             out_types[s.out] = "int64"
         elif s.op == "argmax_first":
-            fields.append(T.StructField(s.out, ordered.schema[s.at].dataType))
+            fields.append(T.StructField(s.out, ordered.schema[s.at].dataType if s.at else T.LongType()))
             out_types[s.out] = "object"
         else:
             fields.append(T.StructField(s.out, T.DoubleType()))

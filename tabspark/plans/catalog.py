@@ -330,28 +330,28 @@ def q_latency_summary(spark, sf):
 
 
 # ------------------------------------------------------------------ training history windows
-def _history(spark, sf):
-    return H.events_history(read_table(spark, sf, "events"))
+def _runs(spark, sf):
+    return H.event_runs(read_table(spark, sf, "events"))
 
 
 @query("best_so_far")
 def q_best_so_far(spark, sf):
-    return H.best_so_far(_history(spark, sf))
+    return H.best_so_far(_runs(spark, sf), order_cols=H.EVENT_ORDER)
 
 
 @query("early_stop")
 def q_early_stop(spark, sf):
-    return H.early_stop(_history(spark, sf), patience=10)
+    return H.early_stop(_runs(spark, sf), patience=10, order_cols=H.EVENT_ORDER)
 
 
 @query("best_epoch")
 def q_best_epoch(spark, sf):
-    return H.best_epoch(_history(spark, sf))
+    return H.best_epoch(H.events_history(read_table(spark, sf, "events")))
 
 
 @query("prune_trials")
 def q_prune_trials(spark, sf):
-    return H.prune_trials(_history(spark, sf))
+    return H.prune_trials(_runs(spark, sf), order_cols=H.EVENT_ORDER)
 
 
 # ------------------------------------------------------------------ model scoring / training

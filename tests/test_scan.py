@@ -26,6 +26,10 @@ def test_scan_matches_pandas(spark, parts):
              Spec("cm", "cummax", "v"), Spec("cmx", "cummax_excl", "v"), Spec("am", "argmax_first", "v", "o")]
     out = ordered_scan(df, ["g"], ["o"], specs, num_partitions=parts).toPandas().sort_values(["g", "o"])
     out = out.reset_index(drop=True)
+    by_rn = ordered_scan(df, ["g"], ["o"], [Spec("rn", "row_number"), Spec("amr", "argmax_first", "v")],
+                         num_partitions=parts).toPandas().sort_values(["g", "o"]).reset_index(drop=True)
+    # row number of the first maximum = (o - 3) / 10 + 1 of the reported order value
+    assert list(by_rn.amr.astype(int)) == list((out.am.astype(int) - 3) // 10 + 1)
     exp = pd.DataFrame(rows, columns=["g", "o", "v"]).sort_values(["g", "o"]).reset_index(drop=True)
     grp = exp.groupby("g")
     assert (out.rn.to_numpy() == (grp.cumcount() + 1).to_numpy()).all()
