@@ -85,7 +85,7 @@ LF as (
 
 def r4(expr: str, digits: int = 4) -> str:
     """Same two-step display rounding as ``tabspark.functions.numeric.round4``."""
-    return f"round(round(cast({expr} as double), 10), {digits})"
+    return f"(round(round(cast({expr} as double), 10), {digits}) + 0.0)"
 
 
 def long_cte(name: str, src: str, cols: list[str], keep: list[str]) -> str:
@@ -200,14 +200,14 @@ where l.value < b.lo or l.value > b.hi""", _f_long(), _bounds("long_f")),
 c as (select cast(least(floor((l_extendedprice - mn) / (mx - mn) * 30), 29) as int) as bin, count(*) as n
       from lineitem, mm group by 1),
 g as (select cast(range as int) as bin from range(30))
-select g.bin, round(round(mn + g.bin * ((mx - mn) / 30), 10), 4) as bin_lo, round(round(mn + (g.bin + 1) * ((mx - mn) / 30), 10), 4) as bin_hi,
+select g.bin, round(round(mn + g.bin * ((mx - mn) / 30), 10), 4) + 0.0 as bin_lo, round(round(mn + (g.bin + 1) * ((mx - mn) / 30), 10), 4) + 0.0 as bin_hi,
   cast(coalesce(c.n, 0) as bigint) as n
 from g left join c on g.bin = c.bin, mm""",
         "kde_curve": """with s as (select count(*) as n, stddev_samp(l_extendedprice) as sd, min(l_extendedprice) as mn,
     max(l_extendedprice) as mx from lineitem),
 p as (select cast(range as int) as point, mn + (mx - mn) * range / 199 as x, sd * pow(n, -0.2) as h, n, mn, mx from range(200), s)
-select p.point, round(round(p.x, 10), 4) as x,
-  round(round(sum(exp(-0.5 * pow((p.x - l.l_extendedprice) / p.h, 2))) * (1.0 / (p.n * p.h * sqrt(2 * pi())) * p.n * ((p.mx - p.mn) / 30)), 10), 4) as density_count
+select p.point, round(round(p.x, 10), 4) + 0.0 as x,
+  round(round(sum(exp(-0.5 * pow((p.x - l.l_extendedprice) / p.h, 2))) * (1.0 / (p.n * p.h * sqrt(2 * pi())) * p.n * ((p.mx - p.mn) / 30)), 10), 4) + 0.0 as density_count
 from p, lineitem l group by p.point, p.x, p.h, p.n, p.mn, p.mx""",
         "box_stats_by_target": with_f(_box("long_f", ("feature", "defects"), "l.feature in (select feature from topv)"),
                                       _f_long(), top_var, _bounds("long_f", ("feature", "defects"))),
