@@ -15,22 +15,34 @@ CORRUPT = "_corrupt_record"
 
 def read_metrics(spark: SparkSession, path: str, schema=DEFECT_SCHEMA, fallback_glob: str | None = None,
                  keep_corrupt: bool = False) -> DataFrame:
-    """CSV scan of a metric table with an explicit schema.
+    """CSV scan of a metric table with explicit types.
 
+    Columns are typed BY NAME from the header: Spark applies a user schema to
+    CSV columns by position, so the header is read first and the schema is
+    built for exactly those names (known metrics get their type, aliases such
+    as ``v_g`` the type of ``v(g)``, anything else stays a string).
     ``path`` may be a file or folder; if it does not exist, the first match of
     ``fallback_glob`` is used (S2); no match raises ``FileNotFoundError``.
     Unparseable rows are kept in ``_corrupt_record`` (PERMISSIVE) when asked.
     """
+    from pyspark.sql import types as T
+
+    from tabspark.schema import ALIASES
     target = path
     if not _exists(spark, path):
         matches = sorted(_glob.glob(fallback_glob)) if fallback_glob else []
         if not matches:
             raise FileNotFoundError(f"no metric data at {path}")
         target = matches[0]
-    sch = schema
+    known = {f.name: f.dataType for f in schema.fields}
+    for alias, name in ALIASES.items():
+        if name in known:
+            known[alias] = known[name]
+    header = spark.read.option("header", True).option("inferSchema", False).csv(target).columns
+    fields = [T.StructField(h, known.get(h, T.StringType()), True) for h in header]
     if keep_corrupt:
-        from pyspark.sql import types as T
-        sch = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+        fields.append(T.StructField(CORRUPT, T.StringType(), True))
+    sch = T.StructType(fields)
     reader = (spark.read.schema(sch).option("header", True).option("nanValue", "nan")
               .option("mode", "PERMISSIVE"))
     if keep_corrupt:
@@ -38,7 +50,7 @@ def read_metrics(spark: SparkSession, path: str, schema=DEFECT_SCHEMA, fallback_
     df = reader.csv(target)
     # NaN is not a missing marker in Spark; make it one at ingest
     fixes = {f.name: F.when(F.isnan(col(f.name)), None).otherwise(col(f.name))
-             for f in schema.fields if f.dataType.typeName() in ("double", "float")}
+             for f in fields if f.dataType.typeName() in ("double", "float")}
     return df.withColumns(fixes) if fixes else df
 
 

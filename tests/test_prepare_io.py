@@ -74,3 +74,15 @@ def test_request_payloads_round_trip(spark):
     bad = spark.createDataFrame([(1, '{"inputs": [[1.0, 2.0]]}')], "request_id long, payload string")
     r = RQ.inputs_to_features(bad, "payload", ["request_id"]).first()
     assert r["width_ok"] is False and r["loc"] == 1.0 and r["branchCount"] == 0.0
+
+
+def test_csv_columns_typed_by_name(spark, tmp_out):
+    path = os.path.join(tmp_out, "reordered.csv")
+    with open(path, "w") as fh:
+        fh.write("defects,v_g,loc,extra\nTRUE,2.5,10,x\nfalse,nan,3,y\n")
+    df = IO.read_metrics(spark, path)
+    assert df.columns == ["defects", "v_g", "loc", "extra"]
+    rows = df.orderBy("loc").collect()
+    assert rows[0]["v_g"] is None and rows[1]["v_g"] == 2.5 and rows[1]["loc"] == 10.0
+    assert dict(df.dtypes)["loc"] == "double" and dict(df.dtypes)["extra"] == "string"
+    assert [r["label"] for r in prepare(align_features(df)).orderBy("loc").collect()] == [0, 1]
