@@ -358,6 +358,88 @@ def kde(df: DataFrame, column: str, points: int = 200, bins: int = 30) -> DataFr
                        round4(F.col("k") * F.lit(scale)).alias("density_count"))
 
 
+def histograms(df: DataFrame, features: list[str], bins: int = 30, m: dict | None = None) -> DataFrame:
+    """Equal-width histograms of several columns in one grouped count over
+    (feature, bin) after one moments pass — no per-feature job (A10 for the
+    top-variance features). Adds each feature's mean/std (the plot label)."""
+    spark = df.sparkSession
+    m = m or moments(df, features)
+    long_df = unpivot(df, features).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    lo = {f: m[f]["min"] for f in features if m[f]["min"] is not None}
+    if not lo:
+        return _small_frame(spark, [], "feature string, bin int, bin_lo double, bin_hi double, n bigint, "
+                                       "mean double, std double")
+    span = {f: (m[f]["max"] - m[f]["min"]) for f in lo}
+    mn_of = F.element_at(F.create_map(*[x for f in lo for x in (F.lit(f), F.lit(lo[f]))]), F.col("feature"))
+    sp_of = F.element_at(F.create_map(*[x for f in lo for x in (F.lit(f), F.lit(span[f]))]), F.col("feature"))
+    b = F.when(sp_of > 0, F.least(F.floor((F.col("value") - mn_of) / sp_of * F.lit(bins)), F.lit(bins - 1))) \
+        .otherwise(F.lit(0)).cast("int")
+    counts = long_df.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = _small_frame(spark, [(f, i, lo[f] + i * (span[f] / bins), lo[f] + (i + 1) * (span[f] / bins),
+                                 m[f]["mean"], m[f]["std"]) for f in lo for i in range(bins)],
+                        "feature string, bin int, bin_lo double, bin_hi double, mean double, std double")
+    # grid holds features x bins rows: bounded
+    out = grid.join(counts, ["feature", "bin"], "left")
+    return out.select("feature", "bin", round4(F.col("bin_lo")).alias("bin_lo"), round4(F.col("bin_hi")).alias("bin_hi"),
+                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
+                      round4(F.col("mean")).alias("mean"), round4(F.col("std")).alias("std"))
+
+
+def _kde_multi_partials(grids: np.ndarray, hs: np.ndarray):
+    k, points = grids.shape
+
+    def run(batches):
+        import pyarrow as pa
+        acc = np.zeros((k, points))
+        for b in batches:
+            for j in range(k):
+                x = b.column(j).to_numpy(zero_copy_only=False).astype(np.float64)
+                x = x[~np.isnan(x)]
+                for s in range(0, len(x), 4096):
+                    u = (grids[j][None, :] - x[s:s + 4096, None]) / hs[j]
+                    acc[j] += np.exp(-0.5 * u * u).sum(axis=0)
+        fi, pi = np.meshgrid(np.arange(k), np.arange(points), indexing="ij")
+        yield pa.RecordBatch.from_arrays([pa.array(fi.ravel().astype(np.int32)), pa.array(pi.ravel().astype(np.int32)),
+                                          pa.array(acc.ravel())], names=["f", "point", "k"])
+    return run
+
+
+def kdes(df: DataFrame, features: list[str], points: int = 200, bins: int = 30, m: dict | None = None) -> DataFrame:
+    """Gaussian KDE curves of several columns in ONE NumPy pass (A11 for the
+    top-variance features): each task folds its rows into k x ``points``
+    partial sums."""
+    spark = df.sparkSession
+    m = m or moments(df, features)
+    use = [f for f in features if m[f]["count"] and m[f]["std"]]
+    if not use:
+        return _small_frame(spark, [], "feature string, point int, x double, density_count double")
+    grids, hs, scales = [], [], []
+    for f in use:
+        n, sd, mn, mx = m[f]["count"], m[f]["std"], m[f]["min"], m[f]["max"]
+        h = sd * n ** (-0.2)
+        grids.append([mn + (mx - mn) * i / (points - 1) for i in range(points)])
+        hs.append(h)
+        scales.append(1.0 / (n * h * math.sqrt(2 * math.pi)) * n * ((mx - mn) / bins))
+    wide = df.select(*[F.coalesce(col(f).cast("double"), F.lit(float("nan"))).alias(f"x{j}") for j, f in enumerate(use)])
+    parts = wide.mapInArrow(_kde_multi_partials(np.asarray(grids), np.asarray(hs)), "f int, point int, k double")
+    sums = parts.groupBy("f", "point").agg(F.sum("k").alias("k"))
+    names = F.array(*[F.lit(f) for f in use])
+    xs = F.array(*[F.lit(g) for grid in grids for g in grid])
+    sc = F.array(*[F.lit(x) for x in scales])
+    return sums.select(F.element_at(names, F.col("f") + 1).alias("feature"), F.col("point"),
+                       round4(F.element_at(xs, F.col("f") * points + F.col("point") + 1)).alias("x"),
+                       round4(F.col("k") * F.element_at(sc, F.col("f") + 1)).alias("density_count"))
+
+
+def top_variance_features(df: DataFrame, features: list[str], n: int = 10, m: dict | None = None) -> list[str]:
+    """Names of the top-n features by sample variance (ties by name), all if <= n."""
+    m = m or moments(df, features)
+    if len(features) <= n:
+        return list(features)
+    ranked = sorted(features, key=lambda f: (-(m[f]["var"] if m[f]["var"] is not None else -math.inf), f))
+    return ranked[:n]
+
+
 # ---------------------------------------------------------------- A12, A13
 def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: float = 1.5) -> DataFrame:
     """Box-plot numbers per feature (and per ``by`` value): q1, median, q3,

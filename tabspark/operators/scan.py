@@ -26,7 +26,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 OPS = ("row_number", "cumsum", "cumsum_excl", "cummax", "cummax_excl", "argmax_first")

@@ -147,6 +147,22 @@ def q_kde_curve(spark, sf):
     return P.kde(lineitem_frame(spark, sf), "l_extendedprice", 200, 30)
 
 
+@query("feature_distributions")
+def q_feature_distributions(spark, sf):
+    """30-bin histograms (+ mean/std labels) of the top-10 variance features, one pass for all."""
+    f = metrics_frame(spark, sf)
+    m = P.moments(f, FEATURES)
+    return P.histograms(f, P.top_variance_features(f, FEATURES, 10, m), 30, m)
+
+
+@query("feature_kde")
+def q_feature_kde(spark, sf):
+    """KDE curves of the top-10 variance features, one NumPy pass for all."""
+    f = metrics_frame(spark, sf)
+    m = P.moments(f, FEATURES)
+    return P.kdes(f, P.top_variance_features(f, FEATURES, 10, m), 200, 30, m)
+
+
 @query("box_stats_by_target")
 def q_box_stats_by_target(spark, sf):
     f = metrics_frame(spark, sf)

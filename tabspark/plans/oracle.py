@@ -209,6 +209,21 @@ p as (select cast(range as int) as point, mn + (mx - mn) * range / 199 as x, sd
 select p.point, round(round(p.x, 10), 4) + 0.0 as x,
   round(round(sum(exp(-0.5 * pow((p.x - l.l_extendedprice) / p.h, 2))) * (1.0 / (p.n * p.h * sqrt(2 * pi())) * p.n * ((p.mx - p.mn) / 30)), 10), 4) + 0.0 as density_count
 from p, lineitem l group by p.point, p.x, p.h, p.n, p.mn, p.mx""",
+        "feature_distributions": with_f(f"""select g.feature, cast(g.bin as int) as bin,
+  {r4('s.mn + g.bin * (s.sp / 30)')} as bin_lo, {r4('s.mn + (g.bin + 1) * (s.sp / 30)')} as bin_hi,
+  cast(coalesce(c.n, 0) as bigint) as n, {r4('s.mean')} as mean, {r4('s.std')} as std
+from (select feature, range as bin from topv10, range(30)) g join st s using (feature)
+left join (select l.feature, cast(case when s.sp > 0 then least(floor((l.value - s.mn) / s.sp * 30), 29) else 0 end as int) as bin,
+                  count(*) as n from long_f l join st s using (feature) group by 1, 2) c using (feature, bin)""",
+            _f_long(), "topv10 as (select feature from long_f group by feature order by var_samp(value) desc nulls last, feature limit 10)",
+            "st as (select feature, min(value) as mn, max(value) - min(value) as sp, avg(value) as mean, stddev_samp(value) as std, count(value) as n from long_f group by feature)"),
+        "feature_kde": with_f(f"""select p.feature, p.point, {r4('p.x')} as x,
+  {r4('sum(exp(-0.5 * pow((p.x - l.value) / p.h, 2))) * (1.0 / (p.n * p.h * sqrt(2 * pi())) * p.n * ((p.mx - p.mn) / 30))')} as density_count
+from (select s.feature, cast(r.range as int) as point, s.mn + (s.mx - s.mn) * r.range / 199 as x, s.sd * pow(s.n, -0.2) as h,
+             s.n, s.mn, s.mx from st s, range(200) r where s.feature in (select feature from topv10) and s.sd > 0) p
+join long_f l using (feature) group by p.feature, p.point, p.x, p.h, p.n, p.mn, p.mx""",
+            _f_long(), "topv10 as (select feature from long_f group by feature order by var_samp(value) desc nulls last, feature limit 10)",
+            "st as (select feature, min(value) as mn, max(value) as mx, stddev_samp(value) as sd, count(value) as n from long_f group by feature)"),
         "box_stats_by_target": with_f(_box("long_f", ("feature", "defects"), "l.feature in (select feature from topv)"),
                                       _f_long(), top_var, _bounds("long_f", ("feature", "defects"))),
         "box_stats_outliers": with_f(_box("long_f", ("feature",),

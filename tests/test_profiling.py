@@ -90,3 +90,18 @@ def test_kde_integrates_to_counts(spark):
 def test_top_variance_ties_by_name(spark):
     df = spark.createDataFrame([(1.0, 1.0, 0.0), (3.0, 3.0, 0.0)], "b double, a double, c double")
     assert [r["feature"] for r in P.top_variance(df, ["b", "a", "c"], 2).collect()] == ["a", "b"]
+
+
+def test_multi_column_histograms_and_kdes_equal_single(spark):
+    rng = np.random.default_rng(8)
+    rows = [(float(a), float(b)) for a, b in zip(rng.normal(size=300), rng.exponential(size=300))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    multi = {(r["feature"], r["bin"]): r["n"] for r in P.histograms(df, ["a", "b"], 30).collect()}
+    for f in ("a", "b"):
+        single = {r["bin"]: r["n"] for r in P.histogram(df, f, 30).collect()}
+        assert {k[1]: v for k, v in multi.items() if k[0] == f} == single
+    mk = {(r["feature"], r["point"]): r["density_count"] for r in P.kdes(df, ["a", "b"]).collect()}
+    for f in ("a", "b"):
+        sk = {r["point"]: r["density_count"] for r in P.kde(df, f).collect()}
+        assert all(abs(mk[(f, p)] - v) < 1e-3 for p, v in sk.items())
+    assert P.top_variance_features(df, ["a", "b"], 1) == ["a"] or P.top_variance_features(df, ["a", "b"], 1) == ["b"]
