@@ -65,7 +65,10 @@ def early_stop(history: DataFrame, patience: int = 10, mode: str = "max", order_
     ``patience`` epochs since the last strict improvement), or null (W2)."""
     h = last_improvement(history, mode, order_cols)
     fired = F.when(F.col("epoch") - F.col("last_improved") >= patience, F.col("epoch"))
-    return h.groupBy("run_id").agg(F.min(fired).alias("stop_epoch"), F.max("epoch").alias("n_epochs"))
+    agg = h.groupBy("run_id").agg(F.min(fired).alias("__s"), F.max("epoch").alias("n_epochs"))
+    # stop_epoch = last epoch run (the firing epoch, or the last one when it never fires)
+    return agg.select("run_id", F.coalesce("__s", "n_epochs").cast("bigint").alias("stop_epoch"),
+                      F.col("__s").isNotNull().alias("early_stopped"), F.col("n_epochs").cast("bigint").alias("n_epochs"))
 
 
 def best_epoch(history: DataFrame, mode: str = "max") -> DataFrame:
@@ -79,7 +82,7 @@ def best_epoch(history: DataFrame, mode: str = "max") -> DataFrame:
 
 def best_epoch_until(history: DataFrame, stops: DataFrame, mode: str = "max") -> DataFrame:
     """Best checkpoint among the epochs actually run (before early stop)."""
-    h = history.join(stops, "run_id").where(F.col("stop_epoch").isNull() | (F.col("epoch") <= F.col("stop_epoch")))
+    h = history.join(stops, "run_id").where(F.col("epoch") <= F.col("stop_epoch"))
     return best_epoch(h.select("run_id", "epoch", "value"), mode)
 
 
@@ -95,4 +98,7 @@ def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0, order_c
     j = b.join(med, "epoch")
     worse = (F.col("best_so_far") < F.col("step_median")) if mode == "max" else (F.col("best_so_far") > F.col("step_median"))
     fired = F.when(worse & (F.col("epoch") > warmup), F.col("epoch"))
-    return j.groupBy("run_id").agg(F.min(fired).alias("pruned_at"))
+    agg = j.groupBy("run_id").agg(F.min(fired).alias("__p"), F.max("epoch").alias("__last"))
+    # pruned_at = the pruning step, or the last reported step of a trial that was never pruned
+    return agg.select("run_id", F.col("__p").isNotNull().alias("pruned"),
+                      F.coalesce("__p", "__last").cast("bigint").alias("pruned_at"))

@@ -346,12 +346,15 @@ from E, W""",
         "best_so_far": f"""with {hist} select run_id, epoch, value,
   max(value) over (partition by run_id order by epoch rows between unbounded preceding and current row) as best_so_far from Hh""",
         "early_stop": f"""with {hist}, {imp}
-select run_id, min(case when epoch - last_improved >= 10 then epoch end) as stop_epoch, max(epoch) as n_epochs from Hi group by run_id""",
+select run_id, coalesce(min(case when epoch - last_improved >= 10 then epoch end), max(epoch)) as stop_epoch,
+  min(case when epoch - last_improved >= 10 then epoch end) is not null as early_stopped, max(epoch) as n_epochs
+from Hi group by run_id""",
         "best_epoch": f"""with {hist} select run_id, epoch as best_epoch, value as best_value from
   (select *, row_number() over (partition by run_id order by value desc, epoch) as rk from Hh) where rk = 1""",
         "prune_trials": f"""with {hist}, B as (select *, max(value) over (partition by run_id order by epoch rows between unbounded preceding and current row) as bsf from Hh),
 M as (select epoch, quantile_cont(value, 0.5) as med from Hh group by epoch)
-select run_id, min(case when bsf < med and epoch > 0 then epoch end) as pruned_at from B join M using (epoch) group by run_id""",
+select run_id, min(case when bsf < med and epoch > 0 then epoch end) is not null as pruned,
+  coalesce(min(case when bsf < med and epoch > 0 then epoch end), max(epoch)) as pruned_at from B join M using (epoch) group by run_id""",
     }
 
 

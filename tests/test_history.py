@@ -23,7 +23,9 @@ def test_early_stop_and_best_epoch(spark):
     runs = {r: list(np.round(rng.random(rng.integers(5, 40)), 2)) for r in range(20)}
     rows = [(r, e + 1, float(v)) for r, vs in runs.items() for e, v in enumerate(vs)]
     h = spark.createDataFrame(rows, "run_id int, epoch int, value double")
-    stops = {r["run_id"]: r["stop_epoch"] for r in H.early_stop(h, patience=5).collect()}
+    es = {r["run_id"]: r for r in H.early_stop(h, patience=5).collect()}
+    stops = {k: (r["stop_epoch"] if r["early_stopped"] else None) for k, r in es.items()}
+    assert all(r["early_stopped"] or r["stop_epoch"] == r["n_epochs"] for r in es.values())
     best = {r["run_id"]: r["best_epoch"] for r in H.best_epoch(h).collect()}
     for r, vs in runs.items():
         s, b = replay(vs, 5)
@@ -36,5 +38,5 @@ def test_early_stop_and_best_epoch(spark):
 def test_prune_trials(spark):
     rows = [(0, 1, 0.5), (0, 2, 0.6), (1, 1, 0.9), (1, 2, 0.9), (2, 1, 0.1), (2, 2, 0.2)]
     h = spark.createDataFrame(rows, "run_id int, epoch int, value double")
-    got = {r["run_id"]: r["pruned_at"] for r in H.prune_trials(h).collect()}
-    assert got == {0: None, 1: None, 2: 1}
+    got = {r["run_id"]: (r["pruned"], r["pruned_at"]) for r in H.prune_trials(h).collect()}
+    assert got == {0: (False, 2), 1: (False, 2), 2: (True, 1)}
