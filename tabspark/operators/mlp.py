@@ -30,27 +30,28 @@ from tabspark.operators.mlp_math import MlpParams
 from tabspark.schema import col
 from tabspark.session import local_frame
 
-SCORE_TYPE = T.StructType([
-    T.StructField("logits", T.ArrayType(T.DoubleType())),
-    T.StructField("probabilities", T.ArrayType(T.DoubleType())),
-    T.StructField("prediction", T.IntegerType()),
-    T.StructField("is_defect", T.BooleanType()),
-    T.StructField("defect_probability", T.DoubleType()),
-    T.StructField("confidence", T.DoubleType()),
-])
+def _score_type(k: int) -> T.StructType:
+    """Scalar columns only: arrays are assembled on the JVM (per-row Python
+    lists would dominate the cost of the UDF)."""
+    return T.StructType([T.StructField(f"z{j}", T.DoubleType()) for j in range(k)]
+                        + [T.StructField(f"p{j}", T.DoubleType()) for j in range(k)]
+                        + [T.StructField("prediction", T.IntegerType()),
+                           T.StructField("confidence", T.DoubleType())])
 
 
 def _score_fn(params: MlpParams, bc):
+    k = params.num_classes
+
     def score(*cols: pd.Series) -> pd.DataFrame:
         w = bc.value
         x = np.column_stack([c.to_numpy(dtype=np.float32, na_value=np.nan) for c in cols]).astype(np.float64)
         logits = MM.predict_logits(params, w, x)
         prob = MM.softmax_np(logits)
-        pred = prob.argmax(axis=1)
-        pos = prob[:, 1] if prob.shape[1] > 1 else prob[:, 0]
-        return pd.DataFrame({
-            "logits": list(logits), "probabilities": list(prob), "prediction": pred.astype(np.int32),
-            "is_defect": pred == 1, "defect_probability": pos, "confidence": prob.max(axis=1)})
+        out = {f"z{j}": logits[:, j] for j in range(k)}
+        out.update({f"p{j}": prob[:, j] for j in range(k)})
+        out["prediction"] = prob.argmax(axis=1).astype(np.int32)
+        out["confidence"] = prob.max(axis=1)
+        return pd.DataFrame(out)
     return score
 
 
@@ -68,20 +69,23 @@ class MlpModel:
         return self._bc
 
     def score_column(self, spark: SparkSession) -> Column:
-        udf = F.pandas_udf(_score_fn(self.params, self._broadcast(spark)), SCORE_TYPE)
+        udf = F.pandas_udf(_score_fn(self.params, self._broadcast(spark)), _score_type(self.params.num_classes))
         return udf(*[col(f).cast("float") for f in self.features])
 
     def transform(self, df: DataFrame, output: str = "predictions") -> DataFrame:
-        """Adds prediction, is_defect, defect_probability, confidence (ML9) or
-        ``logits`` only (ML11)."""
+        """Adds logits, probabilities, prediction, is_defect, defect_probability,
+        confidence (ML9) or ``logits`` only (ML11)."""
+        k = self.params.num_classes
         s = df.withColumn("__s", self.score_column(df.sparkSession))
+        logits = F.array(*[F.col(f"__s.z{j}") for j in range(k)])
         if output == "logits":
-            return s.withColumn("logits", F.col("__s.logits")).drop("__s")
-        return s.select(*[col(c) for c in df.columns], F.col("__s.logits").alias("logits"),
-                        F.col("__s.probabilities").alias("probabilities"),
-                        F.col("__s.prediction").alias("prediction"), F.col("__s.is_defect").alias("is_defect"),
-                        F.col("__s.defect_probability").alias("defect_probability"),
-                        F.col("__s.confidence").alias("confidence"))
+            return s.withColumn("logits", logits).drop("__s")
+        pos = F.col("__s.p1") if k > 1 else F.col("__s.p0")
+        return s.select(*[col(c) for c in df.columns], logits.alias("logits"),
+                        F.array(*[F.col(f"__s.p{j}") for j in range(k)]).alias("probabilities"),
+                        F.col("__s.prediction").alias("prediction"),
+                        (F.col("__s.prediction") == 1).alias("is_defect"),
+                        pos.alias("defect_probability"), F.col("__s.confidence").alias("confidence"))
 
     # -------------------------------------------------------------- persistence
     def write(self, spark: SparkSession, path: str) -> None:
