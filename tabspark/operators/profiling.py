@@ -291,71 +291,17 @@ def outlier_rows(df: DataFrame, features: list[str], id_col: str, k: float = 1.5
 
 # ---------------------------------------------------------------- A10, A11
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
-    """Equal-width histogram, last bin closed, zero-filled (A10).
-
-    One min/max pass, then one grouped count over ``bins`` keys (map-side
-    combined); the empty bins come from a generated ``sequence``.
-    """
-    spark = df.sparkSession
-    c = col(column).cast("double")
-    r = df.agg(F.min(c).alias("mn"), F.max(c).alias("mx")).first()
-    mn, mx = r["mn"], r["mx"]
-    if mn is None:
-        return _small_frame(spark, [], "bin int, bin_lo double, bin_hi double, n bigint")
-    width = (mx - mn) / bins
-    if mx > mn:
-        b = F.least(F.floor((c - F.lit(mn)) / F.lit(mx - mn) * F.lit(bins)), F.lit(bins - 1)).cast("int")
-    else:
-        b = F.lit(0)
-    counts = df.where(c.isNotNull() & ~F.isnan(c)).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return (grid.join(counts, "bin", "left")
-            .select("bin",
-                    round4(F.lit(mn) + F.col("bin") * F.lit(width)).alias("bin_lo"),
-                    round4(F.lit(mn) + (F.col("bin") + 1) * F.lit(width)).alias("bin_hi"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
-
-
-def _kde_partials(grid: list[float], h: float):
-    g = np.asarray(grid, dtype=np.float64)
-
-    def run(batches):
-        import pyarrow as pa
-        acc = np.zeros(len(g))
-        for b in batches:
-            x = b.column(0).to_numpy(zero_copy_only=False).astype(np.float64)
-            x = x[~np.isnan(x)]
-            for s in range(0, len(x), 4096):  # bounded (4096 x grid) block per step
-                u = (g[None, :] - x[s:s + 4096, None]) / h
-                acc += np.exp(-0.5 * u * u).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(g), dtype=np.int32)), pa.array(acc)],
-                                         names=["point", "k"])
-    return run
+    """Equal-width histogram of one column, last bin closed, zero-filled (A10).
+    One moments pass, then one grouped count over ``bins`` keys (map-side
+    combined); see ``histograms`` for several columns at once."""
+    return histograms(df, [column], bins).select("bin", "bin_lo", "bin_hi", "n")
 
 
 def kde(df: DataFrame, column: str, points: int = 200, bins: int = 30) -> DataFrame:
-    """Gaussian KDE (Scott bandwidth sigma*n^-1/5) on a min..max grid, scaled to
-    histogram counts (density * n * bin width) (A11).
-
-    One moments pass; then every task folds its rows into the fixed-size grid
-    with NumPy (``points`` partial sums per task, no join, no row explosion)
-    and a grouped sum adds the partials.
-    """
-    spark = df.sparkSession
-    c = col(column).cast("double")
-    clean = df.select(c.alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
-    r = clean.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
-                  F.min("x").alias("mn"), F.max("x").alias("mx")).first()
-    n, s, mn, mx = r["n"], r["s"], r["mn"], r["mx"]
-    if not n or s is None or s == 0:
-        return _small_frame(spark, [], "point int, x double, density_count double")
-    h = s * n ** (-0.2)
-    grid = [mn + (mx - mn) * i / (points - 1) for i in range(points)]
-    sums = clean.mapInArrow(_kde_partials(grid, h), "point int, k double").groupBy("point").agg(F.sum("k").alias("k"))
-    scale = 1.0 / (n * h * math.sqrt(2 * math.pi)) * n * ((mx - mn) / bins)
-    xs = F.element_at(F.array(*[F.lit(g) for g in grid]), F.col("point") + 1)
-    return sums.select(F.col("point").cast("int").alias("point"), round4(xs).alias("x"),
-                       round4(F.col("k") * F.lit(scale)).alias("density_count"))
+    """Gaussian KDE (Scott bandwidth sigma*n^-1/5) of one column on a min..max
+    grid, scaled to histogram counts (density * n * bin width) (A11); see
+    ``kdes`` for several columns in one pass."""
+    return kdes(df, [column], points, bins).select("point", "x", "density_count")
 
 
 def histograms(df: DataFrame, features: list[str], bins: int = 30, m: dict | None = None) -> DataFrame:
