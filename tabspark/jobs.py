@@ -74,7 +74,9 @@ def train_model(spark: SparkSession, data_dir: str, model_dir: str, params: MlpP
     scaler = ScalerModel.read(spark, f"{data_dir}/scaler", FEATURES)
     scaled = scaler.transform(splits)
     clf = MlpClassifier(params or MlpParams(), FEATURES, LABEL, num_partitions=num_partitions)
-    res = clf.fit(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"))
+    # per-epoch state in the model folder: a restarted job continues where it stopped
+    res = clf.fit(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"),
+                  resume_dir=f"{model_dir}/_state")
     res.best.write(spark, f"{model_dir}/best")
     res.last.write(spark, f"{model_dir}/last")
     res.history.write.mode("overwrite").parquet(f"{model_dir}/history")

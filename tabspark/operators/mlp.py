@@ -197,7 +197,11 @@ class MlpClassifier:
         self.num_partitions = num_partitions
         self.run_id = run_id
 
-    def fit(self, train: DataFrame, val: DataFrame, on_epoch=None) -> FitResult:
+    def fit(self, train: DataFrame, val: DataFrame, on_epoch=None, resume_dir: str | None = None) -> FitResult:
+        """Distributed fit. With ``resume_dir`` (shared storage), the complete
+        training state is appended there after every epoch and a restarted fit
+        continues after the last committed epoch (same result: every step is
+        deterministic for a fixed partitioning)."""
         from tabspark.operators.metrics import class_weight_list
         spark = train.sparkSession
         sc = spark.sparkContext
@@ -221,7 +225,18 @@ class MlpClassifier:
         hist_rows = []
         best_score, best_w, best_ep = -np.inf, None, -1
         wait, stopped = 0, None
-        for epoch in range(p.max_epochs):
+        start = 0
+        state = _load_state(spark, resume_dir, self.run_id) if resume_dir else None
+        if state is not None:
+            tensors, meta = state
+            w, m, v = tensors["w"], tensors["m"], tensors["v"]
+            best_w = tensors.get("best") or None
+            t, best_score, best_ep, wait = meta["t"], meta["best_score"], meta["best_ep"], meta["wait"]
+            hist_rows = [tuple(r) for r in meta["history"]]
+            start = meta["epoch"] + 1
+            if meta.get("stopped") is not None:
+                start, stopped = p.max_epochs, meta["stopped"]
+        for epoch in range(start, p.max_epochs):
             lr = MM.lr_at(p, epoch)
             bc = sc.broadcast((w, m, v, t, lr, alpha, epoch))  # model-sized
             parts = tr.mapInPandas(_train_epoch_fn(p, bc, k), "slot int, idx int, val double")
@@ -272,12 +287,46 @@ class MlpClassifier:
                 wait += 1
                 if wait >= p.patience:
                     stopped = epoch
-                    break
+            if resume_dir:
+                _save_state(spark, resume_dir, self.run_id, epoch, {"w": w, "m": m, "v": v, "best": best_w or {}},
+                            {"t": t, "best_score": best_score, "best_ep": best_ep, "wait": wait,
+                             "history": hist_rows, "epoch": epoch, "stopped": stopped})
+            if stopped is not None:
+                break
         history = local_frame(spark, hist_rows, "run_id string, epoch int, metric string, value double")
         return FitResult(MlpModel(p, best_w if best_w is not None else w, feats), MlpModel(p, w, feats),
                          history, best_ep, stopped, [float(a) for a in alpha])
 
 
+def _save_state(spark: SparkSession, path: str, run_id: str, epoch: int, tensors: dict, meta: dict) -> None:
+    """Appends one epoch's training state as parquet rows (model-sized)."""
+    rows = [(kind, name, list(np.shape(a)), [float(x) for x in np.asarray(a).ravel()], None)
+            for kind, d in tensors.items() for name, a in d.items()]
+    rows.append(("meta", "", [], [], json.dumps(meta)))
+    df = local_frame(spark, rows, "kind string, name string, shape array<int>, values array<double>, meta string")
+    (df.withColumn("run_id", F.lit(run_id)).withColumn("epoch", F.lit(epoch)).coalesce(1)
+     .write.mode("append").partitionBy("run_id", "epoch").parquet(path))
+
+
+def _load_state(spark: SparkSession, path: str, run_id: str):
+    """The last committed epoch state of a run, or None."""
+    from tabspark.sources.files import _exists
+    if not _exists(spark, path):
+        return None
+    df = spark.read.parquet(path).where(F.col("run_id") == run_id)
+    last = df.agg(F.max("epoch")).first()[0]
+    if last is None:
+        return None
+    tensors: dict = {}
+    meta = None
+    for r in df.where(F.col("epoch") == last).collect():  # one row per tensor
+        if r["kind"] == "meta":
+            meta = json.loads(r["meta"])
+        else:
+            tensors.setdefault(r["kind"], {})[r["name"]] = np.asarray(r["values"], dtype=np.float64).reshape(r["shape"])
+    return tensors, meta
+
+
 def fixed_model(features: list[str], params: MlpParams | None = None, seed: int = 42) -> MlpModel:
     """Untrained model with seeded Kaiming weights (deterministic scoring fixture)."""
     p = (params or MlpParams()).replace(input_size=len(features))

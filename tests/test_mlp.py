@@ -164,3 +164,19 @@ def test_one_partition_fit_equals_sequential_numpy(spark):
     for name in w:
         # pre-batch-norm biases have zero gradient: only ~1e-12 Adam noise differs there
         np.testing.assert_allclose(res.last.weights[name], w[name], rtol=1e-9, atol=1e-10)
+
+
+def test_resume_after_restart_equals_uninterrupted(spark, tmp_out):
+    rng = np.random.default_rng(9)
+    rows = [tuple(float(v) for v in rng.normal(size=3)) + (int(rng.integers(0, 2)),) for _ in range(120)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, label int")
+    feats = ["a", "b", "c"]
+    p = MlpParams(hidden_sizes=[5], max_epochs=4, patience=10, batch_size=16)
+    full = MlpClassifier(p, feats, "label", num_partitions=2).fit(df, df)
+    # "driver dies" after two epochs, then a new fit resumes from the shared folder
+    MlpClassifier(p.replace(max_epochs=2), feats, "label", num_partitions=2).fit(df, df, resume_dir=f"{tmp_out}/st")
+    resumed = MlpClassifier(p, feats, "label", num_partitions=2).fit(df, df, resume_dir=f"{tmp_out}/st")
+    for name in full.last.weights:
+        np.testing.assert_allclose(resumed.last.weights[name], full.last.weights[name], rtol=1e-12, atol=1e-15)
+    assert resumed.history.count() == full.history.count() == 4 * 11
+    assert resumed.best_epoch == full.best_epoch
