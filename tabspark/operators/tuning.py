@@ -19,7 +19,11 @@ from tabspark.operators.mlp_math import MlpParams
 
 
 def tune(train: DataFrame, val: DataFrame, features: list[str], label: str, base: MlpParams,
-         grid: list[dict], n_startup: int = 1, num_partitions: int | None = None):
+         grid: list[dict], n_startup: int = 1, num_partitions: int | None = None,
+         resume_dir: str | None = None):
+    """Runs the trials in order; with ``resume_dir`` every trial keeps its
+    per-epoch state there (run id ``trial-<i>``), so a restarted study
+    continues where it stopped."""
     spark = train.sparkSession
     finished: list[dict[int, float]] = []
     trials, histories = [], []
@@ -38,7 +42,7 @@ def tune(train: DataFrame, val: DataFrame, features: list[str], label: str, base
             return False
 
         res = MlpClassifier(params, features, label, num_partitions=num_partitions,
-                            run_id=f"trial-{t}").fit(train, val, on_epoch=on_epoch)
+                            run_id=f"trial-{t}").fit(train, val, on_epoch=on_epoch, resume_dir=resume_dir)
         hist = res.history
         histories.append(hist)
         vals = {r["epoch"]: r["value"] for r in hist.where("metric = 'val_f1'").collect()}  # <= max_epochs rows
