@@ -249,7 +249,7 @@ def q_fit_scaler(spark, sf):
 
 @query("scale_features")
 def q_scale_features(spark, sf):
-    sp = split_metrics(spark, sf).persist()
+    sp = split_metrics(spark, sf).checkpoint(eager=True)  # written once, re-read by the later passes
     model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
     out = model.transform(sp)
     return out.select("id", "split", LABEL, *[round4(col(c)).alias(c) for c in FEATURES])
@@ -440,7 +440,7 @@ def q_mlp_prediction_summary(spark, sf):
 
 
 def _fit(spark, sf, params: MlpParams, num_partitions=None, run_id="run"):
-    sp = split_metrics(spark, sf).persist()
+    sp = split_metrics(spark, sf).checkpoint(eager=True)  # written once, re-read by the later passes
     scaler = fitted_scaler(sp)
     scaled = scaler.transform(sp)
     clf = ML.MlpClassifier(params, FEATURES, LABEL, num_partitions=num_partitions, run_id=run_id)
@@ -559,7 +559,7 @@ def q_stream_requests(spark, sf):
 @query("mlp_tune")
 def q_mlp_tune(spark, sf):
     """Three short trials with median pruning; one row per trial."""
-    sp = split_metrics(spark, sf).persist()
+    sp = split_metrics(spark, sf).checkpoint(eager=True)  # written once, re-read by the later passes
     scaled = fitted_scaler(sp).transform(sp)
     grid = [{"learning_rate": 1e-3}, {"learning_rate": 1e-2, "hidden_sizes": [32, 16]},
             {"learning_rate": 1e-4, "dropout": 0.1}]
