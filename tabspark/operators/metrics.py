@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import nonzero, round4, zero_div
 from tabspark.operators.quantiles import exact_quantiles
 from tabspark.session import local_frame
@@ -141,5 +142,4 @@ def latency_summary(df: DataFrame, latency: str, batch_size: int = 1) -> DataFra
     out = local_frame(spark, row, "total_requests bigint, total_samples bigint, batch_size int, avg_latency double, "
                                      "p50_latency double, p95_latency double, p99_latency double, "
                                      "min_latency double, max_latency double, throughput double")
-    return out.select("total_requests", "total_samples", "batch_size",
-                      *[round4(F.col(c)).alias(c) for c in out.columns[3:]])
+    return Q.rounded_select(out, ["total_requests", "total_samples", "batch_size"], out.columns[3:])

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import nonzero, round4
 from tabspark.operators.quantiles import exact_quantiles, unpivot
 from tabspark.schema import col
@@ -53,18 +54,24 @@ def _missing(c: Column, dtype: T.DataType) -> Column:
     return c.isNull()
 
 
+def _missing_sql(name: str, dtype: T.DataType) -> str:
+    c = Q.ident(name)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"{c} IS NULL"
+
+
 def missing_profile(df: DataFrame, only_missing: bool = False) -> DataFrame:
     """Missing count and percent per column in one aggregate pass (A3)."""
-    aggs = [F.sum(F.when(_missing(col(f.name), f.dataType), 1).otherwise(0)).cast("bigint").alias(f"m{i}")
-            for i, f in enumerate(df.schema.fields)]
-    one = df.agg(F.count(F.lit(1)).alias("__n"), *aggs)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(f.name).alias("column_name"), F.col(f"m{i}").alias("missing"))
-        for i, f in enumerate(df.schema.fields)]))
-    out = one.select(F.col("__n"), stack.alias("s")).select(
-        F.col("s.column_name").alias("column_name"),
-        F.col("s.missing").alias("missing"),
-        round4(F.col("s.missing") * 100.0 / nonzero(F.col("__n"))).alias("missing_pct"))
+    fields = df.schema.fields
+    aggs = [f"CAST(sum(CASE WHEN {_missing_sql(f.name, f.dataType)} THEN 1 ELSE 0 END) AS BIGINT) AS m{i}"
+            for i, f in enumerate(fields)]
+    one = df.selectExpr("count(1) AS __n", *aggs)
+    stack = "explode(array(" + ", ".join(
+        f"named_struct('column_name', {Q.str_lit(f.name)}, 'missing', m{i})" for i, f in enumerate(fields)) + ")) AS s"
+    out = one.selectExpr("__n", stack).selectExpr(
+        "s.column_name AS column_name", "s.missing AS missing",
+        Q.round4("s.missing * 100.0D / nullif(__n, 0)") + " AS missing_pct")
     return out.where(F.col("missing") > 0) if only_missing else out
 
 
@@ -73,11 +80,11 @@ def moments(df: DataFrame, features: list[str]) -> dict[str, dict]:
     """count/mean/std/var/min/max per feature in one aggregate (driver gets 6 x width numbers)."""
     aggs = []
     for i, f in enumerate(features):
-        c = F.when(~F.isnan(col(f).cast("double")), col(f).cast("double"))
-        aggs += [F.count(c).alias(f"c{i}"), F.avg(c).alias(f"a{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.var_samp(c).alias(f"v{i}"), F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
-                 F.stddev_pop(c).alias(f"sp{i}")]
-    r = df.agg(*aggs).first()
+        c = Q.num(f)
+        aggs += [f"count({c}) AS c{i}", f"avg({c}) AS a{i}", f"stddev_samp({c}) AS s{i}",
+                 f"var_samp({c}) AS v{i}", f"min({c}) AS lo{i}", f"max({c}) AS hi{i}",
+                 f"stddev_pop({c}) AS sp{i}"]
+    r = df.selectExpr(*aggs).first()  # a global aggregate: SQL text, one parse
     return {f: dict(count=r[f"c{i}"], mean=r[f"a{i}"], std=r[f"s{i}"], var=r[f"v{i}"],
                     min=r[f"lo{i}"], max=r[f"hi{i}"], std_pop=r[f"sp{i}"])
             for i, f in enumerate(features)}
@@ -100,8 +107,7 @@ def describe_numeric(df: DataFrame, features: list[str], exact: bool = True) ->
         rows.append((f, int(s["count"]), s["mean"], s["std"], s["min"], q[0], q[1], q[2], s["max"]))
     out = _small_frame(spark, rows, "feature string, count bigint, mean double, std double, min double, "
                                     "q25 double, q50 double, q75 double, max double")
-    return out.select("feature", "count", *[round4(F.col(c)).alias(c) for c in
-                                            ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+    return Q.rounded_select(out, ["feature", "count"], ["mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
 def _quantiles(df: DataFrame, features: list[str], probs: list[float], by: str | None = None,
@@ -185,9 +191,8 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     spark = df.sparkSession
     means = moments(df, columns)
     shift = {c: (means[c]["mean"] or 0.0) for c in columns}
-    wide = df.select(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double"))
-                       .otherwise(F.lit(float("nan"))).alias(f"x{i}") for i, c in enumerate(columns)])
-    wide = wide.select(*[F.coalesce(F.col(f"x{i}"), F.lit(float("nan"))).alias(f"x{i}") for i in range(len(columns))])
+    # missing (null or NaN) travels to the NumPy fold as NaN
+    wide = df.selectExpr(*[f"coalesce({Q.num(c)}, CAST('NaN' AS DOUBLE)) AS x{i}" for i, c in enumerate(columns)])
     parts = wide.mapInArrow(_gram_partials([f"x{i}" for i in range(len(columns))],
                                            {f"x{i}": shift[c] for i, c in enumerate(columns)}),
                             "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
@@ -247,14 +252,14 @@ def outlier_profile(df: DataFrame, features: list[str], k: float = 1.5, exact: b
     """
     spark = df.sparkSession
     b = iqr_bounds(df, features, k, exact)
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    aggs = ["count(1) AS __n"]
     for i, f in enumerate(features):
         if f not in b:
             continue
-        c = col(f).cast("double")
-        aggs += [F.sum(F.when(outlier_mask(c, b[f][2], b[f][3]), 1).otherwise(0)).alias(f"o{i}"),
-                 F.min(c).alias(f"mn{i}"), F.max(c).alias(f"mx{i}")]
-    r = df.agg(*aggs).first()
+        c = Q.as_double(f)
+        aggs += [f"sum(CASE WHEN {c} < {Q.dbl(b[f][2])} OR {c} > {Q.dbl(b[f][3])} THEN 1 ELSE 0 END) AS o{i}",
+                 f"min({c}) AS mn{i}", f"max({c}) AS mx{i}"]
+    r = df.selectExpr(*aggs).first()
     n = r["__n"]
     rows = []
     for i, f in enumerate(features):
@@ -265,8 +270,8 @@ def outlier_profile(df: DataFrame, features: list[str], k: float = 1.5, exact: b
             rows.append((f, cnt, cnt * 100.0 / n, r[f"mn{i}"], r[f"mx{i}"], b[f][2], b[f][3]))
     out = _small_frame(spark, rows, "feature string, outlier_count bigint, outlier_pct double, min double, "
                                     "max double, lower_bound double, upper_bound double")
-    return out.select("feature", "outlier_count",
-                      *[round4(F.col(c)).alias(c) for c in ["outlier_pct", "min", "max", "lower_bound", "upper_bound"]])
+    return Q.rounded_select(out, ["feature", "outlier_count"],
+                            ["outlier_pct", "min", "max", "lower_bound", "upper_bound"])
 
 
 def top_outliers(df: DataFrame, features: list[str], n: int = 5, k: float = 1.5) -> DataFrame:

@@ -189,7 +189,8 @@ def unpivot(df: DataFrame, columns: list[str], id_cols: list[str] | None = None,
     """Long (feature, value) view of numeric columns; one generate step, no shuffle."""
     from tabspark.schema import col
     ids = id_cols or []
-    wide = df.select(*[col(c) for c in ids], *[col(c).cast("double").alias(c) for c in columns])
+    from tabspark.functions import sqltext as Q
+    wide = df.selectExpr(*[Q.ident(c) for c in ids], *[f"{Q.as_double(c)} AS {Q.ident(c)}" for c in columns])
     return wide.unpivot([col(c) for c in ids] if ids else [], [col(c) for c in columns], name, value)
 
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabspark.schema import col
+from tabspark.functions import sqltext as Q
 
 
 @dataclass
@@ -22,12 +22,11 @@ class ScalerModel:
     scale: dict[str, float] = field(default_factory=dict)
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
-        exprs = {f + suffix: ((col(f).cast("double") - F.lit(self.mean[f])) / F.lit(self.scale[f]))
+        exprs = {f + suffix: f"({Q.as_double(f)} - {Q.dbl(self.mean[f])}) / {Q.dbl(self.scale[f])}"
                  for f in self.features}
-        if suffix:
-            return df.withColumns(exprs)
-        rest = [col(c) for c in df.columns if c not in set(self.features)]
-        return df.select(*rest, *[e.alias(f) for f, e in exprs.items()])
+        # untouched columns first, scaled ones after (replaced in place of nothing)
+        rest = [Q.ident(c) for c in df.columns if c not in exprs]
+        return df.selectExpr(*rest, *[f"{e} AS {Q.ident(f)}" for f, e in exprs.items()])
 
     def params(self, spark: SparkSession) -> DataFrame:
         from tabspark.session import local_frame
@@ -62,9 +61,9 @@ def fit_scaler(train: DataFrame, features: list[str]) -> ScalerModel:
     """Mean and population std per feature in one aggregate."""
     aggs = []
     for i, f in enumerate(features):
-        c = col(f).cast("double")
-        aggs += [F.avg(c).alias(f"m{i}"), F.stddev_pop(c).alias(f"s{i}")]
-    r = train.agg(*aggs).first()
+        c = Q.as_double(f)
+        aggs += [f"avg({c}) AS m{i}", f"stddev_pop({c}) AS s{i}"]
+    r = train.selectExpr(*aggs).first()
     mean, scale = {}, {}
     for i, f in enumerate(features):
         mean[f] = r[f"m{i}"] if r[f"m{i}"] is not None else 0.0

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspark.functions.arrays import argmax, confidence, with_softmax
+from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import round4
 from tabspark.operators import history as H
 from tabspark.operators import metrics as M
@@ -252,7 +253,7 @@ def q_scale_features(spark, sf):
     sp = split_metrics(spark, sf).checkpoint(eager=True)  # written once, re-read by the later passes
     model = fit_scaler(sp.where(F.col("split") == "train"), FEATURES)
     out = model.transform(sp)
-    return out.select("id", "split", LABEL, *[round4(col(c)).alias(c) for c in FEATURES])
+    return Q.rounded_select(out, ["id", "split", LABEL], FEATURES)
 
 
 # ------------------------------------------------------------------ scalar functions, metrics
@@ -466,7 +467,8 @@ def _request_key():
 
 
 def _round_features(df, extra=()):
-    return df.select(*extra, *[round4(col(c)).alias(c) for c in FEATURES])
+    """``extra`` as SQL select items, then the 21 features display-rounded."""
+    return df.selectExpr(*extra, *[f"{Q.round4(Q.ident(c))} AS {Q.ident(c)}" for c in FEATURES])
 
 
 @query("request_explode")
@@ -474,7 +476,7 @@ def q_request_explode(spark, sf):
     """Named-sample JSON payloads (aliases v_g/ev_g/iv_g) → one feature row per sample."""
     payloads = RQ.features_to_samples(prepared_metrics(spark, sf), _request_key())
     rows = RQ.samples_to_features(payloads, "payload", ["request_id"])
-    return _round_features(rows, [F.col("request_id"), F.col("sample_id").alias("id")])
+    return _round_features(rows, ["request_id", "sample_id AS id"])
 
 
 @query("request_inputs")
@@ -482,14 +484,14 @@ def q_request_inputs(spark, sf):
     """Positional JSON payloads → feature rows with a width check."""
     payloads = RQ.features_to_inputs(prepared_metrics(spark, sf), _request_key())
     rows = RQ.inputs_to_features(payloads, "payload", ["request_id"])
-    return _round_features(rows, [F.col("request_id"), F.col("pos").cast("int").alias("pos"), F.col("width_ok")])
+    return _round_features(rows, ["request_id", "CAST(pos AS INT) AS pos", "width_ok"])
 
 
 @query("align_features")
 def q_align_features(spark, sf):
     """Alias names and two absent features (e, t) aligned to the model order."""
     f = metrics_frame(spark, sf).withColumnsRenamed({"v(g)": "v_g", "iv(g)": "iv_g"}).drop("e", "t")
-    return _round_features(align_features(f), [F.col("id")])
+    return _round_features(align_features(f), ["id"])
 
 
 @query("width_check")
@@ -511,7 +513,7 @@ def q_csv_roundtrip(spark, sf):
     path = scratch_path(spark, "metrics-csv")
     IO.write_metrics_csv(metrics_frame(spark, sf), path)
     back = IO.read_metrics(spark, path, DEFECT_SCHEMA)
-    return _round_features(back, [F.col("id"), F.col(TARGET)])
+    return _round_features(back, ["id", Q.ident(TARGET)])
 
 
 @query("split_sink")
