@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tabspark.operators import mlp_math as MM
 from tabspark.operators.mlp_math import MlpParams
+from tabspark.functions import sqltext as Q
 from tabspark.schema import col
 from tabspark.session import local_frame
 
@@ -70,22 +71,23 @@ class MlpModel:
 
     def score_column(self, spark: SparkSession) -> Column:
         udf = F.pandas_udf(_score_fn(self.params, self._broadcast(spark)), _score_type(self.params.num_classes))
-        return udf(*[col(f).cast("float") for f in self.features])
+        return udf(*[F.expr(f"CAST({Q.ident(f)} AS FLOAT)") for f in self.features])
 
     def transform(self, df: DataFrame, output: str = "predictions") -> DataFrame:
         """Adds logits, probabilities, prediction, is_defect, defect_probability,
         confidence (ML9) or ``logits`` only (ML11)."""
         k = self.params.num_classes
         s = df.withColumn("__s", self.score_column(df.sparkSession))
-        logits = F.array(*[F.col(f"__s.z{j}") for j in range(k)])
+        # arrays are assembled on the JVM from the UDF's scalar fields
+        logits = "array(" + ", ".join(f"__s.z{j}" for j in range(k)) + ") AS logits"
+        keep = [Q.ident(c) for c in df.columns]
         if output == "logits":
-            return s.withColumn("logits", logits).drop("__s")
-        pos = F.col("__s.p1") if k > 1 else F.col("__s.p0")
-        return s.select(*[col(c) for c in df.columns], logits.alias("logits"),
-                        F.array(*[F.col(f"__s.p{j}") for j in range(k)]).alias("probabilities"),
-                        F.col("__s.prediction").alias("prediction"),
-                        (F.col("__s.prediction") == 1).alias("is_defect"),
-                        pos.alias("defect_probability"), F.col("__s.confidence").alias("confidence"))
+            return s.selectExpr(*keep, logits)
+        pos = "__s.p1" if k > 1 else "__s.p0"
+        return s.selectExpr(*keep, logits,
+                            "array(" + ", ".join(f"__s.p{j}" for j in range(k)) + ") AS probabilities",
+                            "__s.prediction AS prediction", "(__s.prediction = 1) AS is_defect",
+                            f"{pos} AS defect_probability", "__s.confidence AS confidence")
 
     # -------------------------------------------------------------- persistence
     def write(self, spark: SparkSession, path: str) -> None:
@@ -184,8 +186,8 @@ class FitResult:
 
 def _model_frame(df: DataFrame, features: list[str], label: str) -> DataFrame:
     # float32 at the model edge
-    return df.select(*[col(f).cast("float").alias(f"x{i}") for i, f in enumerate(features)],
-                     F.col(label).cast("int").alias("y")).where(F.col("y").isNotNull())
+    return df.selectExpr(*[f"CAST({Q.ident(f)} AS FLOAT) AS x{i}" for i, f in enumerate(features)],
+                         f"CAST({Q.ident(label)} AS INT) AS y").where("y IS NOT NULL")
 
 
 class MlpClassifier:

@@ -419,8 +419,9 @@ def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: f
         F.first("q1").alias("q1"), F.first("median").alias("median"), F.first("q3").alias("q3"),
         F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("bigint").alias("n_fliers"))
-    return agg.select(*keys, *[round4(F.col(c)).alias(c) for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
-                      "n_fliers")
+    return agg.selectExpr(*[Q.ident(c) for c in keys],
+                          *[f"{Q.round4(c)} AS {c}" for c in ["q1", "median", "q3", "whisker_lo", "whisker_hi"]],
+                          "n_fliers")
 
 
 # ---------------------------------------------------------------- A22
