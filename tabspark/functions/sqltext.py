@@ -49,3 +49,16 @@ def rounded_select(df, keep: list[str], cols: list[str], digits: int = 4):
     """``df`` projected to ``keep`` as they are plus ``cols`` display-rounded, in one parse."""
     return df.selectExpr(*[ident(c) for c in keep],
                          *[f"{round4(ident(c), digits)} AS {ident(c)}" for c in cols])
+
+
+def lit(v) -> str:
+    """SQL literal of a Python scalar (bool, int, float, str, None)."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return dbl(v)
+    return str_lit(str(v))

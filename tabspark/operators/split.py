@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabspark.functions import sqltext as Q
+
 def approximate_mode(counts: dict, n_draws: int) -> dict:
     """Largest-remainder allocation of ``n_draws`` proportional to ``counts``."""
     total = sum(counts.values())
@@ -142,46 +144,41 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
     found = _find_cuts(data, label, key, cuts, start, max_rank_rows)
 
     lab = F.col(label)
+    lab_sql = Q.ident(label)
+    key_sql = f"md5(concat({Q.str_lit(f'{seed}:')}, CAST({Q.ident(id_col)} AS STRING)))"
 
     def cmp(prefix: str):
-        return F.substring(key, 1, len(prefix)), F.lit(prefix)
+        return f"substring({key_sql}, 1, {len(prefix)})", Q.str_lit(prefix)
 
-    direct = None
-    straddle = None
+    # rows outside the straddling prefixes: split from literal prefix comparisons
+    direct, straddle = [], []
     for c, q in quotas.items():
-        is_c = lab == F.lit(c)
-        t_p = found[(c, q.test)][0]
-        v_p = found[(c, q.test + q.val)][0]
-        kt, lt = cmp(t_p)
-        kv, lv = cmp(v_p)
-        s = (F.when(kt < lt, "test")
-             .when((kt > lt) & (kv < lv), "val")
-             .when((kt > lt) & (kv > lv), "train"))
-        direct = F.when(is_c, s) if direct is None else direct.when(is_c, s)
-        st = is_c & ((kt == lt) | (kv == lv))
-        straddle = st if straddle is None else (straddle | st)
-
-    plain = data.where(~straddle).withColumn(split_col, direct)
+        is_c = f"{lab_sql} = {Q.lit(c)}"
+        kt, lt = cmp(found[(c, q.test)][0])
+        kv, lv = cmp(found[(c, q.test + q.val)][0])
+        direct.append(f"WHEN {is_c} THEN CASE WHEN {kt} < {lt} THEN 'test' "
+                      f"WHEN {kt} > {lt} AND {kv} < {lv} THEN 'val' "
+                      f"WHEN {kt} > {lt} AND {kv} > {lv} THEN 'train' END")
+        straddle.append(f"({is_c} AND ({kt} = {lt} OR {kv} = {lv}))")
+    straddle_sql = " OR ".join(straddle)
+    plain = data.where(f"NOT ({straddle_sql})").withColumn(split_col, F.expr("CASE " + " ".join(direct) + " END"))
 
     # rows in straddling prefixes: rank inside (class, prefix), offset by the rows before it
     groups = {}
     for (c, cut), (p, before, _) in found.items():
         groups.setdefault((c, p), before)
-    gexpr = None
-    for (c, p), before in groups.items():
-        e = (lab == F.lit(c)) & (F.substring(key, 1, len(p)) == F.lit(p))
-        gexpr = F.when(e, F.lit(f"{p}")) if gexpr is None else gexpr.when(e, F.lit(f"{p}"))
-    tagged = data.where(straddle).withColumn("__g", gexpr)
+    tag = " ".join(f"WHEN {lab_sql} = {Q.lit(c)} AND {cmp(p)[0]} = {Q.str_lit(p)} THEN {Q.str_lit(p)}"
+                   for (c, p) in groups)
+    tagged = data.where(straddle_sql).withColumn("__g", F.expr(f"CASE {tag} END"))
     w = Window.partitionBy(lab, F.col("__g")).orderBy(key, F.col(id_col))  # <= max_rank_rows rows each
     ranked = tagged.withColumn("__r", F.row_number().over(w) - 1)
-    rank = None
+    rank = []
     for (c, p), before in groups.items():
         q = quotas[c]
-        cond = (lab == F.lit(c)) & (F.col("__g") == F.lit(p))
-        pos = F.col("__r") + F.lit(before)
-        e = F.when(pos < q.test, "test").when(pos < q.test + q.val, "val").otherwise("train")
-        rank = F.when(cond, e) if rank is None else rank.when(cond, e)
-    edge = ranked.withColumn(split_col, rank).drop("__g", "__r")
+        pos = f"(CAST(__r AS BIGINT) + {int(before)})"
+        rank.append(f"WHEN {lab_sql} = {Q.lit(c)} AND __g = {Q.str_lit(p)} THEN CASE WHEN {pos} < {q.test} THEN 'test' "
+                    f"WHEN {pos} < {q.test + q.val} THEN 'val' ELSE 'train' END")
+    edge = ranked.withColumn(split_col, F.expr("CASE " + " ".join(rank) + " END")).drop("__g", "__r")
     return plain.unionByName(edge)
 
 
