@@ -285,13 +285,9 @@ def outlier_rows(df: DataFrame, features: list[str], id_col: str, k: float = 1.5
     generate, bounds inlined as literals."""
     b = iqr_bounds(df, features, k)
     long_df = unpivot(df, [f for f in features if f in b], [id_col])
-    cond = None
-    for f, (_, _, lo, hi) in b.items():
-        c = (F.col("feature") == f) & outlier_mask(F.col("value"), lo, hi)
-        cond = c if cond is None else (cond | c)
-    if cond is None:
-        cond = F.lit(False)
-    return long_df.where(cond).select(col(id_col), "feature", round4(F.col("value")).alias("value"))
+    cond = " OR ".join(f"(feature = {Q.str_lit(f)} AND (value < {Q.dbl(lo)} OR value > {Q.dbl(hi)}))"
+                       for f, (_, _, lo, hi) in b.items()) or "FALSE"
+    return long_df.where(cond).selectExpr(Q.ident(id_col), "feature", Q.round4("value") + " AS value")
 
 
 # ---------------------------------------------------------------- A10, A11
@@ -321,19 +317,19 @@ def histograms(df: DataFrame, features: list[str], bins: int = 30, m: dict | Non
         return _small_frame(spark, [], "feature string, bin int, bin_lo double, bin_hi double, n bigint, "
                                        "mean double, std double")
     span = {f: (m[f]["max"] - m[f]["min"]) for f in lo}
-    mn_of = F.element_at(F.create_map(*[x for f in lo for x in (F.lit(f), F.lit(lo[f]))]), F.col("feature"))
-    sp_of = F.element_at(F.create_map(*[x for f in lo for x in (F.lit(f), F.lit(span[f]))]), F.col("feature"))
-    b = F.when(sp_of > 0, F.least(F.floor((F.col("value") - mn_of) / sp_of * F.lit(bins)), F.lit(bins - 1))) \
-        .otherwise(F.lit(0)).cast("int")
-    counts = long_df.groupBy("feature", b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    mn_of = "element_at(map(" + ", ".join(f"{Q.str_lit(f)}, {Q.dbl(lo[f])}" for f in lo) + "), feature)"
+    sp_of = "element_at(map(" + ", ".join(f"{Q.str_lit(f)}, {Q.dbl(span[f])}" for f in lo) + "), feature)"
+    b = (f"CAST(CASE WHEN {sp_of} > 0 THEN least(floor((value - {mn_of}) / {sp_of} * {bins}), {bins - 1}) "
+         f"ELSE 0 END AS INT)")
+    counts = long_df.groupBy(F.col("feature"), F.expr(b).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = _small_frame(spark, [(f, i, lo[f] + i * (span[f] / bins), lo[f] + (i + 1) * (span[f] / bins),
                                  m[f]["mean"], m[f]["std"]) for f in lo for i in range(bins)],
                         "feature string, bin int, bin_lo double, bin_hi double, mean double, std double")
     # grid holds features x bins rows: bounded
     out = grid.join(counts, ["feature", "bin"], "left")
-    return out.select("feature", "bin", round4(F.col("bin_lo")).alias("bin_lo"), round4(F.col("bin_hi")).alias("bin_hi"),
-                      F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"),
-                      round4(F.col("mean")).alias("mean"), round4(F.col("std")).alias("std"))
+    return out.selectExpr("feature", "bin", Q.round4("bin_lo") + " AS bin_lo", Q.round4("bin_hi") + " AS bin_hi",
+                          "CAST(coalesce(n, 0) AS BIGINT) AS n",
+                          Q.round4("mean") + " AS mean", Q.round4("std") + " AS std")
 
 
 def _kde_multi_partials(grids: np.ndarray, hs: np.ndarray):
@@ -371,15 +367,16 @@ def kdes(df: DataFrame, features: list[str], points: int = 200, bins: int = 30,
         grids.append([mn + (mx - mn) * i / (points - 1) for i in range(points)])
         hs.append(h)
         scales.append(1.0 / (n * h * math.sqrt(2 * math.pi)) * n * ((mx - mn) / bins))
-    wide = df.select(*[F.coalesce(col(f).cast("double"), F.lit(float("nan"))).alias(f"x{j}") for j, f in enumerate(use)])
+    wide = df.selectExpr(*[f"coalesce({Q.as_double(f)}, CAST('NaN' AS DOUBLE)) AS x{j}" for j, f in enumerate(use)])
     parts = wide.mapInArrow(_kde_multi_partials(np.asarray(grids), np.asarray(hs)), "f int, point int, k double")
     sums = parts.groupBy("f", "point").agg(F.sum("k").alias("k"))
-    names = F.array(*[F.lit(f) for f in use])
-    xs = F.array(*[F.lit(g) for grid in grids for g in grid])
-    sc = F.array(*[F.lit(x) for x in scales])
-    return sums.select(F.element_at(names, F.col("f") + 1).alias("feature"), F.col("point"),
-                       round4(F.element_at(xs, F.col("f") * points + F.col("point") + 1)).alias("x"),
-                       round4(F.col("k") * F.element_at(sc, F.col("f") + 1)).alias("density_count"))
+    # grid points and scales as array literals (features x points values: bounded)
+    names = "array(" + ", ".join(Q.str_lit(f) for f in use) + ")"
+    xs = "array(" + ", ".join(Q.dbl(g) for grid in grids for g in grid) + ")"
+    sc = "array(" + ", ".join(Q.dbl(x) for x in scales) + ")"
+    return sums.selectExpr(f"element_at({names}, f + 1) AS feature", "point",
+                           Q.round4(f"element_at({xs}, f * {points} + point + 1)") + " AS x",
+                           Q.round4(f"k * element_at({sc}, f + 1)") + " AS density_count")
 
 
 def top_variance_features(df: DataFrame, features: list[str], n: int = 10, m: dict | None = None) -> list[str]:
