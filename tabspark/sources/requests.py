@@ -13,18 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabspark.functions import sqltext as Q
 from tabspark.schema import ALIASES, FEATURES, col
 
 SAMPLES_SCHEMA = T.StructType([T.StructField("samples", T.ArrayType(T.MapType(T.StringType(), T.DoubleType())))])
 INPUTS_SCHEMA = T.StructType([T.StructField("inputs", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
 
-def _named(m, name: str):
+def _named(m: str, name: str) -> str:
+    """SQL: the value under ``name`` (or its alias) in map ``m``, 0.0 when absent."""
     alias = {v: k for k, v in ALIASES.items()}.get(name)
-    v = F.element_at(m, F.lit(name))
+    vals = [f"element_at({m}, {Q.str_lit(name)})"]
     if alias:
-        v = F.coalesce(v, F.element_at(m, F.lit(alias)))
-    return F.coalesce(v, F.lit(0.0))
+        vals.append(f"element_at({m}, {Q.str_lit(alias)})")
+    return "coalesce(" + ", ".join(vals) + ", 0.0D)"
 
 
 def samples_to_features(df: DataFrame, payload: str, keep: list[str] | None = None,
@@ -33,9 +35,9 @@ def samples_to_features(df: DataFrame, payload: str, keep: list[str] | None = No
     keep = keep or []
     parsed = df.select(*[col(k) for k in keep], F.from_json(F.col(payload), SAMPLES_SCHEMA).alias("__p"))
     ex = parsed.select(*[col(k) for k in keep], F.posexplode(F.col("__p.samples")).alias("pos", "__m"))
-    return ex.select(*[col(k) for k in keep], "pos",
-                     *[_named(F.col("__m"), f).alias(f) for f in features],
-                     F.element_at(F.col("__m"), F.lit("id")).cast("bigint").alias("sample_id"))
+    return ex.selectExpr(*[Q.ident(k) for k in keep], "pos",
+                         *[f"{_named('__m', f)} AS {Q.ident(f)}" for f in features],
+                         "CAST(element_at(__m, 'id') AS BIGINT) AS sample_id")
 
 
 def inputs_to_features(df: DataFrame, payload: str, keep: list[str] | None = None,
@@ -45,10 +47,10 @@ def inputs_to_features(df: DataFrame, payload: str, keep: list[str] | None = Non
     parsed = df.select(*[col(k) for k in keep], F.from_json(F.col(payload), INPUTS_SCHEMA).alias("__p"))
     ex = parsed.select(*[col(k) for k in keep], F.posexplode(F.col("__p.inputs")).alias("pos", "__a"))
     w = len(features)
-    return ex.select(*[col(k) for k in keep], "pos",
-                     *[F.coalesce(F.try_element_at(F.col("__a"), F.lit(i + 1)), F.lit(0.0)).alias(f)
-                       for i, f in enumerate(features)],
-                     (F.size(F.col("__a")) == w).alias("width_ok"))
+    return ex.selectExpr(*[Q.ident(k) for k in keep], "pos",
+                         *[f"coalesce(try_element_at(__a, {i + 1}), 0.0D) AS {Q.ident(f)}"
+                           for i, f in enumerate(features)],
+                         f"(size(__a) = {w}) AS width_ok")
 
 
 def features_to_samples(df: DataFrame, request_key, features=FEATURES, id_col: str = "id",
@@ -56,16 +58,14 @@ def features_to_samples(df: DataFrame, request_key, features=FEATURES, id_col: s
     """Builds named-sample payloads from feature rows, grouped by ``request_key``
     (a bounded number of rows per request)."""
     rev = {v: k for k, v in ALIASES.items()} if use_aliases else {}
-    pairs = [F.lit("id"), col(id_col).cast("double")]
-    for f in features:
-        pairs += [F.lit(rev.get(f, f)), col(f).cast("double")]
-    sample = F.create_map(*pairs)
+    pairs = [f"'id', {Q.as_double(id_col)}"] + [f"{Q.str_lit(rev.get(f, f))}, {Q.as_double(f)}" for f in features]
+    sample = F.expr("map(" + ", ".join(pairs) + ")")
     return (df.groupBy(request_key.alias("request_id"))
             .agg(F.to_json(F.struct(F.collect_list(sample).alias("samples"))).alias("payload")))
 
 
 def features_to_inputs(df: DataFrame, request_key, features=FEATURES, id_col: str = "id") -> DataFrame:
-    arr = F.array(*[col(f).cast("double") for f in features])
+    arr = F.expr("array(" + ", ".join(Q.as_double(f) for f in features) + ")")
     return (df.groupBy(request_key.alias("request_id"))
             .agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct(col(id_col).alias("k"), arr.alias("a")))),
                                                 lambda s: s["a"]).alias("inputs"))).alias("payload")))
