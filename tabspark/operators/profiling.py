@@ -197,19 +197,20 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
                                            {f"x{i}": shift[c] for i, c in enumerate(columns)}),
                             "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
     s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
-    n = nonzero(F.col("n"))
-    cov = F.col("sxy") / n - (F.col("sx") / n) * (F.col("sy") / n)
-    vx = F.col("sxx") / n - (F.col("sx") / n) * (F.col("sx") / n)
-    vy = F.col("syy") / n - (F.col("sy") / n) * (F.col("sy") / n)
-    den = F.sqrt(F.greatest(vx, F.lit(0.0))) * F.sqrt(F.greatest(vy, F.lit(0.0)))
-    names = F.array(*[F.lit(c) for c in columns])
+    n = "nullif(n, 0)"
+    cov = f"(sxy / {n} - (sx / {n}) * (sy / {n}))"
+    vx = f"(sxx / {n} - (sx / {n}) * (sx / {n}))"
+    vy = f"(syy / {n} - (sy / {n}) * (sy / {n}))"
+    den = f"(sqrt(greatest({vx}, 0.0D)) * sqrt(greatest({vy}, 0.0D)))"
+    names = "array(" + ", ".join(Q.str_lit(c) for c in columns) + ")"
     const = [i for i, c in enumerate(columns) if means[c]["min"] is None or means[c]["min"] == means[c]["max"]]
-    is_const = F.col("i").isin(const) | F.col("j").isin(const) if const else F.lit(False)
+    is_const = (f"(i IN ({', '.join(map(str, const))}) OR j IN ({', '.join(map(str, const))}))"
+                if const else "FALSE")
     # constant columns give null (population std 0), never rounding noise
-    corr = F.when(~is_const, F.least(F.greatest(cov / nonzero(den), F.lit(-1.0)), F.lit(1.0)))
-    return s.select(F.element_at(names, F.col("i") + 1).alias("feature_a"),
-                    F.element_at(names, F.col("j") + 1).alias("feature_b"),
-                    round4(corr).alias("corr"))
+    corr = f"CASE WHEN NOT {is_const} THEN least(greatest({cov} / nullif({den}, 0), -1.0D), 1.0D) END"
+    return s.selectExpr(f"element_at({names}, i + 1) AS feature_a",
+                        f"element_at({names}, j + 1) AS feature_b",
+                        f"{Q.round4(corr)} AS corr")
 
 
 def target_correlation(df: DataFrame, features: list[str], label: str) -> DataFrame:
