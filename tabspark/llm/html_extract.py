@@ -3,7 +3,7 @@
 Pages are parsed into text blocks without furniture (menus, footers, adverts, forms, comments ...).  The
 token streams of a host's pages form its suffix array: suffixes are ordered by their first ``DEPTH`` tokens,
 and equal neighbours from distinct pages are long repeated substrings.  Suffixes are sampled by content
-(the smallest hash of ``EVERY`` neighbours, and every block's start), so that a substring of
+(the smallest hash of ``EVERY`` neighbours, and every block's first and last), so that a substring of
 ``DEPTH + EVERY - 1`` tokens has the same sampled suffixes on each page.  The array is dealt over the cluster by (host,
 prefix), with counts made before the shuffle, so a large host is many groups.
 
@@ -124,6 +124,7 @@ class Tokens:
         h = mix(Sums(line).hashes(start, size) + size.astype(np.uint64)) if n else np.zeros(0, dtype=np.uint64)
         pick = np.zeros(n, dtype=bool)
         pick[first[:-1]] = True
+        pick[np.maximum(first[1:] - DEPTH, first[:-1])] = True  # the last full prefix of a block
         if n >= EVERY:
             low = slide(h, EVERY, np.minimum)
             pad = np.zeros(EVERY - 1, dtype=np.uint64)
@@ -143,21 +144,22 @@ class Tokens:
 
 
 def _suffixes(batches):
-    """(host, g, id, th, body): the distinct sampled suffixes of each page; body: one is outside an article."""
+    """(host, g, th, body): the distinct sampled suffixes of each page; body: one is outside an article."""
     for batch in batches:
-        out = [[], [], [], [], []]
-        for i, th, host, page in zip(*(batch.column(k).to_pylist() for k in range(4))):
+        out = [[], [], [], []]
+        for th, host, page in zip(*(batch.column(k).to_pylist() for k in range(3))):
             found = blocks(page)
+            if not found:
+                continue
             t = Tokens(found)
-            outside = np.array([not m for m, _ in found], dtype=bool)[t.block[t.at]] if found else np.zeros(0, dtype=bool)
+            outside = np.array([not m for m, _ in found], dtype=np.int32)[t.block[t.at]]
             g, inv = np.unique(t.hash, return_inverse=True)
             body = np.zeros(len(g), dtype=np.int32)
-            np.maximum.at(body, inv, outside.astype(np.int32))
-            for k, x in enumerate((np.full(len(g), host, dtype=np.int64), g.view(np.int64), np.full(len(g), i if i is not None else -1, dtype=np.int64),
-                                   np.full(len(g), th, dtype=np.int64), body)):
+            np.maximum.at(body, inv, outside)
+            for k, x in enumerate((np.full(len(g), host, dtype=np.int64), g.view(np.int64), np.full(len(g), th, dtype=np.int64), body)):
                 out[k].append(x)
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["host", "g", "id", "th", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["host", "g", "th", "body"])
 
 
 def clean(found: list[tuple[bool, str]], outside, inside) -> list[str]:
@@ -189,22 +191,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per row of ``pages``: ``id_col``, ``url_col``, ``text`` (empty if there is none) and ``n_chars``.
 
     ``id_col`` is an integer.  A null or empty page has an empty text.  A null URL belongs to the host ''.
-    Repeated rows (one id, one page) are one page to the suffix array and get equal texts.  Empty tables give empty
-    results.  Other columns are not read.
+    Equal pages of a host, repeated rows among them, are one page to the suffix array and get equal texts.  Empty
+    tables give empty results.  Other columns are not read.
     """
     d = parts(pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("page")), "url")
     d = d.select("id", "url", "page", F.expr("xxhash64(host)").alias("hh"), F.expr("xxhash64(page)").alias("th"))
-    suffix = d.select("id", "th", "hh", "page").mapInArrow(_suffixes, "host bigint, g bigint, id bigint, th bigint, body int")
-    many = (suffix.groupBy("host", "g").agg(F.count("*").alias("n"), F.max("body").alias("body"))
+    suffix = d.select("th", "hh", "page").mapInArrow(_suffixes, "host bigint, g bigint, th bigint, body int")
+    many = (suffix.groupBy("host", "g").agg(F.count_distinct("th").alias("n"), F.max("body").alias("body"))
             .where(f"(n >= 2 AND body = 1) OR n >= {MAIN_PAGES}"))
-    hosts = d.groupBy(F.col("hh").alias("host")).agg(F.count("*").alias("pages"))
+    hosts = d.groupBy(F.col("hh").alias("host")).agg(F.count_distinct("th").alias("pages"))
     many = many.join(hosts, "host").select("host", "g", F.expr(f"n >= {MAIN_PAGES} AND 2 * n > pages").alias("inside"), "body")
     many = C.written(many.where("inside OR body = 1").drop("body"), "html-repeated")
-    hits = (suffix.drop("body").join(C.small_side(many), ["host", "g"]).groupBy("id", "th")
+    hits = (suffix.drop("body").join(C.small_side(many), ["host", "g"]).groupBy("host", "th")
             .agg(F.collect_set("g").alias("outside"), F.expr("collect_set(g) FILTER (WHERE inside)").alias("inside")))
-    hits = C.written(hits.select(F.col("id").alias("hid"), F.col("th").alias("hth"), "outside", "inside"), "html-hits")
-    at = F.expr("coalesce(id, -1) = hid AND th = hth")
-    keys = C.small_side(hits.select("hid", "hth"), 500_000)
+    hits = C.written(hits.select(F.col("host").alias("hh"), "th", "outside", "inside"), "html-hits")
+    at = ["hh", "th"]
+    keys = C.small_side(hits.select(*at), 500_000)
     none = F.expr("cast(null as array<bigint>)")
     cols = ("id", "url", "page", "outside", "inside")
     rest = d.join(keys, at, "left_anti").withColumn("outside", none).withColumn("inside", none).select(*cols)
