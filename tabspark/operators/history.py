@@ -72,10 +72,12 @@ def early_stop(history: DataFrame, patience: int = 10, mode: str = "max", order_
 
 
 def best_epoch(history: DataFrame, mode: str = "max") -> DataFrame:
-    """Top-1 checkpoint per run: best value, ties → first epoch.
+    """Top-1 checkpoint per run: best value, ties → first epoch (W3); null and NaN values are never
+    best, and a run without any other has null results.
     A grouped ``min`` over (-value, epoch): partial aggregation, no window."""
     key = -F.col("value") if mode == "max" else F.col("value")
-    agg = history.groupBy("run_id").agg(F.min(F.struct(key.alias("k"), F.col("epoch").alias("e"))).alias("m"))
+    seen = F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))
+    agg = history.groupBy("run_id").agg(F.min(F.when(seen, F.struct(key.alias("k"), F.col("epoch").alias("e")))).alias("m"))
     val = -F.col("m.k") if mode == "max" else F.col("m.k")
     return agg.select("run_id", F.col("m.e").alias("best_epoch"), val.alias("best_value"))
 

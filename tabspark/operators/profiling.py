@@ -257,7 +257,7 @@ def outlier_profile(df: DataFrame, features: list[str], k: float = 1.5, exact: b
     for i, f in enumerate(features):
         if f not in b:
             continue
-        c = Q.as_double(f)
+        c = Q.num(f)
         aggs += [f"sum(CASE WHEN {c} < {Q.dbl(b[f][2])} OR {c} > {Q.dbl(b[f][3])} THEN 1 ELSE 0 END) AS o{i}",
                  f"min({c}) AS mn{i}", f"max({c}) AS mx{i}"]
     r = df.selectExpr(*aggs).first()
@@ -286,7 +286,7 @@ def outlier_rows(df: DataFrame, features: list[str], id_col: str, k: float = 1.5
     generate, bounds inlined as literals."""
     b = iqr_bounds(df, features, k)
     long_df = unpivot(df, [f for f in features if f in b], [id_col])
-    cond = " OR ".join(f"(feature = {Q.str_lit(f)} AND (value < {Q.dbl(lo)} OR value > {Q.dbl(hi)}))"
+    cond = " OR ".join(f"(feature = {Q.str_lit(f)} AND NOT isnan(value) AND (value < {Q.dbl(lo)} OR value > {Q.dbl(hi)}))"
                        for f, (_, _, lo, hi) in b.items()) or "FALSE"
     return long_df.where(cond).selectExpr(Q.ident(id_col), "feature", Q.round4("value") + " AS value")
 

@@ -58,10 +58,10 @@ class IdentityScaler(ScalerModel):
 
 
 def fit_scaler(train: DataFrame, features: list[str]) -> ScalerModel:
-    """Mean and population std per feature in one aggregate."""
+    """Mean and population std per feature in one aggregate, nulls and NaN left out."""
     aggs = []
     for i, f in enumerate(features):
-        c = Q.as_double(f)
+        c = Q.num(f)
         aggs += [f"avg({c}) AS m{i}", f"stddev_pop({c}) AS s{i}"]
     r = train.selectExpr(*aggs).first()
     mean, scale = {}, {}
