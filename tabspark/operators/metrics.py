@@ -133,7 +133,9 @@ def latency_summary(df: DataFrame, latency: str, batch_size: int = 1) -> DataFra
     """Request count, mean, p50/p95/p99 (linear), min, max and throughput
     (samples / total latency) of a latency column (A21)."""
     spark = df.sparkSession
-    base = df.select(F.col(latency).cast("double").alias("x"), F.lit(1).alias("k"))
+    # the key depends on the row: a constant one is folded away and leaves a join without an equi-key
+    base = (df.select(F.col(latency).cast("double").alias("x"))
+            .withColumn("k", F.when(F.col("x").isNull(), 0).otherwise(1)))
     r = base.agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.min("x").alias("mn"),
                  F.max("x").alias("mx"), F.sum("x").alias("total")).first()
     qs = exact_quantiles(base, ["k"], "x", [0.5, 0.95, 0.99]).get((1,), (0, [None] * 3))[1]
