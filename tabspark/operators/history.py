@@ -1,8 +1,8 @@
 """Training-history operators.
 
 A history has one row per (run, epoch, value). Running quantities over a
-run's epochs use the ordered scan of ``operators.scan`` (range partitions on
-(run, epoch) with carry-ins), so a run with a huge history is spread over many
+run's epochs use the ordered scan of ``operators.scan`` (two-level windows over range
+partitions on (run, epoch)), so a run with a huge history is spread over many
 tasks instead of one window partition; per-run results are plain grouped
 aggregates (partial aggregation).
 """
@@ -45,7 +45,7 @@ def _scan(history: DataFrame, specs, order_cols) -> DataFrame:
 
 
 def best_so_far(history: DataFrame, mode: str = "max", order_cols=("epoch",)) -> DataFrame:
-    """Running best per run."""
+    """Running best per run (W1); null and NaN values change nothing, and it is null before the first value."""
     h = _scan(_signed(history, mode), [Spec("__b", "cummax", "__v")], order_cols)
     best = F.col("__b") if mode == "max" else -F.col("__b")
     return h.select("run_id", "epoch", "value", best.alias("best_so_far"))
@@ -92,8 +92,7 @@ def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0, order_c
     """Median pruning (W5): a trial is pruned at the first step whose best-so-far
     is worse than the median of all trials' values reported at that step.
 
-    Per-step medians are exact grouped quantiles (small steps via the built-in
-    ``percentile``, steps with many trials via interval narrowing)."""
+    Per-step medians are exact grouped quantiles, one plan for steps of any size."""
     from tabspark.operators.quantiles import grouped_quantiles
     b = best_so_far(history, mode, order_cols)
     med = grouped_quantiles(b, ["epoch"], "value", [0.5]).select("epoch", F.col("q0").alias("step_median"))

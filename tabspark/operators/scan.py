@@ -2,31 +2,30 @@
 without putting a group into one task.
 
 A window ``partitionBy(g).orderBy(o)`` sends every row of a group to one task;
-one hot group (a third of the table) would then run serially. Here:
+one hot group (a third of the table) would then run serially. Here the window
+has two levels, both of built-in functions:
 
-1. the rows are range-partitioned on (group, order) and sorted inside each
-   partition, and written with ``checkpoint()`` so both passes below read the
-   very same partitions (also after an executor loss); a hot group simply spans
+1. rows are range-partitioned on (group, order) and carry the number of their
+   partition; a window over (group, partition) gives the running values inside
+   it, and the result is written once with ``checkpoint()``. A hot group spans
    many consecutive partitions;
-2. pass 1 (``mapInPandas``) emits, per partition, the state of its first and
-   last group only (<= 2 rows per partition);
-3. the driver folds those states in partition order into the carry-in of each
-   partition (bounded by the partition count);
-4. pass 2 scans every partition batch by batch (vectorised pandas, running
-   state carried from batch to batch) and adds the carry-in.
+2. one aggregate row per (group, partition), and a window over those rows, give
+   what the earlier partitions of a group add. Only the first group of a
+   partition can have earlier ones, so at most one row a partition is left,
+   which is broadcast and joined to the rows.
 
 Order keys must be unique within a group (a total order), as for a window
-with ``row_number``.
+with ``row_number``. Null and NaN values take part in nothing but the row
+number: running sums and maxima go on over them (0.0 and null before the first
+value), and they never are a new maximum.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 OPS = ("row_number", "cumsum", "cumsum_excl", "cummax", "cummax_excl", "argmax_first")
 
@@ -40,169 +39,6 @@ class Spec:
                                 # (None: the row number of the first maximum)
 
 
-@dataclass
-class _State:
-    n: int = 0
-    s: float = 0.0
-    m: float | None = None
-    a: object = None
-    rel: bool = False  # ``a`` is a 1-based row position inside this state's rows
-
-    def then(self, o: "_State") -> "_State":
-        if o.m is None:
-            m, a = self.m, self.a
-        elif self.m is None or o.m > self.m:
-            m, a = o.m, (int(self.n + o.a) if o.rel and o.a is not None else o.a)
-        else:
-            m, a = self.m, self.a
-        return _State(self.n + o.n, self.s + o.s, m, a, self.rel or o.rel)
-
-
-def _group_ids(pdf: pd.DataFrame, group_cols):
-    """Consecutive group ids of a sorted batch and the key of each group."""
-    n = len(pdf)
-    if not group_cols:
-        return np.zeros(n, dtype=np.int64), [()]
-    change = np.zeros(n, dtype=bool)
-    change[0] = True
-    for c in group_cols:
-        a = pdf[c].to_numpy()
-        if n > 1:
-            change[1:] |= a[1:] != a[:-1]
-    gid = np.cumsum(change) - 1
-    starts = np.flatnonzero(change)
-    cols = [pdf[c].to_numpy()[starts] for c in group_cols]
-    keys = [tuple(_py(col[i]) for col in cols) for i in range(len(starts))]
-    return gid, keys
-
-
-def _py(v):
-    return v.item() if hasattr(v, "item") else v
-
-
-def _slice_state(vals, ats, lo: int, hi: int, rel: bool = False) -> _State:
-    st = _State(int(hi - lo), rel=rel)
-    if vals is not None and hi > lo:
-        v = vals[lo:hi]
-        st.s = float(np.nansum(v))
-        if not np.all(np.isnan(v)):
-            i = int(np.nanargmax(v))
-            st.m = float(v[i])
-            st.a = i + 1 if rel else (_py(ats[lo + i]) if ats is not None else None)
-    return st
-
-
-def _value_of(specs):
-    vs = [s.col for s in specs if s.col]
-    ats = [s.at for s in specs if s.at]
-    return (vs[0] if vs else None), (ats[0] if ats else None)
-
-
-def _rel(specs) -> bool:
-    """argmax_first without an ``at`` column reports row numbers."""
-    return any(s.op == "argmax_first" and s.at is None for s in specs)
-
-
-def _segments(it, group_cols, vcol, acol):
-    """(pdf, gid, keys, vals, ats, bounds) for the non-empty batches of a partition;
-    ``bounds`` are the [start, end) row ranges of the groups."""
-    for pdf in it:
-        if not len(pdf):
-            continue
-        gid, keys = _group_ids(pdf, group_cols)
-        vals = pdf[vcol].to_numpy(dtype=np.float64) if vcol else None
-        ats = pdf[acol].to_numpy() if acol else None
-        starts = np.flatnonzero(np.r_[True, gid[1:] != gid[:-1]])
-        bounds = list(zip(starts, np.r_[starts[1:], len(pdf)]))
-        yield pdf, gid, keys, vals, ats, bounds
-
-
-def _summary_fn(group_cols, specs):
-    vcol, acol = _value_of(specs)
-    rel = _rel(specs)
-
-    def run(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        first_key = first_st = last_key = last_st = None
-        for _, _, keys, vals, ats, bounds in _segments(it, group_cols, vcol, acol):
-            # only the first and the last group of a batch can touch a batch boundary
-            for g in sorted({0, len(keys) - 1}):
-                key, (lo, hi) = keys[g], bounds[g]
-                st = _slice_state(vals, ats, lo, hi, rel)
-                if first_key is None:
-                    first_key, first_st, last_key, last_st = key, st, key, st
-                elif key == last_key:
-                    last_st = last_st.then(st)
-                    if last_key == first_key:
-                        first_st = last_st
-                else:
-                    last_key, last_st = key, st
-        rows = []
-        if first_key is not None:
-            for pos, key, st in ((0, first_key, first_st), (1, last_key, last_st)):
-                rows.append({"pid": pid, "pos": pos, "key": repr(key), "n": int(st.n), "s": st.s,
-                             "m": st.m, "a": None if st.a is None else repr(_py(st.a))})
-        yield pd.DataFrame(rows, columns=["pid", "pos", "key", "n", "s", "m", "a"])
-    return run
-
-
-def _scan_fn(group_cols, specs, carries, out_types):
-    vcol, acol = _value_of(specs)
-    rel = _rel(specs)
-    ops = {s.op for s in specs}
-
-    def run(it):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        cur_key, cur = carries.get(pid, (None, None))
-        for pdf, gid, keys, vals, ats, bounds in _segments(it, group_cols, vcol, acol):
-            n = len(pdf)
-            # the batch's first group continues the running state when its key matches
-            base = cur if (cur is not None and keys[0] == cur_key) else _State(rel=rel)
-            first_end = bounds[0][1]
-            g = pd.Series(gid)
-            out = {}
-            rn = g.groupby(gid).cumcount().to_numpy() + 1
-            rn[:first_end] += base.n
-            if "row_number" in ops:
-                out["row_number"] = rn
-            if vals is not None:
-                v = pd.Series(vals)
-                cs = v.groupby(gid).cumsum().to_numpy()
-                cs[:first_end] += base.s
-                cm = v.groupby(gid).cummax().to_numpy()
-                if base.m is not None:
-                    cm[:first_end] = np.maximum(cm[:first_end], base.m)
-                prev = np.empty(n)
-                prev[1:] = cm[:-1]
-                starts = np.array([b[0] for b in bounds])
-                prev[starts] = np.nan
-                if base.m is not None:
-                    prev[0] = base.m
-                out["cumsum"] = cs
-                out["cumsum_excl"] = cs - vals
-                out["cummax"] = cm
-                out["cummax_excl"] = prev
-                if ats is not None or rel:
-                    rec = np.isnan(prev) | (vals > np.nan_to_num(prev, nan=-np.inf))
-                    last = np.maximum.accumulate(np.where(rec, np.arange(n), -1))
-                    a = np.empty(n, dtype=object)
-                    has = last >= 0
-                    a[has] = rn[last[has]] if rel else ats[last[has]]
-                    a[~has] = base.a  # only rows of a continuing first group before its first record
-                    out["argmax_first"] = a
-            lo, hi = bounds[-1]
-            tail = _slice_state(vals, ats, lo, hi, rel)
-            cur_key, cur = keys[-1], (base.then(tail) if len(bounds) == 1 else tail)
-            res = pdf.copy()
-            for s in specs:
-                arr = out[s.op]
-                res[s.out] = arr if out_types[s.out] == "object" else arr.astype(out_types[s.out])
-            yield res
-    return run
-
-
 def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], specs: list[Spec],
                  num_partitions: int | None = None) -> DataFrame:
     """Adds the ``specs`` columns to ``df`` (one value column per call for the
@@ -210,48 +46,47 @@ def ordered_scan(df: DataFrame, group_cols: list[str], order_cols: list[str], sp
     for s in specs:
         if s.op not in OPS:
             raise ValueError(s.op)
-    spark = df.sparkSession
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    value = next((s.col for s in specs if s.col), None)
+    at = next((s.at for s in specs if s.at), None)
     keys = [*group_cols, *order_cols]
-    ordered = df.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    summ = ordered.mapInPandas(_summary_fn(group_cols, specs),
-                               "pid int, pos int, key string, n long, s double, m double, a string")
-    rows = sorted(summ.collect(), key=lambda r: (r["pid"], r["pos"]))  # <= 2 rows per partition
-    carries: dict[int, tuple] = {}
-    open_key, open_st = None, None
-    by_pid: dict[int, list] = {}
-    for r in rows:
-        by_pid.setdefault(r["pid"], []).append(r)
-    import ast
-    for pid in sorted(by_pid):
-        first, last = by_pid[pid][0], by_pid[pid][-1]
-        fk = ast.literal_eval(first["key"])
-        rel = _rel(specs)
-        st_first = _State(first["n"], first["s"], first["m"],
-                          None if first["a"] is None else ast.literal_eval(first["a"]), rel)
-        if open_key is not None and fk == open_key:
-            carries[pid] = (open_key, open_st)
-            carried = open_st.then(st_first)
-        else:
-            carried = st_first
-        lk = ast.literal_eval(last["key"])
-        if lk == fk:
-            open_key, open_st = fk, carried
-        else:
-            open_key = lk
-            open_st = _State(last["n"], last["s"], last["m"],
-                             None if last["a"] is None else ast.literal_eval(last["a"]), rel)
-    vcol, acol = _value_of(specs)
-    fields = list(ordered.schema.fields)
-    out_types = {}
-    for s in specs:
-        if s.op == "row_number":
-            fields.append(T.StructField(s.out, T.LongType()))
-            out_types[s.out] = "int64"
-        elif s.op == "argmax_first":
-            fields.append(T.StructField(s.out, ordered.schema[s.at].dataType if s.at else T.LongType()))
-            out_types[s.out] = "object"
-        else:
-            fields.append(T.StructField(s.out, T.DoubleType()))
-            out_types[s.out] = "float64"
-    return ordered.mapInPandas(_scan_fn(group_cols, specs, carries, out_types), T.StructType(fields))
+
+    # level 1: inside (group, partition)
+    inside = Window.partitionBy(*group_cols, "__pid").orderBy(*order_cols)
+    upto, before = (inside.rowsBetween(Window.unboundedPreceding, end) for end in (0, -1))
+    d = df.repartitionByRange(n_parts, *keys).withColumn("__pid", F.spark_partition_id())
+    x = F.col(value).cast("double") if value else F.lit(None).cast("double")
+    d = d.withColumn("__x", F.when(~F.isnan(x), x))
+    d = d.select("*", F.row_number().over(inside).cast("bigint").alias("__n"), F.sum("__x").over(upto).alias("__s"),
+                 F.max("__x").over(upto).alias("__m"), F.max("__x").over(before).alias("__mx"))
+    record = F.col("__x").isNotNull() & (F.col("__mx").isNull() | (F.col("__x") > F.col("__mx")))
+    place = F.struct((F.col(at) if at else F.col("__n")).alias("a"))
+    d = d.withColumn("__a", F.last(F.when(record, place), ignorenulls=True).over(upto)["a"])
+    d = d.checkpoint(eager=True)
+
+    # level 2: what earlier partitions of the group add; at most one row per partition is left
+    per = d.groupBy(*group_cols, "__pid").agg(F.max("__n").alias("n"), F.sum("__x").alias("s"), F.max("__x").alias("m"),
+                                              F.max_by("__a", "__n").alias("a"))
+    earlier = Window.partitionBy(*group_cols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("__n0", F.sum("n").over(earlier))
+    if not at:
+        per = per.withColumn("a", F.col("a") + F.coalesce("__n0", F.lit(0)))
+    first = F.when(F.col("m").isNotNull(), F.struct("m", -F.col("__pid")))  # the earliest of equal maxima
+    per = per.select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(group_cols)], F.col("__pid").alias("__p"), "__n0",
+                     F.sum("s").over(earlier).alias("__s0"), F.max("m").over(earlier).alias("__m0"),
+                     F.max_by("a", first).over(earlier).alias("__a0")).where("__n0 > 0")
+    same = [F.col("__pid") == F.col("__p")] + [d[g].eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(group_cols)]
+    j = d.join(F.broadcast(per), same, "left")
+
+    n0 = F.coalesce("__n0", F.lit(0))
+    total = F.coalesce("__s", F.lit(0.0)) + F.coalesce("__s0", F.lit(0.0))
+    newer = F.col("__m0").isNull() | (F.col("__m") > F.col("__m0"))
+    out = {
+        "row_number": F.col("__n") + n0,
+        "cumsum": total,
+        "cumsum_excl": total - F.coalesce("__x", F.lit(0.0)),
+        "cummax": F.greatest("__m", "__m0"),
+        "cummax_excl": F.greatest("__mx", "__m0"),
+        "argmax_first": F.when(newer, F.col("__a") if at else F.col("__a") + n0).otherwise(F.col("__a0")),
+    }
+    return j.select(*[d[c] for c in df.columns], *[out[s.op].alias(s.out) for s in specs])

@@ -302,7 +302,8 @@ def metrics_sql() -> dict[str, str]:
 c as (select *, coalesce(sum(neg) over (order by s rows between unbounded preceding and 1 preceding), 0) as below from g)
 |select {r4('case when sum(pos) > 0 and sum(neg) > 0 then sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) else 0.0 end')} as roc_auc,
   cast(coalesce(sum(pos), 0) as bigint) as n_pos, cast(coalesce(sum(neg), 0) as bigint) as n_neg from c"""
-    emb = "E as (select embedding[1:10] as logits, label from embeddings)"
+    z = "list_transform(range(10), lambda k: list_sum(list_filter(embedding, lambda x, i: (i - 1) % 10 = k)::double[]))"
+    emb = f"E as (select {z} as logits, label from embeddings)"
     cw = """cw as (select label, cnt, case when min(cnt) over () = 0 then 1.0
                  else (sum(cnt) over ())::double / (10 * cnt) end as w
       from (select r.range::int as label, count(e.label) as cnt from range(10) r left join E e on e.label = r.range group by 1))"""
@@ -316,8 +317,8 @@ c as (select *, coalesce(sum(neg) over (order by s rows between unbounded preced
   {r4('list_max(p)')} as confidence, {r4('p[1]')} as p_first, {r4('list_sum(p)')} as prob_sum
 from (select vec_id, embedding, list_transform(ex, lambda x: x / list_sum(ex)) as p
       from (select vec_id, embedding, list_transform(embedding, lambda x: exp(x::double - list_max(embedding))) as ex from embeddings))""",
-        "argmax": """select predicted, cast(count(*) as bigint) as n, cast(sum(case when predicted = label then 1 else 0 end) as bigint) as n_correct
-from (select cast(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 as int) as predicted, label from embeddings) group by 1""",
+        "argmax": f"""with {emb} select predicted, cast(count(*) as bigint) as n, cast(sum(case when predicted = label then 1 else 0 end) as bigint) as n_correct
+from (select cast(list_position(logits, list_max(logits)) - 1 as int) as predicted, label from E) group by 1""",
         "class_counts": """select r.range::int as label, cast(count(e.label) as bigint) as n
 from range(10) r left join embeddings e on e.label = r.range group by 1""",
         "class_weights": with_f(f"""select label, n, {r4('case when min(n) over () = 0 then 1.0 else (sum(n) over ())::double / (2 * n) end')} as weight

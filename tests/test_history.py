@@ -40,3 +40,17 @@ def test_prune_trials(spark):
     h = spark.createDataFrame(rows, "run_id int, epoch int, value double")
     got = {r["run_id"]: (r["pruned"], r["pruned_at"]) for r in H.prune_trials(h).collect()}
     assert got == {0: (False, 2), 1: (False, 2), 2: (True, 1)}
+
+
+def test_early_stop_ignores_partition_layout(spark):
+    rows = [(0, i + 1, v) for i, v in enumerate([0.9, None, 0.5, 0.4, 0.3])]
+    h = spark.createDataFrame(rows, "run_id int, epoch int, value double")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in (1, 4, 16):
+            spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+            r = H.early_stop(h, patience=3).first()
+            assert (r["stop_epoch"], r["early_stopped"]) == (4, True)
+            assert [x["best_so_far"] for x in H.best_so_far(h).orderBy("epoch").collect()] == [0.9] * 5
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

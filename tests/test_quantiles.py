@@ -30,7 +30,7 @@ def test_matches_numpy_with_forced_narrowing(spark, kind):
     else:
         x = np.array([5.0])
     df = _frame(spark, list(x))
-    got = exact_quantiles(df, ["g"], "v", PROBS, buckets=8, final_rows=50, max_rounds=40)[(0,)]
+    got = exact_quantiles(df, ["g"], "v", PROBS, buckets=8, final_rows=50)[(0,)]
     assert got[0] == len(x)
     np.testing.assert_allclose(got[1], np.quantile(x, PROBS), rtol=1e-12, atol=0)
 
@@ -61,3 +61,21 @@ def test_order_statistics_ranks(spark):
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g int, v double")
     assert exact_quantiles(df, ["g"], "v", [0.5]) == {}
+
+
+@pytest.mark.parametrize("kind", ["inf", "log-uniform", "signs", "denormal"])
+def test_any_scale_ends_by_narrowing(spark, kind):
+    """Intervals reach few rows on any data: no round limit, no large sort at the end."""
+    rng = np.random.default_rng(1)
+    if kind == "inf":
+        x = np.r_[rng.normal(size=4990), [np.inf] * 5, [-np.inf] * 5]
+    elif kind == "log-uniform":
+        x = 10.0 ** rng.uniform(-250, 249, 5000)
+    elif kind == "signs":
+        x = np.r_[10.0 ** rng.uniform(-300, 300, 2500), -(10.0 ** rng.uniform(-300, 300, 2400)), np.zeros(100)]
+    else:
+        x = np.r_[rng.integers(1, 2000, 4000) * 5e-324, [1.7e308, -1.7e308]]
+    want = np.sort(x)
+    ranks = [0, len(x) // 4, len(x) // 2, len(x) - 6, len(x) - 1]
+    got = order_statistics(_frame(spark, list(x)), ["g"], "v", lambda n: ranks, final_rows=20)[(0,)]
+    assert [got[1][r] for r in ranks] == [want[r] for r in ranks]

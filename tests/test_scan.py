@@ -59,19 +59,23 @@ def test_grouped_quantiles_small_and_big_groups(spark):
     rng = np.random.default_rng(4)
     rows = [(g, float(x)) for g, n in ((0, 2000), (1, 5), (2, 1), (3, 700)) for x in rng.normal(g, 1, n)]
     df = spark.createDataFrame(rows, "g int, v double")
-    got = {r["g"]: (r["q0"], r["q1"]) for r in grouped_quantiles(df, ["g"], "v", [0.5, 0.9],
-                                                                   small_group_rows=500).collect()}
+    got = {r["g"]: (r["q0"], r["q1"]) for r in grouped_quantiles(df, ["g"], "v", [0.5, 0.9]).collect()}
     for g in (0, 1, 2, 3):
         x = np.array([v for gg, v in rows if gg == g])
         np.testing.assert_allclose(got[g], np.quantile(x, [0.5, 0.9]), rtol=1e-12)
 
 
-def test_scan_across_many_small_batches(spark):
-    """Groups continue across Arrow batches inside a partition (batch of 7 rows)."""
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
-    try:
-        test_scan_matches_pandas(spark, 3)
-        test_scan_matches_pandas(spark, 1)
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+def test_scan_keys_of_any_type_and_nulls(spark):
+    rows = [(None if i % 3 == 0 else f"2024-01-0{i % 3}", i, [None, float("nan"), 2.0, 1.0, 3.0][i % 5]) for i in range(60)]
+    df = spark.createDataFrame(rows, "g string, o int, v double").selectExpr("cast(g as date) as g", "o", "v")
+    specs = [Spec("rn", "row_number"), Spec("cs", "cumsum", "v"), Spec("cm", "cummax", "v"), Spec("am", "argmax_first", "v", "o")]
+    got = {p: sorted(map(str, ordered_scan(df, ["g"], ["o"], specs, num_partitions=p).collect())) for p in (1, 4, 16)}
+    assert got[1] == got[4] == got[16] and len(got[1]) == 60
+    state = {}
+    for r in sorted(ordered_scan(df, ["g"], ["o"], specs, num_partitions=7).collect(), key=lambda r: r.o):
+        n, t, m, a = state.get(r.g, (0, 0.0, None, None))
+        ok = r.v is not None and r.v == r.v
+        if ok and (m is None or r.v > m):
+            m, a = r.v, r.o
+        state[r.g] = n, t, m, a = n + 1, t + (r.v if ok else 0.0), m, a
+        assert (r.rn, r.cs, r.cm, r.am) == (n, t, m, a)
