@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,22 +26,29 @@ from tabspark.operators import profiling as P
 from tabspark.operators.metrics import binary_metrics, prediction_summary, roc_auc
 from tabspark.operators.mlp import MlpClassifier, MlpModel, PreprocessScorer
 from tabspark.operators.mlp_math import MlpParams
-from tabspark.operators.prepare import align_features, normalize_target, prepare
+from tabspark.operators.prepare import align_features, normalize_target, prepare, rejected_targets
 from tabspark.operators.scale import ScalerModel, fit_scaler
 from tabspark.operators.split import stratified_split
 from tabspark.schema import FEATURES, ID, LABEL, TARGET, col
+from tabspark.session import path_glob
 from tabspark.sources import files as IO
 
 
-def _read_any(spark: SparkSession, path: str, fallback_glob: str | None = None) -> DataFrame:
-    if path.endswith(".parquet") or os.path.isdir(path) and any(f.endswith(".parquet") for f in os.listdir(path)):
+def _read_any(spark: SparkSession, path: str, fallback_glob: str | None = None, fmt: str | None = None) -> DataFrame:
+    """``fmt`` is csv or parquet; unset, a path that ends in ``.parquet`` or holds such files is parquet."""
+    if fmt is None:
+        fmt = "parquet" if path.endswith(".parquet") or path_glob(spark, f"{path}/*.parquet") else "csv"
+    if fmt == "parquet":
         return spark.read.parquet(path)
     return IO.read_metrics(spark, path, fallback_glob=fallback_glob)
 
 
 def prepare_data(spark: SparkSession, raw_path: str, out_dir: str, test_size: float = 0.2,
-                 val_size: float = 0.1, seed: int = 42, fallback_glob: str | None = None) -> dict:
-    raw = _read_any(spark, raw_path, fallback_glob)
+                 val_size: float = 0.1, seed: int = 42, fallback_glob: str | None = None,
+                 fmt: str | None = None) -> dict:
+    raw = _read_any(spark, raw_path, fallback_glob, fmt)
+    if ID not in raw.columns:  # fixed by the written copy, which all later passes read
+        raw = raw.withColumn(ID, F.monotonically_increasing_id())
     IO.write_table(raw, f"{out_dir}/raw")
     raw = spark.read.parquet(f"{out_dir}/raw")  # later passes read the written copy
     info = P.table_info(raw)
@@ -51,6 +57,8 @@ def prepare_data(spark: SparkSession, raw_path: str, out_dir: str, test_size: fl
         IO.write_table(IO.unlabelled_features(raw), f"{out_dir}/test_features")
         return {"labelled": False, "rows": raw.count()}
     audit = [r.asDict() for r in P.target_distribution(raw, TARGET).collect()]
+    IO.write_table(rejected_targets(raw), f"{out_dir}/rejected_targets")
+    rejected = spark.read.parquet(f"{out_dir}/rejected_targets").count()
     prepared = prepare(raw)
     split = stratified_split(prepared, LABEL, ID, test_size, val_size, seed)
     IO.write_splits(split, f"{out_dir}/splits")
@@ -59,7 +67,7 @@ def prepare_data(spark: SparkSession, raw_path: str, out_dir: str, test_size: fl
     scaler.write(spark, f"{out_dir}/scaler")
     meta = IO.write_split_metadata(splits, f"{out_dir}/metadata")
     counts = {r["split"]: int(r["n_samples"]) for r in meta.collect()}
-    return {"labelled": True, "splits": counts, "target": audit, "test_size": test_size, "val_size": val_size}
+    return {"labelled": True, "rows": raw.count(), "rejected": rejected, "splits": counts, "target": audit, "test_size": test_size, "val_size": val_size}
 
 
 def _metrics(scored: DataFrame) -> dict:

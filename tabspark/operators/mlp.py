@@ -29,7 +29,7 @@ from tabspark.operators import mlp_math as MM
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.functions import sqltext as Q
 from tabspark.schema import col
-from tabspark.session import local_frame
+from tabspark.session import local_frame, path_exists
 
 def _score_type(k: int) -> T.StructType:
     """Scalar columns only: arrays are assembled on the JVM (per-row Python
@@ -312,8 +312,7 @@ def _save_state(spark: SparkSession, path: str, run_id: str, epoch: int, tensors
 
 def _load_state(spark: SparkSession, path: str, run_id: str):
     """The last committed epoch state of a run, or None."""
-    from tabspark.sources.files import _exists
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         return None
     df = spark.read.parquet(path).where(F.col("run_id") == run_id)
     last = df.agg(F.max("epoch")).first()[0]

@@ -42,6 +42,11 @@ def target_audit(df: DataFrame, target: str = TARGET) -> DataFrame:
                     F.col("n_rows").cast("bigint").alias("n_rows")))
 
 
+def rejected_targets(df: DataFrame, target: str = TARGET) -> DataFrame:
+    """The rows of ``df`` that ``prepare`` cannot label: a target that is null or no accepted spelling."""
+    return df.where(normalize_target(F.col(target)).isNull())
+
+
 def prepare(df: DataFrame, features=FEATURES, target: str = TARGET, id_col: str = ID) -> DataFrame:
     """End-to-end preparation (T1): keep the id as key, normalise the target,
     project features. Without a target column, features only (S7)."""

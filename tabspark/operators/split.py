@@ -65,7 +65,7 @@ def split_quotas(counts: dict, test_size: float = 0.2, val_size: float = 0.1) ->
 
 
 def order_key(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
 def _prefix_len(n_max: int, target: int) -> int:
@@ -125,7 +125,8 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
                      val_size: float = 0.1, seed: int = 42, split_col: str = "split",
                      bucket_rows: int = 64, max_rank_rows: int = 1_000_000,
                      prefix_hex: int | None = None) -> DataFrame:
-    """Adds ``split`` in {'train','val','test'}; rows with a null label are dropped.
+    """Adds ``split`` in {'train','val','test'}; rows with a null label are dropped
+    (``prepare.rejected_targets`` holds them); a null id counts as an empty one.
 
     ``df`` is read a few times (class counts, prefix histograms, output); pass
     a persisted or written table for expensive inputs. ``id_col`` must be
@@ -145,7 +146,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
 
     lab = F.col(label)
     lab_sql = Q.ident(label)
-    key_sql = f"md5(concat({Q.str_lit(f'{seed}:')}, CAST({Q.ident(id_col)} AS STRING)))"
+    key_sql = f"md5(concat({Q.str_lit(f'{seed}:')}, coalesce(CAST({Q.ident(id_col)} AS STRING), '')))"
 
     def cmp(prefix: str):
         return f"substring({key_sql}, 1, {len(prefix)})", Q.str_lit(prefix)

@@ -22,7 +22,7 @@ from tabspark.operators import mlp as ML
 from tabspark.operators import profiling as P
 from tabspark.operators import split as S
 from tabspark.operators.mlp_math import MlpParams
-from tabspark.operators.prepare import align_features, features_array, prepare, target_audit, width_check
+from tabspark.operators.prepare import align_features, features_array, prepare, rejected_targets, target_audit, width_check
 from tabspark.operators.scale import IdentityScaler, fit_scaler
 from tabspark.operators.tuning import tune
 from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
@@ -493,6 +493,25 @@ def q_request_inputs(spark, sf):
     return _round_features(rows, ["request_id", "CAST(pos AS INT) AS pos", "width_ok"])
 
 
+@query("rejected_targets")
+def q_rejected_targets(spark, sf):
+    """Rows whose target has no accepted spelling, by target: two of three return flags are mapped."""
+    flag = F.col("l_returnflag")
+    li = read_table(spark, sf, "lineitem").select(F.when(flag == "R", "TRUE").when(flag == "A", "False").otherwise(flag).alias(TARGET))
+    return rejected_targets(li).groupBy(TARGET).agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))
+
+
+@query("rejected_requests")
+def q_rejected_requests(spark, sf):
+    """One positional payload per document: whole, a value short, without inputs, or broken."""
+    d = read_table(spark, sf, "documents").select("doc_id", "n_chars")
+    vec = "array_repeat(CAST(n_chars AS DOUBLE), {})"
+    inputs = f"to_json(named_struct('inputs', array({vec.format(len(FEATURES))}, {vec.format('CASE n_chars % 3 WHEN 0 THEN 20 ELSE 21 END')})))"
+    d = d.withColumn("payload", F.expr(f"""CASE n_chars % 5 WHEN 1 THEN '{{"inputs": []}}' WHEN 2 THEN substring({inputs}, 1, 40)
+        ELSE {inputs} END"""))
+    return RQ.rejected_requests(d, "payload", "inputs").select("doc_id", "reason")
+
+
 @query("align_features")
 def q_align_features(spark, sf):
     """Alias names and two absent features (e, t) aligned to the model order."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tabspark.operators.prepare import normalize_target
 from tabspark.schema import FEATURES, LABEL, TARGET
+from tabspark.session import scratch_path
 from tabspark.sources.fixtures import read_metrics_fixture
 from tabspark.sources.tables import read_table
 
@@ -21,15 +22,16 @@ def metrics_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F: id, 21 metrics, defects (string).
 
     F plays the part of the reference's input CSV: it is derived from
-    documents ⋈ labels once per session and written as a reliable checkpoint
-    (shared ``spark.checkpoint.dir``), so multi-pass operators re-read a small
-    numeric table instead of re-parsing the documents' text.
+    documents ⋈ labels once per session and written as parquet to the folder of
+    ``spark.checkpoint.dir``, so multi-pass operators read only the columns they
+    need of a small numeric table instead of re-parsing the documents' text.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     df = _MATERIALIZED.get(key)
     if df is None:
-        df = read_metrics_fixture(spark, sf_dir).checkpoint(eager=True)
-        _MATERIALIZED[key] = df
+        path = scratch_path(spark, "metrics")
+        read_metrics_fixture(spark, sf_dir).write.parquet(path)
+        df = _MATERIALIZED[key] = spark.read.parquet(path)
     return df
 
 

@@ -454,6 +454,10 @@ def io_sql() -> dict[str, str]:
         "request_explode": with_f(f"select cast(floor(id / 4) as bigint) as request_id, id, {rnd} from F"),
         "request_inputs": with_f(f"""select cast(floor(id / 4) as bigint) as request_id,
   cast(row_number() over (partition by floor(id / 4) order by id) - 1 as int) as pos, true as width_ok, {rnd} from F"""),
+        "rejected_targets": """select l_returnflag as defects, cast(count(*) as bigint) as n_rows from lineitem
+where l_returnflag not in ('R', 'A') group by 1""",
+        "rejected_requests": """select doc_id, reason from (select doc_id, case n_chars % 5 when 1 then 'empty' when 2 then 'malformed'
+  else case n_chars % 3 when 0 then 'width' end end as reason from documents) where reason is not null""",
         "align_features": with_f(f"select id, {aligned} from F"),
         "width_check": with_f(f"""select 'metrics' as source, true as width_ok, cast(count(*) as bigint) as n from F
 union all select 'embeddings', len(embedding) = {len(FEATURES)}, cast(count(*) as bigint) from embeddings group by 2"""),

@@ -45,7 +45,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names shared storage and is used as it is.
-    Only when it is unset (local tests) a fresh local folder is created.
+    When it is unset, a fresh local folder is created on a ``local`` master (tests); on any
+    other master that folder would not be shared, so this raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,11 +54,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to shared storage")
         path = tempfile.mkdtemp(prefix="tabspark-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on its file system (one without a scheme: the default one)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def path_glob(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match ``pattern`` on its file system, sorted."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark).rstrip("/")

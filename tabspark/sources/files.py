@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import glob as _glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspark.schema import DEFECT_SCHEMA, FEATURES, ID, TARGET, col
+from tabspark.session import path_exists, path_glob
 
 CORRUPT = "_corrupt_record"
 
@@ -29,8 +27,8 @@ def read_metrics(spark: SparkSession, path: str, schema=DEFECT_SCHEMA, fallback_
 
     from tabspark.schema import ALIASES
     target = path
-    if not _exists(spark, path):
-        matches = sorted(_glob.glob(fallback_glob)) if fallback_glob else []
+    if not path_exists(spark, path):
+        matches = path_glob(spark, fallback_glob) if fallback_glob else []
         if not matches:
             raise FileNotFoundError(f"no metric data at {path}")
         target = matches[0]
@@ -54,15 +52,6 @@ def read_metrics(spark: SparkSession, path: str, schema=DEFECT_SCHEMA, fallback_
     return df.withColumns(fixes) if fixes else df
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if ":" not in path.split("/")[0]:
-        return os.path.exists(path)
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def write_metrics_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -29,6 +29,29 @@ def _named(m: str, name: str) -> str:
     return "coalesce(" + ", ".join(vals) + ", 0.0D)"
 
 
+def rejection(payload: str, kind: str = "samples", features=FEATURES):
+    """Column: why a payload is not scored, else null: ``malformed`` (null, no JSON, or not of the
+    shape of ``kind``), ``empty`` (no sample) or ``width`` (an input without one value per feature)."""
+    schema = SAMPLES_SCHEMA if kind == "samples" else INPUTS_SCHEMA
+    got = F.from_json(F.col(payload), schema)[kind]
+    bad = F.exists(got, lambda x: x.isNull())
+    out = F.when(got.isNull(), "malformed").when(F.size(got) == 0, "empty")
+    if kind == "samples":
+        return out.when(bad, "malformed")
+    full = F.forall(got, lambda x: x.isNotNull() & (F.size(x) == len(features)) & ~F.exists(x, lambda v: v.isNull()))
+    return out.when(~full, "width")
+
+
+def accepted_requests(df: DataFrame, payload: str, kind: str = "samples") -> DataFrame:
+    """The requests that are scored, whole; with ``rejected_requests``, every request."""
+    return df.where(rejection(payload, kind).isNull())
+
+
+def rejected_requests(df: DataFrame, payload: str, kind: str = "samples") -> DataFrame:
+    """The other requests as they came, with their ``reason``."""
+    return df.withColumn("reason", rejection(payload, kind)).where("reason IS NOT NULL")
+
+
 def samples_to_features(df: DataFrame, payload: str, keep: list[str] | None = None,
                         features=FEATURES) -> DataFrame:
     """Named-sample payloads → one row per sample (request columns kept)."""

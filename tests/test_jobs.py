@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from conftest import SF01
 from tabspark import jobs
 from tabspark.operators.mlp_math import MlpParams
@@ -33,3 +35,16 @@ def test_prepare_without_target(spark, tmp_out):
     write_metrics_csv(read_metrics_fixture(spark, SF01).drop("defects"), raw)
     info = jobs.prepare_data(spark, raw, f"{tmp_out}/processed")
     assert info == {"labelled": False, "rows": 399}
+
+
+def test_prepare_keeps_rejected_targets_and_needs_no_id(spark, tmp_out):
+    raw = f"file:{tmp_out}/raw_csv"
+    f = read_metrics_fixture(spark, SF01).drop("id")
+    write_metrics_csv(f.withColumn("defects", F.expr("if(loc = 1, 'yes', defects)")), raw)
+    bad = f.where("loc = 1").count()
+    info = jobs.prepare_data(spark, raw, f"{tmp_out}/processed", fmt="csv")
+    assert bad and (info["rows"], info["rejected"]) == (399, bad)
+    assert sum(info["splits"].values()) == 399 - bad
+    kept = spark.read.parquet(f"{tmp_out}/processed/rejected_targets")
+    assert kept.count() == bad and [r[0] for r in kept.select("defects").distinct().collect()] == ["yes"]
+    assert spark.read.parquet(f"{tmp_out}/processed/splits").select("id").distinct().count() == 399 - bad

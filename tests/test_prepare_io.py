@@ -86,3 +86,18 @@ def test_csv_columns_typed_by_name(spark, tmp_out):
     assert rows[0]["v_g"] is None and rows[1]["v_g"] == 2.5 and rows[1]["loc"] == 10.0
     assert dict(df.dtypes)["loc"] == "double" and dict(df.dtypes)["extra"] == "string"
     assert [r["label"] for r in prepare(align_features(df)).orderBy("loc").collect()] == [0, 1]
+
+
+def test_every_request_is_accepted_or_rejected(spark):
+    whole = "[" + ", ".join(["1.5"] * 21) + "]"
+    rows = [(1, '{"inputs": [%s, %s]}' % (whole, whole)), (2, '{"inputs": [%s, [1.0]]}' % whole), (3, "not JSON"), (4, None),
+            (5, '{"inputs": []}'), (6, '{"inputs": [null]}'), (7, '{"inputs": [[%s"a"]]}' % ("1.0, " * 20))]
+    df = spark.createDataFrame(rows, "request_id long, payload string")
+    got = {r["request_id"]: r["reason"] for r in RQ.rejected_requests(df, "payload", "inputs").collect()}
+    assert got.pop(7) in ("malformed", "width")
+    assert got == {2: "width", 3: "malformed", 4: "malformed", 5: "empty", 6: "width"}
+    assert [r["request_id"] for r in RQ.accepted_requests(df, "payload", "inputs").collect()] == [1]
+    rows = [(1, '{"samples": [{"loc": 1.0}]}'), (2, "x"), (3, '{"samples": [{"loc": "many"}]}'), (4, '{"samples": []}')]
+    df = spark.createDataFrame(rows, "request_id long, payload string")
+    got = {r["request_id"]: r["reason"] for r in RQ.rejected_requests(df, "payload").collect()}
+    assert got == {2: "malformed", 3: "malformed", 4: "empty"}

@@ -66,3 +66,9 @@ def test_null_labels_dropped_and_tiny_classes(spark):
     sp = stratified_split(df, "label", "id").collect()
     assert len(sp) == 11
     assert sum(1 for r in sp if r["label"] == 1) == 1
+
+
+def test_null_ids_keep_their_rows(spark):
+    df = spark.createDataFrame([(None if i % 4 == 0 else i, i % 2) for i in range(400)], "id long, label int")
+    out = stratified_split(df, "label", "id").groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in out} == {"train": 280, "val": 40, "test": 80}
