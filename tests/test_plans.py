@@ -38,3 +38,9 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 def test_scoring_is_one_arrow_udf(spark):
     plan = _plan(E.queries()["mlp_score"](spark, SF001))
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_metric_table_scans_are_pruned(spark):
+    from tabspark.plans.frames import metrics_frame
+    plan = _plan(metrics_frame(spark, SF001).select("loc"))
+    assert "FileScan parquet" in plan and "ReadSchema: struct<loc:double>" in plan
