@@ -230,17 +230,18 @@ def predict_logits(p: MlpParams, w: dict, x: np.ndarray) -> np.ndarray:
 
 def train_partition(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float,
                     x: np.ndarray, y: np.ndarray, alpha: np.ndarray, rng):
-    """One local epoch over a partition: seeded shuffle, mini-batches (the last
-    partial batch is dropped unless it is the only one), AdamW per batch.
-    Returns (steps, loss_sum, n_seen, confusion counts)."""
+    """One local epoch over a partition: seeded shuffle, mini-batches over all its
+    rows, AdamW per batch. The last batch may be smaller; batch statistics need
+    two rows, so a last batch of one row joins the one before it, and only a
+    partition of a single row is not trained on. Returns (steps, loss_sum, n_seen, confusion counts)."""
     n = len(y)
     order = rng.permutation(n)
     bs = p.batch_size
-    starts = list(range(0, n - bs + 1, bs)) if n >= bs else ([0] if n >= 2 else [])
+    starts = [s for s in range(0, n, bs) if n - s > 1]
     steps, loss_sum, seen = 0, 0.0, 0
     conf = np.zeros(4)
-    for s in starts:
-        idx = order[s:s + (bs if n >= bs else n)]
+    for s, end in zip(starts, [*starts[1:], n]):
+        idx = order[s:end]
         xb, yb = x[idx], y[idx]
         logits, cache, running = forward(p, w, xb, train=True, rng=rng)
         loss, dlog = loss_and_grad(p, logits, yb, alpha)

@@ -180,3 +180,16 @@ def test_resume_after_restart_equals_uninterrupted(spark, tmp_out):
         np.testing.assert_allclose(resumed.last.weights[name], full.last.weights[name], rtol=1e-12, atol=1e-15)
     assert resumed.history.count() == full.history.count() == 4 * 11
     assert resumed.best_epoch == full.best_epoch
+
+
+def test_an_epoch_sees_every_row():
+    """Also the last, smaller batch; a last row of its own joins the batch before it."""
+    from tabspark.operators import mlp_math as MM
+    p = MlpParams(batch_size=8)
+    rng = np.random.default_rng(0)
+    for n in (2, 7, 8, 9, 17, 30):
+        w = MM.init_weights(p)
+        m, v = ({k: np.zeros_like(a) for k, a in w.items()} for _ in range(2))
+        x, y = rng.normal(size=(n, p.input_size)), rng.integers(0, 2, n)
+        steps, _, seen, conf = MM.train_partition(p, w, m, v, 0, 1e-3, x, y, np.ones(2), np.random.default_rng(1))
+        assert seen == n == conf.sum() and steps == max(1, (n - 1 + 7 - (n % 8 == 1) * 7) // 8)
