@@ -234,10 +234,8 @@ def q_orders_split_counts(spark, sf):
 @query("split_metadata")
 def q_split_metadata(spark, sf):
     sp = split_metrics(spark, sf)
-    return (sp.groupBy("split").agg(F.count(F.lit(1)).cast("bigint").alias("n_samples"))
-            .select("split", "n_samples", F.lit(len(FEATURES)).alias("n_features"),
-                    F.lit("StandardScaler").alias("scaler"), F.lit(0.2).alias("test_size"),
-                    F.lit(0.1).alias("val_size")))
+    meta = IO.write_split_metadata(sp, scratch_path(spark, "split-metadata"))
+    return meta.select("split", "n_samples", "n_features", "scaler", F.lit(0.2).alias("test_size"), F.lit(0.1).alias("val_size"))
 
 
 @query("fit_scaler")
@@ -435,8 +433,8 @@ def q_score_batches(spark, sf):
 def q_sample_head(spark, sf):
     sp = split_metrics(spark, sf)
     pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
-    scored = pipe.transform(sp.where(F.col("split") == "test"))
-    return _scored_view(scored).orderBy("id").limit(5)
+    first = sp.where(F.col("split") == "test").orderBy("id").limit(5)  # only these are scored
+    return _scored_view(pipe.transform(first)).orderBy("id")
 
 
 @query("mlp_prediction_summary")

@@ -54,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to shared storage")
         path = tempfile.mkdtemp(prefix="tabspark-ckpt-")
     sc.setCheckpointDir(path)
