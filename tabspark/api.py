@@ -13,8 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.operators import profiling as P
-from tabspark.operators.metrics import binary_metrics, roc_auc
-from tabspark.operators.mlp import MlpModel, PreprocessScorer
+from tabspark.operators.mlp import MlpModel, PreprocessScorer, evaluate
 from tabspark.operators.prepare import align_features, normalize_target
 from tabspark.operators.scale import ScalerModel
 from tabspark.schema import FEATURES, LABEL, TARGET, infer_features
@@ -54,7 +53,7 @@ class EdaAnalyzer:
         return P.outlier_profile(self.df, self.features)
 
     def generate_report(self) -> DataFrame:
-        return P.eda_report(self.df, self.features, LABEL)
+        return P.eda_report(self.df, self.features, LABEL if LABEL in self.df.columns else None)
 
 
 class BatchPredictor:
@@ -82,18 +81,11 @@ class BatchPredictor:
     def evaluate(self, df: DataFrame) -> DataFrame:
         """accuracy, precision, recall, f1, roc_auc when the target is present;
         otherwise the predictions."""
-        scored = self.predict(df)
         if TARGET not in df.columns and LABEL not in df.columns:
-            return scored
+            return self.predict(df)
         lab = F.col(LABEL) if LABEL in df.columns else normalize_target(F.col(TARGET))
-        s = scored.withColumn("__y", lab).where(F.col("__y").isNotNull())
-        bm = binary_metrics(s, "__y", "prediction")
-        auc = roc_auc(s, "__y", "defect_probability").select("roc_auc")
-        r1, r2 = bm.first(), auc.first()
-        spark = df.sparkSession
-        from tabspark.session import local_frame
-        return local_frame(spark, [(r1["accuracy"], r1["precision"], r1["recall"], r1["f1"], r2["roc_auc"])],
-                           "accuracy double, precision double, recall double, f1 double, roc_auc double")
+        labelled = align_features(df.withColumn("__y", lab).where(F.col("__y").isNotNull()))
+        return evaluate(self.scorer, labelled, "__y")
 
 
 __all__ = ["EdaAnalyzer", "BatchPredictor", "FEATURES"]

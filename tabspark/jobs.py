@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabspark.operators import profiling as P
-from tabspark.operators.metrics import binary_metrics, prediction_summary, roc_auc
+from tabspark.operators.metrics import evaluation, prediction_summary
 from tabspark.operators.mlp import MlpClassifier, MlpModel, PreprocessScorer
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.operators.prepare import align_features, normalize_target, prepare, rejected_targets
@@ -70,12 +70,6 @@ def prepare_data(spark: SparkSession, raw_path: str, out_dir: str, test_size: fl
     return {"labelled": True, "rows": raw.count(), "rejected": rejected, "splits": counts, "target": audit, "test_size": test_size, "val_size": val_size}
 
 
-def _metrics(scored: DataFrame) -> dict:
-    bm = binary_metrics(scored, LABEL, "prediction").first().asDict()
-    bm["roc_auc"] = roc_auc(scored, LABEL, "defect_probability").first()["roc_auc"]
-    return bm
-
-
 def train_model(spark: SparkSession, data_dir: str, model_dir: str, params: MlpParams | None = None,
                 num_partitions: int | None = None) -> dict:
     splits = spark.read.parquet(f"{data_dir}/splits")
@@ -90,7 +84,7 @@ def train_model(spark: SparkSession, data_dir: str, model_dir: str, params: MlpP
     res.history.write.mode("overwrite").parquet(f"{model_dir}/history")
     test = scaled.where(F.col("split") == "test")
     out = {"best_epoch": res.best_epoch, "stopped_epoch": res.stopped_epoch, "class_weights": res.class_weights,
-           "test_best": _metrics(res.best.transform(test)), "test_last": _metrics(res.last.transform(test))}
+           "test_best": evaluation(res.best.transform(test), LABEL), "test_last": evaluation(res.last.transform(test), LABEL)}
     IO.write_metrics(spark.createDataFrame([(json.dumps(out),)], "metrics string"), f"{model_dir}/metrics")
     return out
 
@@ -109,7 +103,7 @@ def predict(spark: SparkSession, model_dir: str, scaler_dir: str | None, data_pa
     out = {"summary": prediction_summary(scored).first().asDict()}
     if has_target:
         labelled = scored.withColumn(LABEL, normalize_target(F.col(TARGET)))
-        out["metrics"] = _metrics(labelled.where(F.col(LABEL).isNotNull()))
+        out["metrics"] = evaluation(labelled.where(F.col(LABEL).isNotNull()), LABEL)
     order = ID if ID in scored.columns else "prediction"
     out["head"] = [r.asDict() for r in scored.orderBy(order).limit(5)
                    .select(*[c for c in (ID, "prediction", "is_defect", "defect_probability", "confidence")
@@ -119,15 +113,28 @@ def predict(spark: SparkSession, model_dir: str, scaler_dir: str | None, data_pa
 
 
 def explore(spark: SparkSession, data_path: str, out_dir: str | None = None) -> DataFrame:
+    """The EDA report; with ``out_dir`` also one JSON table for each of its parts. Data without a target
+    give the parts that need none."""
     data = _read_any(spark, data_path)
-    if TARGET in data.columns:
+    labelled = TARGET in data.columns
+    if labelled:
         data = data.withColumn(LABEL, normalize_target(F.col(TARGET)))
     feats = [f for f in FEATURES if f in data.columns]
-    report = P.eda_report(data, feats, LABEL) if LABEL in data.columns else P.missing_profile(data)
+    report = P.eda_report(data, feats, LABEL if labelled else None)
     if out_dir:
-        report.coalesce(1).write.mode("overwrite").json(f"{out_dir}/eda_report")
-        P.describe_numeric(data, feats).coalesce(1).write.mode("overwrite").json(f"{out_dir}/describe")
-        P.outlier_profile(data, feats).coalesce(1).write.mode("overwrite").json(f"{out_dir}/outliers")
+        m = P.moments(data, feats)
+        wide = P.top_variance_features(data, feats, 10, m)
+        outliers = P.outlier_profile(data, feats)
+        most = [r["feature"] for r in outliers.orderBy(F.col("outlier_pct").desc(), "feature").limit(5).collect()]
+        parts = {"eda_report": report, "describe": P.describe_numeric(data, feats), "outliers": outliers,
+                 "missing": P.missing_profile(data.drop(LABEL)), "histograms": P.histograms(data, wide, 30, m),
+                 "kde": P.kdes(data, wide, 200, 30, m), "outlier_boxes": P.box_stats(data, most),
+                 "correlations": P.correlation_matrix(data, feats + [LABEL] * labelled)}
+        if labelled:
+            parts |= {"target": P.target_distribution(data, TARGET), "target_boxes": P.box_stats(data, wide[:5], by=TARGET),
+                      "top_correlations": P.top_correlations(data, feats, LABEL)}
+        for name, part in parts.items():  # each of a size fixed by the features
+            part.coalesce(1).write.mode("overwrite").json(f"{out_dir}/{name}")
     return report
 
 

@@ -57,7 +57,10 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """accuracy, precision, recall, f1 with zero-division → 0."""
-    c = confusion(df, label, prediction)
+    return _ratios(confusion(df, label, prediction))
+
+
+def _ratios(c: DataFrame) -> DataFrame:
     tp, fp, tn, fn = (F.col(x) for x in ("tp", "fp", "tn", "fn"))
     prec = zero_div(tp, tp + fp)
     rec = zero_div(tp, tp + fn)
@@ -76,12 +79,18 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
     distributed ordered prefix sum of the negatives over the distinct scores
     (range partitions + carry-ins, ``operators.scan``), then one aggregate.
     """
-    from tabspark.operators.scan import Spec, ordered_scan
     lab, s = F.col(label), F.col(score).cast("double")
-    g = (df.where(lab.isNotNull() & s.isNotNull())
-         .groupBy(s.alias("s"))
-         .agg(F.sum(F.when(lab == 1, 1).otherwise(0)).cast("double").alias("pos"),
-              F.sum(F.when(lab == 1, 0).otherwise(1)).cast("double").alias("neg")))
+    return _auc(df.where(lab.isNotNull() & s.isNotNull()).groupBy(s.alias("s")).agg(*_pos_neg(lab)), num_partitions)
+
+
+def _pos_neg(lab: Column):
+    return [F.sum(F.when(lab == 1, 1).otherwise(0)).cast("double").alias("pos"),
+            F.sum(F.when(lab != 1, 1).otherwise(0)).cast("double").alias("neg")]
+
+
+def _auc(g: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """ROC-AUC of (s, pos, neg) rows with distinct scores."""
+    from tabspark.operators.scan import Spec, ordered_scan
     scanned = ordered_scan(g, [], ["s"], [Spec("below", "cumsum_excl", "neg")], num_partitions)
     terms = scanned.agg(F.sum(F.col("pos") * (F.col("below") + F.col("neg") / 2.0)).alias("u"),
                         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
@@ -91,6 +100,21 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score",
                         F.coalesce(F.col("N"), F.lit(0)).cast("bigint").alias("n_neg"))
 
 
+def evaluation(df: DataFrame, label: str = "label", prediction: str = "prediction",
+               score: str = "defect_probability") -> dict:
+    """accuracy, precision, recall, f1 and roc_auc of a scored frame, which is computed once: the counts
+    per distinct score are written with ``checkpoint()`` and both parts read those. Rows without
+    a score count for the confusion only; rows without a label count for nothing."""
+    from tabspark.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    lab = F.col(label)
+    g = (df.groupBy(F.col(score).cast("double").alias("s"))
+         .agg(*_confusion_aggs(lab, F.col(prediction)), *_pos_neg(lab)).checkpoint(eager=True))
+    out = _ratios(g.agg(*[F.sum(c).cast("bigint").alias(c) for c in ("tp", "fp", "tn", "fn")])).first().asDict()
+    auc = _auc(g.where("s IS NOT NULL AND pos + neg > 0").select("s", "pos", "neg"))
+    return {**out, "roc_auc": auc.first()["roc_auc"]}
+
+
 # ---------------------------------------------------------------- A19
 def prediction_summary(df: DataFrame, prediction: str = "prediction",
                        probability: str = "defect_probability") -> DataFrame:

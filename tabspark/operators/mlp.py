@@ -349,16 +349,10 @@ class PreprocessScorer:
 def evaluate(model_or_scorer, df: DataFrame, label: str = "label") -> DataFrame:
     """Scores and, when a label is present, accuracy/precision/recall/f1 and
     exact ROC-AUC in one row (ML10); without a label the predictions."""
-    from tabspark.operators.metrics import binary_metrics, roc_auc
+    from tabspark.operators.metrics import evaluation
     scored = model_or_scorer.transform(df)
     if label not in df.columns:
         return scored
-    scored = scored.select(F.col(label).alias("label"), "prediction", "defect_probability").persist()
-    bm = binary_metrics(scored, "label", "prediction")
-    auc = roc_auc(scored, "label", "defect_probability")
-    r1, r2 = bm.first(), auc.first()
-    scored.unpersist()
-    spark = df.sparkSession
-    out = local_frame(spark, [(r1["accuracy"], r1["precision"], r1["recall"], r1["f1"], r2["roc_auc"])],
-                      "accuracy double, precision double, recall double, f1 double, roc_auc double")
-    return out
+    got = evaluation(scored, label)
+    return local_frame(df.sparkSession, [tuple(got[c] for c in ("accuracy", "precision", "recall", "f1", "roc_auc"))],
+                       "accuracy double, precision double, recall double, f1 double, roc_auc double")

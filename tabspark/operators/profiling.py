@@ -214,10 +214,17 @@ def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def target_correlation(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """Correlation of each feature with the 0/1 target."""
-    cm = correlation_matrix(df, features + [label])
-    return (cm.where((F.col("feature_b") == label) & (F.col("feature_a") != label))
-            .select(F.col("feature_a").alias("feature"), "corr"))
+    """Correlation of each feature with the 0/1 target (A8): one aggregate, a covariance per feature.
+    Null where either side is constant on the rows that have both."""
+    y = Q.num(label)
+    aggs = []
+    for i, f in enumerate(features):
+        x = Q.num(f)
+        on_x, on_y = f"CASE WHEN {x} IS NOT NULL THEN {y} END", f"CASE WHEN {y} IS NOT NULL THEN {x} END"
+        aggs.append(f"CASE WHEN min({on_y}) < max({on_y}) AND min({on_x}) < max({on_x}) "
+                    f"THEN least(greatest(covar_pop({x}, {y}) / nullif(stddev_pop({on_y}) * stddev_pop({on_x}), 0), -1.0D), 1.0D) END AS c{i}")
+    rows = ", ".join(f"struct({Q.str_lit(f)} AS feature, {Q.round4(f'c{i}')} AS corr)" for i, f in enumerate(features))
+    return df.selectExpr(*aggs).selectExpr(f"inline(array({rows}))")
 
 
 def top_correlations(df: DataFrame, features: list[str], label: str, n: int = 10) -> DataFrame:
@@ -423,18 +430,22 @@ def box_stats(df: DataFrame, features: list[str], by: str | None = None, whis: f
 
 
 # ---------------------------------------------------------------- A22
-def eda_report(df: DataFrame, features: list[str], label: str, k: float = 1.5, top: int = 5) -> DataFrame:
+def eda_report(df: DataFrame, features: list[str], label: str | None, k: float = 1.5, top: int = 5) -> DataFrame:
     """The EDA text report as ordered (line, section, key, value) rows (A22):
-    shape, class counts with shares, columns with missing values, top outlier
-    columns. Every part is one of the bounded profiles above."""
+    shape, class counts with shares (and rows without a class, if any), columns with missing
+    values, top outlier columns. Every part is one of the bounded profiles above. Without a
+    label (None) there are no class lines."""
     spark = df.sparkSession
     n = df.count()
     rows = [(1, "shape", "rows", n, None), (2, "shape", "columns", len(df.columns), None)]
-    cls = {r["c"]: r["n"] for r in df.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    for i, c in enumerate((0, 1)):
-        cnt = int(cls.get(c, 0))
-        rows.append((3 + i, "target", f"class_{c}", cnt, cnt * 100.0 / n if n else None))
-    miss = [r for r in missing_profile(df.drop(label), only_missing=True).collect()]
+    if label is not None:
+        y = F.col(label)
+        cls = df.agg(F.count_if(y == 0).alias("class_0"), F.count_if(y == 1).alias("class_1"),
+                     F.count_if(y.isNull()).alias("no_class")).first()
+        for i, c in enumerate(("class_0", "class_1", "no_class")):
+            if i < 2 or cls[c]:
+                rows.append((3 + i, "target", c, cls[c], cls[c] * 100.0 / n if n else None))
+    miss = missing_profile(df.drop(label) if label is not None else df, only_missing=True).collect()
     line = 10
     if miss:
         for r in miss:
@@ -444,7 +455,7 @@ def eda_report(df: DataFrame, features: list[str], label: str, k: float = 1.5, t
         rows.append((line, "missing", "none", 0, None))
     outl = (outlier_profile(df, features, k).orderBy(F.col("outlier_pct").desc(), F.col("feature"))
             .limit(top).collect())
-    line = 100
+    line = max(100, line)
     for r in outl:
         rows.append((line, "outliers", r["feature"], int(r["outlier_count"]), r["outlier_count"] * 100.0 / n))
         line += 1

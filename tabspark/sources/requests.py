@@ -17,6 +17,8 @@ from tabspark.functions import sqltext as Q
 from tabspark.schema import ALIASES, FEATURES, col
 
 SAMPLES_SCHEMA = T.StructType([T.StructField("samples", T.ArrayType(T.MapType(T.StringType(), T.DoubleType())))])
+#: Ids once more as integers: above 2 ** 53 a double is not exact.
+IDS_SCHEMA = "samples array<struct<id: bigint>>"
 INPUTS_SCHEMA = T.StructType([T.StructField("inputs", T.ArrayType(T.ArrayType(T.DoubleType())))])
 
 
@@ -54,13 +56,15 @@ def rejected_requests(df: DataFrame, payload: str, kind: str = "samples") -> Dat
 
 def samples_to_features(df: DataFrame, payload: str, keep: list[str] | None = None,
                         features=FEATURES) -> DataFrame:
-    """Named-sample payloads → one row per sample (request columns kept)."""
+    """Named-sample payloads → one row per sample (request columns kept). ``sample_id`` is exact where the
+    payload writes it as an integer."""
     keep = keep or []
-    parsed = df.select(*[col(k) for k in keep], F.from_json(F.col(payload), SAMPLES_SCHEMA).alias("__p"))
-    ex = parsed.select(*[col(k) for k in keep], F.posexplode(F.col("__p.samples")).alias("pos", "__m"))
+    parsed = df.select(*[col(k) for k in keep], F.from_json(F.col(payload), SAMPLES_SCHEMA).alias("__p"),
+                       F.from_json(F.col(payload), IDS_SCHEMA)["samples"]["id"].alias("__ids"))
+    ex = parsed.select(*[col(k) for k in keep], "__ids", F.posexplode(F.col("__p.samples")).alias("pos", "__m"))
     return ex.selectExpr(*[Q.ident(k) for k in keep], "pos",
                          *[f"{_named('__m', f)} AS {Q.ident(f)}" for f in features],
-                         "CAST(element_at(__m, 'id') AS BIGINT) AS sample_id")
+                         "coalesce(try_element_at(__ids, pos + 1), CAST(element_at(__m, 'id') AS BIGINT)) AS sample_id")
 
 
 def inputs_to_features(df: DataFrame, payload: str, keep: list[str] | None = None,
@@ -81,8 +85,8 @@ def features_to_samples(df: DataFrame, request_key, features=FEATURES, id_col: s
     """Builds named-sample payloads from feature rows, grouped by ``request_key``
     (a bounded number of rows per request)."""
     rev = {v: k for k, v in ALIASES.items()} if use_aliases else {}
-    pairs = [f"'id', {Q.as_double(id_col)}"] + [f"{Q.str_lit(rev.get(f, f))}, {Q.as_double(f)}" for f in features]
-    sample = F.expr("map(" + ", ".join(pairs) + ")")
+    pairs = [f"'id', {Q.ident(id_col)}"] + [f"{Q.str_lit(rev.get(f, f))}, {Q.as_double(f)}" for f in features]
+    sample = F.expr("named_struct(" + ", ".join(pairs) + ")")
     return (df.groupBy(request_key.alias("request_id"))
             .agg(F.to_json(F.struct(F.collect_list(sample).alias("samples"))).alias("payload")))
 

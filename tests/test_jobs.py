@@ -26,6 +26,11 @@ def test_prepare_train_predict_explore(spark, tmp_out):
     assert os.path.isdir(f"{tmp_out}/pred/predictions")
     rep = {(r["section"], r["key"]): r["value"] for r in jobs.explore(spark, raw, f"{tmp_out}/eda").collect()}
     assert rep[("shape", "rows")] == "399" and ("missing", "none") in rep
+    assert set(os.listdir(f"{tmp_out}/eda")) == {"eda_report", "describe", "outliers", "missing", "histograms", "kde", "outlier_boxes",
+                                                 "correlations", "target", "target_boxes", "top_correlations"}
+    write_metrics_csv(read_metrics_fixture(spark, SF01).drop("defects"), f"{tmp_out}/bare_csv")
+    bare = jobs.explore(spark, f"{tmp_out}/bare_csv", f"{tmp_out}/bare").collect()
+    assert {r["section"] for r in bare} == {"shape", "missing", "outliers"} and "kde" in os.listdir(f"{tmp_out}/bare")
     files = [f for f in os.listdir(f"{tmp_out}/model/metrics") if f.endswith(".json")]
     assert "test_best" in json.loads(open(f"{tmp_out}/model/metrics/{files[0]}").readline())["metrics"]
 

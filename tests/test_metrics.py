@@ -82,3 +82,24 @@ def test_latency_summary(spark):
     assert r["p95_latency"] == round(float(np.percentile(x, 95)), 4)
     assert r["throughput"] == round(5 / sum(x), 4)
     assert math.isclose(r["avg_latency"], round(float(np.mean(x)), 4))
+
+
+def test_evaluation_scores_each_row_once(spark):
+    import pandas as pd
+    from pyspark.sql import functions as F
+    scored = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series) -> pd.Series:
+        scored.add(len(x))
+        return (x * 7 % 5) / 5
+
+    rows = [(i, i % 3 % 2) for i in range(87)] + [(87, None)]
+    df = spark.createDataFrame(rows, "id bigint, label int").repartition(4)
+    df = df.withColumn("defect_probability", score(F.col("id").cast("double")))
+    df = df.withColumn("prediction", (F.col("defect_probability") > 0.5).cast("int"))
+    got = M.evaluation(df)
+    assert scored.value == 88
+    want = M.binary_metrics(df).first().asDict() | {"roc_auc": M.roc_auc(df, "label", "defect_probability").first()["roc_auc"]}
+    assert got == want
+    assert M.evaluation(df.limit(0)) == {"accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": 0.0}

@@ -101,3 +101,12 @@ def test_every_request_is_accepted_or_rejected(spark):
     df = spark.createDataFrame(rows, "request_id long, payload string")
     got = {r["request_id"]: r["reason"] for r in RQ.rejected_requests(df, "payload").collect()}
     assert got == {2: "malformed", 3: "malformed", 4: "empty"}
+
+
+def test_sample_ids_are_exact(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big,) + (1.0,) * 21, (7,) + (2.0,) * 21], ["id"] + FEATURES)
+    back = RQ.samples_to_features(RQ.features_to_samples(df, F.lit(1)), "payload").collect()
+    assert sorted(r["sample_id"] for r in back) == [7, big]
+    odd = spark.createDataFrame([('{"samples": [{"id": 3.0, "loc": 1}, {"loc": 2}]}',)], "payload string")
+    assert [(r["sample_id"], r["loc"]) for r in RQ.samples_to_features(odd, "payload").collect()] == [(3, 1.0), (None, 2.0)]
