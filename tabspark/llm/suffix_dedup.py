@@ -59,7 +59,8 @@ class Windows(Sums):
         pad = np.zeros(width - 1, dtype=np.uint64)
         top = slide(np.concatenate([pad, low, pad]), width, np.maximum)
         at = np.flatnonzero(h == top)  # places that are the minimum of some window
-        twin = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] < width))
+        # of one window, or of neighbours (width apart), whose windows are one run
+        twin = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (at[1:] - at[:-1] <= width))
         first = np.searchsorted(self.lo, np.maximum(at[twin + 1] - width + 1, 0), "right") - 1
         last = np.searchsorted(self.lo, np.minimum(at[twin], len(low) - 1), "right") - 1
         mark = np.zeros(len(self.lo) + 1, dtype=np.int64)
@@ -86,6 +87,7 @@ class Windows(Sums):
         """(run, block, core hash, span hash) of the blocks of the given runs; full ones are not cut."""
         n = len(self.sums) - 1
         near, far = (self.place[run] - self.hi[run]) // BLOCK, (self.place[run] - self.lo[run]) // BLOCK
+        assert (full | (far < WHOLE)).all()  # all windows of a run that is not tied hold its minimum
         near, far = np.where(full, WHOLE, near), np.where(full, WHOLE, far)
         count = far - near + 1
         r = np.repeat(run, count)

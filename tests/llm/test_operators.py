@@ -206,6 +206,34 @@ def test_suffix_dedup_against_brute_force(spark):
     assert suffix_dedup.dedup(table(spark, [])).collect() == []
 
 
+def brute_removed(raw):
+    seen = collections.Counter(b[p:p + 200] for b in raw for p in range(len(b) - 199))
+    out = []
+    for b in raw:
+        gone = bytearray(len(b))
+        for p in range(len(b) - 199):
+            if seen[b[p:p + 200]] > 1:
+                gone[p:p + 200] = b"\1" * 200
+        out.append(sum(gone))
+    return out
+
+
+@pytest.mark.parametrize("period", [168, 169, 170])
+def test_suffix_dedup_of_periodic_texts(spark, period):
+    docs = []
+    for k in range(6):  # one text of a unit, and texts of other repeat counts and ends
+        r = random.Random(100 * period + k)
+        line = "".join(r.choice("abcdefghijklmnop") for _ in range(period - 1)) + "\n"
+        if k < 3:
+            docs.append(line * (3 + k))
+        else:
+            docs += [line * 4, line * 6 + "tail" * 20, "head" * 20 + line * 9 + line[:40], line + line[:60] + "#" * 90]
+    expected = [(i, n) for i, n in enumerate(brute_removed([t.encode() for t in docs]))]
+    assert expected[1][1] == 4 * period
+    got = suffix_dedup.dedup(table(spark, list(enumerate(docs))))
+    same([(r.doc_id, r.n_removed) for r in got.collect()], expected)
+
+
 # ---- Jaccard join
 def brute_classes(docs):
     sets = [frozenset(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) if (w := words(t)) else None for _, t in docs]
