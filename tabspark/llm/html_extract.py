@@ -2,18 +2,20 @@
 
 Pages are parsed into text blocks without furniture (menus, footers, adverts, forms, comments ...).  The
 token streams of a host's pages form its suffix array: suffixes are ordered by their first ``DEPTH`` tokens,
-and equal neighbours from distinct pages are long repeated substrings.  Suffixes are sampled by content
-(the smallest hash of ``EVERY`` neighbours, and every block's first and last), so that a substring of
-``DEPTH + EVERY - 1`` tokens has the same sampled suffixes on each page.  The array is dealt over the cluster by (host,
-prefix), with counts made before the shuffle, so a large host is many groups.
-
-Repeated runs are boilerplate outside an article element if two pages have them, and inside one if
-``MAIN_PAGES`` pages and more than half of the host's have them: an article may quote others, a
-notice on most pages is none.  Covered tokens go, unique runs stay.
+and equal ones of distinct pages (pages of the same tokens are one) are repeated runs.  No shorter prefix counts;
+a run may cross blocks.  Of every ``DEPTH`` tokens one prefix of ``GRAM`` at least is sampled by content (the smallest hash of
+neighbours).  Those on enough pages of their host are candidates, and around them all places are compared.  The
+array is dealt over the cluster by (host, prefix), with counts made before the shuffle, so a large host is many groups.
+
+A run on more than half of its host's pages is boilerplate and goes from all of them.  Any other on two
+pages or more goes outside articles from all but one of them, so that an article under two addresses is kept
+once; so does a run on just two pages, one of which consists of such runs for the most part.
+Just the compared tokens go.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -27,9 +29,11 @@ from .hashing import Sums, mix
 from .suffix_dedup import slide
 from .urls import parts
 
-DEPTH = 12
-EVERY = 16
-MAIN_PAGES = 10
+DEPTH = 12  # tokens of the shortest run
+GRAM = 6  # tokens of a sampled prefix
+#: Of a run on n pages: most of its host's have it; and enough for it to be no quotation inside an article.
+COMMON = "2 * n > pages"
+COMMON_INSIDE = "(n >= 10 AND 2 * n > pages)"
 
 # Element names by role, and words in class, id or role that mark furniture.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "button", "object", "math"}
@@ -107,82 +111,133 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
 
 
 class Tokens:
-    """The sampled suffixes of a page: hash of the first ``DEPTH`` tokens (fewer at a block's end)."""
+    """The token stream of a page, over the borders of its blocks."""
 
     def __init__(self, found: list[tuple[bool, str]]):
         toks = [t.encode("utf-8", "surrogatepass").split() for _, t in found]
-        line = b" ".join(x for t in toks for x in t) + b" "
-        gap = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
+        self.line = b" ".join(x for t in toks for x in t) + b" "
+        self.sums = Sums(self.line)
+        self.end = np.flatnonzero(np.frombuffer(self.line, dtype=np.uint8) == 32)
         if not found:
-            gap = gap[:0]
-        n = len(gap)
-        start = np.concatenate([[0], gap[:-1] + 1]) if n else gap
-        self.block = np.repeat(np.arange(len(toks)), [len(t) for t in toks])
-        first = np.concatenate([[0], np.cumsum([len(t) for t in toks])]).astype(np.int64)
-        last = np.minimum(np.arange(n) + DEPTH, first[1:][self.block]) if n else gap
-        size = gap[last - 1] - start if n else gap
-        h = mix(Sums(line).hashes(start, size) + size.astype(np.uint64)) if n else np.zeros(0, dtype=np.uint64)
-        pick = np.zeros(n, dtype=bool)
-        pick[first[:-1]] = True
-        pick[np.maximum(first[1:] - DEPTH, first[:-1])] = True  # the last full prefix of a block
-        if n >= EVERY:
-            low = slide(h, EVERY, np.minimum)
-            pad = np.zeros(EVERY - 1, dtype=np.uint64)
-            pick |= h == slide(np.concatenate([pad, low, pad]), EVERY, np.maximum)
-        self.at, self.hash, self.to = np.flatnonzero(pick), h[pick], last[pick] if n else gap
-
-    def covered(self, hits: np.ndarray) -> np.ndarray:
-        """True for the tokens of suffixes in ``hits``, and those between two such neighbours of a block."""
-        mark = np.zeros(len(self.block) + 1, dtype=np.int64)
-        hit = np.isin(self.hash.view(np.int64), hits)
-        to = self.to.copy()
-        near = hit[:-1] & hit[1:] & (self.block[self.at[1:]] == self.block[self.at[:-1]])
-        to[:-1][near] = np.maximum(to[:-1][near], self.at[1:][near])
-        np.add.at(mark, self.at[hit], 1)
-        np.add.at(mark, to[hit], -1)
+            self.end = self.end[:0]
+        self.n = len(self.end)
+        self.start = np.concatenate([[0], self.end[:-1] + 1]) if self.n else self.end
+        self.main = np.repeat(np.array([m for m, _ in found], dtype=bool), [len(t) for t in toks])
+
+    def prefixes(self, depth: int) -> np.ndarray:
+        """The hash of the ``depth`` tokens at each place that has as many."""
+        if self.n < depth:
+            return np.zeros(0, dtype=np.uint64)
+        size = self.end[depth - 1:] - self.start[: self.n - depth + 1]
+        return mix(self.sums.hashes(self.start[: self.n - depth + 1], size) + size.astype(np.uint64))
+
+    def outside(self, depth: int) -> np.ndarray:
+        """True for the places whose ``depth`` tokens are not all in an article."""
+        out = np.concatenate([[0], np.cumsum(~self.main)])
+        return out[depth:] > out[:-depth] if self.n >= depth else np.zeros(0, dtype=bool)
+
+    def prints(self) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the sampled prefixes: one at least in any ``DEPTH`` tokens."""
+        h = self.prefixes(GRAM)
+        if self.n < DEPTH:
+            return np.zeros(0, dtype=np.int64), h[:0]
+        width = DEPTH - GRAM + 1
+        low = slide(h, width, np.minimum)
+        pad = np.zeros(width - 1, dtype=np.uint64)
+        at = np.flatnonzero(h == slide(np.concatenate([pad, low, pad]), width, np.maximum))
+        return at, h[at]
+
+    def spread(self, at: np.ndarray, back: int, to: int, size: int) -> np.ndarray:
+        """True for the places of ``size`` from ``back`` before one of ``at`` up to ``to`` after it."""
+        mark = np.zeros(size + 1, dtype=np.int64)
+        np.add.at(mark, np.maximum(at - back, 0), 1)
+        np.add.at(mark, np.minimum(at + to, size), -1)
         return np.cumsum(mark[:-1]) > 0
 
+    def gone(self, every, once, inside) -> np.ndarray:
+        """True for the tokens that go: those of the runs ``every``, and of the runs ``once`` that share no token
+        with them (a word beside a notice may be the same on two pages); in an article those of ``inside`` only."""
+        g = self.prefixes(DEPTH).view(np.int64)
+        e, o, i = (np.isin(g, np.array(x or [], dtype=np.int64)) for x in (every, once, inside))
+        o &= ~self.spread(np.flatnonzero(e), DEPTH - 1, DEPTH, len(g))
+        hit = e | o
+        return (self.spread(np.flatnonzero(hit), 0, DEPTH, self.n) & ~self.main) | self.spread(np.flatnonzero(hit & i), 0, DEPTH, self.n)
+
+
+def _identities(batches):
+    """(hh, th, tt): pages of one ``tt`` have the same tokens."""
+    for batch in batches:
+        hh, th, tt = [], [], []
+        for t, h, page in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            x = Tokens(blocks(page))
+            if x.n >= DEPTH:
+                hh.append(h), th.append(t), tt.append(int.from_bytes(hashlib.blake2b(x.line, digest_size=8).digest(), "little", signed=True))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hh, th, tt)], ["hh", "th", "tt"])
+
+
+def _distinct(host, th, h, *flags):
+    g, inv = np.unique(h, return_inverse=True)
+    out = [np.full(len(g), host, dtype=np.int64), g.view(np.int64), np.full(len(g), th, dtype=np.int64)]
+    for f in flags:
+        most = np.zeros(len(g), dtype=np.int32)
+        np.maximum.at(most, inv, f.astype(np.int32))
+        out.append(most)
+    return out
+
+
+def _emitted(rows, names):
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*rows)], names)
 
-def _suffixes(batches):
-    """(host, g, th, body): the distinct sampled suffixes of each page; body: one is outside an article."""
+
+def _prints(batches):
+    """(host, g, th, body): the distinct sampled prefixes of each page; body: one may belong to a run outside an article."""
     for batch in batches:
-        out = [[], [], [], []]
+        rows = []
         for th, host, page in zip(*(batch.column(k).to_pylist() for k in range(3))):
-            found = blocks(page)
-            if not found:
-                continue
-            t = Tokens(found)
-            outside = np.array([not m for m, _ in found], dtype=np.int32)[t.block[t.at]]
-            g, inv = np.unique(t.hash, return_inverse=True)
-            body = np.zeros(len(g), dtype=np.int32)
-            np.maximum.at(body, inv, outside)
-            for k, x in enumerate((np.full(len(g), host, dtype=np.int64), g.view(np.int64), np.full(len(g), th, dtype=np.int64), body)):
-                out[k].append(x)
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], ["host", "g", "th", "body"])
-
-
-def clean(found: list[tuple[bool, str]], outside, inside) -> list[str]:
-    """The blocks' texts without covered tokens: ``outside`` hits count outside articles only."""
-    if not found or not (outside or inside):
+            t = Tokens(blocks(page))
+            at, h = t.prints()
+            if len(at):
+                near = t.spread(np.flatnonzero(~t.main), DEPTH - 1, DEPTH, t.n)
+                rows.append(_distinct(host, th, h, near[at]))
+        if rows:
+            yield _emitted(rows, ["host", "g", "th", "body"])
+
+
+def _runs(batches):
+    """(host, g, th, body, mostly): the distinct runs of ``DEPTH`` tokens around the given prefixes of each page,
+    at all places; body: one is not all in an article; mostly: such runs cover more than half of the page."""
+    for batch in batches:
+        rows = []
+        for th, host, page, given in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            t = Tokens(blocks(page))
+            at, h = t.prints()
+            at = at[np.isin(h.view(np.int64), np.array(given, dtype=np.int64))]
+            g = t.prefixes(DEPTH)
+            here = t.spread(at, DEPTH - GRAM, 1, len(g))
+            mostly = 2 * t.spread(np.flatnonzero(here), 0, DEPTH, t.n).sum() > t.n
+            rows.append(_distinct(host, th, g[here], t.outside(DEPTH)[here], np.full(here.sum(), mostly)))
+        if rows:
+            yield _emitted(rows, ["host", "g", "th", "body", "mostly"])
+
+
+def clean(found: list[tuple[bool, str]], every, once, inside) -> list[str]:
+    """The blocks' texts without the tokens of repeated runs."""
+    if not found or not (every or once):
         return [t for _, t in found]
-    t = Tokens(found)
-    main = np.array([m for m, _ in found], dtype=bool)[t.block]
-    gone = t.covered(np.array(inside or [], dtype=np.int64)) | (t.covered(np.array(outside or [], dtype=np.int64)) & ~main)
+    gone = Tokens(found).gone(every, once, inside)
     out, at = [], 0
     for _, text in found:
-        toks = text.split()
-        n = len(toks)
+        n = len(text.encode("utf-8", "surrogatepass").split())
         here = gone[at:at + n]
         at += n
-        out.append(" ".join(x for x, g in zip(toks, here) if not g) if here.any() else text)
+        out.append(b" ".join(x for x, g in zip(text.encode("utf-8", "surrogatepass").split(), here) if not g).decode("utf-8", "surrogatepass") if here.any() else text)
     return [x for x in out if x]
 
 
 def _texts(batches):
     for batch in batches:
         cols = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-        text = ["\n\n".join(clean(blocks(page), outside, inside)) for page, outside, inside in zip(*cols[2:5])]
+        text = ["\n\n".join(clean(blocks(page), *lists)) for page, *lists in zip(*cols[2:6])]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(text, pa.string()), pa.array([len(x) for x in text], pa.int64())],
                                          ["id", "url", "text", "n_chars"])
 
@@ -196,20 +251,43 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """
     d = parts(pages.select(F.col(id_col).cast("bigint").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("page")), "url")
     d = d.select("id", "url", "page", F.expr("xxhash64(host)").alias("hh"), F.expr("xxhash64(page)").alias("th"))
-    suffix = d.select("th", "hh", "page").mapInArrow(_suffixes, "host bigint, g bigint, th bigint, body int")
-    many = (suffix.groupBy("host", "g").agg(F.count_distinct("th").alias("n"), F.max("body").alias("body"))
-            .where(f"(n >= 2 AND body = 1) OR n >= {MAIN_PAGES}"))
-    hosts = d.groupBy(F.col("hh").alias("host")).agg(F.count_distinct("th").alias("pages"))
-    many = many.join(hosts, "host").select("host", "g", F.expr(f"n >= {MAIN_PAGES} AND 2 * n > pages").alias("inside"), "body")
-    many = C.written(many.where("inside OR body = 1").drop("body"), "html-repeated")
-    hits = (suffix.drop("body").join(C.small_side(many), ["host", "g"]).groupBy("host", "th")
-            .agg(F.collect_set("g").alias("outside"), F.expr("collect_set(g) FILTER (WHERE inside)").alias("inside")))
-    hits = C.written(hits.select(F.col("host").alias("hh"), "th", "outside", "inside"), "html-hits")
+    lists = ("every", "once", "inside")
+    rows = "host bigint, g bigint, th bigint, body int"
+    texts = C.written(d.select("th", "hh", "page").mapInArrow(_identities, "hh bigint, th bigint, tt bigint"), "html-pages")
+    same = texts.groupBy("hh", "tt").agg(F.min("th").alias("lead"), F.count("*").alias("c"))
+    hosts = same.groupBy(F.col("hh").alias("host")).agg(F.count("*").alias("pages"))
+    # one page of each text: those that are alone as they are, one of the others
+    several = C.written(texts.join(same.where("c > 1"), ["hh", "tt"]).select("hh", "th", "lead").distinct(), "html-copies")
+    copies = C.small_side(several.select("hh", "th"), 500_000)
+    leads = C.small_side(several.selectExpr("hh", "lead AS th").distinct(), 500_000)
+    one = d.select("th", "hh", "page")
+    one = one.join(copies, ["hh", "th"], "left_anti").unionByName(one.join(leads, ["hh", "th"], "left_semi").dropDuplicates(["hh", "th"]))
+
+    # sampled prefixes that are on enough pages for a run around them to be judged as repeated, and those runs at all places
+    prints = one.select("th", "hh", "page").mapInArrow(_prints, rows)
+    many = prints.groupBy("host", "g").agg(F.count("*").alias("n"), F.max("body").alias("body")).where("n >= 2")
+    many = C.written(many.join(hosts, "host").where(f"body = 1 OR {COMMON_INSIDE}").select("host", "g"), "html-candidates")
+    given = (prints.select("host", "g", "th").join(C.small_side(many), ["host", "g"]).groupBy(F.col("host").alias("hh"), "th")
+             .agg(F.collect_set("g").alias("given")))
+    given = C.written(given, "html-given")
+    around = (one.join(C.small_side(given.select("hh", "th"), 500_000), ["hh", "th"], "left_semi").join(given, ["hh", "th"])
+              .select("th", "hh", "page", "given").mapInArrow(_runs, rows + ", mostly int"))
+    judged = (around.groupBy("host", "g").agg(F.count("*").alias("n"), F.max("body").alias("body"), F.max("mostly").alias("mostly"), F.min("th").alias("first"))
+              .where("n >= 2").join(hosts, "host")
+              .select("host", "g", "first", F.expr(f"{COMMON} AND NOT (n = 2 AND mostly = 1)").alias("all"), F.expr(COMMON_INSIDE).alias("inside"), "body")
+              .where("inside OR body = 1"))
+    judged = C.written(judged, "html-repeated")
+    hits = (around.select("host", "g", "th").join(C.small_side(judged), ["host", "g"]).where("all OR th != first").groupBy("host", "th")
+            .agg(*(F.expr(f"collect_set(g) FILTER (WHERE {k})").alias(x) for x, k in zip(lists, ("all", "NOT all", "inside")))))
+    hits = C.written(hits.select(F.col("host").alias("hh"), "th", *lists), "html-hits")
+    # pages of one text lose the same
+    alike = several.where("th != lead").join(hits.withColumnRenamed("th", "lead"), ["hh", "lead"]).select("hh", "th", *lists)
+    hits = hits.unionByName(alike)
     at = ["hh", "th"]
     keys = C.small_side(hits.select(*at), 500_000)
     none = F.expr("cast(null as array<bigint>)")
-    cols = ("id", "url", "page", "outside", "inside")
-    rest = d.join(keys, at, "left_anti").withColumn("outside", none).withColumn("inside", none).select(*cols)
+    cols = ("id", "url", "page", *lists)
+    rest = d.join(keys, at, "left_anti").select("id", "url", "page", *(none.alias(x) for x in lists))
     touched = d.join(keys, at, "left_semi").join(hits, at).select(*cols)
     out = [x.mapInArrow(_texts, "id bigint, url string, text string, n_chars bigint") for x in (rest, touched)]
     return out[0].unionByName(out[1]).withColumnRenamed("id", id_col).withColumnRenamed("url", url_col)

@@ -374,6 +374,29 @@ def test_html_repeats_of_a_host_go_and_unique_runs_stay(spark):
     assert html_extract.extract(df.limit(0)).collect() == []
 
 
+def page(*divs):
+    return "<html><body>" + "".join(f"<div>{x}</div>" for x in divs) + "</body></html>"
+
+
+def texts_of(spark, pages):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_extract.extract(df).collect()}
+
+
+def test_html_pages_without_article_lose_only_whole_repeated_runs(spark):
+    r = random.Random(5)
+    small = [[" ".join(f"w{r.randrange(30)}" for _ in range(r.choice([1, 2, 5, 40]))) for _ in range(8)] for _ in range(30)]
+    notice, story = prose(70, 12, 10**6), prose(71, 80, 10**6)
+    pages = [(k, f"http://a.com/{k}", page(*x[:4], notice, *x[4:])) for k, x in enumerate(small)]
+    pages += [(40, "http://b.com/1", page(prose(72, 20, 10**6), story, "the end")), (41, "http://b.com/2", page(story, prose(73, 30, 10**6), "the end"))]
+    pages += [(50, "http://c.com/1", "<p>" + story + "</p>"), (51, "http://c.com/2", "<div><div>" + story + "</div></div>")]
+    got = texts_of(spark, pages)
+    # shared words and short paragraphs stay, the notice goes; a story at two addresses stays once or twice
+    assert all(got[k] == "\n\n".join(x) for k, x in enumerate(small))
+    assert [story in got[k] for k in (40, 41)].count(True) == 1 and got[50] == got[51] == story
+    assert got[40].endswith("the end") and got[41].endswith("the end")
+
+
 # ---- chat
 def test_chat_links_orders_and_validates(spark):
     calls = [(1, "a", 0, "t", '{"x": 1}', None), (1, "b", 2, "t", '{"y": 2}', "a"), (1, "c", 4, "t", "{", "b"), (1, "d", 6, "u", "{}", "gone"),
