@@ -9,7 +9,7 @@ array is dealt over the cluster by (host, prefix), with counts made before the s
 
 A run on more than half of its host's pages is boilerplate and goes from all of them.  Any other on two
 pages or more goes outside articles from all but one of them, so that an article under two addresses is kept
-once; so does a run on just two pages, one of which consists of such runs for the most part.
+once; inside an article so does one on more than a quarter of the host's pages, as articles may quote others.  So does a run on just two pages, one of which consists of such runs for the most part.
 Just the compared tokens go.
 """
 
@@ -33,7 +33,7 @@ DEPTH = 12  # tokens of the shortest run
 GRAM = 6  # tokens of a sampled prefix
 #: Of a run on n pages: most of its host's have it; and enough for it to be no quotation inside an article.
 COMMON = "2 * n > pages"
-COMMON_INSIDE = "(n >= 10 AND 2 * n > pages)"
+COMMON_INSIDE = "4 * n > pages"
 
 # Element names by role, and words in class, id or role that mark furniture.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "button", "object", "math"}

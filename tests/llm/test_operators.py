@@ -397,6 +397,22 @@ def test_html_pages_without_article_lose_only_whole_repeated_runs(spark):
     assert got[40].endswith("the end") and got[41].endswith("the end")
 
 
+def test_html_repeats_inside_articles_go_by_their_share_of_the_host(spark):
+    def articles(host, n, notice, with_it):  # the notice is amid a block
+        parts = [(prose(1000 * n + k, 30, 10**6), prose(1000 * n + 500 + k, 30, 10**6)) for k in range(n)]
+        rows = [(1000 * n + k, f"http://{host}/{k}", f"<article><p>{a}{' ' + notice if k < with_it else ''} {b}</p></article>") for k, (a, b) in enumerate(parts)]
+        return rows, {1000 * n + k: f"{a} {b}" for k, (a, b) in enumerate(parts)}
+
+    notice, quote = prose(80, 12, 10**6), prose(81, 14, 10**6)
+    hosts = [articles("two.com", 2, notice, 2), articles("three.com", 3, notice, 3), articles("nine.com", 9, notice, 6), articles("many.com", 30, notice, 12),
+             articles("quote.com", 12, quote, 2)]
+    got = texts_of(spark, [x for rows, _ in hosts for x in rows])
+    for rows, plain in hosts[:3]:
+        assert {k: got[k] for k in plain} == plain
+    assert sum(got[k] != t for k, t in hosts[3][1].items()) == 1  # of a notice on fewer than half of the pages one copy stays
+    assert sum(quote in got[k] for k in hosts[4][1]) == 2
+
+
 # ---- chat
 def test_chat_links_orders_and_validates(spark):
     calls = [(1, "a", 0, "t", '{"x": 1}', None), (1, "b", 2, "t", '{"y": 2}', "a"), (1, "c", 4, "t", "{", "b"), (1, "d", 6, "u", "{}", "gone"),
