@@ -15,9 +15,11 @@ Just the compared tokens go.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +43,15 @@ DROP = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header", "f
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s",
           "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
-FURNITURE = re.compile(r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|sponsor(?:ed)?|banner|promo|cookies?|consent|notice|gdpr|popup|modal|overlay|"
-                       r"sidebar|side|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|replies|disqus|social|share|"
-                       r"sharing|related|recommended|newsletter|subscribe|signup|login|search|widget|skip|pagination|pager|toolbar|"
-                       r"complementary|contentinfo|alert)(?:$|[\s_-])", re.I)
+FURNITURE = frozenset("ad ads advert adverts advertisement sponsor sponsored banner promo cookie cookies consent notice gdpr popup modal overlay sidebar side "
+                      "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments replies disqus social share sharing related "
+                      "recommended newsletter subscribe signup login search widget skip pagination pager toolbar complementary contentinfo alert".split())
+#: Parts of a name that may stand beside such words: site-footer is furniture, has-sidebar and menu-page are layouts.
+BESIDE = frozenset("site main top bottom left right primary secondary global box bar list container block section item items area form links link "
+                   "buttons button icons icon posts post articles article inner outer thread text message google sticky mobile desktop the my js "
+                   "slot unit wrapper wrap widgets row panel title toggle".split())
+MOST_WORDS = 25  # of an element that may be most of a page's text
+_PART = re.compile(r"[_-]+")
 MAIN_MARK = re.compile(r"(?:^|[\s_-])(?:article|articlebody|main|post|entry)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>?", re.S)
 _ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -52,18 +59,32 @@ _ATTR = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}}
 
 
+@functools.lru_cache(100_000)
+def _furniture(marks: str) -> bool:
+    """Whether a name in class, id or role consists of furniture words, and of words that may stand beside them."""
+    for mark in marks.lower().split():
+        found = [x for x in _PART.split(mark.strip("_-")) if not x.isdigit()]
+        if not FURNITURE.isdisjoint(found) and all(x in FURNITURE or x in BESIDE for x in found):
+            return True
+    return False
+
+
 def blocks(page: str | None) -> list[tuple[bool, str]]:
     """(in an article, text) of each block that is no furniture, in page order.  White space is folded,
-    character references are decoded, empty blocks are left out."""
-    page, out, text, stack = page or "", [], [], []  # stack: (name, dropped, in an article)
-    dropped = main = False
+    character references are decoded, empty blocks are left out.
+
+    An element that a name marks as furniture keeps the article elements in it, unless it is in an article itself, and is
+    kept as a whole if it has most of the text of a page that has no article."""
+    page, out, text, stack = page or "", [], [], []  # stack: (name, dropped, in an article, marks that drop it)
+    dropped, main = False, 0  # main: 1 by a mark of html or body, 2 in an article
+    marked: tuple[int, ...] = ()
     at = 0
 
     def end() -> None:
         t = " ".join(html.unescape("".join(text)).split())
         text.clear()
         if t:
-            out.append((main, t))
+            out.append((main, t, marked))
 
     for m in iter(lambda: _TAG.search(page, at), None):
         if not dropped:
@@ -78,7 +99,7 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
                 stop = re.compile(rf"</{name}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else len(page) if name in ("script", "style", "textarea", "title") else at
             continue
-        if name in INLINE and not (FURNITURE.search(" ".join(map("".join, _ATTR.findall(attrs)))) if attrs else False) and not any(s[0] == name for s in stack):
+        if name in INLINE and not (_furniture(" ".join(map("".join, _ATTR.findall(attrs)))) if attrs else False) and not any(s[0] == name for s in stack):
             continue
         if not dropped:
             if name == "br":
@@ -97,17 +118,37 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
         else:
             if name in _CLOSES and stack and stack[-1][0] in _CLOSES[name]:
                 stack.pop()
-                _, dropped, main = stack[-1] if stack else ("", False, False)
+                _, dropped, main, marked = stack[-1] if stack else ("", False, 0, ())
             marks = " ".join(map("".join, _ATTR.findall(attrs))) if attrs else ""
-            article = name in ("article", "main") or bool(marks and MAIN_MARK.search(marks))
-            gone = name in DROP and not (name in ("header", "figure") and main) or bool(
-                marks and name not in ("html", "body", "article", "main") and FURNITURE.search(marks))
-            stack.append((name, dropped or gone, main or article))
-        _, dropped, main = stack[-1] if stack else ("", False, False)
+            named = bool(marks) and _furniture(marks)
+            article = name in ("article", "main") or bool(marks and not named and MAIN_MARK.search(marks))
+            gone = name in DROP and not (name in ("header", "figure") and main)
+            by = marked
+            if name in ("article", "main"):
+                by = by if main == 2 or named else ()
+            elif named and name not in ("html", "body"):
+                by = (*by, at)
+            stack.append((name, dropped or gone, max(main, article and (1 if name in ("html", "body") else 2)), by))
+        _, dropped, main, marked = stack[-1] if stack else ("", False, 0, ())
     if not dropped:
         text.append(page[at:])
     end()
-    return out
+    return _kept(out)
+
+
+def _kept(found: list[tuple[int, str, tuple[int, ...]]]) -> list[tuple[bool, str]]:
+    """The blocks that no mark drops."""
+    kept = [(m > 0, t) for m, t, by in found if not by]
+    if len(kept) < len(found) and not any(m == 2 for m, _, by in found if not by):
+        size, total = Counter(), 0
+        for _, t, by in found:
+            n = len(t.split())
+            total += n
+            size.update(dict.fromkeys(by, n))
+        most = {k for k, n in size.items() if n >= MOST_WORDS and 2 * n > total}
+        if most:
+            kept = [(m > 0, t) for m, t, by in found if most.issuperset(by)]
+    return kept
 
 
 class Tokens:

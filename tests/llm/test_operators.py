@@ -413,6 +413,21 @@ def test_html_repeats_inside_articles_go_by_their_share_of_the_host(spark):
     assert sum(quote in got[k] for k in hosts[4][1]) == 2
 
 
+@pytest.mark.parametrize("mark", ["class='has-sidebar'", "class='no-sidebar'", "class='page with-nav'", "class=comment-open", "class='search-results'", "id='menu-page'"])
+def test_html_layout_names_are_no_furniture(mark):
+    assert html_extract.blocks(PAGE.format(body=f"<div {mark}><p>one</p><article><p>two</p></article></div>")) == [(True, "one"), (True, "two")]
+
+
+def test_html_furniture_that_holds_the_text_stays():
+    story = prose(90, 60)
+    plain = lambda body: [t for _, t in html_extract.blocks(f"<html><body>{body}</body></html>")]
+    for mark in ("sidebar", "search", "site-footer", "main-nav"):
+        assert plain(f"<div class='{mark}'><p>links</p><article><p>{story}</p></article></div>") == [story]
+        assert plain(f"<div class='{mark}'><p>{story}</p></div><p>few words</p>") == [story, "few words"]
+        assert plain(f"<article><p>short</p></article><div class='{mark}'>{story}</div>") == ["short"]
+        assert plain(f"<article><p>{story}</p><div class='{mark}'><article>x</article></div></article><div class='comments'><article class=comment>y</article></div>") == [story]
+
+
 # ---- chat
 def test_chat_links_orders_and_validates(spark):
     calls = [(1, "a", 0, "t", '{"x": 1}', None), (1, "b", 2, "t", '{"y": 2}', "a"), (1, "c", 4, "t", "{", "b"), (1, "d", 6, "u", "{}", "gone"),
