@@ -212,6 +212,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     own (``class_id`` the own id, 0 links, 1 same).  Repeated rows are copies.  Null ids take part; a class of null ids
     only has a null id.  Empty tables give empty results.  Other columns are not read.
     """
+    return _classes(docs, id_col, text_col).drop("_root")
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``join`` with ``_root``: the key of the class itself, as a repeated or null id names none (null without words)."""
     runs = runs_for()
     d = docs.select(F.col(id_col).cast("bigint").alias("id"), F.expr(f"xxhash64({text_col})").alias("th"), F.col(text_col).cast("binary").alias("text"))
     each = C.written(d.mapInArrow(_describe(runs), "id bigint, th bigint, key binary, n int, sketch binary, paths array<array<bigint>>"), "join-texts")
@@ -264,24 +269,27 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     info = C.written(info, "join-info")
     firsts = (each.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")).join(info.select("key", "root"), "key")
               .groupBy("root").agg(F.min("id").alias("class_id")))
-    info = info.join(firsts, "root").select("key", "class_id", "n_links", "n_same")
-    got = each.where("key IS NOT NULL").select("id", "th", "key").join(info, "key").select("id", "class_id", "n_links", "n_same", "th")
-    alone = each.where("key IS NULL").selectExpr("id", "id AS class_id", "0L AS n_links", "1L AS n_same", "th")
+    info = info.join(firsts, "root").select("key", "root", "class_id", "n_links", "n_same")
+    got = each.where("key IS NOT NULL").select("id", "th", "key").join(info, "key").selectExpr("id", "class_id", "n_links", "n_same", "th", "root AS _root")
+    alone = each.where("key IS NULL").selectExpr("id", "id AS class_id", "0L AS n_links", "1L AS n_same", "th", "cast(null as binary) AS _root")
     return got.unionByName(alone).withColumnRenamed("id", id_col).withColumnRenamed("th", "_text_hash")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each class: that of the smallest id (null last, then text hash).  Rows
     without words stay; columns stay as they are."""
-    cls = C.written(join(docs, id_col, text_col), "join-classes")
-    first = F.expr(f"struct({id_col} IS NULL AS no_id, {id_col} AS id, _text_hash AS th)")
-    d = cls.withColumn("first", first)
-    lead = d.where(f"class_id IS NOT NULL AND {id_col} = class_id").groupBy("class_id").agg(F.min("first").alias("best"))
-    gone = (d.join(lead, "class_id", "left").where("(best IS NOT NULL AND first != best) OR (class_id IS NULL AND n_same > 1)")
-            .select(F.col(id_col).alias("_id"), F.col("_text_hash").alias("_th")).distinct())
+    cls = C.written(_classes(docs, id_col, text_col).where("_root IS NOT NULL").selectExpr(f"{id_col} AS _id", "_text_hash AS _th", "_root"), "join-classes")
+    rows = cls.groupBy("_root", "_id", "_th").agg(F.count("*").alias("c"))
+    # rows of one id and text are of one class, so that its first row tells by these alone who stays
+    lead = C.written(rows.groupBy("_root").agg(F.min(F.struct(F.expr("_id IS NULL").alias("no_id"), "_id", "_th", "c")).alias("best"))
+                     .selectExpr("best._id AS _lead", "best._th AS _lead_th", "best.c AS c"), "join-leads")
+    gone = rows.join(lead, F.expr("_id <=> _lead AND _th = _lead_th"), "left_anti").select("_id", "_th")
     gone = C.small_side(C.written(gone, "join-gone"), 500_000)
-    out = docs.join(gone, F.expr(f"{id_col} <=> _id AND xxhash64({text_col}) <=> _th"), "left_anti")
-    twice = d.groupBy("first").agg(F.count("*").alias("c")).where("c > 1 AND first.th IS NOT NULL").limit(1).count()
-    if twice:  # one row of rows that are equal in id and text
-        out = out.withColumn("_th", F.expr(f"xxhash64({text_col})")).dropDuplicates([id_col, "_th"]).drop("_th")
+    same = F.expr(f"{id_col} <=> _id AND xxhash64({text_col}) = _th")
+    out = docs.join(gone, same, "left_anti")
+    twice = lead.where("c > 1").selectExpr("_lead AS _id", "_lead_th AS _th")
+    if twice.limit(1).count():  # one row of rows that are equal in id and text
+        twice = C.small_side(twice, 500_000)
+        one = out.join(twice, same, "left_semi").withColumn("_th", F.expr(f"xxhash64({text_col})")).dropDuplicates([id_col, "_th"]).drop("_th")
+        out = out.join(twice, same, "left_anti").unionByName(one)
     return out

@@ -293,6 +293,15 @@ def test_jaccard_keeps_one_of_each_class(spark):
     assert jaccard_join.keep_one(table(spark, [])).collect() == [] and jaccard_join.runs_for() == 13
 
 
+def test_jaccard_keeps_one_of_each_class_with_null_and_repeated_ids(spark):
+    a, b, c, d, e, f = (prose(200 + k, 80, 10**6) for k in range(6))
+    docs = [(None, a), (None, a), (None, b), (None, b + " x"), (1, c), (1, d), (None, e), (2, e), (2, f), (3, f + " y"), (3, None), (3, None)]
+    kept = [(r.doc_id, r.text) for r in jaccard_join.keep_one(table(spark, docs)).collect()]
+    assert kept.count((None, a)) == 1 and len([x for x in kept if x in docs[2:4]]) == 1
+    rest = [x for x in kept if x not in docs[:4]]
+    same(rest, [(1, c), (1, d), (2, e), (2, f), (3, None), (3, None)])
+
+
 # ---- mixing
 def test_mix_stays_within_a_block_of_its_targets(spark):
     rows = [(k, "abcde"[min(k % 7, 4)]) for k in range(3000)] + [(None, None), (7, ""), (7, "a"), (7, "a")]
