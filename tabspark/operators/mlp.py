@@ -190,6 +190,15 @@ def _model_frame(df: DataFrame, features: list[str], label: str) -> DataFrame:
                          f"CAST({Q.ident(label)} AS INT) AS y").where("y IS NOT NULL")
 
 
+#: Rows of a training task, which holds its share in memory.
+PARTITION_ROWS = 65_536
+
+
+def partitions_for(train: DataFrame) -> int:
+    """Tasks for the counted rows, at most about ``PARTITION_ROWS`` each."""
+    return max(1, -(-train.count() // PARTITION_ROWS))
+
+
 class MlpClassifier:
     def __init__(self, params: MlpParams | None = None, features: list[str] | None = None,
                  label: str = "label", num_partitions: int | None = None, run_id: str = "run"):
@@ -212,8 +221,7 @@ class MlpClassifier:
         k = len(feats)
         p = p.replace(input_size=k)
         tr = _model_frame(train, feats, self.label)
-        if self.num_partitions:
-            tr = tr.repartition(self.num_partitions)
+        tr = tr.repartition(self.num_partitions or partitions_for(tr))
         # cut lineage: each epoch re-reads the same rows in the same partitions,
         # also after an executor loss (reliable checkpoint in spark.checkpoint.dir)
         tr = tr.checkpoint(eager=True)

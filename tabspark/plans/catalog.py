@@ -455,8 +455,8 @@ def _fit(spark, sf, params: MlpParams, num_partitions=None, run_id="run"):
 
 @query("mlp_fit")
 def q_mlp_fit(spark, sf):
-    """Training history (run, epoch, metric, value) of a short distributed fit."""
-    _, _, res = _fit(spark, sf, MlpParams(max_epochs=5), num_partitions=4)
+    """Training history (run, epoch, metric, value) of a distributed fit with the configured schedule."""
+    _, _, res = _fit(spark, sf, MlpParams())
     return res.history
 
 
@@ -583,11 +583,11 @@ def q_stream_requests(spark, sf):
 
 @query("mlp_tune")
 def q_mlp_tune(spark, sf):
-    """Three short trials with median pruning; one row per trial."""
+    """Three trials of the configured schedule with median pruning; one row per trial."""
     sp = split_metrics(spark, sf).checkpoint(eager=True)  # written once, re-read by the later passes
     scaled = fitted_scaler(sp).transform(sp)
     grid = [{"learning_rate": 1e-3}, {"learning_rate": 1e-2, "hidden_sizes": [32, 16]},
             {"learning_rate": 1e-4, "dropout": 0.1}]
     table, _, _ = tune(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"),
-                       FEATURES, LABEL, MlpParams(max_epochs=3), grid, num_partitions=2)
+                       FEATURES, LABEL, MlpParams(), grid)
     return table.select("trial", "params", "state", "epochs_run")

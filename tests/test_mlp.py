@@ -193,3 +193,19 @@ def test_an_epoch_sees_every_row():
         x, y = rng.normal(size=(n, p.input_size)), rng.integers(0, 2, n)
         steps, _, seen, conf = MM.train_partition(p, w, m, v, 0, 1e-3, x, y, np.ones(2), np.random.default_rng(1))
         assert seen == n == conf.sum() and steps == max(1, (n - 1 + 7 - (n % 8 == 1) * 7) // 8)
+
+
+def test_registered_fit_runs_the_configured_schedule(spark):
+    from __spark_entry__ import queries
+    p = MlpParams()
+    rows = queries()["mlp_fit"](spark, "/root/testdata/sf0.001").where("metric = 'val_f1'").collect()
+    f1 = {r.epoch: r.value for r in rows}
+    best = min(e for e in f1 if f1[e] == max(f1.values()))
+    assert p.t0 < len(f1) and p.patience < len(f1)  # a restart and an early stop can happen
+    assert len(f1) == p.max_epochs or max(f1) - best == p.patience
+
+
+def test_partitions_follow_the_rows(spark, monkeypatch):
+    from tabspark.operators import mlp
+    monkeypatch.setattr(mlp, "PARTITION_ROWS", 100)
+    assert [mlp.partitions_for(spark.range(n)) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
