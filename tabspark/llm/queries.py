@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import chat, decontaminate, html_extract, jaccard_join, licenses, mixing, quality, secrets, suffix_dedup, urls
+from . import (chat, decontaminate, html_extract, jaccard_join, licenses, mixing, quality, repair, resample, secrets,
+               suffix_dedup, urls)
 
 # SQL of the word rule: A-Z lowered, separators dropped.
 _LOW = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -129,12 +130,101 @@ def op10_secret_scan(spark, sf_dir):
                     F.expr(secrets.joined("secret_spans")).alias("spans"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    turns = C.read(spark, sf_dir, "conversations")
+    out = repair.repair(repair.damaged(turns))[0].withColumnRenamed("conv", "conv_id")
+    return repair.all_of(turns.select("conv_id"), out)
+
+
+# The checksum of a text, bit by bit from its polynomial, as DuckDB has none.
+_CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(length({h}) // 2), lambda j: CAST('0x' || substr({h}, CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT))),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT))"""
+
+
+def _op11_sql():
+    def edit(state, cost, letter, line):
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'r': {state}.r || {line}}}"
+
+    def least(*options):  # a struct of nulls is an option that is not there
+        return f"list_sort(list_filter([{', '.join(options)}], lambda x: x.c IS NOT NULL))[1]"
+
+    none = "{'c': CAST(NULL AS BIGINT), 'a': CAST(NULL AS VARCHAR), 'r': CAST(NULL AS VARCHAR)}"
+    given = "chr(10) || f.role || ':' || f.text"
+    insert = lambda q, role: edit(q, 5, "I", f"chr(10) || '{role}:'")
+    gone = lambda q: edit(f"x.{q}", 2, "D", "''")
+    fits = lambda q, i: f"CASE WHEN f.fault NOT IN ('blank', 'duplicate') AND f.i = '{i}' THEN {edit('x.' + q, 'f.extra', 'K', given)} ELSE {none} END"
+    moved = lambda q, role: f"CASE WHEN f.fault NOT IN ('blank', 'duplicate') THEN {edit('x.' + q, '1 + f.extra', 'R', f'chr(10) || {chr(39)}{role}:{chr(39)} || f.text')} ELSE {none} END"
+    raw = f"""{gone('q0')} AS b0, {least(gone('q1'), fits('q0', 's'))} AS b1,
+      {least(gone('q2'), *[fits(q, 'u') for q in ('q0', 'q1', 'q3')], *[moved(q, 'user') for q in ('q0', 'q1', 'q3')])} AS b2,
+      {least(gone('q3'), fits('q2', 'a'), moved('q2', 'assistant'))} AS b3"""
+    q2 = least("b2", insert("b0", "user"), insert("b1", "user"), insert("b3", "user"))
+    q3 = least("b3", insert("u", "assistant"))
+    start = "{'c': CAST(0 AS BIGINT), 'a': '', 'r': ''}"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+keys AS (SELECT *, hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h FROM conversations),
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS r, coalesce(text, ' ') AS x, {_CRC.format(h='h')} % 20 AS k FROM keys, crc),
+e AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE r END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(x, '.!?', '') ELSE x END AS text,
+  unnest(CASE WHEN k = 3 THEN [0, 1] ELSE [0] END) AS copy FROM d WHERE k <> 0),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n,
+  CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'x' END AS i FROM e),
+f AS (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank'
+  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
+  lag(i) OVER (PARTITION BY conv_id ORDER BY n) AS before FROM p)),
+run AS (SELECT conv_id, CAST(0 AS BIGINT) AS n, {start} AS q0, {none} AS q1, {insert(start, 'user').replace(start + '.c', '0').replace(start + '.a', "''").replace(start + '.r', "''")} AS q2,
+    {{'c': CAST(10 AS BIGINT), 'a': 'II', 'r': chr(10) || 'user:' || chr(10) || 'assistant:'}} AS q3 FROM (SELECT DISTINCT conv_id FROM p)
+  UNION ALL
+  SELECT conv_id, n, b0, b1, {least('u', insert('w', 'user'))}, w FROM (SELECT *, {q3} AS w FROM (SELECT *, {q2} AS u FROM (
+    SELECT f.conv_id, f.n, {raw} FROM run x JOIN f ON f.conv_id IS NOT DISTINCT FROM x.conv_id AND f.n = x.n + 1)))),
+best AS (SELECT conv_id, {least('q0', 'q3')} AS s FROM run QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY n DESC) = 1),
+facts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+  count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+  count(*) FILTER (WHERE before IS NOT NULL AND before || i NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(s.c, 0) AS BIGINT) AS cost,
+  coalesce(s.a, '') AS audit, sha256(coalesce(substr(s.r, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN facts g ON g.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+def op13_importance_resampling(spark, sf_dir):
+    docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, C.read(spark, sf_dir, "benchmark"), columns=["doc_id"]).select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+OP13_SQL = f"""
+WITH {_CRC_TABLE},
+docs AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+bench AS (SELECT {_WORDS.format('text')} AS w FROM benchmark),
+voc AS (SELECT g, hex(encode(g)) AS h FROM (SELECT unnest(w) AS g FROM docs UNION SELECT unnest(w) AS g FROM bench)),
+buckets AS (SELECT g, {_CRC.format(h='h')} % 10000 AS b FROM voc, crc),
+s AS (SELECT b, count(*) AS n FROM (SELECT unnest(w) AS g FROM docs) JOIN buckets USING (g) GROUP BY b),
+t AS (SELECT b, count(*) AS n FROM (SELECT unnest(w) AS g FROM bench) JOIN buckets USING (g) GROUP BY b),
+gain AS (SELECT b, CAST(floor(1000 * ln((CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * ((SELECT sum(n) FROM s) + 10000)
+  / ((CAST(s.n AS DOUBLE) + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000)))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (b)),
+mean AS (SELECT doc_id, CAST(floor(CAST(sum(gain) AS DOUBLE) / count(*)) AS BIGINT) AS weight FROM (SELECT doc_id, unnest(w) AS g FROM docs)
+  JOIN buckets USING (g) JOIN gain USING (b) GROUP BY doc_id),
+scored AS (SELECT doc_id, len(w) AS n, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+  + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN mean USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n >= 20)
+SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN rank <= (SELECT count(*) FROM ranked) * 10 // 100 THEN CAST(rank AS BIGINT) END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_decontaminate, op3_chat_format, op4_license_scan, op5_jaccard_join, op6_quality,
-    op7_suffix_dedup, op8_mix_sources, op9_url_filter, op10_secret_scan)}
+    op7_suffix_dedup, op8_mix_sources, op9_url_filter, op10_secret_scan, op11_conversation_repair,
+    op13_importance_resampling)}
 ORACLE_SQL = {
     "op2_decontaminate": OP2_SQL,
     "op6_quality": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_url_filter": OP9_SQL,
+    "op11_conversation_repair": _op11_sql(),
+    "op13_importance_resampling": OP13_SQL,
 }
