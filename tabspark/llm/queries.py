@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import common as C
-from . import (chat, decontaminate, html_extract, jaccard_join, licenses, mixing, quality, repair, resample, secrets,
-               suffix_dedup, urls)
+from . import (chat, decontaminate, html_extract, jaccard_join, language, licenses, mixing, quality, repair, resample,
+               secrets, suffix_dedup, urls)
 
 # SQL of the word rule: A-Z lowered, separators dropped.
 _LOW = "translate(coalesce({0}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -190,6 +190,10 @@ LEFT JOIN facts g ON g.conv_id IS NOT DISTINCT FROM c.conv_id
 """
 
 
+def op12_language_id(spark, sf_dir):
+    return language.identify(C.read(spark, sf_dir, "documents"))
+
+
 def op13_importance_resampling(spark, sf_dir):
     docs = C.read(spark, sf_dir, "documents").select("doc_id", "text")
     return resample.resample(docs, C.read(spark, sf_dir, "benchmark"), columns=["doc_id"]).select("row.doc_id", "n_features", "weight", "score", "rank")
@@ -219,7 +223,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight
 QUERIES = {f.__name__: f for f in (
     op1_html_extract, op2_decontaminate, op3_chat_format, op4_license_scan, op5_jaccard_join, op6_quality,
     op7_suffix_dedup, op8_mix_sources, op9_url_filter, op10_secret_scan, op11_conversation_repair,
-    op13_importance_resampling)}
+    op12_language_id, op13_importance_resampling)}
 ORACLE_SQL = {
     "op2_decontaminate": OP2_SQL,
     "op6_quality": OP6_SQL,
