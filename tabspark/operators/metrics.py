@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import nonzero, round4, zero_div
-from tabspark.operators.quantiles import exact_quantiles
+from tabspark.operators.quantiles import wide_quantiles
 from tabspark.session import local_frame
 
 
@@ -157,12 +157,10 @@ def latency_summary(df: DataFrame, latency: str, batch_size: int = 1) -> DataFra
     """Request count, mean, p50/p95/p99 (linear), min, max and throughput
     (samples / total latency) of a latency column (A21)."""
     spark = df.sparkSession
-    # the key depends on the row: a constant one is folded away and leaves a join without an equi-key
-    base = (df.select(F.col(latency).cast("double").alias("x"))
-            .withColumn("k", F.when(F.col("x").isNull(), 0).otherwise(1)))
+    base = df.select(F.col(latency).cast("double").alias("x"))
     r = base.agg(F.count("x").alias("n"), F.avg("x").alias("mean"), F.min("x").alias("mn"),
                  F.max("x").alias("mx"), F.sum("x").alias("total")).first()
-    qs = exact_quantiles(base, ["k"], "x", [0.5, 0.95, 0.99]).get((1,), (0, [None] * 3))[1]
+    qs = wide_quantiles(base, ["x"], [0.5, 0.95, 0.99])[("x",)][1]
     thr = (r["n"] * batch_size / r["total"]) if r["total"] else None
     row = [(int(r["n"]), int(r["n"]) * batch_size, batch_size, r["mean"], qs[0], qs[1], qs[2], r["mn"], r["mx"], thr)]
     out = local_frame(spark, row, "total_requests bigint, total_samples bigint, batch_size int, avg_latency double, "

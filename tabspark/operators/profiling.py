@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import nonzero, round4
-from tabspark.operators.quantiles import exact_quantiles, unpivot
+from tabspark.operators.quantiles import unpivot, wide_quantiles
 from tabspark.schema import col
 from tabspark.session import local_frame
 
@@ -93,32 +93,44 @@ def moments(df: DataFrame, features: list[str]) -> dict[str, dict]:
 def describe_numeric(df: DataFrame, features: list[str], exact: bool = True) -> DataFrame:
     """count, mean, std (ddof=1), min, 25/50/75 %, max per feature (A4).
 
-    Quantiles are exact (interval narrowing) unless ``exact=False``
-    (``percentile_approx``, one pass).
+    Quantiles are exact (sketch, then counts; the sketch's scan gives the moments too) unless
+    ``exact=False`` (``percentile_approx``).
     """
-    spark = df.sparkSession
-    m = moments(df, features)
-    known = {(f,): (int(m[f]["count"] or 0), m[f]["min"], m[f]["max"]) for f in features}
-    qs = _quantiles(df, features, [0.25, 0.5, 0.75], exact=exact, known=known)
     rows = []
-    for f in features:
-        s = m[f]
-        q = qs.get((f,), (0, [None, None, None]))[1]
-        rows.append((f, int(s["count"]), s["mean"], s["std"], s["min"], q[0], q[1], q[2], s["max"]))
+    if exact:
+        for (f,), (n, q, m) in wide_quantiles(df, features, [0.25, 0.5, 0.75], moments=True).items():
+            s = m["s"]
+            std = math.sqrt(s["m"] / (n - 1)) if n > 1 else None
+            rows.append((f, n, s["a"] if n else None, std, m["lo"], *q, m["hi"]))
+    else:
+        m, qs = moments(df, features), _quantiles(df, features, [0.25, 0.5, 0.75], exact=False)
+        for f in features:
+            s, q = m[f], qs.get((f,), (0, [None] * 3))[1]
+            rows.append((f, int(s["count"]), s["mean"], s["std"], s["min"], *q, s["max"]))
+    spark = df.sparkSession
     out = _small_frame(spark, rows, "feature string, count bigint, mean double, std double, min double, "
                                     "q25 double, q50 double, q75 double, max double")
     return Q.rounded_select(out, ["feature", "count"], ["mean", "std", "min", "q25", "q50", "q75", "max"])
 
 
-def _quantiles(df: DataFrame, features: list[str], probs: list[float], by: str | None = None,
-               exact: bool = True, known: dict | None = None) -> dict:
-    long_df = unpivot(df, features, [by] if by else None)
-    keys = ["feature"] + ([by] if by else [])
+def _quantiles(df: DataFrame, features: list[str], probs: list[float], by: str | None = None, exact: bool = True) -> dict:
+    keys = [by] if by else []
     if exact:
-        return exact_quantiles(long_df, keys, "value", probs, known_stats=known)
-    agg = (long_df.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy(*keys)
+        return {key: (n, q) for key, (n, q, _) in wide_quantiles(df, features, probs, keys).items()}
+    long_df = unpivot(df, features, keys)
+    agg = (long_df.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", *keys)
            .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("value", probs, 10000).alias("q")).collect())
-    return {tuple(r[k] for k in keys): (r["n"], list(r["q"])) for r in agg}
+    return {tuple(r[k] for k in ["feature", *keys]): (r["n"], list(r["q"])) for r in agg}
+
+
+def quantile_table(df: DataFrame, features: list[str], probs: list[float], by: str | None = None, **kw) -> DataFrame:
+    """(feature, [by,] n, p, value): exact linear quantiles of every feature, per class of ``by``; ``kw`` as
+    for ``wide_quantiles``. A feature without values has no rows."""
+    got = wide_quantiles(df, features, probs, [by] if by else [], **kw)
+    rows = [(*key, n, float(p), v) for key, (n, values, _) in got.items() if n for p, v in zip(probs, values)]
+    cls = f"{Q.ident(by)} {df.schema[by].dataType.simpleString()}, " if by else ""
+    out = _small_frame(df.sparkSession, rows, f"feature string, {cls}n bigint, p double, value double")
+    return Q.rounded_select(out, ["feature", *([by] if by else []), "n", "p"], ["value"])
 
 
 def variance_profile(df: DataFrame, features: list[str]) -> DataFrame:

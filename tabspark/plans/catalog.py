@@ -128,6 +128,17 @@ def q_lineitem_outliers(spark, sf):
     return P.outlier_profile(lineitem_frame(spark, sf), LINEITEM_FEATURES)
 
 
+@query("events_outliers")
+def q_events_outliers(spark, sf):
+    return P.outlier_profile(read_table(spark, sf, "events"), ["value"])
+
+
+@query("lineitem_deciles")
+def q_lineitem_deciles(spark, sf):
+    """Sketch and interval sizes so small that the intervals are narrowed and scanned at every size of the table."""
+    return P.quantile_table(lineitem_frame(spark, sf), LINEITEM_FEATURES, [i / 10 for i in range(1, 10)], TARGET, k=64, final_rows=500)
+
+
 @query("top_outliers")
 def q_top_outliers(spark, sf):
     return P.top_outliers(metrics_frame(spark, sf), FEATURES, 5)

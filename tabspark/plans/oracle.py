@@ -192,6 +192,11 @@ order by var_samp(value) desc nulls last, feature limit 10""", _f_long()),
         "outlier_profile": with_f(_outliers("long_f", "F"), _f_long(), _bounds("long_f")),
         "lineitem_outliers": "with " + LI_CTE.strip() + ",\n" + _li_long() + ",\n" + _bounds("long_li") + "\n"
                              + _outliers("long_li", "LI"),
+        "events_outliers": "with ev as (select 'value' as feature, value from events),\n" + _bounds("ev") + "\n" + _outliers("ev", "ev"),
+        "lineitem_deciles": "with " + LI_CTE.strip() + ",\n" + _li_long() + f"""
+select feature, defects, n, p, {r4('list_extract(v, i)')} as value from (
+  select feature, defects, count(value) as n, quantile_cont(value, [{', '.join(f'{i / 10}' for i in range(1, 10))}]) as v from long_li group by all),
+  (select unnest(range(1, 10)) as i, unnest([{', '.join(f'{i / 10}::double' for i in range(1, 10))}]) as p)""",
         "top_outliers": with_f("select feature, outlier_pct from fo order by outlier_pct desc, feature limit 5",
                                _f_long(), _bounds("long_f"), f_out),
         "outlier_rows": with_f(f"""select l.id, l.feature, {r4('l.value')} as value from long_f l join bounds b using (feature)

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tabspark.operators.quantiles import exact_quantiles, order_statistics
+from tabspark.operators.quantiles import exact_quantiles, order_statistics, wide_quantiles
 
 PROBS = [0.0, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
 
@@ -79,3 +79,43 @@ def test_any_scale_ends_by_narrowing(spark, kind):
     ranks = [0, len(x) // 4, len(x) // 2, len(x) - 6, len(x) - 1]
     got = order_statistics(_frame(spark, list(x)), ["g"], "v", lambda n: ranks, final_rows=20)[(0,)]
     assert [got[1][r] for r in ranks] == [want[r] for r in ranks]
+
+
+def _scans(spark, df, run):
+    """How often ``run`` reads the rows of ``df``, by a counter in a pass-through stage."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    rows = df.count()
+    run(df.mapInPandas(count, df.schema))
+    return seen.value / rows
+
+
+@pytest.mark.parametrize("final_rows,most", [(100_000, 2), (300, 3)])
+def test_at_most_three_scans(spark, final_rows, most):
+    """Whatever the number of rows and columns: a sketch, a narrowing one if needed, and the counts."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(20_000, 3))
+    df = spark.createDataFrame([(int(i % 2), *map(float, r)) for i, r in enumerate(x)], "g int, a double, b double, c double").repartition(4).cache()
+    got = {}
+
+    def run(d):
+        got.update(wide_quantiles(d, ["a", "b", "c"], [0.1, 0.5, 0.9], ["g"], final_rows=final_rows, moments=True))
+    assert _scans(spark, df, run) <= most
+    for g in (0, 1):
+        for i, f in enumerate("abc"):
+            col = x[g::2, i]
+            n, q, m = got[(f, g)]
+            np.testing.assert_allclose(q, np.quantile(col, [0.1, 0.5, 0.9]), rtol=1e-12)
+            np.testing.assert_allclose([m["s"]["a"], m["s"]["m"] / (n - 1), m["lo"], m["hi"]], [col.mean(), col.var(ddof=1), col.min(), col.max()], rtol=1e-9)
+
+
+def test_a_rank_that_the_sketch_misses_is_searched_again(spark, monkeypatch):
+    from tabspark.operators import quantiles as QN
+    monkeypatch.setattr(QN, "rank_error", lambda k: 0.0)  # bounds far too tight for this sketch
+    x = np.random.default_rng(5).permutation(30_000).astype(float)
+    got = QN.order_statistics(_frame(spark, list(x)), ["g"], "v", lambda n: [7, 9_999, 15_001, 29_990], buckets=8, final_rows=200)[(0,)]
+    assert got == (30_000, {7: 7.0, 9_999: 9_999.0, 15_001: 15_001.0, 29_990: 29_990.0})
