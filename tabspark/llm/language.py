@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common as C
@@ -174,7 +174,7 @@ def _featurize(p: Params):
 _FIT = "key string, vector array<double>"
 
 
-def _fitter(idf: np.ndarray, classes: int, p: Params):
+def _fitter(idf: np.ndarray, classes: int, quota: int, p: Params):
     def run(batches):
         rows = []
         for batch in batches:
@@ -183,6 +183,12 @@ def _fitter(idf: np.ndarray, classes: int, p: Params):
                 b = np.array(bucket.values, dtype=np.int64)
                 rows.append((u.as_py(), y.as_py(), b, weigh(b, np.array(count.values), idf)))
         rows.sort(key=lambda r: (r[0], r[1], len(r[2]), r[3].tobytes()))
+        rank = [0] * classes
+        for k, (_, y, *_) in enumerate(rows):
+            rank[y] += 1
+            if rank[y] > quota:
+                rows[k] = None
+        rows = [r for r in rows if r]
         held = int(len(rows) * p.calibration)
         held, rows = rows[:held], rows[held:]
         order, m = np.random.default_rng(p.seed), Ftrl(p.buckets, classes, p)
@@ -223,9 +229,7 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "lang", params
     picked = (d.withColumn("__n", F.monotonically_increasing_id()).withColumn("u", u).join(F.broadcast(share), F.col("label") == F.col("l"))
               .where("u < share").select("y", "u", "text").mapInArrow(_featurize(p), "y int, u double, bucket array<int>, count array<int>"))
     picked = C.written(picked, "language-sample")
-    first = Window.partitionBy("y").orderBy("u", "bucket", "count")  # of about quota rows
-    picked = picked.withColumn("k", F.row_number().over(first)).where(F.col("k") <= quota).drop("k")
-    got = {r.key: np.array(r.vector) for r in picked.repartition(1).mapInArrow(_fitter(idf, len(languages), p), _FIT).collect()}
+    got = {r.key: np.array(r.vector) for r in picked.repartition(1).mapInArrow(_fitter(idf, len(languages), quota, p), _FIT).collect()}
     w = got["weights"].reshape(p.buckets + 1, len(languages))
     seen = np.maximum(got["seen"], 0.5)
     shift = np.log(total / total.sum()) - np.log(seen / seen.sum())
