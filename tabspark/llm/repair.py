@@ -219,20 +219,21 @@ def _editor():
 
 def _digest(batches):
     """SHA-256 of each conversation's chunks, which come sorted, joined by newlines; one chunk in memory."""
-    def out(conv, h):
-        return pa.RecordBatch.from_arrays([pa.array([conv], pa.string()), pa.array([h.hexdigest()], pa.string())], ["conv", "sha"])
+    names = ["conv", "sha"]
     conv, h = None, None
     for batch in batches:
-        for c, text in zip(batch.column(0), batch.column(2)):
-            if h is None or c.as_py() != conv:
+        out = []
+        for c, text in zip(batch.column(0).to_pylist(), batch.column(2)):
+            if h is None or c != conv:
                 if h is not None:
-                    yield out(conv, h)
-                conv, h = c.as_py(), hashlib.sha256()
+                    out.append((conv, h.hexdigest()))
+                conv, h = c, hashlib.sha256()
             else:
                 h.update(b"\n")
-            h.update(text.as_py().encode())
+            h.update(text.as_buffer())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (zip(*out) if out else ([], []))], names)
     if h is not None:
-        yield out(conv, h)
+        yield pa.RecordBatch.from_arrays([pa.array([conv], pa.string()), pa.array([h.hexdigest()], pa.string())], names)
 
 
 SPACE = r"[\\x20\\x09-\\x0D]"
