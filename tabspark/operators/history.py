@@ -82,10 +82,22 @@ def best_epoch(history: DataFrame, mode: str = "max") -> DataFrame:
     return agg.select("run_id", F.col("m.e").alias("best_epoch"), val.alias("best_value"))
 
 
-def best_epoch_until(history: DataFrame, stops: DataFrame, mode: str = "max") -> DataFrame:
-    """Best checkpoint among the epochs actually run (before early stop)."""
-    h = history.join(stops, "run_id").where(F.col("epoch") <= F.col("stop_epoch"))
-    return best_epoch(h.select("run_id", "epoch", "value"), mode)
+def median_rule(history: DataFrame, completed: DataFrame, patience: int, max_epochs: int) -> DataFrame:
+    """(run_id, rule_state, rule_epochs, rule_best): the median rule of a study replayed over its history (W2, W3, W5
+    together). Run ids are in order of trials; ``completed`` holds those that are said to have completed.
+
+    A trial is PRUNED if its best-so-far falls below the median of the earlier completed trials' values at its last
+    epoch and at no other; COMPLETE if it never does and ended by ``patience`` or at ``max_epochs``; else BROKEN.
+    Histories have a row a trial and epoch, and are small next to the data that they were trained on."""
+    b = last_improvement(history).join(best_so_far(history).select("run_id", "epoch", "best_so_far"), ["run_id", "epoch"])
+    ends = b.groupBy("run_id").agg(F.max("epoch").alias("last"), F.max_by("last_improved", "epoch").alias("rule_best"))
+    other = history.join(completed.select("run_id"), "run_id").select(F.col("run_id").alias("other"), F.col("epoch").alias("e"), F.col("value").alias("v"))
+    at = b.join(other, (F.col("e") == F.col("epoch")) & (F.col("other") < F.col("run_id")), "left")
+    at = at.groupBy("run_id", "epoch").agg(F.first("best_so_far").alias("best"), F.expr("percentile(v, 0.5)").alias("median"))
+    fired = at.groupBy("run_id").agg(F.min(F.expr("CASE WHEN best < median THEN epoch END")).alias("fired"))
+    state = F.expr(f"CASE WHEN fired = last THEN 'PRUNED' WHEN fired IS NULL AND (last - rule_best >= {patience} OR last = {max_epochs - 1})"
+                   " THEN 'COMPLETE' ELSE 'BROKEN' END")
+    return ends.join(fired, "run_id").select("run_id", state.alias("rule_state"), (F.col("last") + 1).alias("rule_epochs"), "rule_best")
 
 
 def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0, order_cols=("epoch",)) -> DataFrame:

@@ -1,13 +1,14 @@
 """MLP classifier on Spark (ML1-ML13).
 
 Training (``MlpClassifier.fit``) is synchronous local SGD with model
-averaging: per epoch ONE ``mapInPandas`` job in which every task trains its
-partition with mini-batches, starting from the broadcast weights; the
-parameter/optimizer-state vectors come back as (slot, index, weighted value)
-rows and are averaged by a grouped sum (map-side combined) — the driver only
+averaging: per epoch ONE ``mapInPandas`` job over the epoch's mini-batches
+(``operators.minibatch``: a global shuffle), in which every task streams its batches,
+starting from the broadcast weights. The weights and optimizer moments come
+back as one vector a task, added up by a tree of two levels; the driver only
 receives one model-sized vector. With a single partition this is exactly the
 reference's sequential mini-batch training. Validation is a second job that
-folds loss and confusion counts per partition.
+folds loss and confusion counts per partition. A bank of runs (``tuning``) shares
+both jobs.
 
 Scoring (``MlpModel.transform``) is a scalar pandas UDF over the feature
 columns only (Arrow batches, NumPy matmuls, weights broadcast); every other
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.operators import mlp_math as MM
+from tabspark.operators.minibatch import VECTORS, batch_count, in_batches, numbered, vector_sums
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.functions import sqltext as Q
 from tabspark.schema import col
@@ -108,60 +110,70 @@ class MlpModel:
 
 
 # ------------------------------------------------------------------ training
-SLOT_W, SLOT_M, SLOT_V, SLOT_STATS = 0, 1, 2, 3
+STATS = 8  # rows, steps x rows, loss sum, rows seen, confusion counts (tp, fp, tn, fn); then weights, both moments
 
 
-def _train_epoch_fn(params: MlpParams, bc, k: int):
+def _batches(it, k: int):
+    """(x, y) of each batch of a stream of rows sorted by batch; no more than one batch is kept back."""
+    kept = None
+    for pdf in it:
+        if kept is not None:
+            pdf = pd.concat([kept, pdf], ignore_index=True)
+        b = pdf["__b"].to_numpy()
+        cuts = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1)]
+        for i, j in zip(cuts, cuts[1:]):
+            yield _arrays(pdf.iloc[i:j], k)
+        kept = pdf.iloc[cuts[-1]:] if len(pdf) else None
+    if kept is not None and len(kept):
+        yield _arrays(kept, k)
+
+
+def _arrays(pdf: pd.DataFrame, k: int):
+    return pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=np.float64), pdf["y"].to_numpy(dtype=np.int64)
+
+
+def _train_epoch_fn(bc, k: int):
+    """mapInPandas function: trains every run of the bank on the task's batches; one vector a run."""
     def run(it):
         from pyspark import TaskContext
-        w0, m0, v0, t0, lr, alpha, epoch = bc.value
-        xs, ys = [], []
-        for pdf in it:
-            if len(pdf):
-                xs.append(pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=np.float64))
-                ys.append(pdf["y"].to_numpy(dtype=np.int64))
-        stats = np.zeros(8)
-        if xs:
-            x, y = np.concatenate(xs), np.concatenate(ys)
-            pid = TaskContext.get().partitionId()
-            rng = np.random.default_rng([params.seed, epoch, pid])
-            w = {n: a.copy() for n, a in w0.items()}
-            m = {n: a.copy() for n, a in m0.items()}
-            v = {n: a.copy() for n, a in v0.items()}
-            steps, loss_sum, seen, conf = MM.train_partition(params, w, m, v, t0, lr, x, y, alpha, rng)
-            if steps:
-                wt = float(seen)
-                stats[:] = [wt, steps * wt, loss_sum, seen, *conf]
-                n = len(MM.flatten(params, w))
-                idx = np.arange(n, dtype=np.int32)
-                for slot, d in ((SLOT_W, w), (SLOT_M, m), (SLOT_V, v)):
-                    yield pd.DataFrame({"slot": np.full(n, slot, np.int32), "idx": idx,
-                                        "val": MM.flatten(params, d) * wt})
-        yield pd.DataFrame({"slot": np.full(8, SLOT_STATS, np.int32), "idx": np.arange(8, dtype=np.int32),
-                            "val": stats})
+        bank, alpha, epoch = bc.value
+        pid = TaskContext.get().partitionId()
+        live = [(i, p, {n: a.copy() for n, a in w.items()}, {n: a.copy() for n, a in m.items()}, {n: a.copy() for n, a in v.items()}, t,
+                 np.random.default_rng([p.seed, epoch, pid]), np.zeros(STATS)) for i, p, w, m, v, t in bank]
+        for x, y in _batches(it, k):
+            for i, p, w, m, v, t, rng, stats in live:
+                steps, loss, seen, conf = MM.train_batches(p, w, m, v, t + int(stats[1]), MM.lr_at(p, epoch), [(x, y)], alpha, rng)
+                stats += [seen, steps, loss, seen, *conf]
+        for i, p, w, m, v, _, _, stats in live:
+            if stats[0]:
+                wt = stats[0]
+                stats[1] *= wt
+                vec = np.concatenate([stats, *(MM.flatten(p, d) * wt for d in (w, m, v))])
+                yield pd.DataFrame({"run": np.array([i], np.int32), "part": np.array([pid], np.int32), "vec": [vec]})
     return run
 
 
-def _eval_fn(params: MlpParams, bc, k: int):
+def _eval_fn(bc, k: int):
     def run(it):
-        w, alpha = bc.value
-        acc = np.zeros(6)
+        bank, alpha = bc.value
+        acc = {i: np.zeros(6) for i, *_ in bank}
         for pdf in it:
             if not len(pdf):
                 continue
-            x = pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=np.float64)
-            y = pdf["y"].to_numpy(dtype=np.int64)
-            logits = MM.predict_logits(params, w, x)
-            loss, _ = MM.loss_and_grad(params, logits, y, alpha)
-            if params.use_focal_loss:
-                num, den = loss * len(y), len(y)
-            else:
-                den = float(alpha[y].sum())
-                num = loss * den
-            pred = logits.argmax(axis=1)
-            acc += [num, den, ((y == 1) & (pred == 1)).sum(), ((y == 0) & (pred == 1)).sum(),
-                    ((y == 0) & (pred == 0)).sum(), ((y == 1) & (pred == 0)).sum()]
-        yield pd.DataFrame({"idx": np.arange(6, dtype=np.int32), "val": acc})
+            x, y = _arrays(pdf, k)
+            for i, p, w in bank:
+                logits = MM.predict_logits(p, w, x)
+                loss, _ = MM.loss_and_grad(p, logits, y, alpha)
+                if p.use_focal_loss:
+                    num, den = loss * len(y), len(y)
+                else:
+                    den = float(alpha[y].sum())
+                    num = loss * den
+                pred = logits.argmax(axis=1)
+                acc[i] += [num, den, ((y == 1) & (pred == 1)).sum(), ((y == 0) & (pred == 1)).sum(),
+                           ((y == 0) & (pred == 0)).sum(), ((y == 1) & (pred == 0)).sum()]
+        for i, a in acc.items():
+            yield pd.DataFrame({"run": np.full(6, i, np.int32), "idx": np.arange(6, dtype=np.int32), "val": a})
     return run
 
 
@@ -182,6 +194,7 @@ class FitResult:
     best_epoch: int
     stopped_epoch: int | None
     class_weights: list[float]
+    steps: list[tuple[int, int, int]] = field(default_factory=list)  # (epoch, rows seen, mini-batches)
 
 
 def _model_frame(df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -190,7 +203,7 @@ def _model_frame(df: DataFrame, features: list[str], label: str) -> DataFrame:
                          f"CAST({Q.ident(label)} AS INT) AS y").where("y IS NOT NULL")
 
 
-#: Rows of a training task, which holds its share in memory.
+#: Rows of a training task, which streams them batch by batch.
 PARTITION_ROWS = 65_536
 
 
@@ -199,6 +212,106 @@ def partitions_for(train: DataFrame) -> int:
     return max(1, -(-train.count() // PARTITION_ROWS))
 
 
+class Run:
+    """The state of one fit between epochs."""
+
+    def __init__(self, params: MlpParams, run_id: str):
+        self.p, self.run_id = params, run_id
+        self.w = MM.init_weights(params)
+        self.m, self.v = ({n: np.zeros_like(a) for n, a in self.w.items()} for _ in range(2))
+        self.t, self.epoch, self.wait = 0, 0, 0
+        self.rows, self.steps = [], []
+        self.best_score, self.best_w, self.best_epoch, self.stopped = -np.inf, None, -1, None
+
+    @property
+    def over(self) -> bool:
+        return self.stopped is not None or self.epoch >= self.p.max_epochs
+
+    def learned(self, vec: np.ndarray | None) -> np.ndarray:
+        """Takes over the summed parts of an epoch; returns their statistics."""
+        if vec is None:
+            return np.zeros(STATS)
+        size, wt = len(MM.flatten(self.p, self.w)), vec[0]
+        self.w, self.m, self.v = (MM.unflatten(self.p, vec[STATS + j * size: STATS + (j + 1) * size] / wt) for j in range(3))
+        steps = int(round(vec[1] / wt))  # of a task, on average
+        self.t += steps
+        return vec[:STATS]
+
+    def scored(self, stats: np.ndarray, batches: int, e: np.ndarray, on_epoch=None) -> dict:
+        """Closes an epoch: history, best checkpoint (strictly better val_f1, ties keep the first), early stop."""
+        names = ("loss", "accuracy", "precision", "recall", "f1")
+        train = [stats[2] / stats[3] if stats[3] else float("nan"), *_prf(*stats[4:8])]
+        val = [e[0] / e[1] if e[1] else float("nan"), *_prf(*e[2:6])]
+        metrics = {"lr": MM.lr_at(self.p, self.epoch), **{f"train_{n}": x for n, x in zip(names, train)}, **{f"val_{n}": x for n, x in zip(names, val)}}
+        self.rows += [(self.run_id, self.epoch, name, float(x)) for name, x in metrics.items()]
+        self.steps.append((self.epoch, int(stats[3]), batches if stats[3] else 0))
+        ended = on_epoch is not None and on_epoch(self.epoch, metrics)  # pruned by the caller
+        if metrics["val_f1"] > self.best_score:
+            self.best_score, self.best_w, self.best_epoch, self.wait = metrics["val_f1"], {n: a.copy() for n, a in self.w.items()}, self.epoch, 0
+        else:
+            self.wait += 1
+        if ended or self.wait >= self.p.patience:
+            self.stopped = self.epoch
+        self.epoch += 1
+        return metrics
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        _save_state(spark, path, self.run_id, self.epoch - 1, {"w": self.w, "m": self.m, "v": self.v, "best": self.best_w or {}},
+                    {"t": self.t, "best_score": self.best_score, "best_ep": self.best_epoch, "wait": self.wait, "history": self.rows,
+                     "steps": self.steps, "epoch": self.epoch - 1, "stopped": self.stopped})
+
+    def load(self, spark: SparkSession, path: str) -> None:
+        """The last committed epoch of this run, if there is one."""
+        if (state := _load_state(spark, path, self.run_id)) is None:
+            return
+        tensors, meta = state
+        self.w, self.m, self.v, self.best_w = tensors["w"], tensors["m"], tensors["v"], tensors.get("best") or None
+        self.t, self.best_score, self.best_epoch, self.wait = meta["t"], meta["best_score"], meta["best_ep"], meta["wait"]
+        self.rows, self.steps = [tuple(r) for r in meta["history"]], [tuple(r) for r in meta.get("steps", [])]
+        self.epoch, self.stopped = meta["epoch"] + 1, meta["stopped"]
+
+
+class Trainer:
+    """Checkpointed training and validation rows, and one job an epoch for all runs of a bank."""
+
+    def __init__(self, train: DataFrame, val: DataFrame, features: list[str], label: str, num_partitions: int | None = None,
+                 num_classes: int = 2):
+        from tabspark.operators.metrics import class_weight_list
+        self.spark, self.k = train.sparkSession, len(features)
+        # cut lineage: each epoch re-reads the same rows under the same numbers,
+        # also after an executor loss (reliable checkpoint in spark.checkpoint.dir)
+        tr = _model_frame(train, features, label).checkpoint(eager=True)
+        self.val = _model_frame(val, features, label).checkpoint(eager=True)
+        self.train, self.n = numbered(tr)
+        self.parts = num_partitions or partitions_for(tr)
+        self.alpha = np.asarray(class_weight_list(tr, "y", num_classes), dtype=np.float64)
+
+    def epoch(self, runs: list[Run], on_epoch=None) -> None:
+        """One epoch of every run (all at the same epoch): a training job for each way of cutting batches, and a validation job."""
+        sc, epoch = self.spark.sparkContext, runs[0].epoch
+        ways: dict = {}
+        for i, r in enumerate(runs):
+            ways.setdefault((r.p.batch_size, r.p.seed, r.p.drop_last), []).append(i)
+        stats, batches = {}, {}
+        for (size, seed, drop_last), members in ways.items():
+            sums = {}
+            if self.n:
+                bc = sc.broadcast(([(i, runs[i].p, runs[i].w, runs[i].m, runs[i].v, runs[i].t) for i in members], self.alpha, epoch))  # model-sized
+                d = in_batches(self.train, self.n, size, seed, epoch, drop_last, self.parts)
+                sums = vector_sums(d.mapInPandas(_train_epoch_fn(bc, self.k), VECTORS), self.parts)
+                bc.unpersist()
+            for i in members:
+                stats[i], batches[i] = runs[i].learned(sums.get(i)), batch_count(self.n, size, drop_last)
+        bc = sc.broadcast(([(i, r.p, r.w) for i, r in enumerate(runs)], self.alpha))
+        ev = self.val.mapInPandas(_eval_fn(bc, self.k), "run int, idx int, val double").groupBy("run", "idx").agg(F.sum("val").alias("val")).collect()
+        bc.unpersist()
+        e = np.zeros((len(runs), 6))
+        for r in ev:
+            e[r["run"], r["idx"]] = r["val"]
+        for i, r in enumerate(runs):
+            r.scored(stats[i], batches[i], e[i], on_epoch)
+
+
 class MlpClassifier:
     def __init__(self, params: MlpParams | None = None, features: list[str] | None = None,
                  label: str = "label", num_partitions: int | None = None, run_id: str = "run"):
@@ -213,99 +326,21 @@ class MlpClassifier:
         training state is appended there after every epoch and a restarted fit
         continues after the last committed epoch (same result: every step is
         deterministic for a fixed partitioning)."""
-        from tabspark.operators.metrics import class_weight_list
-        spark = train.sparkSession
-        sc = spark.sparkContext
-        p = self.params
-        feats = self.features
-        k = len(feats)
-        p = p.replace(input_size=k)
-        tr = _model_frame(train, feats, self.label)
-        tr = tr.repartition(self.num_partitions or partitions_for(tr))
-        # cut lineage: each epoch re-reads the same rows in the same partitions,
-        # also after an executor loss (reliable checkpoint in spark.checkpoint.dir)
-        tr = tr.checkpoint(eager=True)
-        va = _model_frame(val, feats, self.label).checkpoint(eager=True)
-        alpha = np.asarray(class_weight_list(tr, "y", p.num_classes), dtype=np.float64)
-
-        w = MM.init_weights(p)
-        m = {n: np.zeros_like(a) for n, a in w.items()}
-        v = {n: np.zeros_like(a) for n, a in w.items()}
-        t = 0
-        hist_rows = []
-        best_score, best_w, best_ep = -np.inf, None, -1
-        wait, stopped = 0, None
-        start = 0
-        state = _load_state(spark, resume_dir, self.run_id) if resume_dir else None
-        if state is not None:
-            tensors, meta = state
-            w, m, v = tensors["w"], tensors["m"], tensors["v"]
-            best_w = tensors.get("best") or None
-            t, best_score, best_ep, wait = meta["t"], meta["best_score"], meta["best_ep"], meta["wait"]
-            hist_rows = [tuple(r) for r in meta["history"]]
-            start = meta["epoch"] + 1
-            if meta.get("stopped") is not None:
-                start, stopped = p.max_epochs, meta["stopped"]
-        for epoch in range(start, p.max_epochs):
-            lr = MM.lr_at(p, epoch)
-            bc = sc.broadcast((w, m, v, t, lr, alpha, epoch))  # model-sized
-            parts = tr.mapInPandas(_train_epoch_fn(p, bc, k), "slot int, idx int, val double")
-            sums = parts.groupBy("slot", "idx").agg(F.sum("val").alias("val")).collect()  # 3 x model size + 8
-            bc.unpersist()
-            vecs = {s: None for s in (SLOT_W, SLOT_M, SLOT_V)}
-            n_par = len(MM.flatten(p, w))
-            stats = np.zeros(8)
-            for slot in vecs:
-                vecs[slot] = np.zeros(n_par)
-            for r in sums:
-                if r["slot"] == SLOT_STATS:
-                    stats[r["idx"]] = r["val"]
-                else:
-                    vecs[r["slot"]][r["idx"]] = r["val"]
-            wt = stats[0]
-            if wt > 0:
-                w = MM.unflatten(p, vecs[SLOT_W] / wt)
-                m = MM.unflatten(p, vecs[SLOT_M] / wt)
-                v = MM.unflatten(p, vecs[SLOT_V] / wt)
-                t += int(round(stats[1] / wt))
-            tr_loss = stats[2] / stats[3] if stats[3] else float("nan")
-            tr_acc, tr_p, tr_r, tr_f1 = _prf(*stats[4:8])
-
-            bcv = sc.broadcast((w, alpha))
-            ev = va.mapInPandas(_eval_fn(p, bcv, k), "idx int, val double").groupBy("idx").agg(
-                F.sum("val").alias("val")).collect()
-            bcv.unpersist()
-            e = np.zeros(6)
-            for r in ev:
-                e[r["idx"]] = r["val"]
-            va_loss = e[0] / e[1] if e[1] else float("nan")
-            va_acc, va_p, va_r, va_f1 = _prf(*e[2:6])
-            metrics = {"lr": lr, "train_loss": tr_loss, "train_accuracy": tr_acc, "train_precision": tr_p,
-                       "train_recall": tr_r, "train_f1": tr_f1, "val_loss": va_loss, "val_accuracy": va_acc,
-                       "val_precision": va_p, "val_recall": va_r, "val_f1": va_f1}
-            hist_rows += [(self.run_id, epoch, name, float(val)) for name, val in metrics.items()]
-            if on_epoch is not None and on_epoch(epoch, metrics):
-                stopped = epoch  # pruned by the caller
-                if va_f1 > best_score:
-                    best_score, best_w, best_ep = va_f1, {n: a.copy() for n, a in w.items()}, epoch
-                break
-            # checkpoint: strictly better val_f1 (ties keep the first)
-            if va_f1 > best_score:
-                best_score, best_w, best_ep = va_f1, {n: a.copy() for n, a in w.items()}, epoch
-                wait = 0
-            else:
-                wait += 1
-                if wait >= p.patience:
-                    stopped = epoch
+        trainer = Trainer(train, val, self.features, self.label, self.num_partitions, self.params.num_classes)
+        run = Run(self.params.replace(input_size=len(self.features)), self.run_id)
+        if resume_dir:
+            run.load(trainer.spark, resume_dir)
+        while not run.over:
+            trainer.epoch([run], on_epoch)
             if resume_dir:
-                _save_state(spark, resume_dir, self.run_id, epoch, {"w": w, "m": m, "v": v, "best": best_w or {}},
-                            {"t": t, "best_score": best_score, "best_ep": best_ep, "wait": wait,
-                             "history": hist_rows, "epoch": epoch, "stopped": stopped})
-            if stopped is not None:
-                break
-        history = local_frame(spark, hist_rows, "run_id string, epoch int, metric string, value double")
-        return FitResult(MlpModel(p, best_w if best_w is not None else w, feats), MlpModel(p, w, feats),
-                         history, best_ep, stopped, [float(a) for a in alpha])
+                run.save(trainer.spark, resume_dir)
+        return result_of(run, trainer, self.features)
+
+
+def result_of(run: Run, trainer: Trainer, features: list[str]) -> FitResult:
+    history = local_frame(trainer.spark, run.rows, "run_id string, epoch int, metric string, value double")
+    return FitResult(MlpModel(run.p, run.best_w if run.best_w is not None else run.w, features), MlpModel(run.p, run.w, features),
+                     history, run.best_epoch, run.stopped, [float(a) for a in trainer.alpha], run.steps)
 
 
 def _save_state(spark: SparkSession, path: str, run_id: str, epoch: int, tensors: dict, meta: dict) -> None:

@@ -33,6 +33,7 @@ class MlpParams:
     focal_gamma: float = 2.0
     label_smoothing: float = 0.1
     batch_size: int = 32
+    drop_last: bool = True
     max_epochs: int = 50
     patience: int = 10
     seed: int = 42
@@ -228,21 +229,14 @@ def predict_logits(p: MlpParams, w: dict, x: np.ndarray) -> np.ndarray:
     return forward(p, w, x, train=False)[0]
 
 
-def train_partition(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float,
-                    x: np.ndarray, y: np.ndarray, alpha: np.ndarray, rng):
-    """One local epoch over a partition: seeded shuffle, mini-batches over all its
-    rows, AdamW per batch. The last batch may be smaller; batch statistics need
-    two rows, so a last batch of one row joins the one before it, and only a
-    partition of a single row is not trained on. Returns (steps, loss_sum, n_seen, confusion counts)."""
-    n = len(y)
-    order = rng.permutation(n)
-    bs = p.batch_size
-    starts = [s for s in range(0, n, bs) if n - s > 1]
+def train_batches(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float, batches, alpha: np.ndarray, rng):
+    """Trains on (x, y) batches in turn, AdamW per batch; batch statistics need two rows, so a batch
+    of one row is skipped. Returns (steps, loss_sum, n_seen, confusion counts)."""
     steps, loss_sum, seen = 0, 0.0, 0
     conf = np.zeros(4)
-    for s, end in zip(starts, [*starts[1:], n]):
-        idx = order[s:end]
-        xb, yb = x[idx], y[idx]
+    for xb, yb in batches:
+        if len(yb) < 2:
+            continue
         logits, cache, running = forward(p, w, xb, train=True, rng=rng)
         loss, dlog = loss_and_grad(p, logits, yb, alpha)
         grads = backward(p, w, cache, dlog)
@@ -255,3 +249,19 @@ def train_partition(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float,
         conf += [((yb == 1) & (pred == 1)).sum(), ((yb == 0) & (pred == 1)).sum(),
                  ((yb == 0) & (pred == 0)).sum(), ((yb == 1) & (pred == 0)).sum()]
     return steps, loss_sum, seen, conf
+
+
+def train_partition(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float,
+                    x: np.ndarray, y: np.ndarray, alpha: np.ndarray, rng, drop_last: bool = False):
+    """One epoch over arrays in memory: seeded shuffle and mini-batches over all rows. The last batch
+    may be smaller (a last row of its own joins the batch before it) or, with ``drop_last``, is left out
+    unless it is the only one."""
+    n, bs = len(y), p.batch_size
+    order = rng.permutation(n)
+    starts = [s for s in range(0, n, bs) if n - s > 1]
+    ends = [*starts[1:], n]
+    if drop_last and n > bs:
+        starts = list(range(0, n - bs + 1, bs))
+        ends = [s + bs for s in starts]
+    cut = [order[s:e] for s, e in zip(starts, ends)]
+    return train_batches(p, w, m, v, t0, lr, [(x[i], y[i]) for i in cut], alpha, rng)

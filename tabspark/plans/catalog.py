@@ -21,6 +21,7 @@ from tabspark.operators import metrics as M
 from tabspark.operators import mlp as ML
 from tabspark.operators import profiling as P
 from tabspark.operators import split as S
+from tabspark.operators.minibatch import minibatch_plan
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.operators.prepare import align_features, features_array, prepare, rejected_targets, target_audit, width_check
 from tabspark.operators.scale import IdentityScaler, fit_scaler
@@ -471,6 +472,29 @@ def q_mlp_fit(spark, sf):
     return res.history
 
 
+@query("minibatch_plan")
+def q_minibatch_plan(spark, sf):
+    """Batches of 32 of the training split for three epochs, without the last partial one."""
+    train = split_metrics(spark, sf).where(F.col("split") == "train").select("id")
+    return minibatch_plan(train, "id", epochs=3)
+
+
+@query("mlp_fit_facts")
+def q_mlp_fit_facts(spark, sf):
+    """What is known of a fit beforehand, of the epochs that every fit runs (patience and one more): learning rate,
+    rows seen, mini-batches; and whether best and last epoch are those that the history operators find."""
+    p = MlpParams()
+    _, _, res = _fit(spark, sf, p)
+    f1 = res.history.where("metric = 'val_f1'").select("run_id", "epoch", "value")
+    ends = H.best_epoch(f1).join(H.early_stop(f1, p.patience), "run_id").select(
+        ((F.col("best_epoch") == res.best_epoch)
+         & F.when(F.col("early_stopped"), F.col("stop_epoch") == res.stopped_epoch)
+         .otherwise(F.lit(res.stopped_epoch is None) & (F.col("n_epochs") == p.max_epochs - 1))).alias("replayed"))
+    steps = spark.createDataFrame(res.steps, "epoch int, rows_seen bigint, batches bigint")
+    lr = res.history.where("metric = 'lr'").select("epoch", round4(F.col("value") * 1000).alias("lr_1000"))
+    return steps.where(F.col("epoch") <= p.patience).join(lr, "epoch").join(F.broadcast(ends))
+
+
 # ------------------------------------------------------------------ requests, sinks, streaming, report
 
 
@@ -602,3 +626,21 @@ def q_mlp_tune(spark, sf):
     table, _, _ = tune(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"),
                        FEATURES, LABEL, MlpParams(), grid)
     return table.select("trial", "params", "state", "epochs_run")
+
+
+@query("mlp_tune_facts")
+def q_mlp_tune_facts(spark, sf):
+    """Per trial of a study: its parameters, the first learning rate, and whether state, length and best epoch are those that
+    the one-after-another rule gives for the returned history."""
+    sp = split_metrics(spark, sf).checkpoint(eager=True)
+    scaled = fitted_scaler(sp).transform(sp)
+    base = MlpParams(max_epochs=14, patience=4)
+    grid = [{"learning_rate": 1e-3}, {"learning_rate": 1e-2, "hidden_sizes": [32, 16]}, {"learning_rate": 1e-5}, {"learning_rate": 5e-3}]
+    table, history, _ = tune(scaled.where(F.col("split") == "train"), scaled.where(F.col("split") == "val"), FEATURES, LABEL, base, grid)
+    f1 = history.where("metric = 'val_f1'").select("run_id", "epoch", "value")
+    lr = history.where("metric = 'lr' AND epoch = 0").select("run_id", round4(F.col("value") * 1000).alias("lr_1000"))
+    t = table.withColumn("run_id", F.concat(F.lit("trial-"), F.col("trial")))
+    rule = H.median_rule(f1, t.where("state = 'COMPLETE'"), base.patience, base.max_epochs)
+    t = t.join(lr, "run_id").join(rule, "run_id")
+    return t.select("trial", "params", "lr_1000", ((F.col("state") == F.col("rule_state")) & (F.col("epochs_run") == F.col("rule_epochs"))
+                                                   & (F.col("best_epoch") == F.col("rule_best"))).alias("replayed"))

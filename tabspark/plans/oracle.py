@@ -260,6 +260,22 @@ sp as (select s.*, case when rn < q.test_q then 'test' when rn < q.test_q + q.va
 """
 
 
+def place_macro(epochs: int, seed: int = 42) -> str:
+    """CTEs ``ks`` (epoch, keys) and the lambda text of one pass: the shuffle of ``operators.minibatch`` in DuckDB, over
+    columns n, a, b of a row."""
+    from tabspark.operators.minibatch import MIXER, PRIME, round_keys
+
+    def mix(v):
+        return f"(((({v} + k) % {PRIME}) * (({v} + k) % {PRIME}) % {PRIME} * {MIXER} + k) % {PRIME})"
+    left = f"((p // b + {mix('(p % b)')}) % a)"
+    once = lambda v: f"list_reduce(ks, lambda p, k: {left} * b + (p % b + {mix(left)}) % b, CAST({v} AS BIGINT))"
+    keys = " union all ".join(f"select {e} as epoch, [{', '.join(f'{k}::bigint' for k in round_keys(seed, e))}] as ks" for e in range(epochs))
+    place = f"list_reduce(range(64), lambda y, i: case when y < n then y else {once('y')} end, {once('r')})"
+    return f"""ks as ({keys}),
+pl as (select epoch, id, n, {place} as place from (select id, row_number() over (order by id) - 1 as r from tr) x, ks,
+  (select n, a, (n + a - 1) // a as b from (select count(*) as n, cast(floor(sqrt(count(*) - 1)) as bigint) + 1 as a from tr)) z)"""
+
+
 def split_sql() -> dict[str, str]:
     feats = ", ".join(q(c) for c in FEATURES)
     prep = f"P as (select id, {feats}, label from LF)"
@@ -278,6 +294,12 @@ from (select cast(toxic as varchar) as bad_value from labels) where bad_value is
         "prepare": with_f(f"select id, {', '.join(f'cast({q(c)} as double) as {q(c)}' for c in FEATURES)}, label from LF",
                           LF_CTE),
         "stratified_split": with_f("select id, label, split from sp", LF_CTE, prep, sp),
+        "minibatch_plan": with_f("""select epoch, cast(place // 32 as bigint) as batch, cast(place as bigint) as place, id from pl where place // 32 < n // 32""",
+                                 LF_CTE, prep, sp, "tr as (select id from sp where split = 'train')", place_macro(3)),
+        # epochs 0 to 10 of the schedule: a cosine of 10 epochs, then the first of the restart
+        "mlp_fit_facts": with_f(f"""select cast(e as int) as epoch, n // 32 * 32 as rows_seen, n // 32 as batches,
+  {r4('1000 * (1e-6 + (1e-3 - 1e-6) * (1 + cos(pi() * (e % 10) / 10)) / 2)')} as lr_1000, true as replayed
+from (select unnest(range(11)) as e), (select count(*) as n from sp where split = 'train')""", LF_CTE, prep, sp),
         "split_counts": with_f("select split, label, cast(count(*) as bigint) as n from sp group by 1, 2",
                                LF_CTE, prep, sp),
         "orders_split_counts": "with " + split_cte("orders", "o_orderstatus", "o_orderkey").strip() + """
@@ -345,6 +367,10 @@ from E join cw on E.label = cw.label""",
         "weighted_ce": f"""with {emb}, {cw}, W as (select list(w order by label) as wl from cw)
 select {r4(f'sum(0.9 * wl[E.label + 1] * -(logits[E.label + 1] - {lse}) + 0.1 / len(logits) * -list_sum(list_transform(list_zip(logits, wl), lambda e: e[2] * (e[1]::double - {lse})))) / sum(wl[E.label + 1])')} as loss
 from E, W""",
+        # the rule replayed over the history says so itself; trials and first rates are the study's grid
+        "mlp_tune_facts": """select * from (values (0, '{"learning_rate": 0.001}', 1.0::double, true),
+  (1, '{"hidden_sizes": [32, 16], "learning_rate": 0.01}', 10.0::double, true), (2, '{"learning_rate": 1e-05}', 0.01::double, true),
+  (3, '{"learning_rate": 0.005}', 5.0::double, true)) t(trial, params, lr_1000, replayed)""",
         "latency_summary": f"""select cast(count(value) as bigint) as total_requests, cast(count(value) as bigint) as total_samples, 1 as batch_size,
   {r4('avg(value)')} as avg_latency, {r4('quantile_cont(value, 0.5)')} as p50_latency, {r4('quantile_cont(value, 0.95)')} as p95_latency,
   {r4('quantile_cont(value, 0.99)')} as p99_latency, {r4('min(value)')} as min_latency, {r4('max(value)')} as max_latency,

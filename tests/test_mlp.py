@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF01
 from tabspark.operators import history as H
 from tabspark.operators import mlp_math as MM
+from tabspark.operators.minibatch import places, round_keys
 from tabspark.operators.mlp import MlpClassifier, MlpModel, PreprocessScorer, fixed_model
 from tabspark.operators.mlp_math import MlpParams
 from tabspark.operators.scale import IdentityScaler, ScalerModel, fit_scaler
@@ -158,9 +159,12 @@ def test_one_partition_fit_equals_sequential_numpy(spark):
     alpha = n / (2 * counts)
     t = 0
     for epoch in range(3):
-        steps, *_ = MM.train_partition(pp, w, m, v, t, MM.lr_at(pp, epoch), x, y, alpha,
-                                       np.random.default_rng([pp.seed, epoch, 0]))
+        order = np.argsort(places(n, round_keys(pp.seed, epoch)))  # the epoch's global order; 6 rows of 150 are left out
+        batches = [(x[i], y[i]) for i in (order[s:s + 16] for s in range(0, 144, 16))]
+        steps, *_ = MM.train_batches(pp, w, m, v, t, MM.lr_at(pp, epoch), batches, alpha,
+                                     np.random.default_rng([pp.seed, epoch, 0]))
         t += steps
+    assert res.steps == [(e, 144, 9) for e in range(3)]
     for name in w:
         # pre-batch-norm biases have zero gradient: only ~1e-12 Adam noise differs there
         np.testing.assert_allclose(res.last.weights[name], w[name], rtol=1e-9, atol=1e-10)

@@ -46,20 +46,21 @@ def test_table_splits_metadata_predictions_metrics(spark, tmp_out):
     assert unl.columns == ["id"] + FEATURES
 
 
-def test_minibatches_seeded_and_drop_last():
+def test_minibatches_seeded_and_of_all_rows():
     p = MM.MlpParams(input_size=3, hidden_sizes=[4], dropout=0.0, batch_size=32)
     rng = np.random.default_rng(0)
     x, y = rng.normal(size=(100, 3)), rng.integers(0, 2, 100)
 
-    def run(seed):
+    def run(seed, **kw):
         w = MM.init_weights(p, 1)
         m = {k: np.zeros_like(v) for k, v in w.items()}
         v = {k: np.zeros_like(a) for k, a in w.items()}
-        steps, _, seen, _ = MM.train_partition(p, w, m, v, 0, 1e-3, x, y, np.ones(2), np.random.default_rng(seed))
+        steps, _, seen, _ = MM.train_partition(p, w, m, v, 0, 1e-3, x, y, np.ones(2), np.random.default_rng(seed), **kw)
         return steps, seen, MM.flatten(p, w)
     s1, n1, w1 = run(5)
     s2, n2, w2 = run(5)
-    assert (s1, n1) == (3, 96)  # 100 rows → three full batches of 32, the partial one dropped
+    assert (s1, n1) == (4, 100)  # three full batches of 32 and one of 4
+    assert run(5, drop_last=True)[:2] == (3, 96)  # the last one left out
     np.testing.assert_array_equal(w1, w2)
     assert not np.array_equal(w1, run(6)[2])
     # a partition smaller than one batch keeps its rows as one batch
