@@ -6,16 +6,16 @@ validation out of the rest) with its size rules: held-out size
 value). Row order inside a class is ``md5('<seed>:<id>')`` then ``id``; the first
 ``test`` rows of a class go to test, the next ``val`` rows to validation.
 
-Plan at scale (no window over a whole class):
-1. class counts → quotas (driver arithmetic on k numbers);
-2. a grouped count over (class, hash prefix) with a prefix length chosen from
-   the class sizes (<= 4 hex digits, so <= k x 65536 rows); per class the
-   driver finds the (at most two) prefixes that straddle a quota boundary;
-   a prefix still holding more than ``max_rank_rows`` rows is refined with 4
-   more hex digits, counting only the rows inside it;
-3. every row outside a straddling prefix gets its split from literal prefix
-   comparisons (map-only); only rows of straddling prefixes are ranked with
-   ``row_number`` inside their prefix.
+Plan at scale (no window over a whole class, nothing per class on the driver):
+1. class counts → quotas, as windows over one row a class;
+2. counts by (class, hash prefix), the prefix as long as the class is large (at
+   most 4 hex digits); running counts find the (at most two) prefixes per class
+   that a quota boundary runs through; one that still holds more than
+   ``max_rank_rows`` rows is refined with 4 more hex digits, counting only the
+   rows inside it;
+3. the cut table (a row a class) is joined on class: a row outside those
+   prefixes has its split by comparison (no shuffle where the table is
+   broadcast); only rows inside them are ranked.
 """
 
 from __future__ import annotations
@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabspark.functions import sqltext as Q
+from tabspark.operators.scan import Spec, ordered_scan
 
 def approximate_mode(counts: dict, n_draws: int) -> dict:
     """Largest-remainder allocation of ``n_draws`` proportional to ``counts``."""
@@ -68,57 +69,59 @@ def order_key(id_col: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
 
 
-def _prefix_len(n_max: int, target: int) -> int:
-    """Hex digits so that a bucket holds about ``target`` rows (1..4)."""
-    digits = 1
-    while digits < 4 and n_max / 16 ** digits > target:
-        digits += 1
-    return digits
-
-
-def _find_cuts(data: DataFrame, label: str, key: Column, cuts: dict, start_len: int,
-               max_rank_rows: int, step: int = 4, max_len: int = 32):
-    """For every (class, cut rank) find the shortest hash prefix whose rows
-    contain the cut, and the number of class rows before that prefix.
-
-    Level 1 counts rows per (class, prefix of ``start_len`` hex digits) over
-    the whole input; deeper levels only count rows inside the still-crowded
-    prefixes. Result: {(class, cut): (prefix, rows_before, rows_in_prefix)}.
-    """
-    found = {}
-    pending = {(c, cut): ("", 0) for c, cs in cuts.items() for cut in cs}
-    length = start_len
-    while pending:
-        parents = {(c, par) for (c, _), (par, _) in pending.items()}
-        cond = None
-        for c, par in parents:
-            e = (F.col(label) == F.lit(c))
-            if par:
-                e = e & (F.substring(key, 1, len(par)) == F.lit(par))
-            cond = e if cond is None else (cond | e)
-        rows = (data.where(cond).groupBy(F.col(label).alias("c"), F.substring(key, 1, length).alias("p"))
-                .agg(F.count(F.lit(1)).alias("n")).collect())  # <= parents x 16^step rows
-        hist: dict = {}
-        for r in rows:
-            hist.setdefault(r["c"], []).append((r["p"], r["n"]))
-        nxt = {}
-        for (c, cut), (par, before) in pending.items():
-            acc = before
-            chosen = None
-            for p, n in sorted(x for x in hist.get(c, []) if x[0].startswith(par)):
-                if acc + n > cut:
-                    chosen = (p, acc, n)
-                    break
-                acc += n
-            if chosen is None:  # cut at or past the last row of the class
-                found[(c, cut)] = ("g" * length, acc, 0)  # 'g' sorts after every hex digit
-            elif chosen[2] > max_rank_rows and length < max_len:
-                nxt[(c, cut)] = (chosen[0], chosen[1])
-            else:
-                found[(c, cut)] = chosen
-        pending = nxt
-        length = min(length + step, max_len)
-    return found
+#: Class tables of at most this many (counted) rows are broadcast.
+MAX_BROADCAST_CLASSES = 200_000
+
+
+def quota_table(counts: DataFrame, test_size: float = 0.2, val_size: float = 0.1) -> DataFrame:
+    """``split_quotas`` as a DataFrame: (c, n) per class in, (c, n, test, val) out. Windows over one row a class."""
+    d = counts.selectExpr("c", "n", "sum(n) OVER () AS total").selectExpr(
+        "*", f"total - CAST(ceil({Q.dbl(test_size)} * total) AS BIGINT) AS n_rest")
+    d = d.selectExpr("*", f"n_rest - CAST(ceil({Q.dbl(val_size / (1 - test_size))} * n_rest) AS BIGINT) AS n_train")
+
+    def drawn(d, size, total, draws, out):
+        """Largest-remainder shares of ``draws`` in proportion to ``size`` (ties: lower class)."""
+        d = d.withColumn("x", F.expr(f"coalesce(CAST({size} AS DOUBLE) / nullif({total}, 0) * {draws}, 0D)"))
+        d = d.withColumn("need", F.expr(f"{draws} - sum(CAST(floor(x) AS BIGINT)) OVER ()"))
+        d = d.withColumn("k", F.expr("row_number() OVER (ORDER BY x - floor(x) DESC, c)"))
+        return d.withColumn(out, F.expr("CAST(floor(x) AS BIGINT) + CASE WHEN k <= need THEN 1 ELSE 0 END")).drop("x", "need", "k")
+    d = drawn(d, "n", "total", "n_rest", "rest")
+    d = drawn(d, "rest", "n_rest", "n_train", "train")
+    return d.selectExpr("c", "n", "n - rest AS test", "rest - train AS val")
+
+
+def _near(d: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(d) if small else d
+
+
+def _find_cuts(keyed: DataFrame, quotas: DataFrame, small: bool, bucket_rows: int, max_rank_rows: int,
+               prefix_hex: int | None) -> tuple[DataFrame, int]:
+    """A trie of counts, level by level: for every class and cut rank the shortest hash prefix whose rows contain
+    the cut and that holds at most ``max_rank_rows`` rows (all 32 digits at most): (c, cut, p, before, inside). And the
+    rows of the largest such prefix.
+
+    A level counts rows by (class, parent prefix, prefix) inside the parents that are still too full; running counts
+    over the prefixes of a parent (at most 16 ** 4) find the child that holds the cut. The first level's prefixes
+    are as long as the class is large. All tables stay DataFrames; the driver sees one maximum a level."""
+    digits = (f"{prefix_hex}" if prefix_hex else
+              f"CAST(least(4, greatest(1, ceil(log(16D, n / {bucket_rows}D)))) AS INT)")
+    open_ = quotas.selectExpr("c", "n", "inline(array(struct('t' AS cut, test AS rank), struct('v' AS cut, test + val AS rank)))")
+    open_ = open_.selectExpr("c", "cut", "rank", "CASE WHEN rank < n THEN '' ELSE 'g' END AS p",  # g: after every digit
+                             "CASE WHEN rank < n THEN 0L ELSE n END AS before", "CASE WHEN rank < n THEN n ELSE 0L END AS inside", f"{digits} AS len")
+    done, largest = open_.where("p = 'g'"), 0
+    open_ = open_.where("p = ''")
+    while True:
+        parents = open_.selectExpr("c AS pc", "p AS parent", "len").distinct()
+        rows = keyed.join(_near(parents, small), F.expr("c = pc AND substring(k, 1, length(parent)) = parent"))
+        hist = rows.groupBy("pc", "parent", F.expr("substring(k, 1, len)").alias("child")).agg(F.count(F.lit(1)).alias("m"))
+        hist = hist.selectExpr("*", "coalesce(sum(m) OVER (PARTITION BY pc, parent ORDER BY child ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS acc")
+        got = open_.join(hist, F.expr("c = pc AND p = parent AND before + acc <= rank AND rank < before + acc + m"))
+        got = got.selectExpr("c", "cut", "rank", "child AS p", "before + acc AS before", "m AS inside", "len").checkpoint(eager=True)
+        done = done.unionByName(got.where(f"inside <= {max_rank_rows} OR len >= 32"))
+        full = got.agg(F.max("inside"), F.max(F.expr(f"CASE WHEN inside > {max_rank_rows} AND len < 32 THEN len END"))).first()
+        if full[1] is None:
+            return done.select("c", "cut", "p", "before", "inside"), max(largest, full[0] or 0)
+        open_ = got.where(f"inside > {max_rank_rows} AND len < 32").withColumn("len", F.expr("least(len + 4, 32)"))
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = 0.2,
@@ -128,59 +131,43 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float =
     """Adds ``split`` in {'train','val','test'}; rows with a null label are dropped
     (``prepare.rejected_targets`` holds them); a null id counts as an empty one.
 
-    ``df`` is read a few times (class counts, prefix histograms, output); pass
-    a persisted or written table for expensive inputs. ``id_col`` must be
-    unique. Only rows whose hash prefix straddles a quota boundary (at most
-    two prefixes per class, each <= ``max_rank_rows`` rows) are ranked.
+    ``df`` is read three times (class counts, prefix counts, output); pass
+    a persisted or written table for expensive inputs. Rows of one id in a class (it should be
+    unique) fall to either side of a cut, in exact numbers. Any number of classes: the cut table has a row
+    a class and is joined on it, broadcast up to ``MAX_BROADCAST_CLASSES``.
     """
-    data = df.where(F.col(label).isNotNull())
     key = order_key(id_col, seed)
-    counts = {r["c"]: int(r["n"]) for r in data.groupBy(F.col(label).alias("c"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per class
-    if not counts:
-        return data.withColumn(split_col, F.lit(None).cast("string"))
-    quotas = split_quotas(counts, test_size, val_size)
-    cuts = {c: sorted({q.test, q.test + q.val}) for c, q in quotas.items()}
-    start = prefix_hex or _prefix_len(max(counts.values()), bucket_rows)
-    found = _find_cuts(data, label, key, cuts, start, max_rank_rows)
-
-    lab = F.col(label)
-    lab_sql = Q.ident(label)
-    key_sql = f"md5(concat({Q.str_lit(f'{seed}:')}, coalesce(CAST({Q.ident(id_col)} AS STRING), '')))"
-
-    def cmp(prefix: str):
-        return f"substring({key_sql}, 1, {len(prefix)})", Q.str_lit(prefix)
-
-    # rows outside the straddling prefixes: split from literal prefix comparisons
-    direct, straddle = [], []
-    for c, q in quotas.items():
-        is_c = f"{lab_sql} = {Q.lit(c)}"
-        kt, lt = cmp(found[(c, q.test)][0])
-        kv, lv = cmp(found[(c, q.test + q.val)][0])
-        direct.append(f"WHEN {is_c} THEN CASE WHEN {kt} < {lt} THEN 'test' "
-                      f"WHEN {kt} > {lt} AND {kv} < {lv} THEN 'val' "
-                      f"WHEN {kt} > {lt} AND {kv} > {lv} THEN 'train' END")
-        straddle.append(f"({is_c} AND ({kt} = {lt} OR {kv} = {lv}))")
-    straddle_sql = " OR ".join(straddle)
-    plain = data.where(f"NOT ({straddle_sql})").withColumn(split_col, F.expr("CASE " + " ".join(direct) + " END"))
-
-    # rows in straddling prefixes: rank inside (class, prefix), offset by the rows before it
-    groups = {}
-    for (c, cut), (p, before, _) in found.items():
-        groups.setdefault((c, p), before)
-    tag = " ".join(f"WHEN {lab_sql} = {Q.lit(c)} AND {cmp(p)[0]} = {Q.str_lit(p)} THEN {Q.str_lit(p)}"
-                   for (c, p) in groups)
-    tagged = data.where(straddle_sql).withColumn("__g", F.expr(f"CASE {tag} END"))
-    w = Window.partitionBy(lab, F.col("__g")).orderBy(key, F.col(id_col))  # <= max_rank_rows rows each
-    ranked = tagged.withColumn("__r", F.row_number().over(w) - 1)
-    rank = []
-    for (c, p), before in groups.items():
-        q = quotas[c]
-        pos = f"(CAST(__r AS BIGINT) + {int(before)})"
-        rank.append(f"WHEN {lab_sql} = {Q.lit(c)} AND __g = {Q.str_lit(p)} THEN CASE WHEN {pos} < {q.test} THEN 'test' "
-                    f"WHEN {pos} < {q.test + q.val} THEN 'val' ELSE 'train' END")
-    edge = ranked.withColumn(split_col, F.expr("CASE " + " ".join(rank) + " END")).drop("__g", "__r")
-    return plain.unionByName(edge)
+    data = df.where(F.col(label).isNotNull())
+    counts = data.groupBy(F.col(label).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    quotas = quota_table(counts, test_size, val_size).checkpoint(eager=True)  # a row a class
+    small = quotas.count() <= MAX_BROADCAST_CLASSES
+    keyed = data.select(F.col(label).alias("c"), key.alias("k"))
+    cuts, largest = _find_cuts(keyed, quotas, small, bucket_rows, max_rank_rows, prefix_hex)
+    table = quotas.join(cuts.groupBy("c").agg(*[F.expr(f"max({x}) FILTER (WHERE cut = '{cut}') AS {x}_{cut}") for cut in "tv" for x in ("p", "before")]), "c")
+    table = table.select(F.col("c").alias("__c"), F.struct("test", "val", "p_t", "before_t", "p_v", "before_v").alias("__q"))
+    table = table.checkpoint(eager=True)
+
+    d = data.withColumn("__k", key).join(_near(table, small), F.col(label) == F.col("__c"))
+    at = {cut: f"substring(__k, 1, length(__q.p_{cut}))" for cut in "tv"}
+    d = d.withColumn(split_col, F.expr(
+        f"CASE WHEN {at['t']} < __q.p_t THEN 'test' WHEN {at['t']} > __q.p_t AND {at['v']} < __q.p_v THEN 'val' "
+        f"WHEN {at['t']} > __q.p_t AND {at['v']} > __q.p_v THEN 'train' END"))
+    out = [*df.columns, split_col]
+    plain = d.where(F.col(split_col).isNotNull()).select(out)
+
+    # rows in a prefix that a cut runs through: ranked inside it
+    edge = d.where(F.col(split_col).isNull()).withColumn("__e", F.expr(
+        f"CASE WHEN {at['t']} = __q.p_t THEN struct(__q.p_t AS p, __q.before_t AS before) ELSE struct(__q.p_v AS p, __q.before_v AS before) END"))
+    edge = edge.withColumn("__prefix", F.col("__e.p"))
+    if largest <= max_rank_rows:
+        w = Window.partitionBy("__c", "__prefix").orderBy("__k", F.col(id_col))
+        edge = edge.withColumn("__r", F.row_number().over(w).cast("bigint"))
+    else:  # equal ids beyond the longest prefix: numbered across range partitions
+        edge = edge.withColumn("__u", F.monotonically_increasing_id())
+        edge = ordered_scan(edge, ["__c", "__prefix"], ["__k", "__u"], [Spec("__r", "row_number")])
+    place = "(__e.before + __r - 1)"
+    edge = edge.withColumn(split_col, F.expr(f"CASE WHEN {place} < __q.test THEN 'test' WHEN {place} < __q.test + __q.val THEN 'val' ELSE 'train' END"))
+    return plain.unionByName(edge.select(out))
 
 
 def split_counts(split_df: DataFrame, label: str, split_col: str = "split") -> DataFrame:

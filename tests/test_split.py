@@ -72,3 +72,34 @@ def test_null_ids_keep_their_rows(spark):
     df = spark.createDataFrame([(None if i % 4 == 0 else i, i % 2) for i in range(400)], "id long, label int")
     out = stratified_split(df, "label", "id").groupBy("split").count().collect()
     assert {r["split"]: r["count"] for r in out} == {"train": 280, "val": 40, "test": 80}
+
+
+def test_many_classes(spark):
+    """10 000 classes of 1 to 40 rows, one class with a third of all rows: nothing per class on the driver."""
+    from tabspark.operators.split import quota_table
+    df = spark.range(150_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('c', pmod(xxhash64(id), 10000)) END AS label")
+    counts = {r["label"]: r["count"] for r in df.groupBy("label").count().collect()}
+    want = split_quotas(counts)
+    quotas = quota_table(spark.createDataFrame(list(counts.items()), "c string, n bigint"))
+    assert {r.c: (r.test, r.val) for r in quotas.collect()} == {c: (x.test, x.val) for c, x in want.items()}
+    got = {}
+    for r in stratified_split(df, "label", "id").groupBy("label", "split").count().collect():
+        got.setdefault(r["label"], {})[r["split"]] = r["count"]
+    assert {c: (g.get("test", 0), g.get("val", 0), g.get("train", 0)) for c, g in got.items()} == {c: (x.test, x.val, x.train) for c, x in want.items()}
+
+
+def test_repeated_ids_make_no_window(spark):
+    """A third of the rows with one id: exact numbers, numbered across partitions."""
+    df = spark.range(9_000).selectExpr("CASE WHEN id % 3 = 0 THEN 7 ELSE id END AS id", "CAST(id % 2 AS INT) AS label", "id AS row")
+    out = stratified_split(df, "label", "id", max_rank_rows=100)
+    plan = out._jdf.queryExecution().toString()
+    assert "partitionBy" not in plan and out.count() == 9_000 and out.select("row").distinct().count() == 9_000
+    got = {(r["label"], r["split"]): r["count"] for r in out.groupBy("label", "split").count().collect()}
+    for c, q in split_quotas({0: 4500, 1: 4500}).items():
+        assert (got[c, "test"], got[c, "val"], got[c, "train"]) == (q.test, q.val, q.train)
+
+
+def test_clashing_columns_stay(spark):
+    df = spark.createDataFrame([(i, i % 2, "a", "b") for i in range(50)], "id long, label int, c string, k string")
+    out = stratified_split(df, "label", "id")
+    assert out.columns == ["id", "label", "c", "k", "split"] and {(r.c, r.k) for r in out.collect()} == {("a", "b")}
