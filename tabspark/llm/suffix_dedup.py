@@ -195,6 +195,7 @@ def _decide(rows: DataFrame, name: str) -> DataFrame:
     """(id, th, whole, open) by text: which rows (g, u, id, tr) repeat as a whole, and which need a look at the
     next digit.  A group g of one string u is decided by its count; in a group of several, a u with an
     equal repeats and sends one stand-in on, and others go on themselves.  A group with a tied row goes on."""
+    rows = C.written(rows, f"{name}-rows")  # read twice; made in one pass over the texts
     first = (rows.groupBy("g").agg(F.count("*").alias("n"), F.min("u").alias("a"), F.max("u").alias("b"), F.max(F.expr("tr & 1")).alias("tie"))
              .where("n > 1 OR tie = 1").select("g", "n", F.expr("a != b").alias("several"), "tie"))
     cand = C.written(rows.join(first, "g"), name)
