@@ -198,9 +198,11 @@ def _decide(rows: DataFrame, name: str) -> DataFrame:
     rows = C.written(rows, f"{name}-rows")  # read twice; made in one pass over the texts
     first = (rows.groupBy("g").agg(F.count("*").alias("n"), F.min("u").alias("a"), F.max("u").alias("b"), F.max(F.expr("tr & 1")).alias("tie"))
              .where("n > 1 OR tie = 1").select("g", "n", F.expr("a != b").alias("several"), "tie"))
+    first = C.written(first, f"{name}-groups")  # so that the join's sides are plain shuffles, which Spark splits where a group is hot
     cand = C.written(rows.join(first, "g"), name)
     twice = (cand.where("several").groupBy("g", "u").agg(F.count("*").alias("c"), F.min(F.struct("id", "tr")).alias("rep"))
              .where("c > 1").select("g", "u", "rep"))
+    twice = C.written(twice, f"{name}-twice")
     plain = cand.where("NOT several").select("id", "tr", "tie", F.expr("n > 1").alias("whole"), F.expr("tie = 1").alias("open"))
     mixed = (cand.where("several").join(twice, ["g", "u"], "left")
              .select("id", "tr", "tie", F.expr("rep IS NOT NULL").alias("whole"),
