@@ -44,6 +44,38 @@ def let(name: str, value: str, body: str) -> str:
     return f"transform(array({value}), {name} -> {body})[0]"
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Names for inner columns that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while f"_{name}" in taken:
+            name = f"_{name}"
+        taken.add(f"_{name}")
+        out.append(f"_{name}")
+    return out
+
+
+PREFIX_BLOCK = 32
+PREFIX_LEVELS = 4
+
+
+def prefix(values: str, op: str, zero: str, kind: str = "int", level: int = PREFIX_LEVELS) -> str:
+    """SQL: for each element of an array ``op(a, b)`` over all that come before it, from ``zero``.
+
+    A fold that appends to an array copies it at every step, so it runs over blocks of ``PREFIX_BLOCK`` only: the results
+    of the blocks are taken as an array again, whose prefixes start the blocks.  Work is in proportion to the array up to
+    ``PREFIX_BLOCK ** (level + 1)`` elements, and goes on beyond."""
+    fold = (f"aggregate({{0}}, struct({{1}} AS at, CAST(array() AS array<{kind}>) AS out), "
+            f"(s, x) -> struct({op.format('s.at', 'x')} AS at, concat(s.out, array(s.at)) AS out), s -> s.out)")
+    if not level:
+        return fold.format(values, zero)
+    blocks = (f"transform(array({values}), v -> transform(CASE WHEN size(v) > 0 THEN sequence(0, (size(v) - 1) div {PREFIX_BLOCK}) ELSE array() END, "
+              f"b -> slice(v, b * {PREFIX_BLOCK} + 1, {PREFIX_BLOCK})))[0]")
+    heads = prefix(f"transform(bs, v -> aggregate(v, {zero}, (s, x) -> {op.format('s', 'x')}))", op, zero, kind, level - 1)
+    return let("bs", blocks, f"flatten(zip_with(bs, {heads}, (v, h) -> {fold.format('v', 'h')}))")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder of ``spark.checkpoint.dir``: cuts the lineage, and a
     lost executor costs no recomputation of what is behind it."""

@@ -2,7 +2,8 @@
 
 Native: DataFrame and SQL functions only, no shuffle.  ``split`` and ``regexp_extract_all`` scan a text
 alike, so the pieces between the matches and the matches themselves give each match's place as a
-running sum of lengths (in code points).
+running sum of lengths (in code points).  Running sums are taken block by block (``common.prefix``), so a
+text full of matches costs no more for each.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import common as C
+
 
 def _any_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
@@ -26,9 +29,14 @@ HEX = "[0-9a-f]{24,}"  # the greedy run of [0-9a-f]+, 24 characters or more
 CANDIDATE = "[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 CLASSES = (("hex", "^[0-9a-fA-F]+$", 3.0), ("base64", "", 3.9))
-#: A candidate is no secret if it matches one of these: letters only (words), digits only, path or snake
-#: case of plain words, one repeated character, and samples that say so.
-ALLOW = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Za-z]*([/_=+-]+[A-Za-z]*)*$", r"(.)\1{9,}", r"(?i)example|placeholder|xxxx")
+#: Where a candidate is cut into segments, which are tested one by one: a sample word that is a part of its own, a run of
+#: six or more equal characters, and three or more dividing ones.
+_JOINT = "[/_=+-]"
+DIVIDER = (f"(?:^|{_JOINT})(?:[eE][xX][aA][mM][pP][lL][eE]|[pP][lL][aA][cC][eE][hH][oO][lL][dD][eE][rR]|[xX]{{4,}})(?:{_JOINT}|$)|"
+           + "|".join(f"{c}{{6,}}" for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") + f"|{_JOINT}{{3,}}")
+#: A segment is no secret if it matches one of these: letters only (words), digits only, path or snake
+#: case of plain words, and samples that say so.
+ALLOW = (r"^[A-Za-z]+$", r"^[0-9]+$", r"^[A-Za-z]*([/_=+-]+[A-Za-z]*)*$", r"(?i)example|placeholder|xxxx")
 KINDS = ("assign", "access", "hex", "entropy")
 
 
@@ -40,12 +48,10 @@ def _lit(pattern: str) -> str:
 def _spans(text: str, pattern: str, kind: int, measure: str | None = None, group: int = 0) -> str:
     """SQL: an array of structs (at, kind, to, s) of all matches of ``pattern``; s is ``group``."""
     p = _lit(pattern)
-    starts = (f"aggregate(zip_with(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), "
-              "(a, m) -> struct(char_length(a) as gap, char_length(m) as len, m as m)), "
-              f"struct(0 as at, cast(array() as array<struct<at:int,kind:int,to:int,s:string>>) as out), "
-              "(acc, x) -> struct(coalesce(acc.at + x.gap + x.len, acc.at) as at, "
-              f"CASE WHEN x.m IS NULL THEN acc.out ELSE concat(acc.out, array(struct(acc.at + x.gap as at, {kind} as kind, "
-              "acc.at + x.gap + x.len as to, x.m as s))) END as out), acc -> acc.out)")
+    found = f"zip_with(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), (m, a) -> struct(m AS m, char_length(a) AS gap, coalesce(char_length(m), 0) AS len))"
+    starts = C.let("f", found, f"zip_with(filter(f, x -> x.m IS NOT NULL), {C.prefix('transform(f, x -> x.gap + x.len)', '{0} + {1}', '0')}, "
+                   f"(x, at) -> struct(at + x.gap AS at, {kind} AS kind, at + x.gap + x.len AS to, x.m AS s))")
+    starts = f"filter({starts}, x -> x.s IS NOT NULL)"  # the last piece has no match behind it
     if group:
         starts = f"zip_with({starts}, regexp_extract_all({text}, {p}, {group}), (x, g) -> struct(x.at as at, x.kind as kind, x.to as to, g as s))"
     return starts if measure is None else f"filter({starts}, x -> {measure})"
@@ -77,6 +83,11 @@ def _entropy(s: str, width: int) -> str:
 
 
 def _is_secret(s: str) -> str:
+    """SQL: whether a segment of ``s`` is a secret."""
+    return f"exists(split({s}, {_lit(DIVIDER)}, -1), s -> char_length(s) >= {WINDOW} AND {_segment('s')})"
+
+
+def _segment(s: str) -> str:
     allowed = " OR ".join(f"{s} RLIKE {_lit(p)}" for p in ALLOW)
     rule = "CASE " + " ".join(f"WHEN {s} RLIKE {_lit(p)} THEN {e}" for _, p, e in CLASSES) + " END"
     return f"CASE WHEN {allowed} THEN false ELSE {_entropy(s, WINDOW)} >= {rule} END"
@@ -87,23 +98,27 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ``at`` and ``to`` count code points, ``to`` exclusive.
 
     A null or empty text has no spans.  Base spans may overlap those of other kinds; an entropy span is
-    added only where it overlaps no base span.  Rows are independent, so repeated rows, ties and empty
-    tables need no care.  A column ``secret_spans`` of ``docs`` is replaced.
+    left out where one base span holds all of it.  Rows are independent, so repeated rows, ties and empty
+    tables need no care.  A column ``secret_spans`` of ``docs`` is replaced, all others stay as they are.
+    Time and memory are in proportion to a text's length and its number of spans.
     """
     none = "cast(array() as array<struct<at:int,kind:int,to:int,s:string>>)"
+    t, found, spans = C.fresh(docs, "t", "found", "spans")
 
     def if_any(pattern, spans):
-        return f"CASE WHEN _t RLIKE {_lit(pattern)} THEN {spans} ELSE {none} END"
+        return f"CASE WHEN `{t}` RLIKE {_lit(pattern)} THEN {spans} ELSE {none} END"
 
-    d = docs.withColumn("_t", F.expr(f"coalesce({text_col}, '')"))
-    base = (f"concat({if_any(ASSIGN, _spans('_t', ASSIGN, 0, f'char_length(x.s) >= {ASSIGN_LEAST}', 2))}, "
-            f"{if_any(ACCESS, _spans('_t', ACCESS, 1))}, {if_any(HEX, _spans('_t', HEX, 2))})")
-    d = d.withColumn("_b", F.expr(base))
-    more = if_any(CANDIDATE, _spans("_t", CANDIDATE, 3, _is_secret("x.s")))
-    d = d.withColumn("_e", F.expr(more))
-    d = d.withColumn("_e", F.expr("filter(_e, x -> NOT exists(_b, y -> y.at < x.to AND x.at < y.to))"))
-    return d.withColumn("secret_spans", F.expr(
-        "sort_array(transform(concat(_b, _e), x -> struct(x.at as at, x.kind as kind, x.to as to)))")).drop("_t", "_b", "_e")
+    d = docs.withColumn(t, F.expr(f"coalesce(`{text_col}`, '')"))
+    every = (f"concat({if_any(ASSIGN, _spans(t, ASSIGN, 0, f'char_length(x.s) >= {ASSIGN_LEAST}', 2))}, "
+             f"{if_any(ACCESS, _spans(t, ACCESS, 1))}, {if_any(HEX, _spans(t, HEX, 2))}, "
+             f"{if_any(CANDIDATE, _spans(t, CANDIDATE, 3, _is_secret('x.s')))})")
+    d = d.withColumn(found, F.expr(f"sort_array(transform({every}, x -> struct(x.at as at, x.kind as kind, x.to as to)))"))
+    # the furthest end of the base spans that start no later: base kinds sort before entropy
+    ends = C.prefix(f"transform(`{found}`, x -> if(x.kind < 3, x.to, 0))", "greatest({0}, {1})", "0")
+    d = d.withColumn(spans, F.expr(f"transform(filter(zip_with(`{found}`, {ends}, (x, m) -> struct(x AS x, m AS m)), "
+                                   "s -> s.x.kind < 3 OR s.x.to > s.m), s -> s.x)"))
+    keep = [F.col(f"`{c}`") for c in docs.columns if c != "secret_spans"]
+    return d.select(*keep, F.col(spans).alias("secret_spans"))
 
 
 def joined(spans: str) -> str:
@@ -112,22 +127,33 @@ def joined(spans: str) -> str:
     return f"array_join(transform({spans}, x -> concat_ws(':', element_at(array({kinds}), x.kind + 1), x.at, x.to)), ',')"
 
 
+PIECE = 1024  # code points
+
+
 def mask(docs: DataFrame, text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``by``; other columns as they
     were, ``n_chars`` (if there) counted anew for changed texts."""
-    d = scan(docs, text_col)
-    t = f"`{text_col}`"
-    done = (f"aggregate(secret_spans, struct(cast('' as string) as out, 0 as at), (s, x) -> CASE WHEN x.to <= s.at THEN s "
-            f"WHEN x.at < s.at THEN struct(s.out as out, x.to as at) "
-            f"ELSE struct(concat(s.out, substring({t}, s.at + 1, x.at - s.at), '{by}') as out, x.to as at) END, "
-            f"s -> concat(s.out, substring({t}, s.at + 1)))")
-    d = d.withColumn("_m", F.expr(f"CASE WHEN size(secret_spans) > 0 THEN {done} ELSE {t} END"))
+    row, text, spans, ends, pieces, done = C.fresh(docs, "row", "text", "spans", "ends", "pieces", "done")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row), F.col(f"`{text_col}`").alias(text))
+    d = scan(d, text).withColumnRenamed("secret_spans", spans)
+    some = f"size(`{spans}`) > 0"
+    d = d.withColumn(ends, F.expr(C.prefix(f"transform(`{spans}`, x -> x.to)", "greatest({0}, {1})", "0")))
+    # the text in pieces of equal length, so that no cut walks over all that is before it
+    d = d.withColumn(pieces, F.expr(f"CASE WHEN {some} THEN regexp_extract_all(`{text}`, '(?s).{{1,{PIECE}}}', 0) END"))
+
+    def part(start, end):
+        inside = f"array_join(slice(`{pieces}`, {start} div {PIECE} + 1, {end} div {PIECE} - {start} div {PIECE} + 1), '')"
+        return f"substring({inside}, {start} % {PIECE} + 1, {end} - {start})"
+    cut = f"transform(zip_with(`{spans}`, `{ends}`, (x, m) -> struct(x AS x, m AS m)), s -> if(s.x.at >= s.m, concat({part('s.m', 's.x.at')}, '{by}'), ''))"
+    last = f"aggregate(`{spans}`, 0, (m, x) -> greatest(m, x.to))"
+    tail = C.let("z", last, part("z", f"char_length(`{text}`)"))
+    d = d.withColumn(done, F.expr(f"CASE WHEN {some} THEN concat(array_join({cut}, ''), {tail}) ELSE `{text}` END"))
     cols = []
     for c in docs.columns:
+        own = F.col(f"`{row}`.`{c}`")
         if c == text_col:
-            cols.append(F.col("_m").alias(c))
+            own = F.col(done)
         elif c == "n_chars":
-            cols.append(F.expr("CASE WHEN size(secret_spans) > 0 THEN CAST(char_length(_m) AS BIGINT) ELSE n_chars END").alias(c))
-        else:
-            cols.append(F.col(f"`{c}`"))
+            own = F.expr(f"CASE WHEN {some} THEN CAST(char_length(`{done}`) AS BIGINT) ELSE `{row}`.n_chars END")
+        cols.append(own.alias(c))
     return d.select(*cols)
