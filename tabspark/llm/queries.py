@@ -130,6 +130,37 @@ def op10_secret_scan(spark, sf_dir):
                     F.expr(secrets.joined("secret_spans")).alias("spans"))
 
 
+def _op10_sql():
+    lit = lambda p: "'" + p.replace("'", "''") + "'"
+
+    def found(kind, pattern, group=0, where="true"):
+        p = lit(pattern)
+        g = f"regexp_extract_all(t, {p}, {group})[i]"
+        return f"""SELECT doc_id, {kind} AS kind, s, pos, pos + length(s) AS "to" FROM (SELECT doc_id, m[i] AS s, {g} AS g,
+  CAST(list_sum(list_transform(a[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS pos
+  FROM (SELECT doc_id, t, a, m, unnest(range(1, len(m) + 1)) AS i FROM (SELECT doc_id, t, regexp_extract_all(t, {p}) AS m, string_split_regex(t, {p}) AS a FROM t)))
+  WHERE {where}"""
+    allowed = " OR ".join(f"regexp_matches(seg, {lit(p)})" for p in secrets.ALLOW)
+    least = "CASE " + " ".join(f"WHEN regexp_matches(seg, {lit(p)}) THEN {e}" for _, p, e in secrets.CLASSES) + " END"
+    name = "CASE kind " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(secrets.KINDS)) + " END"
+    line = f"""string_agg({name} || ':' || pos || ':' || "to", ',' ORDER BY pos, kind, "to")"""
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({found(0, secrets.ASSIGN, 2, f"length(g) >= {secrets.ASSIGN_LEAST}")} UNION ALL {found(1, secrets.ACCESS)} UNION ALL {found(2, secrets.HEX)}),
+cand AS ({found(3, secrets.CANDIDATE)}),
+segs AS (SELECT DISTINCT s, seg FROM (SELECT s, unnest(string_split_regex(s, {lit(secrets.DIVIDER)})) AS seg FROM (SELECT DISTINCT s FROM cand))
+  WHERE length(seg) >= {secrets.WINDOW} AND NOT ({allowed})),
+bits AS (SELECT s, seg, max(list_aggregate(string_split(seg[i:i + {secrets.WINDOW - 1}], ''), 'entropy')) AS bits
+  FROM (SELECT s, seg, unnest(range(1, length(seg) - {secrets.WINDOW - 2})) AS i FROM segs) GROUP BY s, seg),
+more AS (SELECT * FROM cand c WHERE s IN (SELECT s FROM bits WHERE bits >= {least})
+  AND NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = c.doc_id AND b.pos <= c.pos AND b."to" >= c."to")),
+n AS (SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n0, count(*) FILTER (WHERE kind = 1) AS n1, count(*) FILTER (WHERE kind = 2) AS n2, {line} AS line FROM base GROUP BY doc_id),
+e AS (SELECT doc_id, {line} AS line FROM (SELECT * FROM base UNION ALL SELECT * FROM more) GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(n.line, '')) AS base_sha256, coalesce(e.line, '') AS spans
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN e USING (doc_id)
+"""
+
+
 def op11_conversation_repair(spark, sf_dir):
     turns = C.read(spark, sf_dir, "conversations")
     out = repair.repair(repair.damaged(turns))[0].withColumnRenamed("conv", "conv_id")
@@ -229,6 +260,7 @@ ORACLE_SQL = {
     "op6_quality": OP6_SQL,
     "op8_mix_sources": OP8_SQL,
     "op9_url_filter": OP9_SQL,
+    "op10_secret_scan": _op10_sql(),
     "op11_conversation_repair": _op11_sql(),
     "op13_importance_resampling": OP13_SQL,
 }
