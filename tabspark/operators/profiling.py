@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import nonzero, round4
-from tabspark.operators.quantiles import unpivot, wide_quantiles
+from tabspark.operators.quantiles import MAX_SALT, unpivot, wide_quantiles
 from tabspark.schema import col
 from tabspark.session import local_frame
 
@@ -165,61 +165,87 @@ def _whole():
 
 
 # ---------------------------------------------------------------- A7, A8, K1
-def _gram_partials(names: list[str], shift: dict[str, float]):
-    """mapInArrow function: per-partition pairwise sums over pair-complete rows."""
-    k = len(names)
-    mu = np.array([shift[nm] for nm in names], dtype=np.float64)
-
+class CoMoments:
+    """For each pair of k columns, over the rows that have both: n, means, sums of squared differences and of their products, and
+    the bounds of either column (arrays of k x k; ``[i, j]`` is about column i among the rows with j)."""
+
+    def __init__(self, k: int):
+        self.n, self.mean, self.m2, self.c = (np.zeros((k, k)) for _ in range(4))
+        self.lo, self.hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> "CoMoments":
+        """Of the rows of ``x``; NaN is missing."""
+        out, there = cls(x.shape[1]), ~np.isnan(x)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            shift = np.where(there.any(0), np.where(there, x, 0.0).sum(0) / there.sum(0), 0.0)  # a batch's own means, against cancellation
+            d, m = np.where(there, x - shift, 0.0), there.astype(np.float64)
+            out.n, s = m.T @ m, d.T @ m
+            out.mean = np.where(out.n > 0, s / out.n, 0.0)
+            out.m2 = (d * d).T @ m - out.n * out.mean ** 2
+            out.c = d.T @ d - out.n * out.mean * out.mean.T
+        out.mean += shift[:, None]
+        for j in range(x.shape[1]):
+            if len(rows := x if there[:, j].all() else x[there[:, j]]):
+                out.lo[:, j], out.hi[:, j] = np.fmin.reduce(rows, 0, initial=np.inf), np.fmax.reduce(rows, 0, initial=-np.inf)
+        return out
+
+    def merge(self, o: "CoMoments") -> None:
+        """The parallel update: the state of the rows of both."""
+        n = self.n + o.n
+        part, d = o.n / np.maximum(n, 1), o.mean - self.mean
+        self.m2 += o.m2 + d * d * self.n * part
+        self.c += o.c + d * d.T * self.n * part
+        self.mean += d * part
+        self.n, self.lo, self.hi = n, np.minimum(self.lo, o.lo), np.maximum(self.hi, o.hi)
+
+
+_PAIR = "n double, ax double, ay double, mx double, my double, c double, lox double, hix double, loy double, hiy double"
+
+
+def _pair_partials(k: int):
+    """mapInArrow function: the co-moments of a task's rows, a row a pair."""
     def run(batches):
         import pyarrow as pa
-        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        t = CoMoments(k)
         for b in batches:
-            x = np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.float64)
-                                 for i in range(k)]) if b.num_rows else np.zeros((0, k))
-            mask = ~np.isnan(x)
-            xc = np.where(mask, x - mu, 0.0)
-            mf = mask.astype(np.float64)
-            n += mf.T @ mf                    # rows where both i and j are present
-            sx += xc.T @ mf                   # sum of x_i over rows where j present
-            sxx += (xc * xc).T @ mf           # sum of x_i^2 over rows where j present
-            sxy += xc.T @ xc                  # sum of x_i x_j (zeros where missing)
-        ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ii.ravel().astype(np.int32)), pa.array(jj.ravel().astype(np.int32)),
-             pa.array(n.ravel()), pa.array(sx.ravel()), pa.array(sx.T.ravel()),
-             pa.array(sxx.ravel()), pa.array(sxx.T.ravel()), pa.array(sxy.ravel())],
-            names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+            if b.num_rows:
+                t.merge(CoMoments.of(np.column_stack([b.column(i).to_numpy(zero_copy_only=False).astype(np.float64) for i in range(k)])))
+        ii, jj = np.meshgrid(np.arange(k, dtype=np.int32), np.arange(k, dtype=np.int32), indexing="ij")
+        cols = [ii, jj, t.n, t.mean, t.mean.T, t.m2, t.m2.T, t.c, t.lo, t.hi, t.lo.T, t.hi.T]
+        yield pa.RecordBatch.from_arrays([pa.array(c.ravel()) for c in cols], names=["i", "j", *(f.split()[0] for f in _PAIR.split(", "))])
     return run
 
 
+# two states (p, s) of a pair as one
+_PAIR_MERGE = """(p, s) -> named_struct('n', p.n + s.n, 'ax', p.ax + (s.ax - p.ax) * s.n / (p.n + s.n), 'ay', p.ay + (s.ay - p.ay) * s.n / (p.n + s.n),
+  'mx', p.mx + s.mx + (s.ax - p.ax) * (s.ax - p.ax) * p.n * s.n / (p.n + s.n), 'my', p.my + s.my + (s.ay - p.ay) * (s.ay - p.ay) * p.n * s.n / (p.n + s.n),
+  'c', p.c + s.c + (s.ax - p.ax) * (s.ay - p.ay) * p.n * s.n / (p.n + s.n),
+  'lox', least(p.lox, s.lox), 'hix', greatest(p.hix, s.hix), 'loy', least(p.loy, s.loy), 'hiy', greatest(p.hiy, s.hiy))"""
+
+
 def correlation_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairwise-complete Pearson correlation of every column pair.
+    """Pairwise-complete Pearson correlation of every column pair (A7), in one scan.
 
-    Pass 1: column means (shift for numerical stability). Pass 2: each task
-    folds its rows into k x k sums with NumPy (Arrow batches); the k^2 partial
-    rows per task are summed by a map-side-combined aggregate. Constant
-    columns give null (no division by zero).
+    Each task folds its rows into k x k co-moments (``CoMoments``, NumPy on Arrow batches); the k^2 states per task are merged
+    by the parallel update rule in two salted levels. Null where either column is constant on the rows that have both,
+    or has no such row.
     """
-    spark = df.sparkSession
-    means = moments(df, columns)
-    shift = {c: (means[c]["mean"] or 0.0) for c in columns}
+    k = len(columns)
     # missing (null or NaN) travels to the NumPy fold as NaN
     wide = df.selectExpr(*[f"coalesce({Q.num(c)}, CAST('NaN' AS DOUBLE)) AS x{i}" for i, c in enumerate(columns)])
-    parts = wide.mapInArrow(_gram_partials([f"x{i}" for i in range(len(columns))],
-                                           {f"x{i}": shift[c] for i, c in enumerate(columns)}),
-                            "i int, j int, n double, sx double, sy double, sxx double, syy double, sxy double")
-    s = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"]])
-    n = "nullif(n, 0)"
-    cov = f"(sxy / {n} - (sx / {n}) * (sy / {n}))"
-    vx = f"(sxx / {n} - (sx / {n}) * (sx / {n}))"
-    vy = f"(syy / {n} - (sy / {n}) * (sy / {n}))"
-    den = f"(sqrt(greatest({vx}, 0.0D)) * sqrt(greatest({vy}, 0.0D)))"
+    s = wide.mapInArrow(_pair_partials(k), f"i int, j int, {_PAIR}").where("n > 0")
+    names = [f.split()[0] for f in _PAIR.split(", ")]
+    salt = min(MAX_SALT, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    start = {"lox": math.inf, "loy": math.inf, "hix": -math.inf, "hiy": -math.inf}
+    zero = "named_struct(" + ", ".join(f"'{x}', {Q.dbl(start.get(x, 0.0))}" for x in names) + ")"
+    fold = f"aggregate(collect_list(s), {zero}, {_PAIR_MERGE})"
+    s = s.selectExpr("i", "j", f"spark_partition_id() % {salt} AS salt", f"struct({', '.join(names)}) AS s")
+    s = s.groupBy("i", "j", "salt").agg(F.expr(fold).alias("s")).groupBy("i", "j").agg(F.expr(fold).alias("s"))
+    every = df.sparkSession.range(k * k).selectExpr(f"CAST(id div {k} AS INT) AS i", f"CAST(id % {k} AS INT) AS j")
+    s = every.join(s, ["i", "j"], "left")  # pairs without a common row
     names = "array(" + ", ".join(Q.str_lit(c) for c in columns) + ")"
-    const = [i for i, c in enumerate(columns) if means[c]["min"] is None or means[c]["min"] == means[c]["max"]]
-    is_const = (f"(i IN ({', '.join(map(str, const))}) OR j IN ({', '.join(map(str, const))}))"
-                if const else "FALSE")
-    # constant columns give null (population std 0), never rounding noise
-    corr = f"CASE WHEN NOT {is_const} THEN least(greatest({cov} / nullif({den}, 0), -1.0D), 1.0D) END"
+    corr = ("CASE WHEN s.lox < s.hix AND s.loy < s.hiy THEN least(greatest(s.c / (sqrt(s.mx) * sqrt(s.my)), -1.0D), 1.0D) END")
     return s.selectExpr(f"element_at({names}, i + 1) AS feature_a",
                         f"element_at({names}, j + 1) AS feature_b",
                         f"{Q.round4(corr)} AS corr")
@@ -352,19 +378,61 @@ def histograms(df: DataFrame, features: list[str], bins: int = 30, m: dict | Non
                           Q.round4("mean") + " AS mean", Q.round4("std") + " AS std")
 
 
+#: Terms of the expansion around a cell's centre. A value lies at most half a bandwidth from it, so a kernel (height 1) is off
+#: by less than 1.09 * sum over k >= 20 of 0.5 ** k / sqrt(k!) < 1e-15, far below the display rounding.
+KDE_TERMS = 20
+
+
+class GaussCells:
+    """Sums of Gaussian kernels of width ``h`` at the ``grid``, for any number of values.
+
+    Values fall into cells of one bandwidth; a cell keeps the ``KDE_TERMS`` moments of its values, and only cells meet the grid
+    (a truncated Hermite expansion), so the cost of a value does not depend on the points. Equal values of a batch are taken once."""
+
+    def __init__(self, grid: np.ndarray, h: float):
+        self.grid, self.h = grid, h
+        self.cells, self.moments = np.zeros(0), np.zeros((0, KDE_TERMS))
+
+    def add(self, x: np.ndarray) -> None:
+        x, count = np.unique(x, return_counts=True)
+        cell = np.floor((x - self.grid[0]) / self.h)
+        cells, at = np.unique(cell, return_inverse=True)
+        u = (x - self.grid[0] - (cell + 0.5) * self.h) / (math.sqrt(2) * self.h)
+        m = np.empty((len(cells), KDE_TERMS))
+        term = count.astype(np.float64)
+        for k in range(KDE_TERMS):  # u ** k / k!
+            m[:, k] = np.bincount(at, weights=term, minlength=len(cells))
+            term = term * u / (k + 1)
+        both, at = np.unique(np.concatenate([self.cells, cells]), return_inverse=True)
+        total = np.zeros((len(both), KDE_TERMS))
+        n = len(self.cells)
+        total[at[:n]] = self.moments  # cells are distinct on either side
+        total[at[n:]] += m
+        self.cells, self.moments = both, total
+
+    def sums(self) -> np.ndarray:
+        out = np.zeros(len(self.grid))
+        for s in range(0, len(self.cells), 512):
+            centre = self.grid[0] + (self.cells[s:s + 512, None] + 0.5) * self.h
+            t = (self.grid[None, :] - centre) / (math.sqrt(2) * self.h)
+            before, now = np.zeros_like(t), np.exp(-t * t)  # Hermite functions by their recurrence
+            for k in range(KDE_TERMS):
+                out += self.moments[s:s + 512, k] @ now
+                before, now = now, 2 * t * now - 2 * k * before
+        return out
+
+
 def _kde_multi_partials(grids: np.ndarray, hs: np.ndarray):
     k, points = grids.shape
 
     def run(batches):
         import pyarrow as pa
-        acc = np.zeros((k, points))
+        cells = [GaussCells(grids[j], hs[j]) for j in range(k)]
         for b in batches:
             for j in range(k):
                 x = b.column(j).to_numpy(zero_copy_only=False).astype(np.float64)
-                x = x[~np.isnan(x)]
-                for s in range(0, len(x), 4096):
-                    u = (grids[j][None, :] - x[s:s + 4096, None]) / hs[j]
-                    acc[j] += np.exp(-0.5 * u * u).sum(axis=0)
+                cells[j].add(x[~np.isnan(x)])
+        acc = np.array([c.sums() for c in cells])
         fi, pi = np.meshgrid(np.arange(k), np.arange(points), indexing="ij")
         yield pa.RecordBatch.from_arrays([pa.array(fi.ravel().astype(np.int32)), pa.array(pi.ravel().astype(np.int32)),
                                           pa.array(acc.ravel())], names=["f", "point", "k"])
@@ -373,8 +441,8 @@ def _kde_multi_partials(grids: np.ndarray, hs: np.ndarray):
 
 def kdes(df: DataFrame, features: list[str], points: int = 200, bins: int = 30, m: dict | None = None) -> DataFrame:
     """Gaussian KDE curves of several columns in ONE NumPy pass (A11 for the
-    top-variance features): each task folds its rows into k x ``points``
-    partial sums."""
+    top-variance features): each task folds its rows into cells (``GaussCells``) and
+    these into k x ``points`` partial sums."""
     spark = df.sparkSession
     m = m or moments(df, features)
     use = [f for f in features if m[f]["count"] and m[f]["std"]]

@@ -119,6 +119,15 @@ def q_lineitem_correlation(spark, sf):
     return P.correlation_matrix(lineitem_frame(spark, sf), LINEITEM_FEATURES + [LABEL])
 
 
+@query("sparse_correlation")
+def q_sparse_correlation(spark, sf):
+    """Pairwise-complete correlation of columns with nulls, one of them constant wherever another has a value."""
+    e = read_table(spark, sf, "events").selectExpr(
+        "value", "CAST(event_id AS DOUBLE) AS event_id", "CASE WHEN user_id % 3 = 0 THEN value * value END AS part",
+        "CASE WHEN user_id % 3 = 1 THEN CAST(user_id AS DOUBLE) WHEN user_id % 3 = 0 THEN 0.1D END AS flat", "CAST(NULL AS DOUBLE) AS none")
+    return P.correlation_matrix(e, e.columns)
+
+
 @query("outlier_profile")
 def q_outlier_profile(spark, sf):
     return P.outlier_profile(metrics_frame(spark, sf), FEATURES)

@@ -189,6 +189,14 @@ order by var_samp(value) desc nulls last, feature limit 10""", _f_long()),
                                    ") where feature_b = 'label' and feature_a <> 'label' and corr is not null "
                                    "order by abs(corr) desc, feature_a limit 10", LF_CTE, lf_long),
         "lineitem_correlation": "with " + LI_CTE.strip() + ",\n" + li_long_rid + "\n" + _corr("long_lir"),
+        "sparse_correlation": f"""with e as (select row_number() over () as rid, value, event_id::double as event_id, case when user_id % 3 = 0 then value * value end as part,
+    case when user_id % 3 = 1 then user_id::double when user_id % 3 = 0 then 0.1::double end as flat, null::double as none from events),
+  cols as (select unnest(['value', 'event_id', 'part', 'flat', 'none']) as c),
+  long as (unpivot (select rid, value, event_id, part, flat from e) on value, event_id, part, flat into name c value v),
+  pairs as (select a.c as feature_a, b.c as feature_b, covar_pop(a.v, b.v) as cov, stddev_pop(a.v) as sa, stddev_pop(b.v) as sb,
+    min(a.v) < max(a.v) and min(b.v) < max(b.v) as moves from long a join long b using (rid) group by 1, 2)
+select x.c as feature_a, y.c as feature_b, {r4('case when moves then cov / (sa * sb) end')} as corr
+from cols x cross join cols y left join pairs on feature_a = x.c and feature_b = y.c""",
         "outlier_profile": with_f(_outliers("long_f", "F"), _f_long(), _bounds("long_f")),
         "lineitem_outliers": "with " + LI_CTE.strip() + ",\n" + _li_long() + ",\n" + _bounds("long_li") + "\n"
                              + _outliers("long_li", "LI"),

@@ -105,3 +105,56 @@ def test_multi_column_histograms_and_kdes_equal_single(spark):
         sk = {r["point"]: r["density_count"] for r in P.kde(df, f).collect()}
         assert all(abs(mk[(f, p)] - v) < 1e-3 for p, v in sk.items())
     assert P.top_variance_features(df, ["a", "b"], 1) == ["a"] or P.top_variance_features(df, ["a", "b"], 1) == ["b"]
+
+
+def test_correlation_is_null_where_constant_on_common_rows(spark):
+    """Constant on the rows that have both, though not on the whole column; and no common row at all."""
+    rows = [(0.1, 1.0, None, None), (0.1, 2.0, 5.0, None), (0.1, 3.5, 6.0, None), (0.7, None, 7.0, 3.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(3)
+    got = {(r.feature_a, r.feature_b): r["corr"] for r in P.correlation_matrix(df, ["a", "b", "c", "d"]).collect()}
+    assert len(got) == 16 and got["a", "b"] is None and got["b", "a"] is None and got["b", "d"] is None and got["d", "d"] is None
+    assert got["a", "a"] == 1.0 and got["b", "c"] == 1.0 and got["a", "c"] == round(float(np.corrcoef([0.1, 0.1, 0.7], [5, 6, 7])[0, 1]), 4)
+
+
+def test_co_moments_merge_like_one_batch():
+    """Large means and missing cells: merged states equal NumPy on the rows that have both."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(5000, 4)) * [1, 1e-3, 50, 1] + [1e9, 1, -7, 0]
+    x[:, 3] += x[:, 2] / 40
+    x[rng.random(x.shape) < 0.3] = np.nan
+    t = P.CoMoments(4)
+    for part in np.array_split(x, [1, 10, 800, 801, 3000]):
+        t.merge(P.CoMoments.of(part))
+    for i in range(4):
+        for j in range(4):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            a, b = x[both, i], x[both, j]
+            assert t.n[i, j] == both.sum() and t.lo[i, j] == a.min() and t.hi[i, j] == a.max()
+            np.testing.assert_allclose(t.mean[i, j], a.mean(), rtol=1e-13)
+            np.testing.assert_allclose(t.c[i, j], ((a - a.mean()) * (b - b.mean())).sum(), rtol=1e-6, atol=1e-3)
+            np.testing.assert_allclose(t.m2[i, j], ((a - a.mean()) ** 2).sum(), rtol=1e-6)
+
+
+def test_one_scan_for_all_pairs(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+    df = spark.range(5000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b")
+    assert len(P.correlation_matrix(df.mapInPandas(count, df.schema), ["a", "b"]).collect()) == 4 and seen.value == 5000
+
+
+@pytest.mark.parametrize("kind", ["normal", "integers", "heavy"])
+def test_gauss_cells_equal_direct_sums(kind):
+    rng = np.random.default_rng(1)
+    x = {"normal": rng.normal(5, 2, 4000), "integers": rng.integers(0, 30, 4000).astype(float), "heavy": np.exp(rng.normal(0, 3, 4000))}[kind]
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 200)
+    cells = P.GaussCells(grid, h)
+    for part in np.array_split(x, 7):
+        cells.add(part)
+    cells.add(np.zeros(0))
+    want = np.exp(-0.5 * ((grid[:, None] - x[None, :]) / h) ** 2).sum(1)
+    np.testing.assert_allclose(cells.sums(), want, atol=len(x) * 2e-15, rtol=1e-11)
