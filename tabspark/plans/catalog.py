@@ -554,6 +554,26 @@ def q_rejected_requests(spark, sf):
     return RQ.rejected_requests(d, "payload", "inputs").select("doc_id", "reason")
 
 
+def _mixed_payloads(spark, sf):
+    """Requests of the metric table, named and positional ones in turn, some with numbers as text, some broken."""
+    f = prepared_metrics(spark, sf)
+    named = RQ.features_to_samples(f, _request_key()).withColumnRenamed("payload", "named")
+    listed = RQ.features_to_inputs(f, _request_key()).withColumnRenamed("payload", "listed")
+    loc = "regexp_replace({}, '\"loc\":([0-9.]+)', '\"loc\":{}')"
+    return named.join(listed, "request_id").withColumn("payload", F.expr(f"""CASE WHEN request_id % 7 = 3 THEN left(named, 50)
+      WHEN request_id % 11 = 5 THEN {loc.format('named', '"many"')} WHEN request_id % 13 = 6 THEN replace(listed, ']]', ',1.0]]')
+      WHEN request_id % 17 = 8 THEN '{{"samples":[]}}' WHEN request_id % 3 = 0 THEN named WHEN request_id % 3 = 1 THEN listed
+      ELSE {loc.format('named', '"$1"')} END""")).select("request_id", "payload")
+
+
+@query("mixed_requests")
+def q_mixed_requests(spark, sf):
+    """Every request of a mixed stream: a row per sample of those that are scored, a row with the reason of each other."""
+    payloads = _mixed_payloads(spark, sf)
+    rows = _round_features(RQ.request_rows(payloads, "payload", ["request_id"]), ["request_id", "CAST(NULL AS STRING) AS reason"])
+    return rows.unionByName(RQ.refused_requests(payloads, "payload").select("request_id", "reason"), allowMissingColumns=True)
+
+
 @query("align_features")
 def q_align_features(spark, sf):
     """Alias names and two absent features (e, t) aligned to the model order."""

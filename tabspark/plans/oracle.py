@@ -493,6 +493,11 @@ def io_sql() -> dict[str, str]:
         "request_explode": with_f(f"select cast(floor(id / 4) as bigint) as request_id, id, {rnd} from F"),
         "request_inputs": with_f(f"""select cast(floor(id / 4) as bigint) as request_id,
   cast(row_number() over (partition by floor(id / 4) order by id) - 1 as int) as pos, true as width_ok, {rnd} from F"""),
+        "mixed_requests": with_f(f"""select request_id, null::varchar as reason, {', '.join(q(c) for c in FEATURES)} from (
+  select cast(floor(id / 4) as bigint) as request_id, {rnd} from F) join why using (request_id) where reason is null
+union all select request_id, reason, {', '.join('null' for _ in FEATURES)} from why where reason is not null""",
+                                 """why as (select r as request_id, case when r % 7 = 3 then 'malformed' when r % 11 = 5 then 'type' when r % 13 = 6 then 'width'
+  when r % 17 = 8 then 'empty' end as reason from (select distinct cast(floor(id / 4) as bigint) as r from F))"""),
         "rejected_targets": """select l_returnflag as defects, cast(count(*) as bigint) as n_rows from lineitem
 where l_returnflag not in ('R', 'A') group by 1""",
         "rejected_requests": """select doc_id, reason from (select doc_id, case n_chars % 5 when 1 then 'empty' when 2 then 'malformed'

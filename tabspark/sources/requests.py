@@ -5,6 +5,10 @@ Two payload shapes are accepted, as in the scoring API:
 * positional rows: ``{"inputs": [[21 numbers], ...]}``
 Both become one row per sample via ``posexplode``; names are aligned to the
 model order with missing features → 0.0 (P6) and widths are checked (P7).
+
+``request_rows`` and ``refused_requests`` read a stream of both shapes as VARIANT, each
+payload by what it holds; together they keep every request. The other
+functions read one shape, named by ``kind``, with a fixed schema.
 """
 
 from __future__ import annotations
@@ -96,3 +100,56 @@ def features_to_inputs(df: DataFrame, request_key, features=FEATURES, id_col: st
     return (df.groupBy(request_key.alias("request_id"))
             .agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct(col(id_col).alias("k"), arr.alias("a")))),
                                                 lambda s: s["a"]).alias("inputs"))).alias("payload")))
+
+
+# ------------------------------------------------------------------ both shapes as VARIANT
+def _path(name: str) -> str:
+    return Q.str_lit(f'$["{name}"]')
+
+
+def _named_value(item: str, name: str) -> tuple[str, str]:
+    """SQL: the value under ``name`` or its alias in a variant (0.0 when absent or null), and whether
+    there is one of a type that is no number."""
+    alias = {v: k for k, v in ALIASES.items()}.get(name)
+    paths = [_path(n) for n in (name, alias) if n]
+    value = "coalesce(" + ", ".join(f"try_variant_get({item}, {p}, 'double')" for p in paths) + ", 0.0D)"
+    stray = " OR ".join(f"(variant_get({item}, {p}, 'variant') IS NOT NULL AND NOT is_variant_null(variant_get({item}, {p}, 'variant')) "
+                        f"AND try_variant_get({item}, {p}, 'double') IS NULL)" for p in paths)
+    return value, f"({stray})"
+
+
+def _read_requests(df: DataFrame, payload: str, features) -> DataFrame:
+    """``df`` plus ``__reason`` (null: scored) and ``__samples``: (sample_id, values) of each sample.
+
+    A number may be written as a string, as in the scoring API; other strings, objects and lists are of the wrong
+    type. Reasons, the first that holds: ``malformed`` (null, no JSON, neither shape or both, or a sample that is no
+    object or list), ``empty`` (no sample), ``width`` (a list without one value per feature), ``type``."""
+    named = [_named_value("x", f) for f in features]
+    one = (f"CASE WHEN __named THEN named_struct('id', try_variant_get(x, '$.id', 'bigint'), 'values', array({', '.join(v for v, _ in named)}), "
+           f"'shape', try_variant_get(x, '$', 'map<string,variant>') IS NOT NULL, 'width', true, 'type', NOT ({' OR '.join(s for _, s in named)})) "
+           "ELSE transform(array(try_variant_get(x, '$', 'array<variant>')), a -> named_struct('id', CAST(NULL AS BIGINT), "
+           "'values', transform(a, e -> try_variant_get(e, '$', 'double')), 'shape', a IS NOT NULL, "
+           f"'width', size(a) = {len(features)}, 'type', forall(a, e -> try_variant_get(e, '$', 'double') IS NOT NULL)))[0] END")
+    d = df.withColumn("__v", F.try_parse_json(F.col(payload)))
+    d = d.withColumn("__s", F.expr("try_variant_get(__v, '$.samples', 'array<variant>')")).withColumn(
+        "__i", F.expr("try_variant_get(__v, '$.inputs', 'array<variant>')"))
+    d = d.withColumn("__named", F.expr("__s IS NOT NULL")).withColumn("__samples", F.expr(f"transform(coalesce(__s, __i), x -> {one})"))
+    reason = ("CASE WHEN (__s IS NULL) = (__i IS NULL) OR exists(__samples, x -> NOT x.shape) THEN 'malformed' "
+              "WHEN size(__samples) = 0 THEN 'empty' WHEN exists(__samples, x -> NOT x.width) THEN 'width' "
+              "WHEN exists(__samples, x -> NOT x.type) THEN 'type' END")
+    return d.withColumn("__reason", F.expr(reason)).drop("__v", "__s", "__i", "__named")
+
+
+def request_rows(df: DataFrame, payload: str, keep: list[str] | None = None, features=FEATURES) -> DataFrame:
+    """One row per sample of the requests that are scored, of either shape: ``keep``, ``pos``, features, ``sample_id``."""
+    keep = keep or []
+    d = _read_requests(df, payload, features).where("__reason IS NULL")
+    d = d.select(*[col(k) for k in keep], F.posexplode("__samples").alias("pos", "__x"))
+    return d.selectExpr(*[Q.ident(k) for k in keep], "pos", *[f"__x.values[{i}] AS {Q.ident(f)}" for i, f in enumerate(features)],
+                        "__x.id AS sample_id")
+
+
+def refused_requests(df: DataFrame, payload: str, features=FEATURES) -> DataFrame:
+    """The requests that ``request_rows`` leaves out, as they came, with their ``reason``."""
+    d = _read_requests(df, payload, features).where("__reason IS NOT NULL")
+    return d.drop("__samples").withColumnRenamed("__reason", "reason")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tabspark.sources.requests import accepted_requests, inputs_to_features, rejected_requests, samples_to_features
+from tabspark.sources.requests import refused_requests, request_rows
 
 REQUEST_SCHEMA = T.StructType([T.StructField("request_id", T.LongType()), T.StructField("payload", T.StringType())])
 
@@ -43,17 +43,15 @@ def _requests(spark: SparkSession, source_dir: str, max_files_per_trigger: int |
 
 
 def stream_requests(spark: SparkSession, source_dir: str, scorer, sink_dir: str, checkpoint: str,
-                    kind: str = "samples", max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
-    """Score JSON request payload files as they arrive (ST2); requests that are malformed or of a
-    wrong width are not scored (``stream_rejected`` keeps them)."""
-    raw = accepted_requests(_requests(spark, source_dir, max_files_per_trigger), "payload", kind)
-    rows = (samples_to_features(raw, "payload", ["request_id"]) if kind == "samples"
-            else inputs_to_features(raw, "payload", ["request_id"]))
-    return _sink(scorer.transform(rows), sink_dir, checkpoint, **kw)
+                    max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
+    """Score JSON request payload files as they arrive (ST2), named and positional ones in one stream; requests that
+    are malformed, empty, of a wrong width or type are not scored (``stream_rejected`` keeps them)."""
+    raw = _requests(spark, source_dir, max_files_per_trigger)
+    return _sink(scorer.transform(request_rows(raw, "payload", ["request_id"])), sink_dir, checkpoint, **kw)
 
 
 def stream_rejected(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                    kind: str = "samples", max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
+                    max_files_per_trigger: int | None = None, **kw) -> StreamingQuery:
     """The requests that ``stream_requests`` does not score, with their reason, in a sink of their own."""
     raw = _requests(spark, source_dir, max_files_per_trigger)
-    return _sink(rejected_requests(raw, "payload", kind), sink_dir, checkpoint, **kw)
+    return _sink(refused_requests(raw, "payload"), sink_dir, checkpoint, **kw)
