@@ -26,7 +26,7 @@ from tabspark.operators import profiling as P
 from tabspark.operators.metrics import evaluation, prediction_summary
 from tabspark.operators.mlp import MlpClassifier, MlpModel, PreprocessScorer
 from tabspark.operators.mlp_math import MlpParams
-from tabspark.operators.prepare import align_features, normalize_target, prepare, rejected_targets
+from tabspark.operators.prepare import align_features, normalize_target, prepare
 from tabspark.operators.scale import ScalerModel, fit_scaler
 from tabspark.operators.split import stratified_split
 from tabspark.schema import FEATURES, ID, LABEL, TARGET, col
@@ -34,40 +34,47 @@ from tabspark.session import path_glob
 from tabspark.sources import files as IO
 
 
-def _read_any(spark: SparkSession, path: str, fallback_glob: str | None = None, fmt: str | None = None) -> DataFrame:
+def _read_any(spark: SparkSession, path: str, fallback_glob: str | None = None, fmt: str | None = None,
+              keep_corrupt: bool = False) -> DataFrame:
     """``fmt`` is csv or parquet; unset, a path that ends in ``.parquet`` or holds such files is parquet."""
     if fmt is None:
         fmt = "parquet" if path.endswith(".parquet") or path_glob(spark, f"{path}/*.parquet") else "csv"
     if fmt == "parquet":
         return spark.read.parquet(path)
-    return IO.read_metrics(spark, path, fallback_glob=fallback_glob)
+    return IO.read_metrics(spark, path, fallback_glob=fallback_glob, keep_corrupt=keep_corrupt)
 
 
 def prepare_data(spark: SparkSession, raw_path: str, out_dir: str, test_size: float = 0.2,
                  val_size: float = 0.1, seed: int = 42, fallback_glob: str | None = None,
                  fmt: str | None = None) -> dict:
-    raw = _read_any(spark, raw_path, fallback_glob, fmt)
+    """Raw copy, info, splits, scaler and metadata. Nothing is lost on the way: ``rows`` = ``kept`` + ``rejected`` (a target that
+    does not map, in ``rejected_targets``) + ``corrupt`` (rows that do not parse, in ``corrupt_rows`` with their text), counted while
+    the copy is written."""
+    raw = _read_any(spark, raw_path, fallback_glob, fmt, keep_corrupt=True)
     if ID not in raw.columns:  # fixed by the written copy, which all later passes read
         raw = raw.withColumn(ID, F.monotonically_increasing_id())
-    IO.write_table(raw, f"{out_dir}/raw")
-    raw = spark.read.parquet(f"{out_dir}/raw")  # later passes read the written copy
+    n = IO.write_counted(raw, f"{out_dir}/raw")
+    raw = IO.read_status(spark, f"{out_dir}/raw", IO.KEPT, IO.UNMAPPED)  # later passes read the written copy
+    counts = {"rows": n["read"], "kept": n[IO.KEPT], "rejected": n[IO.UNMAPPED], "corrupt": n[IO.CORRUPTED]}
+    if IO.CORRUPT in raw.columns:
+        IO.write_table(IO.read_status(spark, f"{out_dir}/raw", IO.CORRUPTED), f"{out_dir}/corrupt_rows")
+        raw = raw.drop(IO.CORRUPT)
     info = P.table_info(raw)
     info.coalesce(1).write.mode("overwrite").json(f"{out_dir}/data_info")
     if TARGET not in raw.columns:
         IO.write_table(IO.unlabelled_features(raw), f"{out_dir}/test_features")
-        return {"labelled": False, "rows": raw.count()}
+        return {"labelled": False, **counts}
     audit = [r.asDict() for r in P.target_distribution(raw, TARGET).collect()]
-    IO.write_table(rejected_targets(raw), f"{out_dir}/rejected_targets")
-    rejected = spark.read.parquet(f"{out_dir}/rejected_targets").count()
-    prepared = prepare(raw)
+    IO.write_table(IO.read_status(spark, f"{out_dir}/raw", IO.UNMAPPED).select(raw.columns), f"{out_dir}/rejected_targets")
+    prepared = prepare(IO.read_status(spark, f"{out_dir}/raw", IO.KEPT))
     split = stratified_split(prepared, LABEL, ID, test_size, val_size, seed)
     IO.write_splits(split, f"{out_dir}/splits")
     splits = spark.read.parquet(f"{out_dir}/splits")
     scaler = fit_scaler(splits.where(F.col("split") == "train"), FEATURES)
     scaler.write(spark, f"{out_dir}/scaler")
     meta = IO.write_split_metadata(splits, f"{out_dir}/metadata")
-    counts = {r["split"]: int(r["n_samples"]) for r in meta.collect()}
-    return {"labelled": True, "rows": raw.count(), "rejected": rejected, "splits": counts, "target": audit, "test_size": test_size, "val_size": val_size}
+    splits_n = {r["split"]: int(r["n_samples"]) for r in meta.collect()}
+    return {"labelled": True, **counts, "splits": splits_n, "target": audit, "test_size": test_size, "val_size": val_size}
 
 
 def train_model(spark: SparkSession, data_dir: str, model_dir: str, params: MlpParams | None = None,

@@ -594,6 +594,21 @@ def q_eda_report(spark, sf):
     return P.eda_report(labelled_metrics(spark, sf), FEATURES, LABEL)
 
 
+@query("counted_write")
+def q_counted_write(spark, sf):
+    """Rows by what the raw copy makes of them, counted while it is written, and as they are in the copy: lineitem as CSV
+    text with cells that are no numbers and flags that do not map."""
+    li = read_table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS id", "CASE WHEN l_linenumber = 7 THEN 'seven' ELSE CAST(l_quantity AS STRING) END AS loc",
+        "CASE l_returnflag WHEN 'R' THEN 'TRUE' WHEN 'A' THEN 'False' ELSE l_returnflag END AS defects")
+    src, out = scratch_path(spark, "counted-csv"), scratch_path(spark, "counted")
+    IO.write_metrics_csv(li, src)
+    n = IO.write_counted(IO.read_metrics(spark, src, keep_corrupt=True), out)
+    counted = spark.createDataFrame(sorted(n.items()), "status string, counted bigint").where("status != 'read'")
+    there = spark.read.parquet(out).groupBy(IO.STATUS).agg(F.count(F.lit(1)).cast("bigint").alias("written"), F.sum("id").cast("bigint").alias("id_sum"))
+    return counted.join(there, IO.STATUS)
+
+
 @query("csv_roundtrip")
 def q_csv_roundtrip(spark, sf):
     """Metric table written as CSV and read back with the explicit schema."""

@@ -498,6 +498,8 @@ def io_sql() -> dict[str, str]:
 union all select request_id, reason, {', '.join('null' for _ in FEATURES)} from why where reason is not null""",
                                  """why as (select r as request_id, case when r % 7 = 3 then 'malformed' when r % 11 = 5 then 'type' when r % 13 = 6 then 'width'
   when r % 17 = 8 then 'empty' end as reason from (select distinct cast(floor(id / 4) as bigint) as r from F))"""),
+        "counted_write": """select status, cast(count(*) as bigint) as counted, cast(count(*) as bigint) as written, cast(sum(l_orderkey) as bigint) as id_sum
+from (select l_orderkey, case when l_linenumber = 7 then 'corrupt' when l_returnflag in ('R', 'A') then 'kept' else 'unmapped' end as status from lineitem) group by 1""",
         "rejected_targets": """select l_returnflag as defects, cast(count(*) as bigint) as n_rows from lineitem
 where l_returnflag not in ('R', 'A') group by 1""",
         "rejected_requests": """select doc_id, reason from (select doc_id, case n_chars % 5 when 1 then 'empty' when 2 then 'malformed'

@@ -21,7 +21,8 @@ def read_metrics(spark: SparkSession, path: str, schema=DEFECT_SCHEMA, fallback_
     as ``v_g`` the type of ``v(g)``, anything else stays a string).
     ``path`` may be a file or folder; if it does not exist, the first match of
     ``fallback_glob`` is used (S2); no match raises ``FileNotFoundError``.
-    Unparseable rows are kept in ``_corrupt_record`` (PERMISSIVE) when asked.
+    With ``keep_corrupt`` (as the prepare job reads) a row with a cell that its type cannot hold, or with too few
+    or too many cells, keeps its text in ``_corrupt_record``, null for the others; else such cells are null.
     """
     from pyspark.sql import types as T
 
@@ -56,6 +57,36 @@ def write_metrics_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+#: Where a row of a raw table goes: kept, or set aside as corrupt or with a target that does not map.
+KEPT, CORRUPTED, UNMAPPED = "kept", "corrupt", "unmapped"
+STATUS = "status"
+
+
+def write_counted(df: DataFrame, path: str, target: str = TARGET) -> dict[str, int]:
+    """Raw copy sink (S4) that sorts rows by what can be done with them, and counts them in the same write: parquet
+    partitioned by ``STATUS``. Returns ``read`` and the rows of each status; read = kept + corrupt + unmapped.
+
+    The counts are observed metrics of the writing tasks, so no second scan is needed. Without a target column every
+    row that is not corrupt is kept."""
+    from pyspark.sql import Observation
+
+    from tabspark.operators.prepare import normalize_target
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    status = F.when(bad, CORRUPTED)
+    if target in df.columns:
+        status = status.when(normalize_target(F.col(target)).isNull(), UNMAPPED)
+    d = df.withColumn(STATUS, status.otherwise(KEPT))
+    seen = Observation()
+    every = [F.count(F.lit(1)).alias("read"), *[F.count_if(F.col(STATUS) == s).alias(s) for s in (KEPT, CORRUPTED, UNMAPPED)]]
+    d.observe(seen, *every).write.mode("overwrite").partitionBy(STATUS).parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def read_status(spark: SparkSession, path: str, *statuses: str) -> DataFrame:
+    """The rows of these statuses of a table that ``write_counted`` wrote (other folders are pruned), without the status."""
+    return spark.read.parquet(path).where(F.col(STATUS).isin(list(statuses))).drop(STATUS)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Raw copy sink."""
     df.write.mode(mode).parquet(path)
