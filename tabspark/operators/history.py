@@ -104,11 +104,14 @@ def prune_trials(history: DataFrame, mode: str = "max", warmup: int = 0, order_c
     """Median pruning (W5): a trial is pruned at the first step whose best-so-far
     is worse than the median of all trials' values reported at that step.
 
-    Per-step medians are exact grouped quantiles, one plan for steps of any size."""
+    Per-step medians are exact grouped quantiles, one plan for steps of any size, and are attached to the
+    rows without gathering a step (``operators.skew``): every run has a first step."""
     from tabspark.operators.quantiles import grouped_quantiles
+    from tabspark.operators.skew import attach
     b = best_so_far(history, mode, order_cols)
     med = grouped_quantiles(b, ["epoch"], "value", [0.5]).select("epoch", F.col("q0").alias("step_median"))
-    j = b.join(med, "epoch")
+    rows = b.groupBy("epoch").agg(F.count(F.lit(1)).alias("__rows"))
+    j = attach(b, med.join(rows, "epoch").checkpoint(eager=True), ["epoch"], "__rows", ["run_id"])
     worse = (F.col("best_so_far") < F.col("step_median")) if mode == "max" else (F.col("best_so_far") > F.col("step_median"))
     fired = F.when(worse & (F.col("epoch") > warmup), F.col("epoch"))
     agg = j.groupBy("run_id").agg(F.min(fired).alias("__p"), F.max("epoch").alias("__last"))

@@ -305,13 +305,13 @@ def grouped_quantiles(df: DataFrame, key_cols: list[str], value_col: str, probs:
     group spans many tasks, and nothing comes to the driver.
     """
     from tabspark.operators.scan import Spec, ordered_scan
+    from tabspark.operators.skew import attach
     clean = df.select(*key_cols, F.col(value_col).cast("double").alias(VALUE))
     clean = clean.where(F.col(VALUE).isNotNull() & ~F.isnan(VALUE))
     counts = clean.groupBy(*key_cols, VALUE).agg(F.count(F.lit(1)).alias("__c"))
     d = ordered_scan(counts, key_cols, [VALUE], [Spec("__below", "cumsum_excl", "__c")])
-    n = d.groupBy(*key_cols).agg(F.sum("__c").alias("__n")).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(key_cols)], "__n")
-    d = d.join(n, [d[k].eqNullSafe(n[f"__k{i}"]) for i, k in enumerate(key_cols)])
+    n = d.groupBy(*key_cols).agg(F.sum("__c").alias("__n"), F.count(F.lit(1)).alias("__rows")).checkpoint(eager=True)  # a row a group
+    d = attach(d, n, key_cols, "__rows", [VALUE])
     picked, out = [], []
     for i, p in enumerate(probs):
         pos = f"({float(p)!r}D * (__n - 1))"
