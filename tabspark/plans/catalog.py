@@ -26,7 +26,7 @@ from tabspark.operators.mlp_math import MlpParams
 from tabspark.operators.prepare import align_features, features_array, prepare, rejected_targets, target_audit, width_check
 from tabspark.operators.scale import IdentityScaler, fit_scaler
 from tabspark.operators.tuning import tune
-from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, labelled_metrics, lineitem_frame,
+from tabspark.plans.frames import (FEATURES, LINEITEM_FEATURES, all_metrics, labelled_metrics, lineitem_frame,
                                    metrics_frame)
 from tabspark.schema import DEFECT_SCHEMA, LABEL, TARGET, col
 from tabspark.session import checkpoint_dir, scratch_path, ship_package
@@ -76,7 +76,8 @@ def q_variance_profile(spark, sf):
 
 @query("missing_profile")
 def q_missing_profile(spark, sf):
-    return P.missing_profile(metrics_frame(spark, sf))
+    """Of all documents: those without a label miss their target."""
+    return P.missing_profile(all_metrics(spark, sf))
 
 
 @query("describe_numeric")
@@ -212,6 +213,11 @@ def prepared_metrics(spark, sf):
     return prepare(metrics_frame(spark, sf))
 
 
+def unlabelled_metrics(spark, sf):
+    """Features of every document, for work that needs no label."""
+    return prepare(all_metrics(spark, sf))
+
+
 def split_metrics(spark, sf):
     return S.stratified_split(prepared_metrics(spark, sf), LABEL, "id", 0.2, 0.1, 42)
 
@@ -412,13 +418,13 @@ def _scored_view(df):
 def q_mlp_score(spark, sf):
     """Fixed-weight model on raw features, scaler stage pass-through."""
     pipe = ML.PreprocessScorer(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
-    return _scored_view(pipe.transform(prepared_metrics(spark, sf)))
+    return _scored_view(pipe.transform(unlabelled_metrics(spark, sf)))
 
 
 @query("mlp_logits")
 def q_mlp_logits(spark, sf):
     m = ML.fixed_model(FEATURES)
-    out = m.transform(prepared_metrics(spark, sf), output="logits")
+    out = m.transform(unlabelled_metrics(spark, sf), output="logits")
     return out.select("id", round4(F.element_at("logits", 1)).alias("logit_0"),
                       round4(F.element_at("logits", 2)).alias("logit_1"))
 
@@ -522,7 +528,7 @@ def _round_features(df, extra=()):
 @query("request_explode")
 def q_request_explode(spark, sf):
     """Named-sample JSON payloads (aliases v_g/ev_g/iv_g) → one feature row per sample."""
-    payloads = RQ.features_to_samples(prepared_metrics(spark, sf), _request_key())
+    payloads = RQ.features_to_samples(unlabelled_metrics(spark, sf), _request_key())
     rows = RQ.samples_to_features(payloads, "payload", ["request_id"])
     return _round_features(rows, ["request_id", "sample_id AS id"])
 
@@ -530,7 +536,7 @@ def q_request_explode(spark, sf):
 @query("request_inputs")
 def q_request_inputs(spark, sf):
     """Positional JSON payloads → feature rows with a width check."""
-    payloads = RQ.features_to_inputs(prepared_metrics(spark, sf), _request_key())
+    payloads = RQ.features_to_inputs(unlabelled_metrics(spark, sf), _request_key())
     rows = RQ.inputs_to_features(payloads, "payload", ["request_id"])
     return _round_features(rows, ["request_id", "CAST(pos AS INT) AS pos", "width_ok"])
 
@@ -556,7 +562,7 @@ def q_rejected_requests(spark, sf):
 
 def _mixed_payloads(spark, sf):
     """Requests of the metric table, named and positional ones in turn, some with numbers as text, some broken."""
-    f = prepared_metrics(spark, sf)
+    f = unlabelled_metrics(spark, sf)
     named = RQ.features_to_samples(f, _request_key()).withColumnRenamed("payload", "named")
     listed = RQ.features_to_inputs(f, _request_key()).withColumnRenamed("payload", "listed")
     loc = "regexp_replace({}, '\"loc\":([0-9.]+)', '\"loc\":{}')"
@@ -577,7 +583,7 @@ def q_mixed_requests(spark, sf):
 @query("align_features")
 def q_align_features(spark, sf):
     """Alias names and two absent features (e, t) aligned to the model order."""
-    f = metrics_frame(spark, sf).withColumnsRenamed({"v(g)": "v_g", "iv(g)": "iv_g"}).drop("e", "t")
+    f = all_metrics(spark, sf).withColumnsRenamed({"v(g)": "v_g", "iv(g)": "iv_g"}).drop("e", "t")
     return _round_features(align_features(f), ["id"])
 
 
@@ -613,7 +619,7 @@ def q_counted_write(spark, sf):
 def q_csv_roundtrip(spark, sf):
     """Metric table written as CSV and read back with the explicit schema."""
     path = scratch_path(spark, "metrics-csv")
-    IO.write_metrics_csv(metrics_frame(spark, sf), path)
+    IO.write_metrics_csv(all_metrics(spark, sf), path)
     back = IO.read_metrics(spark, path, DEFECT_SCHEMA)
     return _round_features(back, ["id", Q.ident(TARGET)])
 
@@ -637,7 +643,7 @@ def _shards(spark, df, name, n_files=4):
 @query("stream_score")
 def q_stream_score(spark, sf):
     """Feature files scored by a streaming query (availableNow); equals mlp_score."""
-    src = prepared_metrics(spark, sf)
+    src = unlabelled_metrics(spark, sf)
     path = _shards(spark, src, "stream-src")
     sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
     pipe = ML.PreprocessScorer(IdentityScaler(FEATURES), ML.fixed_model(FEATURES))
@@ -649,7 +655,7 @@ def q_stream_score(spark, sf):
 @query("stream_requests")
 def q_stream_requests(spark, sf):
     """JSON request files scored by a streaming query; equals mlp_score."""
-    payloads = RQ.features_to_samples(prepared_metrics(spark, sf), _request_key())
+    payloads = RQ.features_to_samples(unlabelled_metrics(spark, sf), _request_key())
     path = scratch_path(spark, "stream-req")
     payloads.repartition(4).write.mode("overwrite").json(path)
     sink, ckpt = scratch_path(spark, "stream-req-sink"), scratch_path(spark, "stream-req-ckpt")

@@ -12,11 +12,11 @@ from tabspark.schema import FEATURES, INT_FEATURES
 # Stand-in metric table F (documents ⋈ labels), DuckDB dialect.
 F_CTE = r"""
 f_t as (
-  select d.doc_id as id, d.text as text, l.quality as quality,
+  select d.doc_id as id, d.text as text, l.quality as quality, l.doc_id as lab,
          list_filter(string_split(replace(d.text, chr(10), ' '), ' '), lambda x: x <> '') as w
   from documents d join labels l on d.doc_id = l.doc_id),
 f_m as (
-  select id, quality,
+  select id, quality, lab,
     cast((length(text)-length(replace(text,chr(10),''))) + 1 as double) as loc,
     cast((length(text)-length(replace(text,'.',''))) + 1 as double) as vg,
     cast((length(text)-length(replace(text,'?',''))) + 1 as double) as evg,
@@ -44,7 +44,7 @@ F as (
     d * v as e, v / 3000 as b, d * v / 18 as t,
     cast(loc as bigint) - lOBlank - lOComment as lOCode, lOComment, lOBlank, locCodeAndComment,
     uniq_Op, uniq_Opnd, total_Op, total_Opnd, branchCount,
-    case when quality = 0 then 'TRUE' else 'FALSE' end as defects
+    case when quality = 0 then 'TRUE' when lab is not null then 'FALSE' end as defects
   from f_h)
 """
 
@@ -532,6 +532,11 @@ from sp where split = 'test' group by label""", LF_CTE, prep, sp),
     }
 
 
+#: Queries that need no label, and so take F over every document.
+OF_ALL_DOCUMENTS = ("missing_profile", "mlp_score", "mlp_logits", "stream_score", "stream_requests", "request_explode", "request_inputs",
+                    "mixed_requests", "align_features", "csv_roundtrip")
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(profile_sql())
@@ -539,4 +544,6 @@ def all_sql() -> dict[str, str]:
     out.update(metrics_sql())
     out.update(mlp_sql())
     out.update(io_sql())
+    for name in OF_ALL_DOCUMENTS:
+        out[name] = out[name].replace("from documents d join labels l", "from documents d left join labels l")
     return out

@@ -1,6 +1,6 @@
 """Stand-in metric table ``F``: 21 code-style metrics derived from ``documents``
-joined to ``labels`` (one row per labelled document, ``defects`` = 'TRUE' when
-quality = 0). Pure column expressions: the work is one broadcast/shuffle join
+joined to ``labels`` (``defects`` = 'TRUE' when quality = 0; F has the labelled
+documents, and work that needs no label takes all). Pure column expressions: the work is one broadcast/shuffle join
 plus per-row string functions, all inside whole-stage codegen.
 """
 
@@ -26,15 +26,15 @@ OPERATOR_CHARS = [",", ".", ";", ":", "|", "-"]
 
 
 def metric_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """documents ⋈ labels → id, 21 metrics, defects."""
+    """documents and their labels → id, 21 metrics, defects (null without a label)."""
     d = docs.select("doc_id", "text")
-    lab = labels.select("doc_id", "quality")
-    t = d.join(lab, "doc_id")
+    lab = labels.select("doc_id", "quality", F.lit(True).alias("labelled"))
+    t = d.join(lab, "doc_id", "left")
     text = F.col("text")
     words = F.filter(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), lambda x: x != "")
     m = t.select(
         F.col("doc_id").alias("id"),
-        F.col("quality"),
+        F.col("quality"), F.col("labelled"),
         (_occurrences(text, "\n") + 1).cast("double").alias("loc"),
         (_occurrences(text, ".") + 1).cast("double").alias("vg"),
         (_occurrences(text, "?") + 1).cast("double").alias("evg"),
@@ -66,9 +66,15 @@ def metric_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
         (F.col("loc").cast("bigint") - F.col("lOBlank") - F.col("lOComment")).alias("lOCode"),
         "lOComment", "lOBlank", "locCodeAndComment",
         "uniq_Op", "uniq_Opnd", "total_Op", "total_Opnd", "branchCount",
-        F.when(F.col("quality") == 0, "TRUE").otherwise("FALSE").alias("defects"),
+        F.when(F.col("quality") == 0, "TRUE").when(F.col("labelled"), "FALSE").alias("defects"),
     )
 
 
-def read_metrics_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_all_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document; ``defects`` is null where it has no label."""
     return metric_table(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def read_metrics_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per labelled document."""
+    return read_all_metrics(spark, sf_dir).where("defects IS NOT NULL")
