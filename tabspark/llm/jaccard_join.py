@@ -188,14 +188,15 @@ def _judge(batches):
 
 def components(edges: DataFrame) -> DataFrame:
     """(key, root) for the nodes of ``edges`` (a, b): large-star and small-star steps, each written,
-    until nothing changes.  Every node's step is an aggregate and a join, so a hot node is no group."""
+    until nothing changes.  A node's least neighbour is an aggregate, written, so that the join that takes it to the node's
+    edges has plain shuffles on both sides, which Spark splits where a node has very many edges."""
     e = C.written(edges.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").where("a != b").distinct(), "links")
     while True:
         both = e.unionByName(e.selectExpr("b AS a", "a AS b"))
-        low = both.groupBy("a").agg(F.expr("least(min(b), a)").alias("m"))
+        low = C.written(both.groupBy("a").agg(F.expr("least(min(b), a)").alias("m")), "links")
         big = both.join(low, "a").where("b > a").selectExpr("m AS a", "b")  # larger neighbours to the smallest one
         big = C.written(big.where("a != b").distinct(), "links")
-        low = big.groupBy("b").agg(F.min("a").alias("m"))
+        low = C.written(big.groupBy("b").agg(F.min("a").alias("m")), "links")
         small = big.join(low, "b").selectExpr("m AS a", "a AS b").unionByName(low.selectExpr("m AS a", "b"))
         small = C.written(small.where("a != b").distinct(), "links")
         if not small.exceptAll(e).limit(1).count() and not e.exceptAll(small).limit(1).count():
@@ -229,7 +230,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     leaves = None
     for v in range(LEVELS):
         at = at.withColumn("bucket", F.expr(f"p[{v}]"))
-        count = at.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+        count = C.written(at.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"), "join-counts")  # a plain side for the join: hot buckets are split
         at = C.written(at.join(count, "bucket"), "join-buckets")
         small = at.where(f"c <= {SMALL}") if v < LEVELS - 1 else at
         small = small.select("key", "r", "bucket", "c")
