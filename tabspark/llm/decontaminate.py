@@ -102,7 +102,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the contaminated rows, all columns kept."""
+    i, h = C.fresh(docs, "bid", "bth")
     bad = (decontaminate(docs, items, id_col, text_col).where("contaminated")
-           .select(F.col(id_col).alias("_bid"), F.col("_text_hash").alias("_bth")).distinct())
+           .select(F.col(id_col).alias(i), F.col("_text_hash").alias(h)).distinct())
     bad = C.small_side(C.written(bad, "decontam-drop"))
-    return docs.join(bad, F.expr(f"{id_col} <=> _bid AND xxhash64({text_col}) <=> _bth"), "left_anti")
+    return docs.join(bad, F.expr(f"`{id_col}` <=> `{i}` AND xxhash64(`{text_col}`) <=> `{h}`"), "left_anti")

@@ -284,13 +284,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     # rows of one id and text are of one class, so that its first row tells by these alone who stays
     lead = C.written(rows.groupBy("_root").agg(F.min(F.struct(F.expr("_id IS NULL").alias("no_id"), "_id", "_th", "c")).alias("best"))
                      .selectExpr("best._id AS _lead", "best._th AS _lead_th", "best.c AS c"), "join-leads")
-    gone = rows.join(lead, F.expr("_id <=> _lead AND _th = _lead_th"), "left_anti").select("_id", "_th")
+    i, h = C.fresh(docs, "id", "th")
+    gone = rows.join(lead, F.expr("_id <=> _lead AND _th = _lead_th"), "left_anti").selectExpr(f"_id AS `{i}`", f"_th AS `{h}`")
     gone = C.small_side(C.written(gone, "join-gone"), 500_000)
-    same = F.expr(f"{id_col} <=> _id AND xxhash64({text_col}) = _th")
+    same = F.expr(f"`{id_col}` <=> `{i}` AND xxhash64(`{text_col}`) = `{h}`")
     out = docs.join(gone, same, "left_anti")
-    twice = lead.where("c > 1").selectExpr("_lead AS _id", "_lead_th AS _th")
+    twice = lead.where("c > 1").selectExpr(f"_lead AS `{i}`", f"_lead_th AS `{h}`")
     if twice.limit(1).count():  # one row of rows that are equal in id and text
         twice = C.small_side(twice, 500_000)
-        one = out.join(twice, same, "left_semi").withColumn("_th", F.expr(f"xxhash64({text_col})")).dropDuplicates([id_col, "_th"]).drop("_th")
+        one = out.join(twice, same, "left_semi").withColumn(h, F.expr(f"xxhash64(`{text_col}`)")).dropDuplicates([id_col, h]).drop(h)
         out = out.join(twice, same, "left_anti").unionByName(one)
     return out

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import common as C
+
 # The base phrases and their labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 #: The method's own phrases.
@@ -127,9 +129,12 @@ SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
 FIELDS = SCHEMA.fieldNames()
 
 
+_AUTOMATON: list = []  # one a worker
+
+
 @F.pandas_udf(SCHEMA)
 def _scan(text: pd.Series) -> pd.DataFrame:
-    a = automaton()
+    a = _AUTOMATON[0] if _AUTOMATON else _AUTOMATON.append(automaton()) or _AUTOMATON[0]
     out = pd.DataFrame([scan_one(x, a) for x in text], columns=FIELDS)
     return out.astype({"first_word": "Int64", "last_word": "Int64"})
 
@@ -142,6 +147,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     places all count.  Rows are independent; repeated rows and empty tables need no care.  Columns of
     ``docs`` with these names are replaced.
     """
-    d = docs.withColumn("_s", _scan(F.col(text_col).cast("binary")))
+    (found,) = C.fresh(docs, "found")
+    d = docs.withColumn(found, _scan(F.col(f"`{text_col}`").cast("binary")))
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in FIELDS]
-    return d.select(*keep, *[F.col(f"_s.{c}").alias(c) for c in FIELDS])
+    return d.select(*keep, *[F.col(f"`{found}`.{c}").alias(c) for c in FIELDS])

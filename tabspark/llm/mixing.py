@@ -64,8 +64,12 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     gives an empty result.  Columns of ``docs`` with the names of added ones are replaced.
     """
     add = ("block", "slot", "in_block", "release", "due")
-    d = docs.drop(*add).withColumn("_src", F.expr(f"coalesce(cast({source_col} as string), '')"))
-    d = d.withColumn("_h", F.expr(f"md5(concat('{seed}:', coalesce(cast({id_col} as string), '')))"))
+    rest = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in add and c != id_col and not kind.startswith("map")]
+    tie = F.xxhash64(*rest) if rest else F.lit(0)
+    # the row goes along whole, so that no inner name can meet one of its columns
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{id_col}`").alias("_id"), tie.alias("_tie"),
+                    F.expr(f"coalesce(cast(`{source_col}` as string), '')").alias("_src"))
+    d = d.withColumn("_h", F.expr(f"md5(concat('{seed}:', coalesce(cast(_id as string), '')))"))
     counts = C.written(d.groupBy(F.col("_src").alias("src")).agg(F.count("*").alias("n")), "mix-counts")
     share = C.written(shares(counts, weights, alpha, period), "mix-shares")  # one row a source
     plan = C.written(slots(share), "mix-slots")  # one row a slot of the period
@@ -74,14 +78,12 @@ def mix(docs: DataFrame, weights: dict | None = None, id_col: str = "doc_id", so
     d = d.withColumn("_r", F.expr(f"substring(_h, 1, {digits})"))
     sizes = d.groupBy("_src", "_r").agg(F.count("*").alias("_n"))
     before = sizes.select("_src", "_r", (F.sum("_n").over(Window.partitionBy("_src").orderBy("_r")) - F.col("_n")).alias("_before"))
-    rest = [F.col(f"`{c}`") for c, kind in docs.dtypes if c not in add and c != id_col and not kind.startswith("map")]
-    tie = [F.xxhash64(*rest)] if rest else []
     d = d.join(before, ["_src", "_r"]).withColumn(
-        "_k", F.col("_before") + F.row_number().over(Window.partitionBy("_src", "_r").orderBy("_h", id_col, *tie)) - 1)
+        "_k", F.col("_before") + F.row_number().over(Window.partitionBy("_src", "_r").orderBy("_h", "_id", "_tie")) - 1)
     d = d.withColumn("block", F.expr(f"_k div {block_rows}")).withColumn("in_block", F.expr(f"_k % {block_rows}"))
     d = d.join(C.small_side(share.select(F.col("src").alias("_src"), F.col("share").alias("_share"), F.col("period").alias("_p"))), "_src")
     d = d.withColumn("_j", F.expr("block % _share"))
     d = d.join(C.small_side(plan.select(F.col("src").alias("_src"), F.col("j").alias("_j"), F.col("slot").alias("_slot"))), ["_src", "_j"])
     d = d.withColumns({"slot": F.expr("block div _share * _p + _slot"), "release": F.expr("block * _p div _share"),
                        "due": F.expr("((block + 1) * _p + _share - 1) div _share")})
-    return d.select(*[F.col(f"`{c}`") for c in docs.columns if c not in add], *add)
+    return d.select(*[F.col(f"_row.`{c}`") for c in docs.columns if c not in add], *add)

@@ -27,11 +27,11 @@ def rule_table(spark: SparkSession, rules=RULES) -> DataFrame:
 
 def parts(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds ``host`` (A-Z lower-cased) and ``path``; null or without ``://``: both empty."""
-    u = f"`{url_col}`"
-    d = df.withColumn("_rest", F.expr(f"CASE WHEN instr({u}, '://') > 0 THEN substring({u}, instr({u}, '://') + 3) ELSE '' END"))
-    d = d.withColumn("_host", F.expr(r"regexp_extract(_rest, '^[^/?#]*', 0)"))
-    d = d.withColumn("path", F.expr(r"regexp_extract(substring(_rest, char_length(_host) + 1), '^[^?#]*', 0)"))
-    return d.withColumn("host", F.expr(C.lower_az("_host"))).drop("_rest", "_host")
+    u, (rest, head) = f"`{url_col}`", C.fresh(df, "rest", "head")
+    d = df.withColumn(rest, F.expr(f"CASE WHEN instr({u}, '://') > 0 THEN substring({u}, instr({u}, '://') + 3) ELSE '' END"))
+    d = d.withColumn(head, F.expr(rf"regexp_extract(`{rest}`, '^[^/?#]*', 0)"))
+    d = d.withColumn("path", F.expr(rf"regexp_extract(substring(`{rest}`, char_length(`{head}`) + 1), '^[^?#]*', 0)"))
+    return d.withColumn("host", F.expr(C.lower_az(f"`{head}`"))).drop(rest, head)
 
 
 def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
@@ -49,7 +49,8 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
                  F.expr("char_length(path)").alias("plen"), F.expr("sha2(concat(host, ' ', path), 256)").alias("digest")))
     r = C.written(r, "url-rules")
     lengths = [x.plen for x in r.select("plen").distinct().collect()]  # one integer per distinct path length of the rules
-    base = parts(urls.drop("host", "path", "rule", "verdict"), url_col)
+    row = F.struct(*[F.col(f"`{c}`") for c in urls.columns])  # goes along whole, so that no inner name can meet one of its columns
+    base = parts(urls.select(row.alias("row"), F.col(f"`{url_col}`").alias("url")))
     each = base.select("host", "path").where("host != ''").distinct()
     arr = "array({})".format(", ".join(map(str, lengths))) if lengths else "cast(array() as array<int>)"
     exprs = (each.select("host", "path", F.expr("split(host, '[.]')").alias("labels"))
@@ -62,5 +63,5 @@ def judge(urls: DataFrame, rules: DataFrame, url_col: str = "url", default: str
     best = (hit.groupBy("host", "path").agg(F.expr(
         "max_by(struct(rule, verdict), struct(char_length(rule), hlen, verdict = 'block', rule))").alias("best")))
     return (base.join(best, ["host", "path"], "left").select(
-        *[F.col(f"`{c}`") for c in urls.columns if c not in ("host", "path", "rule", "verdict")], "host", "path",
+        *[F.col(f"row.`{c}`") for c in urls.columns if c not in ("host", "path", "rule", "verdict")], "host", "path",
         F.expr("best.rule").alias("rule"), F.expr(f"coalesce(best.verdict, '{default}')").alias("verdict")))
