@@ -30,15 +30,6 @@ def with_log_sum_exp(df: DataFrame, arr: str, out: str = "lse") -> DataFrame:
             .drop("__lse_m"))
 
 
-def softmax(arr: Column) -> Column:
-    """Expression form of F1 for one-off use (re-evaluates the shift per element;
-    prefer ``with_softmax`` on DataFrames)."""
-    m = F.array_max(arr)
-    exps = F.transform(arr, lambda x: F.exp(x.cast("double") - m))
-    total = F.aggregate(exps, F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(exps, lambda x: x / total)
-
-
 def argmax(arr: Column) -> Column:
     """0-based index of the first maximum (F2); ties go to the lowest index."""
     return (F.array_position(arr, F.array_max(arr)) - 1).cast("int")

@@ -16,11 +16,6 @@ def nonzero(den: Column) -> Column:
     return F.when(den != 0, den)
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """num / den, null when den is 0 or null (ANSI-safe)."""
-    return num / nonzero(den)
-
-
 def zero_div(num: Column, den: Column) -> Column:
     """num / den, 0.0 when den is 0 (metric convention, zero_division=0)."""
     return F.coalesce(num / nonzero(den), F.lit(0.0))
@@ -34,7 +29,3 @@ def round4(c: Column, digits: int = 4) -> Column:
     first (0.8938). Snapping to 10 decimals first makes both see 0.89375.
     """
     return F.round(F.round(c.cast("double"), 10), digits)
-
-
-def nan_to_null(c: Column) -> Column:
-    return F.when(F.isnan(c), F.lit(None)).otherwise(c)

@@ -7,6 +7,8 @@ and never ranks the whole table in one task (see ``roc_auc``).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,10 @@ def class_weights(df: DataFrame, label: str, k: int) -> DataFrame:
 
 
 def class_weight_list(df: DataFrame, label: str, k: int) -> list[float]:
+    """The weights by class; a ``RuntimeWarning`` names the classes that have no row, as all weights are 1.0 then."""
     rows = sorted(class_weights(df, label, k).collect(), key=lambda r: r["label"])
+    if absent := [r["label"] for r in rows if not r["n"]]:
+        warnings.warn(f"no rows of class {', '.join(map(str, absent))}: all class weights are 1.0", RuntimeWarning, stacklevel=2)
     return [float(r["weight"]) for r in rows]
 
 
@@ -162,6 +167,7 @@ def latency_summary(df: DataFrame, latency: str, batch_size: int = 1) -> DataFra
                  F.max("x").alias("mx"), F.sum("x").alias("total")).first()
     qs = wide_quantiles(base, ["x"], [0.5, 0.95, 0.99])[("x",)][1]
     thr = (r["n"] * batch_size / r["total"]) if r["total"] else None
+    # fixed values: the names of the summary's columns
     row = [(int(r["n"]), int(r["n"]) * batch_size, batch_size, r["mean"], qs[0], qs[1], qs[2], r["mn"], r["mx"], thr)]
     out = local_frame(spark, row, "total_requests bigint, total_samples bigint, batch_size int, avg_latency double, "
                                      "p50_latency double, p95_latency double, p99_latency double, "

@@ -17,6 +17,7 @@ BN_EPS = 1e-5
 BN_MOMENTUM = 0.1
 
 
+# The defaults of the training configuration.
 @dataclass
 class MlpParams:
     input_size: int = 21
@@ -48,7 +49,8 @@ class MlpParams:
 
 
 def hidden_sizes_for(n_features: int) -> list[int]:
-    """Layer widths from the feature count (clamped 64-128, 32-64, 16-32)."""
+    """Layer widths from the feature count."""
+    # fixed values: the clamps 64-128, 32-64, 16-32 of the configuration
     return [min(128, max(64, n_features * 2)), min(64, max(32, n_features)), min(32, max(16, n_features // 2))]
 
 

@@ -84,8 +84,3 @@ def assert_width(schema: T.StructType, features=FEATURES) -> None:
     missing = [f for f in features if f not in schema.fieldNames()]
     if missing:
         raise ValueError(f"missing feature columns: {missing}")
-
-
-def is_positive(prediction: Column) -> Column:
-    """Positive predicate prediction = 1 (P10)."""
-    return prediction == 1

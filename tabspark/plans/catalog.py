@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabspark.api import BatchPredictor
 from tabspark.functions.arrays import argmax, confidence, with_softmax
 from tabspark.functions import sqltext as Q
 from tabspark.functions.numeric import round4
@@ -446,12 +447,8 @@ def q_evaluate(spark, sf):
 @query("score_batches")
 def q_score_batches(spark, sf):
     sp = split_metrics(spark, sf)
-    pipe = ML.PreprocessScorer(fitted_scaler(sp), ML.fixed_model(FEATURES))
     batches = [sp.where(F.col("split") == s).drop("split") for s in ("train", "val", "test")]
-    tagged = batches[0].withColumn("batch_id", F.lit(0))
-    for i, b in enumerate(batches[1:], 1):
-        tagged = tagged.unionByName(b.withColumn("batch_id", F.lit(i)))
-    scored = pipe.transform(tagged)
+    scored = BatchPredictor(ML.fixed_model(FEATURES), fitted_scaler(sp)).predict_batch(batches)
     return scored.groupBy("batch_id").agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                                           F.sum(F.col("prediction")).cast("bigint").alias("n_defects"))
 
@@ -501,13 +498,12 @@ def q_mlp_fit_facts(spark, sf):
     p = MlpParams()
     _, _, res = _fit(spark, sf, p)
     f1 = res.history.where("metric = 'val_f1'").select("run_id", "epoch", "value")
-    ends = H.best_epoch(f1).join(H.early_stop(f1, p.patience), "run_id").select(
-        ((F.col("best_epoch") == res.best_epoch)
-         & F.when(F.col("early_stopped"), F.col("stop_epoch") == res.stopped_epoch)
-         .otherwise(F.lit(res.stopped_epoch is None) & (F.col("n_epochs") == p.max_epochs - 1))).alias("replayed"))
+    ends = H.best_epoch(f1).join(H.early_stop(f1, p.patience), "run_id").first()  # one run
+    last = res.stopped_epoch if res.stopped_epoch is not None else p.max_epochs - 1
+    replayed = (ends.best_epoch, ends.stop_epoch, ends.early_stopped) == (res.best_epoch, last, res.stopped_epoch is not None)
     steps = spark.createDataFrame(res.steps, "epoch int, rows_seen bigint, batches bigint")
     lr = res.history.where("metric = 'lr'").select("epoch", round4(F.col("value") * 1000).alias("lr_1000"))
-    return steps.where(F.col("epoch") <= p.patience).join(lr, "epoch").join(F.broadcast(ends))
+    return steps.where(F.col("epoch") <= p.patience).join(lr, "epoch").withColumn("replayed", F.lit(replayed))
 
 
 # ------------------------------------------------------------------ requests, sinks, streaming, report

@@ -12,8 +12,3 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
-
-
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    for name in TABLES:
-        read_table(spark, sf_dir, name).createOrReplaceTempView(name)

@@ -103,3 +103,17 @@ def test_evaluation_scores_each_row_once(spark):
     want = M.binary_metrics(df).first().asDict() | {"roc_auc": M.roc_auc(df, "label", "defect_probability").first()["roc_auc"]}
     assert got == want
     assert M.evaluation(df.limit(0)) == {"accuracy": 0.0, "precision": 0.0, "recall": 0.0, "f1": 0.0, "roc_auc": 0.0}
+
+
+def test_an_absent_class_is_named(spark):
+    import warnings
+
+    import pytest
+
+    from tabspark.operators.metrics import class_weight_list
+    df = spark.createDataFrame([(0,), (0,), (2,)], "label int")
+    with pytest.warns(RuntimeWarning, match="class 1:"):
+        assert class_weight_list(df, "label", 3) == [1.0, 1.0, 1.0]
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        assert class_weight_list(df.where("label = 0"), "label", 1) == [1.0]

@@ -14,11 +14,32 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _executed(spark) -> dict[int, str]:
+    """The plans of all jobs that SQL has run so far (the last 1000), by number."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    found, it = {}, spark._jsparkSession.sharedState().statusStore().executionsList().iterator()
+    while it.hasNext():
+        e = it.next()
+        found[e.executionId()] = e.physicalPlanDescription()
+    return found
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_no_cross_join_or_row_udf(spark, name):
-    plan = _plan(E.queries()[name](spark, SF001))
-    for node in FORBIDDEN:
-        assert node not in plan, f"{name}: {node} in plan"
+    """In the plan that a query returns, and in every job that it runs on the way there."""
+    before = max(_executed(spark), default=-1)
+    plans = {"result": _plan(E.queries()[name](spark, SF001))}
+    plans |= {k: v for k, v in _executed(spark).items() if k > before}
+    for k, plan in plans.items():
+        for node in FORBIDDEN:
+            assert node not in plan, f"{name}, job {k}: {node} in plan"
+
+
+def test_jobs_on_the_way_are_seen(spark):
+    before = max(_executed(spark), default=-1)
+    spark.range(3).crossJoin(spark.range(4)).collect()
+    new = [v for k, v in _executed(spark).items() if k > before]
+    assert any(node in v for v in new for node in FORBIDDEN)
 
 
 def test_scans_are_pruned_and_filters_pushed(spark):
