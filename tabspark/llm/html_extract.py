@@ -38,14 +38,21 @@ COMMON = "2 * n > pages"
 COMMON_INSIDE = "4 * n > pages"
 
 # Element names by role, and words in class, id or role that mark furniture.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "select", "button", "object", "math"}
-DROP = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header", "figure"}
+RAW = {"script", "style", "template", "textarea", "title", "iframe", "svg", "select"}
+DROP = {"nav", "footer", "aside", "form", "menu", "dialog", "head", "header"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "bdi", "bdo", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "label", "mark", "q", "s",
-          "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
+          "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "button", "object",
+          "math", "mi", "mn", "mo", "mrow", "mfrac", "msup", "msub", "msubsup", "msqrt", "mroot", "mtext", "mstyle", "mover", "munder", "semantics"}
 FURNITURE = frozenset("ad ads advert adverts advertisement sponsor sponsored banner promo cookie cookies consent notice gdpr popup modal overlay sidebar side "
                       "menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments replies disqus social share sharing related "
                       "recommended newsletter subscribe signup login search widget skip pagination pager toolbar complementary contentinfo alert".split())
+#: Readers' comments go even where each of them is an article.
+COMMENTS = frozenset("comment comments replies disqus".split())
+#: Elements of running text, and the words that mark one of them in an article; others there (share, alert, related) are its subject.
+TEXT = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre"}
+STRONG = frozenset("ad ads advert adverts advertisement sponsor sponsored promo cookie cookies consent notice gdpr newsletter subscribe "
+                   "breadcrumb breadcrumbs comment comments".split())
 #: Parts of a name that may stand beside such words: site-footer is furniture, has-sidebar and menu-page are layouts.
 BESIDE = frozenset("site main top bottom left right primary secondary global box bar list container block section item items area form links link "
                    "buttons button icons icon posts post articles article inner outer thread text message google sticky mobile desktop the my js "
@@ -60,11 +67,11 @@ _CLOSES = {"li": {"li"}, "p": {"p"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr
 
 
 @functools.lru_cache(100_000)
-def _furniture(marks: str) -> bool:
-    """Whether a name in class, id or role consists of furniture words, and of words that may stand beside them."""
+def _furniture(marks: str, words: frozenset = FURNITURE) -> bool:
+    """Whether a name in class, id or role holds one of ``words`` and consists of furniture words, and of words that may stand beside them."""
     for mark in marks.lower().split():
         found = [x for x in _PART.split(mark.strip("_-")) if not x.isdigit()]
-        if not FURNITURE.isdisjoint(found) and all(x in FURNITURE or x in BESIDE for x in found):
+        if not words.isdisjoint(found) and all(x in FURNITURE or x in BESIDE for x in found):
             return True
     return False
 
@@ -74,7 +81,8 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
     character references are decoded, empty blocks are left out.
 
     An element that a name marks as furniture keeps the article elements in it, unless it is in an article itself, and is
-    kept as a whole if it has most of the text of a page that has no article."""
+    kept as a whole if it has most of the text of a page that has no article; readers' comments go in either case. In an
+    article a paragraph or heading is furniture by few names only (``STRONG``)."""
     page, out, text, stack = page or "", [], [], []  # stack: (name, dropped, in an article, marks that drop it)
     dropped, main = False, 0  # main: 1 by a mark of html or body, 2 in an article
     marked: tuple[int, ...] = ()
@@ -120,14 +128,14 @@ def blocks(page: str | None) -> list[tuple[bool, str]]:
                 stack.pop()
                 _, dropped, main, marked = stack[-1] if stack else ("", False, 0, ())
             marks = " ".join(map("".join, _ATTR.findall(attrs))) if attrs else ""
-            named = bool(marks) and _furniture(marks)
+            named = bool(marks) and _furniture(marks, STRONG if main == 2 and name in TEXT else FURNITURE)
             article = name in ("article", "main") or bool(marks and not named and MAIN_MARK.search(marks))
-            gone = name in DROP and not (name in ("header", "figure") and main)
+            gone = name in DROP and not (name == "header" and main)
             by = marked
             if name in ("article", "main"):
-                by = by if main == 2 or named else ()
+                by = by if main == 2 or named else tuple(k for k in by if k < 0)
             elif named and name not in ("html", "body"):
-                by = (*by, at)
+                by = (*by, -at if _furniture(marks, COMMENTS) else at)  # below zero: what no article in it resets
             stack.append((name, dropped or gone, max(main, article and (1 if name in ("html", "body") else 2)), by))
         _, dropped, main, marked = stack[-1] if stack else ("", False, 0, ())
     if not dropped:
@@ -145,7 +153,7 @@ def _kept(found: list[tuple[int, str, tuple[int, ...]]]) -> list[tuple[bool, str
             n = len(t.split())
             total += n
             size.update(dict.fromkeys(by, n))
-        most = {k for k, n in size.items() if n >= MOST_WORDS and 2 * n > total}
+        most = {k for k, n in size.items() if k >= 0 and n >= MOST_WORDS and 2 * n > total}
         if most:
             kept = [(m > 0, t) for m, t, by in found if most.issuperset(by)]
     return kept
