@@ -465,3 +465,61 @@ def test_chat_query_against_brute_force(spark):
     assert got[(1, "1:1")] == (0, "ok", {"arguments": {"role": "user", "text": "u", "turn": 1}, "id": "1:1", "name": "reply", "result": {"text": "a"}})
     assert got[(1, "1:3")][:2] == (1, "no_result") and got[(1, "1:0")][:2] == (0, "no_result")
     assert got[(2, "2:0")][:2] == (0, "invalid") and got[(3, "3:-1")][1] == "no_call" and len(got) == 5
+
+
+def brute_depths(edges):
+    """Kahn's peeling, one conversation at a time."""
+    before = collections.defaultdict(set)
+    for c, v, u in edges:
+        before[(c, v)] |= {(c, u)} if u is not None else set()
+    out, left = {}, dict(before)
+    while free := [v for v, us in left.items() if all(u in out for u in us)]:
+        for v in free:
+            out[v] = max((out[u] + 1 for u in left[v]), default=0)
+        left = {v: us for v, us in left.items() if v not in out}
+    return {v: out.get(v) for v in before}
+
+
+def chat_graphs():
+    """Edges of a long chain, one that also waits for its first call, a ladder, random graphs without and with circles, and a dense one."""
+    r = random.Random(11)
+    out = [(1, f"c{k}", f"c{k - 1}" if k else None) for k in range(150)]
+    out += [(2, f"c{k}", u) for k in range(90) for u in ({f"c{k - 1}", "c0"} if k else {None})]
+    for k in range(0, 60, 3):  # forks that meet again
+        out += [(3, f"c{k + 1}", f"c{k}"), (3, f"c{k + 2}", f"c{k}"), (3, f"c{k + 3}", f"c{k + 1}"), (3, f"c{k + 3}", f"c{k + 2}"), (3, f"c{k + 3}", f"c{max(0, k - 5)}")]
+    out.append((3, "c0", None))
+    for conv in range(4, 16):
+        n = 30
+        for k in range(n):
+            out.append((conv, f"c{k}", None))
+            out += [(conv, f"c{k}", f"c{r.randrange(k)}") for _ in range(r.randrange(4)) if k]
+        if conv % 2:
+            out += [(conv, f"c{r.randrange(n)}", f"c{r.randrange(n)}") for _ in range(2)]
+    out += [(16, f"c{k}", f"c{u}") for k in range(12) for u in range(k)] + [(16, "c0", None)]
+    out += [(17, f"c{k}", f"c{(k + 1) % 7}") for k in range(7)] + [(17, "self", "self"), (17, "late", "c3"), (17, "free", None)] * 2
+    return out
+
+
+def test_depths_against_brute_force(spark):
+    edges = chat_graphs()
+    got = chat.depths(spark.createDataFrame(edges, "conv_id long, call_id string, to string")).collect()
+    want = brute_depths(edges)
+    assert {(r.conv_id, r.call_id): r.depth for r in got} == want and len(got) == len(want)
+    assert all(r.cycle == (r.depth is None) for r in got) and {None, 0, 1, 149} <= set(want.values())
+
+
+def test_chains_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    was = chat.C.written
+    monkeypatch.setattr(chat.C, "written", lambda df, name: rounds.append(name) or was(df, name))
+    edges = [e for e in chat_graphs() if e[0] in (1, 2)]
+    assert chat.depths(spark.createDataFrame(edges, "conv_id long, call_id string, to string")).count() == 240
+    assert rounds.count("chat-state") <= 12
+
+
+def test_chat_takes_several_calls_before_one(spark):
+    calls = [(1, "a", 0, []), (1, "b", 1, None), (1, "c", 2, ["a", "b", "gone", None, "a"]), (1, "d", 3, ["a", "c"]), (1, "e", 4, ["c", "f"]), (1, "f", 5, ["e"]), (1, "g", 6, ["f", "a"])]
+    c = spark.createDataFrame([(*x[:3], "t", "{}", x[3]) for x in calls], "conv_id long, call_id string, turn long, name string, arguments string, after array<string>")
+    r = spark.createDataFrame([(1, k, 9, "x") for k in "abcdefgz"], "conv_id long, call_id string, turn long, content string")
+    got = [(x.call_id, x.depth, x.status) for x in chat.link(c, r, {"t": {}}).collect()]
+    assert got == [("a", 0, "ok"), ("b", 0, "ok"), ("c", 1, "ok"), ("d", 2, "ok"), ("e", None, "cycle"), ("f", None, "cycle"), ("g", None, "cycle"), ("z", None, "no_call")]
