@@ -268,8 +268,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     info = (sets.select("key", "n_same").join(links, "key", "left").join(comp, "key", "left")
             .selectExpr("key", "n_same", "coalesce(n_links, 0L) AS n_links", "coalesce(root, key) AS root"))
     info = C.written(info, "join-info")
-    firsts = (each.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")).join(info.select("key", "root"), "key")
-              .groupBy("root").agg(F.min("id").alias("class_id")))
+    firsts = C.written(each.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id")).join(info.select("key", "root"), "key")
+                       .groupBy("root").agg(F.min("id").alias("class_id")), "join-firsts")  # plain, as the sets of a large class are split
     info = info.join(firsts, "root").select("key", "root", "class_id", "n_links", "n_same")
     got = each.where("key IS NOT NULL").select("id", "th", "key").join(info, "key").selectExpr("id", "class_id", "n_links", "n_same", "th", "root AS _root")
     alone = each.where("key IS NULL").selectExpr("id", "id AS class_id", "0L AS n_links", "1L AS n_same", "th", "cast(null as binary) AS _root")
