@@ -99,7 +99,7 @@ def minibatch_plan(df: DataFrame, id_col: str, epochs: int, batch_size: int = 32
     per = F.expr("explode(array(" + ", ".join(
         f"struct({e} AS epoch, array({', '.join(f'{k}L' for k in round_keys(seed, e))}) AS ks)" for e in range(epochs)) + "))")
     d = d.select("id", (F.col("__n") - 1).alias("__n"), per.alias("e"))
-    d = d.select("id", "e.epoch", F.expr(place_sql("__n", n, "e.ks")).alias("place"))
+    d = placed(d, place_sql("__n", n, "e.ks"), "place").select("id", "e.epoch", "place")
     return d.select("epoch", F.expr(batch_sql("place", n, batch_size, drop_last)).alias("batch"), "place", "id").where("batch IS NOT NULL")
 
 
@@ -117,10 +117,16 @@ def numbered(df: DataFrame) -> tuple[DataFrame, int]:
     return d.drop("__m", "__o", "__from").checkpoint(eager=True), n
 
 
+def placed(df: DataFrame, sql: str, name: str) -> DataFrame:
+    """``df`` with the place ``sql`` as ``name``, computed once a row: as the output of a generator it is not copied into
+    the conditions and columns made of it, as a projected expression is."""
+    return df.select("*", F.expr(f"explode(array({sql})) AS {name}"))
+
+
 def in_batches(df: DataFrame, n: int, size: int, seed: int, epoch: int, drop_last: bool, parts: int) -> DataFrame:
     """The ``n`` rows of ``df`` (numbered ``__n``) in the batches ``__b`` of an epoch: batch i in partition i % ``parts``, by
     place. A batch is never split, and a task streams its batches one by one."""
-    d = df.withColumn("__p", F.expr(place_sql("__n", n, f"array({', '.join(f'{k}L' for k in round_keys(seed, epoch))})")))
+    d = placed(df, place_sql("__n", n, f"array({', '.join(f'{k}L' for k in round_keys(seed, epoch))})"), "__p")
     d = d.withColumn("__b", F.expr(batch_sql("__p", n, size, drop_last))).where("__b IS NOT NULL")
     return d.repartitionById(parts, F.expr(f"CAST(__b % {parts} AS INT)")).sortWithinPartitions("__p").drop("__n", "__p")
 

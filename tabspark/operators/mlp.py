@@ -1,7 +1,7 @@
 """MLP classifier on Spark (ML1-ML13).
 
 Training (``MlpClassifier.fit``) is synchronous local SGD with model
-averaging: per epoch ONE ``mapInPandas`` job over the epoch's mini-batches
+averaging: per epoch ONE ``mapInArrow`` job over the epoch's mini-batches
 (``operators.minibatch``: a global shuffle), in which every task streams its batches,
 starting from the broadcast weights. The weights and optimizer moments come
 back as one vector a task, added up by a tree of two levels; the driver only
@@ -113,56 +113,65 @@ class MlpModel:
 STATS = 8  # rows, steps x rows, loss sum, rows seen, confusion counts (tp, fp, tn, fn); then weights, both moments
 
 
+def _arrays(batch, k: int):
+    """(features, label) of an Arrow batch, a row a feature."""
+    x = np.empty((k, batch.num_rows))
+    for i in range(k):
+        x[i] = batch.column(f"x{i}").to_numpy(zero_copy_only=False)  # null: NaN
+    return x, batch.column("y").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _batches(it, k: int):
-    """(x, y) of each batch of a stream of rows sorted by batch; no more than one batch is kept back."""
+    """(x, y) of each mini-batch of a stream of rows sorted by mini-batch; no more than one is kept back."""
     kept = None
-    for pdf in it:
-        if kept is not None:
-            pdf = pd.concat([kept, pdf], ignore_index=True)
-        b = pdf["__b"].to_numpy()
-        cuts = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1)]
+    for rows in it:
+        if not rows.num_rows:
+            continue
+        now = (*_arrays(rows, k), rows.column("__b").to_numpy())
+        x, y, b = now if kept is None else (np.concatenate(c, axis=-1) for c in zip(kept, now))
+        cuts = [0, *(np.flatnonzero(b[1:] != b[:-1]) + 1).tolist()]
         for i, j in zip(cuts, cuts[1:]):
-            yield _arrays(pdf.iloc[i:j], k)
-        kept = pdf.iloc[cuts[-1]:] if len(pdf) else None
-    if kept is not None and len(kept):
-        yield _arrays(kept, k)
-
-
-def _arrays(pdf: pd.DataFrame, k: int):
-    return pdf[[f"x{i}" for i in range(k)]].to_numpy(dtype=np.float64), pdf["y"].to_numpy(dtype=np.int64)
+            yield x[:, i:j].copy().T, y[i:j]
+        kept = x[:, cuts[-1]:], y[cuts[-1]:], b[cuts[-1]:]
+    if kept is not None:
+        yield kept[0].copy().T, kept[1]
 
 
 def _train_epoch_fn(bc, k: int):
-    """mapInPandas function: trains every run of the bank on the task's batches; one vector a run."""
+    """mapInArrow function: trains every run of the bank on the task's batches; one vector a run."""
     def run(it):
+        import pyarrow as pa
         from pyspark import TaskContext
         bank, alpha, epoch = bc.value
         pid = TaskContext.get().partitionId()
-        live = [(i, p, {n: a.copy() for n, a in w.items()}, {n: a.copy() for n, a in m.items()}, {n: a.copy() for n, a in v.items()}, t,
-                 np.random.default_rng([p.seed, epoch, pid]), np.zeros(STATS)) for i, p, w, m, v, t in bank]
+        live = [(i, p, MM.Learner(p, w, m, v, t), MM.lr_at(p, epoch), np.random.default_rng([p.seed, epoch, pid]), np.zeros(STATS))
+                for i, p, w, m, v, t in bank]
         for x, y in _batches(it, k):
-            for i, p, w, m, v, t, rng, stats in live:
-                steps, loss, seen, conf = MM.train_batches(p, w, m, v, t + int(stats[1]), MM.lr_at(p, epoch), [(x, y)], alpha, rng)
-                stats += [seen, steps, loss, seen, *conf]
-        for i, p, w, m, v, _, _, stats in live:
+            for _, _, learner, lr, rng, stats in live:
+                if (got := learner.step(x, y, lr, alpha, rng)) is not None:
+                    stats += [len(y), 1, got[0], len(y), *got[1]]
+        for i, p, learner, _, _, stats in live:
             if stats[0]:
                 wt = stats[0]
                 stats[1] *= wt
-                vec = np.concatenate([stats, *(MM.flatten(p, d) * wt for d in (w, m, v))])
-                yield pd.DataFrame({"run": np.array([i], np.int32), "part": np.array([pid], np.int32), "vec": [vec]})
+                vec = np.concatenate([stats, *(MM.flatten(p, d) * wt for d in (learner.w, learner.m, learner.v))])
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([pid], pa.int32()),
+                                                  pa.array([vec], pa.list_(pa.float64()))], names=["run", "part", "vec"])
     return run
 
 
 def _eval_fn(bc, k: int):
+    """mapInArrow function: loss and confusion counts of every run of the bank over the task's rows."""
     def run(it):
+        import pyarrow as pa
         bank, alpha = bc.value
         acc = {i: np.zeros(6) for i, *_ in bank}
-        for pdf in it:
-            if not len(pdf):
+        for rows in it:
+            if not rows.num_rows:
                 continue
-            x, y = _arrays(pdf, k)
+            x, y = _arrays(rows, k)
             for i, p, w in bank:
-                logits = MM.predict_logits(p, w, x)
+                logits = MM.predict_logits(p, w, x.T)
                 loss, _ = MM.loss_and_grad(p, logits, y, alpha)
                 if p.use_focal_loss:
                     num, den = loss * len(y), len(y)
@@ -173,7 +182,8 @@ def _eval_fn(bc, k: int):
                 acc[i] += [num, den, ((y == 1) & (pred == 1)).sum(), ((y == 0) & (pred == 1)).sum(),
                            ((y == 0) & (pred == 0)).sum(), ((y == 1) & (pred == 0)).sum()]
         for i, a in acc.items():
-            yield pd.DataFrame({"run": np.full(6, i, np.int32), "idx": np.arange(6, dtype=np.int32), "val": a})
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(6, i, np.int32)), pa.array(np.arange(6, dtype=np.int32)), pa.array(a)],
+                                             names=["run", "idx", "val"])
     return run
 
 
@@ -298,12 +308,12 @@ class Trainer:
             if self.n:
                 bc = sc.broadcast(([(i, runs[i].p, runs[i].w, runs[i].m, runs[i].v, runs[i].t) for i in members], self.alpha, epoch))  # model-sized
                 d = in_batches(self.train, self.n, size, seed, epoch, drop_last, self.parts)
-                sums = vector_sums(d.mapInPandas(_train_epoch_fn(bc, self.k), VECTORS), self.parts)
+                sums = vector_sums(d.mapInArrow(_train_epoch_fn(bc, self.k), VECTORS), self.parts)
                 bc.unpersist()
             for i in members:
                 stats[i], batches[i] = runs[i].learned(sums.get(i)), batch_count(self.n, size, drop_last)
         bc = sc.broadcast(([(i, r.p, r.w) for i, r in enumerate(runs)], self.alpha))
-        ev = self.val.mapInPandas(_eval_fn(bc, self.k), "run int, idx int, val double").groupBy("run", "idx").agg(F.sum("val").alias("val")).collect()
+        ev = self.val.mapInArrow(_eval_fn(bc, self.k), "run int, idx int, val double").groupBy("run", "idx").agg(F.sum("val").alias("val")).collect()
         bc.unpersist()
         e = np.zeros((len(runs), 6))
         for r in ev:

@@ -8,6 +8,7 @@ All math is float64 on float32 inputs.
 
 from __future__ import annotations
 
+import functools
 import math
 from dataclasses import asdict, dataclass, field
 
@@ -116,16 +117,17 @@ def forward(p: MlpParams, w: dict, x: np.ndarray, train: bool = False, rng=None)
         layer = {"a_in": a}
         if p.use_batchnorm:
             if train:
-                mu = z.mean(axis=0)
-                var = z.var(axis=0)
                 n = z.shape[0]
+                mu = np.add.reduce(z, axis=0) / n
+                d = z - mu
+                var = np.add.reduce(d * d, axis=0) / n
                 unbiased = var * n / (n - 1) if n > 1 else var
                 new_running[f"rm{i}"] = (1 - BN_MOMENTUM) * w[f"rm{i}"] + BN_MOMENTUM * mu
                 new_running[f"rv{i}"] = (1 - BN_MOMENTUM) * w[f"rv{i}"] + BN_MOMENTUM * unbiased
             else:
-                mu, var = w[f"rm{i}"], w[f"rv{i}"]
+                d, var = z - w[f"rm{i}"], w[f"rv{i}"]
             inv = 1.0 / np.sqrt(var + BN_EPS)
-            zhat = (z - mu) * inv
+            zhat = d * inv
             y = zhat * w[f"g{i}"] + w[f"be{i}"]
             layer.update(zhat=zhat, inv=inv)
             r = np.maximum(y, 0.0)
@@ -162,10 +164,11 @@ def loss_and_grad(p: MlpParams, logits: np.ndarray, y: np.ndarray, alpha: np.nda
     """Mean loss and d(loss)/d(logits) for focal or weighted smoothed CE."""
     n, k = logits.shape
     prob = softmax_np(logits)
+    rows = np.arange(n)
     onehot = np.zeros_like(prob)
-    onehot[np.arange(n), y] = 1.0
+    onehot[rows, y] = 1.0
     if p.use_focal_loss:
-        pt = np.clip(prob[np.arange(n), y], 1e-300, 1.0)
+        pt = np.minimum(np.maximum(prob[rows, y], 1e-300), 1.0)
         logpt = np.log(pt)
         a = alpha[y]
         g = p.focal_gamma
@@ -177,28 +180,29 @@ def loss_and_grad(p: MlpParams, logits: np.ndarray, y: np.ndarray, alpha: np.nda
     logp = np.log(np.clip(prob, 1e-300, 1.0))
     wy = alpha[y]
     W = wy.sum()
-    per = (1 - eps) * wy * (-logp[np.arange(n), y]) + eps / k * (-(logp * alpha[None, :]).sum(axis=1))
+    per = (1 - eps) * wy * (-logp[rows, y]) + eps / k * (-(logp * alpha[None, :]).sum(axis=1))
     grad = ((1 - eps) * wy[:, None] * (prob - onehot) + eps / k * (prob * alpha.sum() - alpha[None, :])) / W
     return float(per.sum() / W), grad
 
 
 def backward(p: MlpParams, w: dict, cache, dlogits: np.ndarray) -> dict:
     layers, a_last = cache
-    grads = {"Wo": a_last.T @ dlogits, "bo": dlogits.sum(axis=0)}
+    total = functools.partial(np.add.reduce, axis=0)
+    grads = {"Wo": a_last.T @ dlogits, "bo": total(dlogits)}
     da = dlogits @ w["Wo"].T
     for i in reversed(range(len(p.hidden_sizes))):
         L = layers[i]
         if p.use_batchnorm:
             dr = da * L["drop"] if "drop" in L else da
             dy = dr * L["relu_mask"]
-            grads[f"g{i}"] = (dy * L["zhat"]).sum(axis=0)
-            grads[f"be{i}"] = dy.sum(axis=0)
+            grads[f"g{i}"] = total(dy * L["zhat"])
+            grads[f"be{i}"] = total(dy)
             dxhat = dy * w[f"g{i}"]
             n = dy.shape[0]
-            dz = L["inv"] / n * (n * dxhat - dxhat.sum(axis=0) - L["zhat"] * (dxhat * L["zhat"]).sum(axis=0))
+            dz = L["inv"] / n * (n * dxhat - total(dxhat) - L["zhat"] * total(dxhat * L["zhat"]))
         else:
-            grads[f"g{i}"] = (da * L["zhat"]).sum(axis=0)
-            grads[f"be{i}"] = da.sum(axis=0)
+            grads[f"g{i}"] = total(da * L["zhat"])
+            grads[f"be{i}"] = total(da)
             dxhat = da * w[f"g{i}"]
             m = dxhat.shape[1]
             dr = L["inv"] / m * (m * dxhat - dxhat.sum(axis=1, keepdims=True)
@@ -207,24 +211,62 @@ def backward(p: MlpParams, w: dict, cache, dlogits: np.ndarray) -> dict:
                 dr = dr * L["drop"]
             dz = dr * L["relu_mask"]
         grads[f"W{i}"] = L["a_in"].T @ dz
-        grads[f"b{i}"] = dz.sum(axis=0)
-        da = dz @ w[f"W{i}"].T
+        grads[f"b{i}"] = total(dz)
+        if i:  # the input has no gradient
+            da = dz @ w[f"W{i}"].T
     return grads
 
 
-def adamw_step(p: MlpParams, w: dict, grads: dict, m: dict, v: dict, t: int, lr: float) -> None:
-    """In-place AdamW update (decoupled weight decay on every trainable tensor)."""
+def adamw_step(p: MlpParams, w: np.ndarray, g: np.ndarray, m: np.ndarray, v: np.ndarray, t: int, lr: float) -> None:
+    """In-place AdamW update (decoupled weight decay) of the trainable tensors, each array all of them in one."""
     b1, b2 = p.beta1, p.beta2
-    for name, _, trainable in param_shapes(p):
-        if not trainable:
-            continue
-        g = grads[name]
-        w[name] = w[name] * (1 - lr * p.weight_decay)
-        m[name] = b1 * m[name] + (1 - b1) * g
-        v[name] = b2 * v[name] + (1 - b2) * g * g
-        mhat = m[name] / (1 - b1 ** t)
-        vhat = v[name] / (1 - b2 ** t)
-        w[name] = w[name] - lr * mhat / (np.sqrt(vhat) + p.eps)
+    w *= 1 - lr * p.weight_decay
+    m *= b1
+    m += (1 - b1) * g
+    v *= b2
+    v += (1 - b2) * g * g
+    mhat = m / (1 - b1 ** t)
+    vhat = v / (1 - b2 ** t)
+    w -= lr * mhat / (np.sqrt(vhat) + p.eps)
+
+
+class Learner:
+    """A model in training. ``w``, ``m`` and ``v`` hold copies by name; their trainable tensors are views into one
+    array each, so that an update is a few calls whatever the number of tensors."""
+
+    def __init__(self, p: MlpParams, w: dict, m: dict, v: dict, t: int):
+        self.p, self.t = p, t
+        shapes = [(n, shape) for n, shape, trainable in param_shapes(p) if trainable]
+        self.names = [n for n, _ in shapes]
+        self.flat, dicts = [], []
+        for d in (w, m, v):
+            own = {n: np.array(a, dtype=np.float64) for n, a in d.items()}
+            one = np.concatenate([own[n].ravel() for n in self.names])
+            at = 0
+            for n, shape in shapes:
+                size = math.prod(shape)
+                own[n] = one[at:at + size].reshape(shape)
+                at += size
+            self.flat.append(one)
+            dicts.append(own)
+        self.w, self.m, self.v = dicts
+
+    def step(self, x: np.ndarray, y: np.ndarray, lr: float, alpha: np.ndarray, rng):
+        """AdamW on one batch: (loss sum, confusion counts), or None for a batch of less than two rows, which has no
+        batch statistics."""
+        n = len(y)
+        if n < 2:
+            return None
+        logits, cache, running = forward(self.p, self.w, x, train=True, rng=rng)
+        loss, dlog = loss_and_grad(self.p, logits, y, alpha)
+        grads = backward(self.p, self.w, cache, dlog)
+        self.t += 1
+        w, m, v = self.flat
+        adamw_step(self.p, w, np.concatenate([grads[k].ravel() for k in self.names]), m, v, self.t, lr)
+        self.w.update(running)
+        pred = logits.argmax(axis=1)
+        y1, y0, p1, p0 = y == 1, y == 0, pred == 1, pred == 0
+        return loss * n, [np.count_nonzero(c) for c in (y1 & p1, y0 & p1, y0 & p0, y1 & p0)]
 
 
 def predict_logits(p: MlpParams, w: dict, x: np.ndarray) -> np.ndarray:
@@ -234,23 +276,17 @@ def predict_logits(p: MlpParams, w: dict, x: np.ndarray) -> np.ndarray:
 def train_batches(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float, batches, alpha: np.ndarray, rng):
     """Trains on (x, y) batches in turn, AdamW per batch; batch statistics need two rows, so a batch
     of one row is skipped. Returns (steps, loss_sum, n_seen, confusion counts)."""
-    steps, loss_sum, seen = 0, 0.0, 0
+    learner = Learner(p, w, m, v, t0)
+    loss_sum, seen = 0.0, 0
     conf = np.zeros(4)
     for xb, yb in batches:
-        if len(yb) < 2:
-            continue
-        logits, cache, running = forward(p, w, xb, train=True, rng=rng)
-        loss, dlog = loss_and_grad(p, logits, yb, alpha)
-        grads = backward(p, w, cache, dlog)
-        steps += 1
-        adamw_step(p, w, grads, m, v, t0 + steps, lr)
-        w.update(running)
-        pred = logits.argmax(axis=1)
-        loss_sum += loss * len(yb)
-        seen += len(yb)
-        conf += [((yb == 1) & (pred == 1)).sum(), ((yb == 0) & (pred == 1)).sum(),
-                 ((yb == 0) & (pred == 0)).sum(), ((yb == 1) & (pred == 0)).sum()]
-    return steps, loss_sum, seen, conf
+        if (got := learner.step(xb, yb, lr, alpha, rng)) is not None:
+            loss_sum += got[0]
+            seen += len(yb)
+            conf += got[1]
+    for d, own in ((w, learner.w), (m, learner.m), (v, learner.v)):
+        d.update(own)
+    return learner.t - t0, loss_sum, seen, conf
 
 
 def train_partition(p: MlpParams, w: dict, m: dict, v: dict, t0: int, lr: float,

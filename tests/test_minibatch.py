@@ -123,3 +123,12 @@ def test_trials_wait_for_a_verdict():
     second.over = first.over = True
     s.settle()
     assert s.cut == {2: 0} and s.values(2) == {0: .4}
+
+
+@pytest.mark.parametrize("drop", [True, False])
+def test_a_place_is_computed_once(spark, drop):
+    """The filter on the batch does not repeat the expression of the place."""
+    d = spark.range(1000).withColumnRenamed("id", "__n")
+    for q in (B.in_batches(d, 1000, 32, 1, 0, drop, 4), B.minibatch_plan(spark.range(1000), "id", 2, drop_last=drop)):
+        plan = q._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("48271") == B.place_sql("__n", 1000, "ks").count("48271")

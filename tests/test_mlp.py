@@ -213,3 +213,50 @@ def test_partitions_follow_the_rows(spark, monkeypatch):
     from tabspark.operators import mlp
     monkeypatch.setattr(mlp, "PARTITION_ROWS", 100)
     assert [mlp.partitions_for(spark.range(n)) for n in (0, 1, 100, 101, 1000)] == [1, 1, 1, 2, 10]
+
+
+def test_learner_steps_equal_tensorwise_adamw():
+    """One array for all tensors gives the bits of an update a tensor, and only that array is updated."""
+    for bn in (True, False):
+        p = MlpParams(input_size=4, hidden_sizes=[6, 3], use_batchnorm=bn)
+        rng = np.random.default_rng(2)
+        w = MM.init_weights(p)
+        m, v = ({n: np.zeros_like(a) for n, a in w.items()} for _ in range(2))
+        start = {n: a.copy() for n, a in w.items()}
+        learner, alpha, lr = MM.Learner(p, w, m, v, 0), np.array([0.7, 1.9]), 1e-2
+        for t in range(1, 6):
+            x, y = rng.normal(size=(9, 4)), rng.integers(0, 2, 9)
+            logits, cache, running = MM.forward(p, w, x, train=True, rng=np.random.default_rng(t))
+            g = MM.backward(p, w, cache, MM.loss_and_grad(p, logits, y, alpha)[1])
+            for n, _, trainable in MM.param_shapes(p):
+                if trainable:
+                    m[n] = p.beta1 * m[n] + (1 - p.beta1) * g[n]
+                    v[n] = p.beta2 * v[n] + (1 - p.beta2) * g[n] * g[n]
+                    w[n] = (w[n] * (1 - lr * p.weight_decay)
+                            - lr * (m[n] / (1 - p.beta1 ** t)) / (np.sqrt(v[n] / (1 - p.beta2 ** t)) + p.eps))
+            w.update(running)
+            loss, conf = learner.step(x, y, lr, alpha, np.random.default_rng(t))
+            assert loss > 0 and sum(conf) == 9
+        assert learner.step(x[:1], y[:1], lr, alpha, rng) is None and learner.t == 5
+        for own, want in ((learner.w, w), (learner.m, m), (learner.v, v)):
+            assert all(np.array_equal(own[n], want[n]) for n in want)
+        assert all(np.shares_memory(learner.w[n], learner.flat[0]) for n, _, tr in MM.param_shapes(p) if tr)
+        assert any(not np.array_equal(start[n], w[n]) for n in w)
+
+
+def test_minibatches_of_a_stream_of_arrow_batches():
+    """Mini-batches that span Arrow batches, also empty ones, come whole and in order; a null feature is NaN."""
+    import pyarrow as pa
+    from tabspark.operators.mlp import _batches
+    b = np.repeat([0, 2, 4, 6], [32, 32, 32, 7]).astype(np.int64)
+    n = len(b)
+    t = pa.table({"x0": pa.array([None, *np.arange(1.0, n)], pa.float32()), "x1": pa.array(-np.arange(n), pa.float32()),
+                  "y": pa.array(np.arange(n) % 2, pa.int32()), "__b": b})
+    for size in (1, 5, 32, 50, 200):
+        stream = [t.slice(0, 0).combine_chunks().to_batches() or [pa.RecordBatch.from_pylist([], t.schema)], t.to_batches(size)]
+        got = list(_batches((r for part in stream for r in part), 2))
+        assert [x.shape for x, _ in got] == [(32, 2)] * 3 + [(7, 2)]
+        x, y = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+        assert np.isnan(x[0, 0]) and np.array_equal(x[1:, 0], np.arange(1.0, n)) and np.array_equal(x[:, 1], -np.arange(n))
+        assert np.array_equal(y, np.arange(n) % 2) and y.dtype == np.int64
+    assert list(_batches(iter([]), 2)) == []
