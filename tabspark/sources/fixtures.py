@@ -23,6 +23,8 @@ def _has(text: Column, needle: str) -> Column:
 
 # The six "operator" characters counted by the stand-in metrics.
 OPERATOR_CHARS = [",", ".", ";", ":", "|", "-"]
+# Every character that is counted; as a class of a pattern, so the hyphen comes last.
+COUNTED = "\n?,.;:|-"
 
 
 def metric_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -30,11 +32,16 @@ def metric_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     d = docs.select("doc_id", "text")
     lab = labels.select("doc_id", "quality", F.lit(True).alias("labelled"))
     t = d.join(lab, "doc_id", "left")
-    text = F.col("text")
-    words = F.filter(F.split(F.replace(text, F.lit("\n"), F.lit(" ")), " "), lambda x: x != "")
     m = t.select(
         F.col("doc_id").alias("id"),
         F.col("quality"), F.col("labelled"),
+        # each text is gone through once: every run of other characters as one x, so that neighbours stay neighbours
+        F.regexp_replace("text", f"[^{COUNTED}]+", "x").alias("marks"),
+        F.filter(F.split(F.replace(F.col("text"), F.lit("\n"), F.lit(" ")), " "), lambda x: x != "").alias("words"),
+    )
+    text, words = F.col("marks"), F.col("words")
+    m = m.select(
+        "id", "quality", "labelled",
         (_occurrences(text, "\n") + 1).cast("double").alias("loc"),
         (_occurrences(text, ".") + 1).cast("double").alias("vg"),
         (_occurrences(text, "?") + 1).cast("double").alias("evg"),
